@@ -57,6 +57,14 @@ def keyed(docs: DataFrame) -> DataFrame:
 KEY = ("doc_id", "h1", "h2")
 
 
+def fresh(frame: DataFrame, name: str) -> str:
+    """A column name that ``frame`` doesn't have."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def same_key(left: DataFrame, right: DataFrame, columns: Iterable[str] = KEY):
     """Null-safe equality on the key columns."""
     condition = F.lit(True)
