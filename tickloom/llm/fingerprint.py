@@ -22,7 +22,7 @@ from tickloom.llm._common import SLICE_BYTES, parallelism
 
 BUCKETS = 128
 #: Score at which two digests have nothing in common.
-BOUND = 300
+BOUND = 400
 #: Bytes of the header: length, ratios of the quartiles.
 HEADER = 2
 #: The byte pairs that, with the newest byte, make the six triplets of a window.
