@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm._common import Store, byte_texts, slices
+from tickloom.llm._common import Store, byte_texts, fresh, slices
 
 #: Labelled rows that the fit takes at most (about), drawn by a hash of doc_id.
 SAMPLE = 40_000
@@ -254,8 +254,6 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
 
 def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with their own columns; each row is judged by its own text."""
-    from tickloom.llm._common import fresh
-
     tag = fresh(docs, "tag")
     texts = docs.withColumn(tag, F.xxhash64(F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))))
     rows = Store(docs.sparkSession).keep(described(texts.select(F.col(tag).alias("doc_id"), "text").dropDuplicates(["doc_id"])))
