@@ -5,8 +5,8 @@ fractional inclusion probability. The flight phase moves the probabilities
 through the null space of two constraints (words and documents of the source),
 three documents at a time, until each is 0 or 1. Blocks of a source fly on
 their own and leave two documents undecided at most; those fly again, block by
-block, until one block of a source is left, whose last two documents are the
-landing problem.
+block, until one block of a source is left. Its undecided documents and a few
+more are the landing problem, decided by trying every choice.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ from tickloom.llm._common import KEY, Store, byte_texts, fresh, slices
 MOST = 3
 #: Documents of one block of the flight phase, about.
 BLOCK = 4096
+#: Documents of a source's last block that are kept for the landing, besides the undecided ones.
+POOL = 12
 TINY = 1e-9
 
 
@@ -91,10 +94,12 @@ def flight(size: list[int], chance: list[float], seed: int) -> tuple[list[float]
 
 
 def land(size: list[int], chance: list[float]) -> list[int]:
-    """Decide the last (two) documents: the choice whose words come nearest to what was expected."""
-    wanted = sum(s * c for s, c in zip(size, chance, strict=True))
-    best = min(range(1 << len(size)), key=lambda m: (abs(sum(s for k, s in enumerate(size) if m >> k & 1) - wanted), m))
-    return [best >> k & 1 for k in range(len(size))]
+    """Decide the last few documents together: the choice whose words, then number, come nearest to what was expected."""
+    choices = np.arange(1 << len(size))[:, None] >> np.arange(len(size)) & 1
+    words = np.abs(choices @ np.array(size, float) - np.dot(size, chance))
+    number = np.abs(choices.sum(axis=1) - sum(chance))
+    scale = max(1.0, sum(size) / len(size))
+    return choices[int(np.argmin(words / scale + 0.01 * number))].tolist()
 
 
 ROW = "doc_id long, h1 long, h2 long, nth int, source string, size long, chance double"
@@ -104,12 +109,13 @@ def _fly(rows: DataFrame, last: bool) -> DataFrame:
     """Each row with its chance moved; with ``last`` the undecided ones are landed."""
 
     def block(rows: pd.DataFrame) -> pd.DataFrame:
-        # Large documents first: those left undecided are the smallest.
-        seed = int(rows["mark"].min())
-        rows = rows.sort_values(["size", "mark", *KEY, "nth"], ascending=False, kind="stable").reset_index(drop=True)
-        size = rows["size"].tolist()
-        moved, undecided = flight(size, rows["chance"].tolist(), seed)
-        if last and undecided:
+        rows = rows.sort_values(["mark", *KEY, "nth"], kind="stable").reset_index(drop=True)
+        size, chance = rows["size"].tolist(), rows["chance"].tolist()
+        n = max(0, len(size) - POOL) if last else len(size)
+        moved, undecided = flight(size[:n], chance[:n], int(rows["mark"].iloc[0]))
+        moved += chance[n:]
+        if last:
+            undecided += range(n, len(size))
             for k, got in zip(undecided, land([size[k] for k in undecided], [moved[k] for k in undecided]), strict=True):
                 moved[k] = float(got)
         rows["chance"] = moved
