@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import credentials, decontaminate, fingerprint, licenses, mixing, quality, simhash, toxicity
+from tickloom.llm import credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, toxicity
 from tickloom.llm._common import table
 
 
@@ -22,6 +22,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
+    "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_licenses": op8_licenses,
