@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, toxicity
+from tickloom.llm import credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity
 from tickloom.llm._common import table
 
 
@@ -14,6 +14,10 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup,
@@ -60,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": decontaminate.ORACLE_SQL,
 }
