@@ -182,10 +182,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: flo
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = MOST) -> DataFrame:
     """The documents that the mix takes, with their own columns and (mix_copies, mix_taken); identical rows come as one, their copies added."""
-    drawn = mix(docs, weights, most).groupBy(*KEY, "source").agg(F.sum("copies").alias("copies"), F.sum("taken").alias("taken")).where("copies > 0")
+    store = Store(docs.sparkSession)
+    drawn = mix(docs, weights, most).groupBy(*KEY, "source").agg(F.sum("copies").alias("copies"), F.sum("taken").alias("taken"), F.count("*").alias("rows"))
+    drawn = store.keep(drawn.where("copies > 0"))
     one, two = fresh(docs, "hash"), fresh(docs, "hash2")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.withColumn(one, F.xxhash64(text)).withColumn(two, F.xxhash64(F.lit("second"), text)).dropDuplicates([one, two, "doc_id", "source"])
+    base = docs.withColumn(one, F.xxhash64(text)).withColumn(two, F.xxhash64(F.lit("second"), text))
+    if not drawn.where("rows > 1").isEmpty():
+        base = base.dropDuplicates([one, two, "doc_id", "source"])
     copies, taken = fresh(docs, "mix_copies"), fresh(docs, "mix_taken")
     right = drawn.select(F.col("doc_id").alias("_d"), F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("source").alias("_s"), F.col("copies").alias(copies), F.col("taken").alias(taken))
     same = base["doc_id"].eqNullSafe(right["_d"]) & (base[one] == right["_1"]) & (base[two] == right["_2"]) & base["source"].eqNullSafe(right["_s"])

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm._common import Store, byte_texts, parallelism, slices
+from tickloom.llm._common import Store, byte_texts, fresh, parallelism, slices
 from tickloom.llm.components import components
 
 DISTANCE = 2
@@ -56,15 +56,20 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp long) for each row of ``docs``; null text is empty, its fingerprint zero."""
+    """(doc_id, tag, fp) for each row of ``docs``; null text is empty, its fingerprint zero. The tag is a hash of doc_id and text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = np.array([fingerprint(shingle_hashes(x, words)) for x in byte_texts(batch)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(fps.view(np.int64))], ["doc_id", "tag", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(scan, "doc_id long, fp long")
+    return rows.withColumn("tag", _tag()).mapInArrow(scan, "doc_id long, tag long, fp long")
+
+
+def _tag():
+    """A hash of a row's doc_id and text."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("\0"), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -228,14 +233,32 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     """
     store = Store(docs.sparkSession)
     rows = store.keep(fingerprints(docs, words))
-    codes = store.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(codes.select("fp"), store), store)
-    placed = codes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    placed = store.keep(placed)
-    named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_code = store.keep(placed.join(named, "root").select("fp", "component_id"))
-    return rows.join(by_code, "fp").select(
+    return rows.join(_named(rows, store), "fp").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def _named(rows: DataFrame, store: Store) -> DataFrame:
+    """(fp, root, component_id) of each fingerprint."""
+    codes = store.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(links(codes.select("fp"), store), store)
+    placed = store.keep(codes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    return store.keep(placed.join(named, "root").select("fp", "root", "component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 3) -> DataFrame:
+    """The rows of ``docs`` that come first in their component (by doc_id, null last, then a hash of the text), with their own columns; of repeated rows one stays."""
+    store = Store(docs.sparkSession)
+    rows = store.keep(fingerprints(docs, words))
+    met = rows.join(_named(rows, store).select("fp", "root"), "fp")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tag")
+    firsts = met.groupBy("root").agg(F.min(place).alias("first")).select("root", "first.tag").withColumn("stays", F.lit(True))
+    gone = store.keep(rows.select("tag").join(firsts.select("tag"), "tag", "left_anti").distinct())
+    tag = fresh(docs, "tag")
+    kept = docs.withColumn(tag, _tag()).join(gone.withColumnRenamed("tag", tag), tag, "left_anti")
+    if not rows.groupBy("tag").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([tag])
+    return kept.select(*docs.columns)
