@@ -384,7 +384,7 @@ def _across_blocks(masks: DataFrame) -> DataFrame:
     each = masks.where("hot").mapInArrow(windows, schema)
     twice = each.groupBy("core", "core2", "l", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     met = each.join(twice, ["core", "core2", "l", "window"])
-    return met.groupBy("anchor", "chunk", "q").agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("l"))).alias("mask"))
+    return met.groupBy("anchor", "chunk", "q").agg(F.bit_or(F.expr("shiftleft(1L, l)")).alias("mask"))
 
 
 def _marks(mixed: DataFrame, store: Store, parts: int) -> DataFrame:
