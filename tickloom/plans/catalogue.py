@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tickloom.plans import grid_queries
+
+GROUPS = (grid_queries,)
+QUERIES = {name: query for group in GROUPS for name, query in group.QUERIES.items()}
+ORACLE_SQL = {name: sql for group in GROUPS for name, sql in group.ORACLE_SQL.items()}
