@@ -197,7 +197,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     """A model from ``labels.toxic`` outside fold 1; None if one kind of label is missing."""
     store = Store(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = store.keep(_signed(sampled(labelled(labels, "toxic"), sample, "toxic").join(texts, "doc_id")))
+    # The sample bounds the broadcast side, so the texts need not move.
+    drawn = sampled(labelled(labels, "toxic"), sample, "toxic")
+    rows = store.keep(_signed(texts.join(F.broadcast(drawn), "doc_id")))
     # Copies would make every word of theirs look telling, so one of each counts.
     first = rows.groupBy("sign", "y").agg(F.min("doc_id").alias("doc_id"))
     single = store.keep(rows.join(first, ["sign", "y", "doc_id"], "left_semi").select("y", "text"))
