@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import BinaryType, StringType
 
 # The base58 alphabet, the FNV-1a 64 offset and prime.
 ALPHABET = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
@@ -65,12 +66,12 @@ def b58decode(text: str) -> bytes | None:
     return b"\0" * (len(text) - len(text.lstrip("1"))) + body
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def base58(data: pd.Series) -> pd.Series:
     return data.map(lambda x: None if x is None else b58encode(bytes(x)))
 
 
-@pandas_udf("binary")
+@pandas_udf(BinaryType())
 def address_bytes(text: pd.Series) -> pd.Series:
     """The 32 bytes of a chain address; null for anything else."""
 
@@ -97,7 +98,7 @@ def trade_fingerprint(ts_us: int, side: str, price: Decimal, amount: Decimal) ->
     return fnv1a(struct.pack("<Q", ts_us) + side.encode() + plain_decimal(price).encode() + plain_decimal(amount).encode())
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def fingerprint(ts_us: pd.Series, side: pd.Series, price: pd.Series, amount: pd.Series) -> pd.Series:
     """The content fingerprint of a print, as 16 hex digits."""
     return pd.Series([f"{trade_fingerprint(*x):016x}" for x in zip(ts_us, side, price, amount, strict=True)])
@@ -188,7 +189,7 @@ def deflate(data: bytes) -> bytes:
     return gzip.compress(data)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def lz4_text(data: pd.Series) -> pd.Series:
     """The UTF-8 text of LZ4-framed objects; null for what cannot be decoded."""
 
