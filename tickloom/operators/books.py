@@ -190,6 +190,13 @@ class Fold:
         self.state = "gapped"
         self.gaps += 1
 
+    def apply_level(self, side: str, price, size) -> None:
+        """Set or (size 0) delete a level."""
+        if Decimal(str(size)) == 0:
+            self.sides[side].pop(Decimal(str(price)), None)
+        else:
+            self.sides[side][Decimal(str(price))] = (price, size)
+
     def apply(self, changes: list[tuple], update_id=None, sequence=None, is_snapshot: bool = False, checksum: Callable[[dict], bool] | None = None) -> bool:
         """Apply one update: (side, price, size) changes. False if it was not applied."""
         if self.state == "closed":
@@ -203,10 +210,7 @@ class Fold:
             self.gap()
             return False
         for side, price, size in changes:
-            if Decimal(str(size)) == 0:
-                self.sides[side].pop(Decimal(str(price)), None)
-            else:
-                self.sides[side][Decimal(str(price))] = (price, size)
+            self.apply_level(side, price, size)
         if self.depth:
             for side, own in self.sides.items():
                 if len(own) > self.depth:
