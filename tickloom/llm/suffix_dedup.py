@@ -120,7 +120,8 @@ class Chunks:
         self.doc = owner[self.begin]
         self.low = self.begin - (ends - [len(x) for x in texts])[self.doc]
         self.offset = place - self.begin
-        self.anchor = gram[place]
+        # Anchors are least hashes; mixed again, their leading bits fill the bit tables evenly.
+        self.anchor = _mix(gram[place] ^ np.uint64(BASES[1]))
         self.chunk = _mix(self.hashes.of(self.begin, self.begin + self.count + LENGTH - 1) + (self.offset * 512 + self.count).astype(np.uint64))
 
     def pieces(self, which: np.ndarray) -> dict[str, list]:
