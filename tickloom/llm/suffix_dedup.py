@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -406,34 +407,21 @@ def _marks(mixed: DataFrame, store: Store, parts: int) -> DataFrame:
     return store.keep(met.select("anchor", "chunk", (F.col("n") > 1).alias("whole"), "masks"))
 
 
-def _starts(row: dict) -> Iterator[tuple[int, int]]:
-    """(first, end) ranges of repeated window starts of one chunk."""
-    if row["whole"]:
-        yield row["low"], row["low"] + row["count"]
-        return
-    for m in row["masks"]:
-        for left in range(CLASS):
-            if m["mask"] >> left & 1:
-                s = row["low"] + row["offset"] - m["q"] * CLASS - left
-                yield s, s + 1
-
-
-def covered(chunks: list[dict]) -> list[tuple[int, int]]:
-    """Maximal byte ranges that repeated windows cover."""
-    out: list[list[int]] = []
-    for s, e in sorted(x for c in chunks for x in _starts(c)):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e + LENGTH - 1)
-        else:
-            out.append([s, e + LENGTH - 1])
-    return [(s, e) for s, e in out]
-
-
-CHUNK = "array<struct<low:long,count:int,offset:int,whole:boolean,masks:array<struct<q:int,mask:long>>>>"
+def merged(doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, start, end) of the maximal byte ranges that ranges of repeated window starts cover."""
+    order = np.lexsort((first, doc))
+    doc, first, end = doc[order], first[order], end[order] + LENGTH - 1
+    # Documents are set apart so far that one running maximum serves all.
+    apart = doc * (int(end.max(initial=0)) + 2)
+    reach = np.maximum.accumulate(end + apart)
+    new = np.append(True, first[1:] + apart[1:] > reach[:-1])
+    start = np.flatnonzero(new)
+    last = np.append(start[1:], len(doc)) - 1
+    return doc[start], first[start], reach[last] - apart[last]
 
 
 def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
-    """(doc_id, h1, h2, chunks): for each distinct (doc_id, text) with repeats, its chunks with repeated windows."""
+    """(doc_id, h1, h2, ranges): for each distinct (doc_id, text) with repeats, the ranges of its repeated windows' starts."""
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
     anchors = store.keep(_anchor_counts(rows))
@@ -441,10 +429,16 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
     real = store.keep(found.join(anchors, "anchor"))
     store.drop(found)
     marks = _marks(real.where("not pure"), store, parts)
-    pure = real.where("pure").select(*KEY, "low", "count", "offset", F.lit(True).alias("whole"), F.lit(None).cast("array<struct<q:int,mask:long>>").alias("masks"))
-    other = real.where("not pure").select(*KEY, "anchor", "chunk", "low", "count", "offset").join(marks, ["anchor", "chunk"]).select(*pure.columns)
-    both = pure.unionByName(other)
-    by_doc = both.groupBy(*KEY).agg(F.collect_list(F.struct("low", "count", "offset", "whole", "masks")).alias("chunks"))
+    whole = F.struct(F.col("low").alias("first"), (F.col("low") + F.col("count")).alias("end")).alias("range")
+    pure = real.where("pure").select(*KEY, whole)
+    other = real.where("not pure").select(*KEY, "anchor", "chunk", "low", "count", "offset").join(marks, ["anchor", "chunk"])
+    full = other.where("whole").select(*KEY, whole)
+    # Bit l of a class's mask: the window that starts l bytes before the core.
+    bits = F.expr(f"filter(sequence(0, {CLASS - 1}), b -> (shiftright(m.mask, b) & 1L) = 1L)")
+    start = F.col("low") + F.col("offset") - F.col("q") * CLASS - F.col("l")
+    single = other.where("not whole").select(*KEY, "low", "offset", F.explode("masks").alias("m")).select(*KEY, "low", "offset", F.col("m.q").alias("q"), F.explode(bits).alias("l"))
+    single = single.select(*KEY, F.struct(start.cast("long").alias("first"), (start + 1).cast("long").alias("end")).alias("range"))
+    by_doc = pure.unionByName(full).unionByName(single).groupBy(*KEY).agg(F.collect_list("range").alias("ranges"))
     kept = store.keep(by_doc)
     store.drop(real, marks)
     return kept
@@ -473,21 +467,26 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
-            for doc_id, data, chunks in zip(batch.column("doc_id").to_pylist(), byte_texts(batch), batch.column("chunks").to_pylist(), strict=True):
-                spans, kept, at = covered(chunks), [], 0
-                for s, e in spans:
+            lists = batch.column("ranges")
+            ranges = lists.flatten()
+            doc = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+            own, start, end = merged(doc, ranges.field("first").to_numpy(), ranges.field("end").to_numpy())
+            cuts = np.searchsorted(own, np.arange(batch.num_rows + 1)).tolist()
+            start, end, out = start.tolist(), end.tolist(), []
+            for k, (doc_id, data) in enumerate(zip(batch.column("doc_id").to_pylist(), byte_texts(batch), strict=True)):
+                kept, at = [], 0
+                for s, e in zip(start[cuts[k] : cuts[k + 1]], end[cuts[k] : cuts[k + 1]], strict=True):
                     kept.append(data[at:s])
                     at = e
                 kept = b"".join([*kept, data[at:]])
-                out.append((doc_id, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if texts else None))
+                out.append((doc_id, len(data), len(data) - len(kept), cuts[k + 1] - cuts[k], hashlib.sha256(kept).hexdigest(), kept if texts else None))
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in names.split(", ")])
 
     # Only the texts with repeats move; a null id meets through the null-safe comparison.
     hits = rows.mapInArrow(likely, "doc_id long, text string, h1 long, h2 long")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"f.{k}")) for k in KEY]
-    edited = hits.alias("t").join(found.alias("f"), same).select("t.doc_id", "t.text", "f.chunks").mapInArrow(cut, names)
+    edited = hits.alias("t").join(found.alias("f"), same).select("t.doc_id", "t.text", "f.ranges").mapInArrow(cut, names)
     plain = rows.select(*KEY, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"), *([F.encode("text", "UTF-8").alias("bytes")] if texts else []))
     rest = plain.alias("t").join(found.select(*KEY).alias("f"), same, "left_anti")
     zero = F.lit(0).cast("long")
