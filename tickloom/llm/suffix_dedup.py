@@ -353,7 +353,13 @@ def _masks(pieces: DataFrame, parts: int) -> DataFrame:
                 yield tell(block, seen)
 
     def tell(block: list[dict], seen: dict) -> pa.RecordBatch:
-        masks = repeated_windows([(seen[r["core"], r["core2"], r["deal"]], r["left"], r["right"]) for r in block])
+        # Equal pieces of several chunks repeat each other whole; one of them stands for all.
+        numbers: dict[tuple[int, bytes, bytes], int] = {}
+        own = [numbers.setdefault((seen[r["core"], r["core2"], r["deal"]], r["left"], r["right"]), len(numbers)) for r in block]
+        found = repeated_windows(list(numbers))
+        times = np.bincount(own)
+        whole = (1 << CLASS) - 1
+        masks = [whole >> (CLASS - 1 - len(r["left"])) & ~((1 << (CLASS - 1 - len(r["right"]))) - 1) if times[k] > 1 else found[k] for k, r in zip(own, block, strict=True)]
         columns = [pa.array([r[c] for r in block], t) for c, t in (("anchor", pa.int64()), ("chunk", pa.int64()), ("q", pa.int32()))]
         columns += [pa.array(masks, pa.int64())]
         columns += [pa.array([r[c] for r in block], pa.int64()) for c in ("core", "core2")]
