@@ -44,7 +44,7 @@ CLASS = 32
 CORE = LENGTH - CLASS + 1
 SPREAD = LENGTH - GRAM + 1
 #: Bytes hashed at once; places inside fit PLACE bits.
-SEGMENT, PLACE = 1 << 20, 21
+SEGMENT, PLACE = 1 << 18, 19
 #: Pieces of one core that one suffix array takes; larger groups are dealt to several, compared by window hashes.
 BLOCK = 2000
 #: Symbols of one suffix array, about.
@@ -431,19 +431,18 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
     anchors = store.keep(_anchor_counts(rows))
-    found = store.keep(_occurrences(rows, anchors))
-    real = store.keep(found.join(anchors, "anchor"))
-    store.drop(found)
+    real = store.keep(_occurrences(rows, anchors).join(anchors, "anchor"))
     marks = _marks(real.where("not pure"), store, parts)
     whole = F.struct(F.col("low").alias("first"), (F.col("low") + F.col("count")).alias("end")).alias("range")
     pure = real.where("pure").select(*KEY, whole)
     other = real.where("not pure").select(*KEY, "anchor", "chunk", "low", "count", "offset").join(marks, ["anchor", "chunk"])
     full = other.where("whole").select(*KEY, whole)
-    # Bit l of a class's mask: the window that starts l bytes before the core.
-    bits = F.expr(f"filter(sequence(0, {CLASS - 1}), b -> (shiftright(m.mask, b) & 1L) = 1L)")
-    start = F.col("low") + F.col("offset") - F.col("q") * CLASS - F.col("l")
+    # Bit l of a class's mask: the window that starts l bytes before the core. Runs of bits become ranges of starts.
+    bit = f"array_compact(transform(sequence(0, {CLASS - 1}), b -> if((shiftright(m.mask, b) & 1L) = 1L and (b = {{0}} or (shiftright(m.mask, b + {{1}}) & 1L) = 0L), b, null)))"
+    bits = F.arrays_zip(F.expr(bit.format(0, -1)).alias("low"), F.expr(bit.format(CLASS - 1, 1)).alias("high"))
     single = other.where("not whole").select(*KEY, "low", "offset", F.explode("masks").alias("m")).select(*KEY, "low", "offset", F.col("m.q").alias("q"), F.explode(bits).alias("l"))
-    single = single.select(*KEY, F.struct(start.cast("long").alias("first"), (start + 1).cast("long").alias("end")).alias("range"))
+    core = F.col("low") + F.col("offset") - F.col("q") * CLASS
+    single = single.select(*KEY, F.struct((core - F.col("l.high")).cast("long").alias("first"), (core - F.col("l.low") + 1).cast("long").alias("end")).alias("range"))
     by_doc = pure.unionByName(full).unionByName(single).groupBy(*KEY).agg(F.collect_list("range").alias("ranges"))
     kept = store.keep(by_doc)
     store.drop(real, marks)
