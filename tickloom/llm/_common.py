@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,10 +103,17 @@ class Store:
         kept._stored_at = path
         return kept
 
+    def hold(self, frame: DataFrame) -> DataFrame:
+        """Keep a frame on the executors' disks for several readers; what a lost executor held is computed again."""
+        return frame.persist(StorageLevel.DISK_ONLY)
+
     def drop(self, *frames: DataFrame) -> None:
-        """Remove written frames that nothing reads any more."""
+        """Remove written or held frames that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
         for frame in frames:
+            if not hasattr(frame, "_stored_at"):
+                frame.unpersist()
+                continue
             path = jvm.org.apache.hadoop.fs.Path(frame._stored_at)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 

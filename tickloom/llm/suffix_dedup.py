@@ -395,22 +395,22 @@ def _across_blocks(masks: DataFrame) -> DataFrame:
     return met.groupBy("anchor", "chunk", "q").agg(F.bit_or(F.expr("shiftleft(1L, l)")).alias("mask"))
 
 
-def _marks(mixed: DataFrame, store: Store, parts: int) -> DataFrame:
-    """(anchor, chunk, whole, masks): what repeats in the chunks of mixed anchors."""
-    chunks = store.keep(mixed.groupBy("anchor", "chunk").agg(F.count("*").alias("n")))
+def _marks(mixed: DataFrame, store: Store, parts: int) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+    """(anchor, chunk, whole, masks): what repeats in the chunks of mixed anchors; and the frames held for it."""
+    chunks = store.hold(mixed.groupBy("anchor", "chunk").agg(F.count("*").alias("n")))
     pieces = mixed.where("pieces is not null").select("anchor", "chunk", F.explode("pieces").alias("p")).select("anchor", "chunk", "p.*")
-    pieces = store.keep(pieces.groupBy("anchor", "chunk", "q", "core", "core2").agg(F.min("left").alias("left"), F.min("right").alias("right")))
-    cores = store.keep(pieces.groupBy("core", "core2").agg(F.count("*").alias("n")).where("n > 1"))
+    pieces = store.hold(pieces.groupBy("anchor", "chunk", "q", "core", "core2").agg(F.min("left").alias("left"), F.min("right").alias("right")))
+    cores = store.hold(pieces.groupBy("core", "core2").agg(F.count("*").alias("n")).where("n > 1"))
     deal = F.pmod("chunk", F.ceil(F.col("n") / BLOCK).cast("long")).cast("int")
     dealt = pieces.join(cores, ["core", "core2"]).select(*pieces.columns, deal.alias("deal"), (F.col("n") > BLOCK).alias("hot"))
-    masks = store.keep(_masks(dealt, parts))
+    masks = store.hold(_masks(dealt, parts))
     told = masks.where("mask <> 0").select("anchor", "chunk", "q", "mask")
     if not masks.where("hot").isEmpty():
         told = told.unionByName(_across_blocks(masks))
     told = told.groupBy("anchor", "chunk", "q").agg(F.bit_or("mask").alias("mask"))
     single = told.groupBy("anchor", "chunk").agg(F.collect_list(F.struct("q", "mask")).alias("masks"))
     met = chunks.join(single, ["anchor", "chunk"], "left").where("n > 1 or masks is not null")
-    return store.keep(met.select("anchor", "chunk", (F.col("n") > 1).alias("whole"), "masks"))
+    return store.hold(met.select("anchor", "chunk", (F.col("n") > 1).alias("whole"), "masks")), (chunks, pieces, cores, masks)
 
 
 def merged(doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -431,8 +431,8 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
     anchors = store.keep(_anchor_counts(rows))
-    real = store.keep(_occurrences(rows, anchors).join(anchors, "anchor"))
-    marks = _marks(real.where("not pure"), store, parts)
+    real = store.hold(_occurrences(rows, anchors).join(anchors, "anchor"))
+    marks, steps = _marks(real.where("not pure"), store, parts)
     whole = F.struct(F.col("low").alias("first"), (F.col("low") + F.col("count")).alias("end")).alias("range")
     pure = real.where("pure").select(*KEY, whole)
     other = real.where("not pure").select(*KEY, "anchor", "chunk", "low", "count", "offset").join(marks, ["anchor", "chunk"])
@@ -445,7 +445,7 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
     single = single.select(*KEY, F.struct((core - F.col("l.high")).cast("long").alias("first"), (core - F.col("l.low") + 1).cast("long").alias("end")).alias("range"))
     by_doc = pure.unionByName(full).unionByName(single).groupBy(*KEY).agg(F.collect_list("range").alias("ranges"))
     kept = store.keep(by_doc)
-    store.drop(real, marks)
+    store.drop(real, marks, *steps)
     return kept
 
 
