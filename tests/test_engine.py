@@ -365,3 +365,29 @@ def test_decompose(spark):
     assert {k: v.count() for k, v in got.items()} == {"orderbooks": 2, "trades": 2, "liquidations": 0, "funding_rates": 3, "open_interests": 1, "funding_settlements": 1, "transactions": 1}
     book = got["orderbooks"].first()
     assert (book.orderbook_ts_us, book.source_orderbook_ts_us) == (10, 7)
+
+
+# ---- generators, configuration
+
+
+def test_generators_are_deterministic(spark):
+    from tickloom.sources import generators
+
+    a = generators.trades(spark, 500, seed=3)
+    assert sorted(a.collect()) == sorted(generators.trades(spark, 500, seed=3).repartition(7).collect())
+    assert a.where("price <= 0 or amount <= 0").count() == 0 and generators.orders(spark, 10).count() == generators.liquidations(spark, 10).count() == 10
+    made = books.metrics(generators.books(spark, 50))
+    assert made.where("crossed or n_bids <> 10 or n_asks <> 10").count() == 0
+
+
+def test_admission_and_durations():
+    from tickloom import config
+
+    good = config.Job("bybit", "linear", ("BTC/USDT",), ("orderbooks", "trades", "liquidations"), period="100ms")
+    assert good.problems() == []
+    bad = config.Job("kraken", "chain", (), ("liquidations", "odd"), clock="x", period="1 week", depth=25)
+    assert len(bad.problems()) == 7
+    assert [config.duration_us(t) for t in ("1500ns", "100ms", "1h")] == [1, 100_000, 3_600_000_000]
+    assert config.mode_label("clock", "100ms") == "ON_CLOCK(100MS)"
+    assert config.delay_ceiling(3) == 2.0 and config.delay_ceiling(50) == 30.0
+    assert 1.0 <= config.delay(3, 5) <= 2.0 and config.delay(3, 5) == config.delay(3, 5)

@@ -165,14 +165,20 @@ def sealed(transactions: DataFrame, metas: DataFrame, key: Sequence[str] = ("slo
 def verdicts(metas: DataFrame, reorder: int = 4, abandon: int = 32, order: str = "arrival") -> DataFrame:
     """Metas with a verdict: duplicate (seen before), late (its height lies below what was released), else sealed.
 
-    Heights are released once ``reorder`` slots newer were seen; a slot further
+    ``order`` is a number that rises with arrival. Heights are released once ``reorder`` slots newer were seen; a slot further
     behind than ``abandon`` is late in any case.
     """
     own = Window.partitionBy("slot", "bank_id").orderBy(order)
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = metas.withColumn("_nth", F.row_number().over(own)).withColumn("_top", F.max("slot").over(before))
-    behind = F.coalesce(F.col("_top") - F.col("slot"), F.lit(0))
-    return rows.withColumn("verdict", F.when(F.col("_nth") > 1, "duplicate").when(behind > min(reorder, abandon), "late").otherwise("sealed")).drop("_nth", "_top")
+    rows = metas.withColumn("_nth", F.row_number().over(own)).withColumn("_part", F.expr(f"{order} div {1 << 16}"))
+    # The highest slot so far: inside a range of arrivals, and of all ranges before, so that no task orders the whole chain.
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    tops = rows.groupBy("_part").agg(F.max("slot").alias("_own"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select("_part", F.max("_own").over(before).alias("_before"))
+    rows = rows.withColumn("_in", F.max("slot").over(inside)).join(tops, "_part")
+    behind = F.coalesce(F.greatest("_in", "_before") - F.col("slot"), F.lit(0))
+    verdict = F.when(F.col("_nth") > 1, "duplicate").when(behind > min(reorder, abandon), "late").otherwise("sealed")
+    return rows.withColumn("verdict", verdict).drop("_nth", "_part", "_in", "_before")
 
 
 def slot_ticks(metas: DataFrame) -> DataFrame:
