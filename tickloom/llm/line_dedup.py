@@ -29,8 +29,10 @@ from tickloom.llm.components import components
 SHINGLE, SIMILAR = 8, 0.8
 BANDS, ROWS = 16, 5
 BINS = BANDS * ROWS
-#: Lines of a candidate group that are compared all with all; larger groups are cut into such blocks, linked through their leaders.
-BLOCK = 1500
+#: Lines of a candidate group up to which all are compared with all in one sort.
+SMALL = 64
+#: Bits of a shingle's code.
+CODE = 50
 #: Bits that address the candidates' bit table.
 TABLE_BITS = 26
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -101,44 +103,91 @@ def bands(lines: list[str]) -> np.ndarray:
     return key.view(np.int64)
 
 
-def links(lines: list[str], ids: list[int], similar: float = SIMILAR) -> list[tuple[int, int]]:
-    """Links that connect the lines of one candidate group: pairs of ids whose exact Jaccard similarity is ``similar`` at least.
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending; sorts in place (numpy's unique hashes, which is far slower here)."""
+    values.sort()
+    return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
 
-    Blocks of up to BLOCK lines are compared all with all by one product of
-    their shingle tables. In larger groups each block is also compared with the
-    first lines of the components found so far.
+
+class Teams:
+    """Exact comparison of the lines of many candidate groups at once.
+
+    A line's shingles are a sorted run of distinct 50-bit codes; a pair's common
+    shingles are the equal neighbours after sorting both runs together, many
+    pairs in one sort.
     """
-    parent = list(range(len(lines)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    def compare(members: list[int]) -> None:
-        codes, owner = shingles([lines[m] for m in members])
-        pairs = np.unique(np.stack([owner.astype(np.uint64), codes], axis=1), axis=0)
-        words, column = np.unique(pairs[:, 1], return_inverse=True)
-        own = pairs[:, 0].astype(np.int64)
-        size = np.bincount(own, minlength=len(members))
-        common = np.zeros((len(members), len(members)), np.float32)
-        for at in range(0, len(words), 2048):
-            here = (column >= at) & (column < at + 2048)
-            part = np.zeros((len(members), 2048), np.float32)
-            part[own[here], column[here] - at] = 1
-            common += part @ part.T
-        near = common >= similar * (size[:, None] + size[None, :] - common) - 1e-6
-        for a, b in zip(*np.nonzero(np.triu(near & (common > 0), 1)), strict=True):
-            x, y = root(members[a]), root(members[b])
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-
-    for at in range(0, len(lines), BLOCK):
-        block = list(range(at, min(at + BLOCK, len(lines))))
-        leaders = sorted({root(k) for k in range(at)})
-        for k in range(0, max(1, len(leaders)), BLOCK):
-            compare(leaders[k : k + BLOCK] + block)
-    return [(ids[k], ids[r]) for k in range(len(lines)) if (r := root(k)) != k]
+
+    def __init__(self, lines: list[str]):
+        codes, owner = shingles(lines)
+        n = len(lines)
+        most = 1 << (64 - CODE)
+        parts = []
+        for at in range(0, n, most):
+            low, high = np.searchsorted(owner, [at, at + most])
+            key = (owner[low:high] - at).astype(np.uint64) << np.uint64(CODE) | _mixed(codes[low:high], 5) >> np.uint64(64 - CODE)
+            parts.append(distinct(key))
+        self.size = np.concatenate([np.bincount((p >> np.uint64(CODE)).astype(np.int64), minlength=min(most, n - k * most)) for k, p in enumerate(parts)]) if parts else np.zeros(0, np.int64)
+        self.codes = np.concatenate(parts) & np.uint64((1 << CODE) - 1) if parts else np.empty(0, np.uint64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def similar(self, left: np.ndarray, right: np.ndarray, least: float = SIMILAR) -> np.ndarray:
+        """Whether each pair of lines has a Jaccard similarity of ``least``."""
+        out = np.zeros(len(left), bool)
+        weight = np.cumsum(self.size[left] + self.size[right])
+        at = 0
+        while at < len(left):
+            before = weight[at - 1] if at else 0
+            end = min(at + 4096, max(at + 1, int(np.searchsorted(weight, before + (1 << 21), side="right"))))
+            a, b = left[at:end], right[at:end]
+            which = np.concatenate([a, b])
+            pair = np.tile(np.arange(end - at), 2)
+            size = self.size[which]
+            from_ = np.repeat(self.start[which] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            key = np.repeat(pair, size).astype(np.uint64) << np.uint64(CODE) | self.codes[from_]
+            key.sort()
+            same = key[1:][key[1:] == key[:-1]] >> np.uint64(CODE)
+            common = np.bincount(same.astype(np.int64), minlength=end - at)
+            out[at:end] = common >= least * (self.size[a] + self.size[b] - common) - 1e-6
+            at = end
+        return out
+
+    def links(self, teams: list[np.ndarray]) -> list[tuple[int, int]]:
+        """Links (line, line of its component) that connect each team's similar lines; no link inside a team is lost.
+
+        Small teams are compared all with all, all of them in one go, and every
+        pair of several teams once. In large teams each line that is not yet
+        connected with the first is compared with the lines of other components.
+        """
+        pairs = [np.stack(np.triu_indices(len(t), 1)) for t in teams if len(t) <= SMALL]
+        small = [t for t in teams if len(t) <= SMALL]
+        found: list[tuple[int, int]] = []
+        if small:
+            left = np.concatenate([t[i[0]] for t, i in zip(small, pairs, strict=True)])
+            right = np.concatenate([t[i[1]] for t, i in zip(small, pairs, strict=True)])
+            both = distinct(np.minimum(left, right) * len(self.size) + np.maximum(left, right))
+            left, right = np.divmod(both, len(self.size))
+            # Sets whose sizes differ more cannot be similar.
+            close = np.minimum(self.size[left], self.size[right]) >= SIMILAR * np.maximum(self.size[left], self.size[right]) - 1e-6
+            left, right = left[close], right[close]
+            near = self.similar(left, right)
+            found += zip(right[near].tolist(), left[near].tolist(), strict=True)
+        for team in teams:
+            if len(team) > SMALL:
+                found += self._large(team)
+        return found
+
+    def _large(self, team: np.ndarray) -> list[tuple[int, int]]:
+        part = np.arange(len(team))
+        out: list[tuple[int, int]] = []
+        for k in range(len(team)):
+            if k and part[k] == part[0]:
+                continue
+            others = np.flatnonzero(part != part[k])
+            near = others[self.similar(np.full(len(others), team[k]), team[others])]
+            out += [(int(team[j]), int(team[k])) for j in near.tolist()]
+            met = np.unique(part[near])
+            part[np.isin(part, met)] = part[k]
+        return out
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
@@ -242,15 +291,14 @@ def _verified(groups: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, "team"):
-            team = batch.column("team").to_numpy()
-            line, content = batch.column("line").to_pylist(), batch.column("content").to_pylist()
-            start = np.flatnonzero(np.append(True, team[1:] != team[:-1])).tolist()
-            found = []
-            for s, e in zip(start, [*start[1:], len(team)], strict=True):
-                order = sorted(range(s, e), key=line.__getitem__)
-                found += links([content[k] for k in order], [line[k] for k in order])
+            team, line = batch.column("team").to_numpy(), batch.column("line").to_numpy()
+            ids, first, place = np.unique(line, return_index=True, return_inverse=True)
+            content = batch.column("content").take(pa.array(first)).to_pylist()
+            order = np.lexsort((place, team))
+            cuts = np.flatnonzero(np.diff(team[order])) + 1
+            found = Teams(content).links(np.split(place[order], cuts))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found]), pa.array([x[1] for x in found])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in found]]), pa.array(ids[[y for _, y in found]])], ["a", "b"])
 
     full = groups.join(texts, "line").select("team", "line", "content")
     return full.repartition(parts, "team").sortWithinPartitions("team").mapInArrow(check, "a long, b long")
@@ -315,8 +363,7 @@ def line_report(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents without their repeated lines; n_chars follows, and a document that loses all its lines goes.
 
-    Columns are those of ``docs``. Identical rows count as one document and
-    come once.
+    Columns are those of ``docs``. Identical rows lose the same lines.
     """
     judged = judged_lines(docs).select(*KEY, "n_lines", "removed").where(F.size("removed") > 0)
     one, two, gone = fresh(docs, "hash"), fresh(docs, "hash2"), fresh(docs, "gone")
