@@ -1,8 +1,8 @@
 """Fuzzy line dedup by MinHash.
 
-Lines are sets of eight-character shingles. A sketch of 80 bins (filled round
-by round until no bin is empty, so short lines fill it too) is cut into 16
-bands of five; lines that share a band are candidates: 99.8 % of pairs at a
+Lines are sets of eight-character shingles. A sketch of 48 bins (filled round
+by round until no bin is empty, so short lines fill it too) is cut into 12
+bands of four; lines that share a band are candidates: 99.8 % of pairs at a
 Jaccard similarity of 0.8, and nearly all above. Exact Jaccard similarity of
 the shingle sets decides, and distributed union-find joins the links to
 components, of which the first line of the corpus stays.
@@ -27,7 +27,7 @@ from tickloom.llm._common import KEY, Store, fresh, keyed, parallelism, slices
 from tickloom.llm.components import components
 
 SHINGLE, SIMILAR = 8, 0.8
-BANDS, ROWS = 16, 5
+BANDS, ROWS = 12, 4
 BINS = BANDS * ROWS
 #: Lines of a candidate group up to which all are compared with all in one sort.
 SMALL = 64
