@@ -31,6 +31,8 @@ BANDS, ROWS = 12, 4
 BINS = BANDS * ROWS
 #: Lines of a candidate group up to which all are compared with all in one sort.
 SMALL = 64
+#: Band rows that one task sorts, about.
+TASK_ROWS = 2_000_000
 #: Bits of a shingle's code.
 CODE = 50
 #: Bits that address the candidates' bit table.
@@ -242,24 +244,38 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch
 
 
 def _groups(band_rows: DataFrame, parts: int) -> DataFrame:
-    """(team, line): lines that share a band; a team is known by its members, so that equal teams of several bands are one."""
+    """(team, line): lines that share a band; a team is known by its members, so that equal teams of several bands are one.
+
+    A task sorts one partition's keys, 16 bytes a row; ``parts`` keeps
+    partitions at TASK_ROWS rows, so it holds about 100 MB.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "band"):
-            band, line = batch.column("band").to_numpy(), batch.column("line").to_numpy()
-            order = np.lexsort((line, band))
-            band, line = band[order], line[order]
-            new = np.append(True, (band[1:] != band[:-1]) | (line[1:] != line[:-1]))
-            band, line = band[new], line[new]
-            start = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
-            size = np.diff(np.append(start, len(band)))
-            many = np.repeat(size > 1, size)
-            if many.any():
-                team = np.add.reduceat(_mixed(line.view(np.uint64), 1), start)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(team, size)[many].view(np.int64)), pa.array(line[many])], ["team", "line"])
-
-    dealt = band_rows.repartition(parts, "band").sortWithinPartitions("band")
-    return dealt.mapInArrow(gather, "team long, line long")
+        held = [(b.column("band").to_numpy(), b.column("line").to_numpy()) for b in batches if b.num_rows]
+        if not held:
+            return
+        band, line = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        order = np.argsort(band)
+        band, line = band[order], line[order]
+        # Most keys occur once; only the others are looked at further.
+        twice = np.append(False, band[1:] == band[:-1])
+        twice[:-1] |= twice[1:]
+        band, line = band[twice], line[twice]
+        order = np.lexsort((line, band))
+        band, line = band[order], line[order]
+        new = np.append(True, (band[1:] != band[:-1]) | (line[1:] != line[:-1]))[: len(band)]
+        band, line = band[new], line[new]
+        start = np.flatnonzero(np.append(True, band[1:] != band[:-1])[: len(band)])
+        size = np.diff(np.append(start, len(band)))
+        many = np.repeat(size > 1, size)
+        if many.any():
+            team = np.repeat(np.add.reduceat(_mixed(line.view(np.uint64), 1), start), size)[many].view(np.int64)
+            line = line[many]
+            for at in range(0, len(line), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(team[at : at + (1 << 16)]), pa.array(line[at : at + (1 << 16)])], ["team", "line"])
+
+    return band_rows.repartition(parts, "band").mapInArrow(gather, "team long, line long")
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -318,7 +334,8 @@ def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
     seen = store.keep(_occurrences(rows).groupBy(*KEY, "number", "line", "line2").agg(F.count("*").cast("int").alias("rows")))
-    groups = store.keep(_groups(_band_rows(rows), parts).distinct())
+    enough = -(-seen.count() * BANDS // TASK_ROWS)
+    groups = store.keep(_groups(_band_rows(rows), max(parts, enough)).distinct())
     wanted = store.keep(groups.select("line").distinct())
     texts = store.keep(_texts(rows, wanted))
     roots = store.keep(components(_verified(groups, texts, parts), store))
