@@ -29,8 +29,8 @@ from tickloom.llm.components import components
 SHINGLE, SIMILAR = 8, 0.8
 BANDS, ROWS = 12, 4
 BINS = BANDS * ROWS
-#: Lines of a candidate group up to which all are compared with all in one sort.
-SMALL = 64
+#: Lines of a candidate group up to which its pairs are compared in one sort; beyond, tables of BLOCK lines by WIDTH shingles.
+SMALL, BLOCK, WIDTH = 16, 1024, 2048
 #: Band rows that one task sorts, about.
 TASK_ROWS = 2_000_000
 #: Bits of a shingle's code.
@@ -154,42 +154,79 @@ class Teams:
         return out
 
     def links(self, teams: list[np.ndarray]) -> list[tuple[int, int]]:
-        """Links (line, line of its component) that connect each team's similar lines; no link inside a team is lost.
+        """Links that span the components of the teams' similar lines; no similar pair of a team is left apart.
 
-        Small teams are compared all with all, all of them in one go, and every
-        pair of several teams once. In large teams each line that is not yet
-        connected with the first is compared with the lines of other components.
+        The pairs of small teams are compared in one go, each pair once;
+        larger teams by products of their shingle tables.
         """
-        pairs = [np.stack(np.triu_indices(len(t), 1)) for t in teams if len(t) <= SMALL]
         small = [t for t in teams if len(t) <= SMALL]
         found: list[tuple[int, int]] = []
         if small:
-            left = np.concatenate([t[i[0]] for t, i in zip(small, pairs, strict=True)])
-            right = np.concatenate([t[i[1]] for t, i in zip(small, pairs, strict=True)])
+            pairs = [np.triu_indices(len(t), 1) for t in small]
+            left = np.concatenate([t[i] for t, (i, _) in zip(small, pairs, strict=True)])
+            right = np.concatenate([t[j] for t, (_, j) in zip(small, pairs, strict=True)])
             both = distinct(np.minimum(left, right) * len(self.size) + np.maximum(left, right))
             left, right = np.divmod(both, len(self.size))
             # Sets whose sizes differ more cannot be similar.
             close = np.minimum(self.size[left], self.size[right]) >= SIMILAR * np.maximum(self.size[left], self.size[right]) - 1e-6
             left, right = left[close], right[close]
             near = self.similar(left, right)
-            found += zip(right[near].tolist(), left[near].tolist(), strict=True)
+            found += zip(left[near].tolist(), right[near].tolist(), strict=True)
         for team in teams:
             if len(team) > SMALL:
                 found += self._large(team)
-        return found
+        return spanning(found)
 
     def _large(self, team: np.ndarray) -> list[tuple[int, int]]:
+        """Each line of a large team with the first of its component. Blocks that are connected already are not compared."""
+        size = self.size[team]
+        row = np.repeat(np.arange(len(team)), size)
+        codes = self.codes[np.repeat(self.start[team] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        _, column, times = np.unique(codes, return_inverse=True, return_counts=True)
+        # Shingles of one line only are common to none.
+        shared = times > 1
+        column, row = (np.cumsum(shared) - 1)[column[shared[column]]], row[shared[column]]
         part = np.arange(len(team))
-        out: list[tuple[int, int]] = []
-        for k in range(len(team)):
-            if k and part[k] == part[0]:
-                continue
-            others = np.flatnonzero(part != part[k])
-            near = others[self.similar(np.full(len(others), team[k]), team[others])]
-            out += [(int(team[j]), int(team[k])) for j in near.tolist()]
-            met = np.unique(part[near])
-            part[np.isin(part, met)] = part[k]
-        return out
+        for i in range(0, len(team), BLOCK):
+            a = np.arange(i, min(i + BLOCK, len(team)))
+            for j in range(i, len(team), BLOCK):
+                b = np.arange(j, min(j + BLOCK, len(team)))
+                if len(set(part[a].tolist()) | set(part[b].tolist())) == 1:
+                    continue
+                common = np.zeros((len(a), len(b)), np.float32)
+                for at in range(0, int(shared.sum()), WIDTH):
+                    here = (column >= at) & (column < at + WIDTH)
+                    tables = []
+                    for own in (a, b):
+                        mine = here & (row >= own[0]) & (row <= own[-1])
+                        table = np.zeros((len(own), WIDTH), np.float32)
+                        table[row[mine] - own[0], column[mine] - at] = 1
+                        tables.append(table)
+                    common += tables[0] @ tables[1].T
+                near = common >= SIMILAR * (size[a][:, None] + size[b][None, :] - common) - 1e-6
+                for k in np.flatnonzero(near.any(axis=1)).tolist():
+                    met = np.unique(part[b[near[k]]])
+                    met = met[met != part[a[k]]]
+                    if len(met):
+                        part[np.isin(part, met)] = part[a[k]]
+        return [(int(team[k]), int(team[p])) for k, p in enumerate(part.tolist()) if k != p]
+
+
+def spanning(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """As many links as join the same components."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return [(x, root(x)) for x in list(parent)]
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
