@@ -230,20 +230,21 @@ def spanning(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
-    """A row for each line: the document's key, the line's number and its 128-bit id. Documents without lines have one row with a null number."""
-    schema = "doc_id long, h1 long, h2 long, number long, line long, line2 long"
+    """A row for each line: the document's key, the line's number and its 128-bit id; ``head`` marks the first row of each document. Documents without lines have one row with a null number."""
+    schema = "doc_id long, h1 long, h2 long, number long, line long, line2 long, head long"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            at, number, first, second = [], [], [], []
+            at, number, first, second, head = [], [], [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
                 for n, line in lines_of(text) or [(None, "")]:
+                    head.append(int(not at or at[-1] != k))
                     at.append(k)
                     number.append(n)
                     first.append(line_id(line))
                     second.append(line_id(line, 8))
             keys = [batch.column(c).take(pa.array(at, pa.int64())) for c in KEY]
-            yield pa.RecordBatch.from_arrays([*keys, *(pa.array(x, pa.int64()) for x in (number, first, second))], [x.split()[0] for x in schema.split(", ")])
+            yield pa.RecordBatch.from_arrays([*keys, *(pa.array(x, pa.int64()) for x in (number, first, second, head))], [x.split()[0] for x in schema.split(", ")])
 
     return rows.select(*KEY, "text").mapInArrow(scan, schema)
 
@@ -370,7 +371,7 @@ def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
     store = store or Store(docs.sparkSession)
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
-    seen = store.keep(_occurrences(rows).groupBy(*KEY, "number", "line", "line2").agg(F.count("*").cast("int").alias("rows")))
+    seen = store.keep(_occurrences(rows))
     enough = -(-seen.count() * BANDS // TASK_ROWS)
     groups = store.keep(_groups(_band_rows(rows), max(parts, enough)).distinct())
     wanted = store.keep(groups.select("line").distinct())
@@ -382,10 +383,10 @@ def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
     named = named.select(*KEY, "number", F.coalesce("root", "line").alias("part"), F.when(F.col("root").isNull(), F.col("line2")).otherwise(0).alias("part2"))
     named = store.keep(named)
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), *KEY, "number")
-    firsts = store.keep(named.groupBy("part", "part2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("part", "part2", "first"))
+    firsts = store.keep(named.groupBy("part", "part2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("part", "part2", "first"))
     shared = named.join(firsts, ["part", "part2"]).select(*KEY, "number", "part", (place == F.col("first")).alias("stays"))
-    per_doc = shared.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.when(~F.col("stays"), F.col("number")))).alias("removed"), F.sort_array(F.collect_set("part")).alias("joined"))
-    counts = seen.groupBy(*KEY).agg(F.max("rows").alias("rows"), F.count("number").alias("n_lines"))
+    per_doc = shared.groupBy(*KEY).agg(F.sort_array(F.collect_set(F.when(~F.col("stays"), F.col("number")))).alias("removed"), F.sort_array(F.collect_set("part")).alias("joined"))
+    counts = seen.groupBy(*KEY).agg(F.sum("head").cast("int").alias("rows"), F.count("number").alias("n")).withColumn("n_lines", F.expr("n div rows")).drop("n")
     # Null ids meet through an equal stand-in, so the join stays an equality join.
     met = counts.alias("c").join(per_doc.alias("p"), [F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}")) for k in KEY], "left")
     none = F.array().cast("array<long>")
