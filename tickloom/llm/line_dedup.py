@@ -29,8 +29,8 @@ from tickloom.llm.components import components
 SHINGLE, SIMILAR = 8, 0.8
 BANDS, ROWS = 12, 4
 BINS = BANDS * ROWS
-#: Lines of a candidate group up to which its pairs are compared in one sort; beyond, tables of BLOCK lines by WIDTH shingles.
-SMALL, BLOCK, WIDTH = 16, 1024, 2048
+#: Lines of a candidate group up to which its pairs are compared in one sort; beyond, by tables of BLOCK lines and TABLE cells at most.
+SMALL, BLOCK, TABLE = 16, 1024, 2 << 20
 #: Band rows that one task sorts, about.
 TASK_ROWS = 2_000_000
 #: Bits of a shingle's code.
@@ -162,9 +162,12 @@ class Teams:
         small = [t for t in teams if len(t) <= SMALL]
         found: list[tuple[int, int]] = []
         if small:
-            pairs = [np.triu_indices(len(t), 1) for t in small]
-            left = np.concatenate([t[i] for t, (i, _) in zip(small, pairs, strict=True)])
-            right = np.concatenate([t[j] for t, (_, j) in zip(small, pairs, strict=True)])
+            by_size: dict[int, list[np.ndarray]] = {}
+            for t in small:
+                by_size.setdefault(len(t), []).append(t)
+            pairs = [np.stack(own)[:, np.stack(np.triu_indices(n, 1))] for n, own in by_size.items()]
+            left = np.concatenate([p[:, 0].ravel() for p in pairs])
+            right = np.concatenate([p[:, 1].ravel() for p in pairs])
             both = distinct(np.minimum(left, right) * len(self.size) + np.maximum(left, right))
             left, right = np.divmod(both, len(self.size))
             # Sets whose sizes differ more cannot be similar.
@@ -182,10 +185,14 @@ class Teams:
         size = self.size[team]
         row = np.repeat(np.arange(len(team)), size)
         codes = self.codes[np.repeat(self.start[team] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-        _, column, times = np.unique(codes, return_inverse=True, return_counts=True)
+        order = np.argsort(codes)
+        codes, row = codes[order], row[order]
+        group = np.cumsum(np.append(True, codes[1:] != codes[:-1])[: len(codes)]) - 1
         # Shingles of one line only are common to none.
-        shared = times > 1
-        column, row = (np.cumsum(shared) - 1)[column[shared[column]]], row[shared[column]]
+        shared = np.bincount(group) > 1
+        kept = shared[group]
+        column, row = (np.cumsum(shared) - 1)[group[kept]], row[kept]
+        width = max(256, TABLE // min(len(team), BLOCK))
         part = np.arange(len(team))
         for i in range(0, len(team), BLOCK):
             a = np.arange(i, min(i + BLOCK, len(team)))
@@ -194,15 +201,15 @@ class Teams:
                 if len(set(part[a].tolist()) | set(part[b].tolist())) == 1:
                     continue
                 common = np.zeros((len(a), len(b)), np.float32)
-                for at in range(0, int(shared.sum()), WIDTH):
-                    here = (column >= at) & (column < at + WIDTH)
+                for at in range(0, int(shared.sum()), width):
+                    low, high = np.searchsorted(column, [at, at + width])
+                    rows, columns = row[low:high], column[low:high] - at
                     tables = []
-                    for own in (a, b):
-                        mine = here & (row >= own[0]) & (row <= own[-1])
-                        table = np.zeros((len(own), WIDTH), np.float32)
-                        table[row[mine] - own[0], column[mine] - at] = 1
-                        tables.append(table)
-                    common += tables[0] @ tables[1].T
+                    for own in (a, b) if i != j else (a,):
+                        mine = (rows >= own[0]) & (rows <= own[-1])
+                        tables.append(np.zeros((len(own), min(width, int(shared.sum()) - at)), np.float32))
+                        tables[-1][rows[mine] - own[0], columns[mine]] = 1
+                    common += tables[0] @ tables[-1].T
                 near = common >= SIMILAR * (size[a][:, None] + size[b][None, :] - common) - 1e-6
                 for k in np.flatnonzero(near.any(axis=1)).tolist():
                     met = np.unique(part[b[near[k]]])
