@@ -45,9 +45,10 @@ def lines_of(text: str | None) -> list[tuple[int, str]]:
     return [(k, s) for k, x in enumerate((text or "").split("\n")) if (s := x.strip())]
 
 
-def line_id(line: str, seed: int = 7) -> int:
-    h = xxhash.xxh64_intdigest(line.encode(), seed)
-    return h - (1 << 64) if h >> 63 else h
+def line_ids(lines: list[str]) -> np.ndarray:
+    """Two 64-bit hashes of each line; the first is its id."""
+    digests = b"".join([xxhash.xxh3_128_digest(x.encode()) for x in lines])
+    return np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
 
 
 def shingles(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -242,16 +243,17 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            at, number, first, second, head = [], [], [], [], []
+            at, number, lines = [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
-                for n, line in lines_of(text) or [(None, "")]:
-                    head.append(int(not at or at[-1] != k))
-                    at.append(k)
-                    number.append(n)
-                    first.append(line_id(line))
-                    second.append(line_id(line, 8))
-            keys = [batch.column(c).take(pa.array(at, pa.int64())) for c in KEY]
-            yield pa.RecordBatch.from_arrays([*keys, *(pa.array(x, pa.int64()) for x in (number, first, second, head))], [x.split()[0] for x in schema.split(", ")])
+                own = lines_of(text) or [(None, "")]
+                at += [k] * len(own)
+                number += [n for n, _ in own]
+                lines += [line for _, line in own]
+            ids, at = line_ids(lines), np.array(at)
+            head = np.append(True, at[1:] != at[:-1]).astype(np.int64)
+            keys = [batch.column(c).take(pa.array(at)) for c in KEY]
+            columns = [pa.array(number, pa.int64()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(head)]
+            yield pa.RecordBatch.from_arrays([*keys, *columns], [x.split()[0] for x in schema.split(", ")])
 
     return rows.select(*KEY, "text").mapInArrow(scan, schema)
 
@@ -261,9 +263,9 @@ def _band_rows(rows: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=2 << 20):
-            own = sorted({line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE})
+            own = list(dict.fromkeys(line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE))
             if own:
-                ids = np.array([line_id(x) for x in own], np.int64)
+                ids = line_ids(own)[:, 0].copy()
                 yield pa.RecordBatch.from_arrays([pa.array(bands(own).ravel()), pa.array(np.repeat(ids, BANDS))], ["band", "line"])
 
     return rows.select("text").mapInArrow(scan, "band long, line long")
@@ -335,10 +337,10 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in slices(batches):
-            own = sorted({line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE})
+            own = list(dict.fromkeys(line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE))
             if not own:
                 continue
-            ids = np.array([line_id(x) for x in own], np.int64)
+            ids = line_ids(own)[:, 0].copy()
             at = ids.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
             hit = np.flatnonzero(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
             yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array([own[k] for k in hit.tolist()], pa.string())], ["line", "content"])
