@@ -410,7 +410,8 @@ def _marks(mixed: DataFrame, store: Store, parts: int) -> tuple[DataFrame, tuple
     told = told.groupBy("anchor", "chunk", "q").agg(F.bit_or("mask").alias("mask"))
     single = told.groupBy("anchor", "chunk").agg(F.collect_list(F.struct("q", "mask")).alias("masks"))
     met = chunks.join(single, ["anchor", "chunk"], "left").where("n > 1 or masks is not null")
-    return store.hold(met.select("anchor", "chunk", (F.col("n") > 1).alias("whole"), "masks")), (chunks, pieces, cores, masks)
+    # A written table has no partitioning of its own, so that the join which follows can split a frequent chunk.
+    return store.keep(met.select("anchor", "chunk", (F.col("n") > 1).alias("whole"), "masks")), (chunks, pieces, cores, masks)
 
 
 def merged(doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
