@@ -203,7 +203,7 @@ def file_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Files of overlapping days."""
     t = m.trades(spark, d)
     first = t.withColumn("file", F.concat(F.lit("d"), F.expr(f"ts_us div {24 * HOUR}")))
-    shifted = t.where("seq % 3 = 0").withColumn("file", F.concat(F.lit("s"), F.expr(f"(ts_us + {12 * HOUR}) div {48 * HOUR}")))
+    shifted = t.where("side = 'sell'").withColumn("file", F.concat(F.lit("s"), F.expr(f"(ts_us + {12 * HOUR}) div {48 * HOUR}")))
     spans = validation.spans(first.unionByName(shifted), "ts_us", ["exchange", "file"])
     return validation.overlaps(spans, ["exchange"])
 
@@ -213,7 +213,7 @@ OVERLAP_SQL = o.sql(
     f"""
 named as (
   select exchange, ts_us, 'd' || cast(ts_us // {24 * HOUR} as varchar) as file from trades_ev
-  union all select exchange, ts_us, 's' || cast((ts_us + {12 * HOUR}) // {48 * HOUR} as varchar) from trades_ev where seq % 3 = 0),
+  union all select exchange, ts_us, 's' || cast((ts_us + {12 * HOUR}) // {48 * HOUR} as varchar) from trades_ev where side = 'sell'),
 spans as (select exchange, file, min(ts_us) as first_ts, max(ts_us) as last_ts from named group by all),
 held as (select exchange, file, first_ts, lag(file) over w as prev_file, lag(last_ts) over w as prev_last from spans window w as (partition by exchange order by first_ts, last_ts, file))""",
     last="select exchange, prev_file, prev_last, file, first_ts from held where first_ts <= prev_last",
@@ -363,21 +363,21 @@ union all select 'asset_ctxs/' || strftime(day, '%Y%m%d') || '.csv.lz4', strftim
 
 def archive_edge(spark: SparkSession, d: str) -> DataFrame:
     """Planned hours against what events are there: present, missing or beyond the archive's edge."""
-    start, end, coins = _window()
-    plan = files.archive_plan(spark, start, end, coins)
+    start, _, coins = _window()
+    plan = files.archive_plan(spark, start, datetime.date(2024, 2, 3), coins)
     coin = F.element_at(F.array(*(F.lit(c) for c in coins)), (F.col("user_id") % 3 + 1).cast("int"))
     at = F.timestamp_micros("ts_us")
-    seen = m.events(spark, d).where("ts_us < 1706000000000000").select(
+    seen = m.events(spark, d).select(
         F.concat_ws("/", F.lit("market_data"), F.date_format(at, "yyyyMMdd"), F.hour(at), F.lit("l2Book"), F.concat(coin, F.lit(".lz4"))).alias("key")
     )
     return files.classified(plan, seen.distinct()).groupBy("coin", "state").agg(F.count("*").alias("n"))
 
 
 EDGE_SQL = f"""
-with plan as ({PLAN_SQL.split("union all")[0]}),
+with plan as ({PLAN_SQL.split("union all")[0].replace("2024-01-31", "2024-02-04")}),
 seen as (
   select distinct 'market_data/' || strftime(ts, '%Y%m%d') || '/' || cast(hour(ts) as varchar) || '/l2Book/' || ['BTC', 'ETH', 'SOL'][cast(user_id % 3 as int) + 1] || '.lz4' as key, strftime(ts, '%Y-%m-%d') as day
-  from events where epoch_us(ts) < 1706000000000000)
+  from events)
 select coin, case when s.key is not null then 'present' when plan.day > (select max(day) from seen) then 'beyond_edge' else 'missing' end as state, count(*) as n
 from plan left join seen s on plan.key = s.key group by all"""
 

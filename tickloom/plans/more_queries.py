@@ -63,7 +63,7 @@ select p_partkey, ['trades', 'orderbooks', 'transactions'][p_partkey % 3 + 1] as
 def pending_files(spark: SparkSession, d: str) -> DataFrame:
     """Listed files that the index lacks."""
     listing = m.read(spark, d, "orders").select(F.concat(F.lit("f"), "o_orderkey", F.lit(".parquet")).alias("filename"))
-    index = m.read(spark, d, "orders").where("o_orderkey % 5 <> 0").select(F.concat(F.lit("f"), "o_orderkey", F.lit(".parquet")).alias("filename"))
+    index = m.read(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.concat(F.lit("f"), "o_orderkey", F.lit(".parquet")).alias("filename"))
     return files.pending(listing, index)
 
 
@@ -110,7 +110,7 @@ SINCE_SQL = o.sql(
 def recovered_prints(spark: SparkSession, d: str) -> DataFrame:
     """Recovered prints that the live feed didn't bring."""
     t = m.trades(spark, d).select("exchange", "symbol", F.col("seq").alias("id"), "side")
-    return repair.without_recent(t.where("id % 4 <> 1"), t.where("id % 2 = 1"))
+    return repair.without_recent(t.where("side = 'buy'"), t)
 
 
 def slot_verdicts(spark: SparkSession, d: str) -> DataFrame:
@@ -153,10 +153,10 @@ ORACLE_SQL = {
     "feed_staleness": STALE_SQL,
     "expected_files": EXPECTED_SQL,
     "leaf_paths": LEAF_SQL,
-    "pending_files": "select 'f' || cast(o_orderkey as varchar) || '.parquet' as filename from orders where o_orderkey % 5 = 0",
+    "pending_files": "select 'f' || cast(o_orderkey as varchar) || '.parquet' as filename from orders where o_orderstatus = 'P'",
     "connection_gaps": CONNECTION_SQL,
     "book_snapshot": SNAPSHOT_SQL,
     "book_since_snapshot": SINCE_SQL,
-    "recovered_prints": o.sql(o.EVENTS, o.TRADES, last="select exchange, symbol, seq as id, side from trades_ev where seq % 4 = 1"),
+    "recovered_prints": o.sql(o.EVENTS, o.TRADES, last="select exchange, symbol, seq as id, side from trades_ev where side = 'sell'"),
     "instrument_tags": TAGS_SQL,
 }

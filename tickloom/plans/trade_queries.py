@@ -194,33 +194,33 @@ PUSH_SQL = o.sql(
 
 
 def rehydrate_merge(spark: SparkSession, d: str) -> DataFrame:
-    """A log with holes, repaired from a second source within the log's range; the source of each row is told."""
+    """A log that lost its sells, repaired from a second source within the log's range; the source of each row is told."""
     full = m.trades(spark, d).select("exchange", "symbol", F.col("seq").cast("string").alias("id"), "ts_us", "side", "price", "amount")
-    own = full.where("cast(id as long) % 7 <> 3").withColumn("origin", F.lit("ws"))
+    own = full.where("side = 'buy'").withColumn("origin", F.lit("ws"))
     merged = repair.rehydrate(own, full.withColumn("origin", F.lit("rest")))
     return merged.select("exchange", "symbol", "id", "ts_us", "side", F.col("price").cast("double").alias("price"), "origin")
 
 
 REHYDRATE_SQL = o.sql(
     o.EVENTS, o.TRADES,
-    "own as (select * from trades_ev where seq % 7 <> 3), span as (select exchange, symbol, min(seq) as a, max(seq) as b from own group by all)",
+    "own as (select * from trades_ev where side = 'buy'), span as (select exchange, symbol, min(seq) as a, max(seq) as b from own group by all)",
     last="""
-select t.exchange, t.symbol, cast(t.seq as varchar) as id, t.ts_us, t.side, cast(t.price as double) as price, case when t.seq % 7 <> 3 then 'ws' else 'rest' end as origin
+select t.exchange, t.symbol, cast(t.seq as varchar) as id, t.ts_us, t.side, cast(t.price as double) as price, case t.side when 'buy' then 'ws' else 'rest' end as origin
 from trades_ev t join span s on t.exchange = s.exchange and t.symbol = s.symbol and t.seq between a and b""",
 )
 
 
 def rehydrate_report(spark: SparkSession, d: str) -> DataFrame:
     full = m.trades(spark, d).select("exchange", "symbol", F.col("seq").cast("string").alias("id"), "ts_us", "side", "price", "amount")
-    own = full.where("cast(id as long) % 7 <> 3").withColumn("origin", F.lit("ws"))
+    own = full.where("side = 'buy'").withColumn("origin", F.lit("ws"))
     return repair.report(own, full.withColumn("origin", F.lit("rest")))
 
 
 REPORT_SQL = o.sql(
     o.EVENTS, o.TRADES,
-    "own as (select * from trades_ev where seq % 7 <> 3), span as (select exchange, symbol, min(seq) as a, max(seq) as b, count(*) as n from own group by all)",
+    "own as (select * from trades_ev where side = 'buy'), span as (select exchange, symbol, min(seq) as a, max(seq) as b, count(*) as n from own group by all)",
     last="""
-select s.exchange, s.symbol, any_value(s.n) as present, count(*) filter (t.seq % 7 = 3) as recovered, count(*) as merged
+select s.exchange, s.symbol, any_value(s.n) as present, count(*) filter (t.side = 'sell') as recovered, count(*) as merged
 from trades_ev t join span s on t.exchange = s.exchange and t.symbol = s.symbol and t.seq between a and b group by all""",
 )
 

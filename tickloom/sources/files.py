@@ -75,7 +75,7 @@ def collapsed_book(spark: SparkSession, path: str, order: Sequence[str] = ("orde
 # ---- names and layout
 
 NAME = r"^([^_]+)_(.+)_({})_([^_]+)_(\d{{8}})_(\d{{6}}\.(?:\d{{3}}|\d{{6}}))(?:-([1-9]\d*))?\.parquet$"
-#: File kinds, longer tags first where one ends another.
+# The tags of file kinds.
 TAGS = ("ob", "trades", "liquidations", "funding_settlement", "funding", "oi", "txs")
 
 
