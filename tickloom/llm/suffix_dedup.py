@@ -371,7 +371,7 @@ def _masks(pieces: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(settle, schema)
 
 
-def _across_blocks(masks: DataFrame) -> DataFrame:
+def _across_blocks(masks: DataFrame, store: Store) -> DataFrame:
     """(anchor, chunk, q, mask): windows of hot cores that occur in several blocks, found by counting window hashes."""
     schema = "anchor long, chunk long, q int, core long, core2 long, l int, window long"
 
@@ -390,7 +390,8 @@ def _across_blocks(masks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")])
 
     each = masks.where("hot").mapInArrow(windows, schema)
-    twice = each.groupBy("core", "core2", "l", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    # Written, so that the join can split a window that thousands of pieces share.
+    twice = store.keep(each.groupBy("core", "core2", "l", "window").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     met = each.join(twice, ["core", "core2", "l", "window"])
     return met.groupBy("anchor", "chunk", "q").agg(F.bit_or(F.expr("shiftleft(1L, l)")).alias("mask"))
 
@@ -406,7 +407,7 @@ def _marks(mixed: DataFrame, store: Store, parts: int) -> tuple[DataFrame, tuple
     masks = store.hold(_masks(dealt, parts))
     told = masks.where("mask <> 0").select("anchor", "chunk", "q", "mask")
     if not masks.where("hot").isEmpty():
-        told = told.unionByName(_across_blocks(masks))
+        told = told.unionByName(_across_blocks(masks, store))
     told = told.groupBy("anchor", "chunk", "q").agg(F.bit_or("mask").alias("mask"))
     single = told.groupBy("anchor", "chunk").agg(F.collect_list(F.struct("q", "mask")).alias("masks"))
     met = chunks.join(single, ["anchor", "chunk"], "left").where("n > 1 or masks is not null")
