@@ -291,7 +291,10 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch
 
 
 def _groups(band_rows: DataFrame, parts: int) -> DataFrame:
-    """(team, line): lines that share a band; a team is known by its members, so that equal teams of several bands are one.
+    """(deal, team, line): lines that share a band; a team is known by its members, so that equal teams of several bands are one.
+
+    Small teams are dealt by their first line: the teams of one line's bands
+    meet in one task, which compares each of their pairs once.
 
     A task sorts one partition's keys, 16 bytes a row; ``parts`` keeps
     partitions at TASK_ROWS rows, so it holds about 100 MB.
@@ -317,12 +320,13 @@ def _groups(band_rows: DataFrame, parts: int) -> DataFrame:
         size = np.diff(np.append(start, len(band)))
         many = np.repeat(size > 1, size)
         if many.any():
-            team = np.repeat(np.add.reduceat(_mixed(line.view(np.uint64), 1), start), size)[many].view(np.int64)
-            line = line[many]
-            for at in range(0, len(line), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(team[at : at + (1 << 16)]), pa.array(line[at : at + (1 << 16)])], ["team", "line"])
+            team = np.add.reduceat(_mixed(line.view(np.uint64), 1), start).view(np.int64)
+            deal = np.where(size <= SMALL, line[start], team)
+            columns = [np.repeat(deal, size)[many], np.repeat(team, size)[many], line[many]]
+            for at in range(0, len(columns[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in columns], ["deal", "team", "line"])
 
-    return band_rows.repartition(parts, "band").mapInArrow(gather, "team long, line long")
+    return band_rows.repartition(parts, "band").mapInArrow(gather, "deal long, team long, line long")
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -353,7 +357,7 @@ def _verified(groups: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
     """(a, b): links of lines that are similar indeed."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "team"):
+        for batch in runs(batches, "deal"):
             team, line = batch.column("team").to_numpy(), batch.column("line").to_numpy()
             ids, first, place = np.unique(line, return_index=True, return_inverse=True)
             content = batch.column("content").take(pa.array(first)).to_pylist()
@@ -363,8 +367,8 @@ def _verified(groups: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in found]]), pa.array(ids[[y for _, y in found]])], ["a", "b"])
 
-    full = groups.join(texts, "line").select("team", "line", "content")
-    return full.repartition(parts, "team").sortWithinPartitions("team").mapInArrow(check, "a long, b long")
+    full = groups.join(texts, "line").select("deal", "team", "line", "content")
+    return full.repartition(parts, "deal").sortWithinPartitions("deal").mapInArrow(check, "a long, b long")
 
 
 def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
