@@ -51,10 +51,33 @@ def texts(docs):
     return {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
 
 
+@pytest.fixture(scope="module")
+def duck():
+    import os
+
+    import duckdb
+
+    connection = duckdb.connect()
+    for f in os.listdir(SF):
+        connection.sql(f"create view {f.split('.')[0]} as select * from '{SF}/{f}'")
+    return connection
+
+
 def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
+def test_registered_queries_and_oracles(spark, duck):
+    from tickloom.llm import queries
+
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    for name, sql in queries.ORACLE_SQL.items():
+        got, want = queries.QUERIES[name](spark, SF).toPandas(), duck.sql(sql).df()
+        key = sorted(got.columns)
+        assert key == sorted(want.columns)
+        assert sorted(map(str, got[key].itertuples(index=False))) == sorted(map(str, want[key].itertuples(index=False)))
+
+
 # ---- all operators: odd rows and empty tables
 
 

@@ -65,6 +65,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": decontaminate.ORACLE_SQL,
 }
