@@ -256,9 +256,10 @@ def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """The rows of ``docs`` that the classifier accepts, with their own columns; each row is judged by its own text."""
     tag = fresh(docs, "tag")
     texts = docs.withColumn(tag, F.xxhash64(F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))))
-    rows = Store(docs.sparkSession).keep(described(texts.select(F.col(tag).alias("doc_id"), "text").dropDuplicates(["doc_id"])))
+    # Copies are described again rather than moved to be compared.
+    rows = Store(docs.sparkSession).keep(described(texts.select(F.col(tag).alias("doc_id"), "text")))
     ids = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(tag).alias("text_id"))
-    train = sampled(labelled(labels, "quality"), sample, "quality").join(ids, "doc_id").dropDuplicates(["doc_id"]).join(rows.withColumnRenamed("doc_id", "text_id"), "text_id")
+    train = sampled(labelled(labels, "quality"), sample, "quality").join(ids, "doc_id").dropDuplicates(["doc_id"]).join(rows.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "text_id"), "text_id")
     got = train.select("doc_id", "y", "x").orderBy("doc_id").toPandas()
     model = fit(np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES)), got["y"].to_numpy(float))
 
@@ -267,5 +268,5 @@ def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
             x = np.asarray(batch.column("x").flatten()).reshape(-1, len(FEATURES))
             yield batch.select(["doc_id"]).filter(pa.array(np.round(model.score(x), 6) < 0.5))
 
-    bad = rows.mapInArrow(refuse, "doc_id long").withColumnRenamed("doc_id", tag)
+    bad = rows.mapInArrow(refuse, "doc_id long").distinct().withColumnRenamed("doc_id", tag)
     return texts.join(bad, tag, "left_anti").select(*docs.columns)
