@@ -412,6 +412,21 @@ def test_weak_parts_need_their_complement():
     assert sorted(credentials.KINDS[s.rank] for s in credentials.linked(credentials.strict_spans(near), credentials.weak_spans(near))) == ["endpoint", "weak_access", "weak_secret"]
 
 
+def test_long_complements_link_by_their_ends():
+    """A part that ends within scope completes a span however far before it starts, and where another part of its role runs into the span."""
+    for n in (100, 500, 700, 5000):
+        text = "https://a.io/" + "p" * n + " https://x.io/?sig=Abcdefgh1234567890ABCDEF"
+        secret = next(s for s in credentials.weak_spans(text) if s.rank == 4 and "Abcdefgh" in text[s.start : s.end])
+        assert secret in credentials.linked([], credentials.weak_spans(text)), n
+    rng = random.Random(5)
+    for _ in range(300):
+        parts = [credentials.Span(at, rng.randrange(6), at + rng.choice((4, 30, 400, 900))) for at in (rng.randrange(3000) for _ in range(rng.randrange(12)))]
+        strict, weak = [s for s in parts if s.rank < 3], [s for s in parts if s.rank >= 3]
+        apart = lambda s, o: o.start - s.end if o.start >= s.end else s.start - o.end if o.end <= s.start else None
+        want = [s for s in weak if any(credentials.ROLE[o.rank] in credentials.NEEDS[s.rank] and apart(s, o) is not None and apart(s, o) <= credentials.SCOPE for o in parts)]
+        assert credentials.linked(strict, weak) == want
+
+
 def test_licenses_base_and_diagonals(spark, docs, texts):
     mit = licenses.TEMPLATES[0][1]
     cases = dict(texts)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -80,28 +80,15 @@ def linked(strict: list[Span], weak: list[Span], scope: int = SCOPE) -> list[Spa
     for s in sorted(strict + weak):
         by_role[ROLE[s.rank]].append(s)
     starts = {role: [s.start for s in own] for role, own in by_role.items()}
-    reach = {}
-    for role, own in by_role.items():
-        most, reach[role] = -1, []
-        for s in own:
-            most = max(most, s.end)
-            reach[role].append(most)
+    ends = {role: sorted(s.end for s in own) for role, own in by_role.items()}
 
     def near(span: Span, role: str) -> bool:
         after = bisect_left(starts[role], span.end)
         if after < len(starts[role]) and starts[role][after] - span.end <= scope:
             return True
-        # Of the parts that start before this one, the furthest end that doesn't run into it.
-        k = bisect_left(starts[role], span.start) - 1
-        if k < 0:
-            return False
-        if reach[role][k] <= span.start:
-            return span.start - reach[role][k] <= scope
-        while k >= 0 and span.start - by_role[role][k].start <= scope + 256:
-            if by_role[role][k].end <= span.start and span.start - by_role[role][k].end <= scope:
-                return True
-            k -= 1
-        return False
+        # Of the parts that don't run into this one, the furthest end before it; their lengths don't matter.
+        before = bisect_right(ends[role], span.start)
+        return before > 0 and span.start - ends[role][before - 1] <= scope
 
     return [s for s in weak if any(near(s, role) for role in NEEDS[s.rank])]
 
