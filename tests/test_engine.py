@@ -336,6 +336,30 @@ def test_integrity(spark):
     assert [r.intact for r in got] == [True, False, False]
 
 
+def test_chain_verdicts_partial_uncovered_and_abandoned(spark):
+    schema = "slot long, bank_id long, block_height long, block_time_secs long, blockhash string, arrival long"
+    data = [
+        (99, 0, 49, 1, "h", 1), (100, 0, 50, 1, "h", 2), (101, 0, None, 1, "h", 3), (102, 0, 52, None, "h", 4), (103, 0, 53, 0, "h", 5), (104, 0, 54, 1, "", 6), (104, 0, 54, 1, "h", 7),
+        (105, 0, 55, 1, "h", 9), (106, 1, 56, 1, "h", 10), (106, 2, 56, 1, "h", 11), (150, 0, 90, 1, "h", 12), (130, 0, 80, 1, "h", 13), (117, 0, 70, 1, "h", 14), (118, 0, 71, 1, None, 15),
+        (100, 0, 50, 1, "h", 16), (400, 0, 91, 1, "h", 17), (150, 0, 90, 1, "h", 18),
+    ]
+    metas = rows(spark, data, schema)
+    updates = rows(spark, [(105, 0, 8, True), (106, 1, 19, True)], "slot long, bank_id long, arrival long, undecodable boolean")
+    told = onchain.verdicts(metas, updates=updates, covered_from=100).orderBy("arrival")
+    got = [r.verdict for r in told.collect()]
+    assert got == ["uncovered", "sealed", "partial", "partial", "partial", "partial", "duplicate", "partial", "sealed", "duplicate", "sealed", "late", "abandoned", "partial", "duplicate", "sealed", "abandoned"]
+    first = [r.verdict for r in onchain.verdicts(metas, covered_from="first").orderBy("arrival").limit(3).collect()]
+    assert first == ["uncovered", "uncovered", "partial"]
+    ahead = rows(spark, [(140, 0, 0, False)], "slot long, bank_id long, arrival long, undecodable boolean")
+    assert onchain.verdicts(metas.where("arrival = 2"), updates=ahead).first().verdict == "abandoned"
+
+    txs = metas.select("slot", "bank_id").distinct().withColumn("signature", F.lit("s"))
+    released = sorted((r.slot, r.bank_id) for r in onchain.sealed(txs, told).collect())
+    assert released == [(100, 0), (106, 1), (150, 0), (400, 0)]
+    loose = {(r.slot, r.bank_id) for r in onchain.sealed(txs, metas.where("arrival < 12"), undecodable=updates.where("slot = 105")).collect()}
+    assert loose == {(99, 0), (100, 0), (104, 0), (106, 1), (106, 2)}
+
+
 def test_chain_verdicts_failures_and_order(spark):
     metas = rows(spark, [(10, 1, 100, 1), (11, 1, 101, 2), (11, 1, 101, 3), (30, 1, 102, 4), (12, 1, 103, 5)], "slot long, bank_id long, block_height long, arrival long")
     assert [r.verdict for r in onchain.verdicts(metas).orderBy("arrival").collect()] == ["sealed", "sealed", "duplicate", "sealed", "late"]

@@ -100,6 +100,28 @@ def test_books_and_slots(spark, replay):
     assert sorted(got[got.verdict != "sealed"].verdict) == ["abandoned", "duplicate", "late"]
 
 
+def test_slots_partial_uncovered_abandoned_and_coverage(spark, replay):
+    ok = (1, "h")
+    events = [
+        ("meta", 90, 0, 40, *ok), ("open", 100, 0, None, None, None), ("meta", 99, 0, 49, *ok), ("meta", 100, 0, 50, *ok),
+        ("tx", 101, 0, None, None, None), ("meta", 101, 0, 51, None, "h"), ("meta", 102, 0, None, *ok), ("meta", 103, 0, 53, 1, ""),
+        ("tx", 104, 0, None, None, None), ("undecodable", 104, 0, None, None, None), ("meta", 104, 0, 54, *ok),
+        ("tx", 105, 1, None, None, None), ("tx", 105, 2, None, None, None), ("meta", 105, 2, 55, *ok), ("meta", 105, 1, 55, *ok),
+        ("tx", 106, 0, None, None, None), ("tx", 139, 0, None, None, None), ("meta", 106, 0, 56, *ok), ("meta", 139, 0, 57, *ok),
+        ("tx", 140, 0, None, None, None), ("close", None, 0, None, None, None), ("tx", 200, 0, None, None, None), ("open", None, 0, None, None, None),
+        ("meta", 201, 0, 80, *ok), ("meta", 202, 0, 81, *ok), ("meta", 206, 0, 82, *ok),
+    ]
+    schema = "chain string, seq long, kind string, slot long, bank_id long, block_height long, block_time_secs long, blockhash string"
+    frame = spark.createDataFrame([("c", k, *e) for k, e in enumerate(events)], schema)
+    got = replay(frame, lambda s: stateful.slots(s, coverage=True), name="cover")
+    told = [(int(r.slot), int(r.bank_id), r.verdict, int(r.n_transactions), int(r.blocks_lost)) for r in got.itertuples()]
+    assert told == [
+        (90, 0, "uncovered", 0, 0), (99, 0, "uncovered", 0, 0), (101, 0, "partial", 1, 0), (102, 0, "partial", 0, 0), (103, 0, "partial", 0, 0), (104, 0, "partial", 1, 0), (100, 0, "sealed", 0, 0),
+        (105, 1, "duplicate", 1, 0), (106, 0, "abandoned", 1, 0), (106, 0, "abandoned", 0, 0), (105, 2, "sealed", 1, 4), (140, 0, "abandoned", 1, 0), (139, 0, "sealed", 1, 1),
+        (201, 0, "uncovered", 0, 0), (202, 0, "sealed", 0, 23),
+    ]
+
+
 def test_watermark_versions(spark, tmp_path):
     t = m.trades(spark, SF).select("exchange", "symbol", "side", F.col("amount").cast("double").alias("amount"), F.timestamp_micros("ts_us").alias("ts"), F.col("seq").alias("id"))
     t.unionByName(t).coalesce(1).write.parquet(str(tmp_path / "w"))

@@ -8,6 +8,8 @@ success and instructions (array<struct<program_id_index:int,data:binary>>).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,21 +157,59 @@ def slot_gaps(metas: DataFrame, key: Sequence[str] = (), order: str = "block_hei
     return both.withColumn("blocks_lost", blocks_lost(F.col("prev_height"), F.col("next_height")))
 
 
-def sealed(transactions: DataFrame, metas: DataFrame, key: Sequence[str] = ("slot", "bank_id")) -> DataFrame:
-    """Transactions of blocks whose meta arrived, with the block's context, in chain order."""
-    context = metas.select(*key, "block_height", "block_time_secs", "blockhash")
-    met = transactions.join(context.dropDuplicates(list(key)), list(key))
-    return met.withColumn("source_tx_ts_us", F.col("block_time_secs") * 1_000_000)
+def complete(columns: Sequence[str]) -> Column:
+    """Whether a block meta has a height, a time and a blockhash; of a frame that lacks one of the columns, only the others are told."""
+    c = F.col
+    parts = {"block_height": c("block_height") > 0, "block_time_secs": c("block_time_secs") > 0, "blockhash": c("blockhash") != ""}
+    return F.coalesce(reduce(and_, (own for name, own in parts.items() if name in columns), F.lit(True)), F.lit(False))
 
 
-def verdicts(metas: DataFrame, reorder: int = 4, abandon: int = 32, order: str = "arrival") -> DataFrame:
-    """Metas with a verdict: duplicate (seen before), late (its height lies below what was released), else sealed.
+def sealed(transactions: DataFrame, metas: DataFrame, key: Sequence[str] = ("slot", "bank_id"), undecodable: DataFrame | None = None) -> DataFrame:
+    """Transactions of blocks whose meta arrived, with the block's context.
 
-    ``order`` is a number that rises with arrival. Heights are released once ``reorder`` slots newer were seen; a slot further
-    behind than ``abandon`` is late in any case.
+    A bank is discarded with its transactions where its meta lacks height, time
+    or blockhash, or where one of its updates is in ``undecodable`` (key).
+    Metas told by ``verdicts`` count only where they are sealed; without a
+    verdict the order of arrival (late, abandoned, uncovered) is not known.
+    """
+    if "verdict" in metas.columns:
+        metas = metas.where("verdict = 'sealed'")
+    context = metas.where(complete(metas.columns)).select(*key, "block_height", "block_time_secs", "blockhash").dropDuplicates(list(key))
+    if undecodable is not None:
+        context = context.join(undecodable.select(*key), list(key), "left_anti")
+    return transactions.join(context, list(key)).withColumn("source_tx_ts_us", F.col("block_time_secs") * 1_000_000)
+
+
+#: Slots between what was seen first and the first slot that counts as covered in full.
+COVERAGE_MARGIN = 2
+
+
+def verdicts(metas: DataFrame, reorder: int = 4, abandon: int = 32, order: str = "arrival", updates: DataFrame | None = None, covered_from: int | str | None = None) -> DataFrame:
+    """Metas with a verdict, the first of these that holds:
+
+    uncovered (its slot lies before the coverage), duplicate (a meta of its
+    bank was taken before), abandoned (more than ``abandon`` slots behind),
+    partial (no height, time or blockhash), late (more than ``reorder`` slots
+    behind, so that newer heights were released), duplicate (its height is
+    sealed already), partial (an update of its bank before it could not be
+    decoded), else sealed. A bank is remembered for twice ``abandon`` slots.
+
+    ``order`` is a number that rises with arrival, also through ``updates``
+    (slot, bank_id, order, undecodable): the transactions and undecodable
+    updates between the metas, which raise the highest slot too.
+    ``covered_from``: the first covered slot, "first" for a margin after the
+    slot that arrived first, None if everything is covered. Coverage is one
+    stretch; the streaming version opens and closes it.
     """
-    own = Window.partitionBy("slot", "bank_id").orderBy(order)
-    rows = metas.withColumn("_nth", F.row_number().over(own)).withColumn("_part", F.expr(f"{order} div {1 << 16}"))
+    names = metas.columns
+    rows = metas.withColumn("_meta", F.lit(True)).withColumn("_bad", F.lit(False))
+    if updates is not None:
+        others = updates.select("slot", "bank_id", order, F.lit(False).alias("_meta"), F.coalesce("undecodable", F.lit(False)).alias("_bad"))
+        rows = rows.unionByName(others, allowMissingColumns=True)
+    if covered_from == "first":
+        first = rows.agg(F.min_by("slot", order)).first()[0]
+        covered_from = None if first is None else first + COVERAGE_MARGIN
+    rows = rows.withColumn("_part", F.expr(f"{order} div {1 << 16}"))
     # The highest slot so far: inside a range of arrivals, and of all ranges before, so that no task orders the whole chain.
     inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     tops = rows.groupBy("_part").agg(F.max("slot").alias("_own"))
@@ -177,8 +217,24 @@ def verdicts(metas: DataFrame, reorder: int = 4, abandon: int = 32, order: str =
     tops = tops.select("_part", F.max("_own").over(before).alias("_before"))
     rows = rows.withColumn("_in", F.max("slot").over(inside)).join(tops, "_part")
     behind = F.coalesce(F.greatest("_in", "_before") - F.col("slot"), F.lit(0))
-    verdict = F.when(F.col("_nth") > 1, "duplicate").when(behind > min(reorder, abandon), "late").otherwise("sealed")
-    return rows.withColumn("verdict", verdict).drop("_nth", "_part", "_in", "_before")
+    covered = F.lit(True) if covered_from is None else F.col("slot") >= covered_from
+    bank = Window.partitionBy("slot", "bank_id")
+    at = F.col(order)
+    rows = rows.withColumn("_behind", behind).withColumn("_covered", covered)
+    rows = rows.withColumn("_taken", F.min(F.when(F.col("_meta") & F.col("_covered") & (F.col("_behind") <= abandon), at)).over(bank)).withColumn("_bad", F.coalesce(F.min(F.when(F.col("_bad"), at)).over(bank) < at, F.lit(False)))
+    early = (
+        F.when(~F.col("_covered"), "uncovered")
+        .when((F.col("_taken") < at) & (F.col("_behind") <= 2 * abandon), "duplicate")
+        .when(F.col("_behind") > abandon, "abandoned")
+        .when(~complete(names), "partial")
+        .when(F.col("_behind") > reorder, "late")
+    )
+    rows = rows.where("_meta").withColumn("_early", early)
+    # One height is sealed once; rows told already stand alone.
+    height = Window.partitionBy(F.when(F.col("_early").isNull(), F.col("block_height")), F.when(F.col("_early").isNotNull(), at))
+    rows = rows.withColumn("_first", F.min(F.when(~F.col("_bad"), at)).over(height))
+    verdict = F.coalesce("_early", F.when(F.col("_first") < at, "duplicate").when(F.col("_bad"), "partial").otherwise("sealed"))
+    return rows.select(*names, verdict.alias("verdict"))
 
 
 def slot_ticks(metas: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.operators.books import Fold
+from tickloom.operators.onchain import COVERAGE_MARGIN
 
 # ---- idiomatic versions
 
@@ -211,52 +212,122 @@ def continuity(stream: DataFrame) -> DataFrame:
     return stream.groupBy("exchange", "symbol").transformWithStateInPandas(statefulProcessor=Continuity(), outputStructType=LOSS_SCHEMA, outputMode="Append", timeMode="None")
 
 
-SLOT_SCHEMA = "chain string, slot long, block_height long, n_transactions long, blocks_lost long, verdict string"
+SLOT_SCHEMA = "chain string, slot long, bank_id long, block_height long, n_transactions long, blocks_lost long, verdict string"
+
+
+def _given(value) -> bool:
+    return value is not None and not pd.isna(value)
 
 
 class SlotAssembler(Keyed):
     """Blocks of a chain from transactions and block metas.
 
-    A meta seals its slot. Sealed slots wait until ``hold`` newer slots were
-    seen, then leave in the order of their height with the blocks lost before
-    them; a meta for a slot that left or was seen is late or duplicate; a slot
-    without a meta is abandoned ``abandon`` slots later.
+    A meta seals its bank (slot and bank_id). Sealed banks wait until ``hold``
+    newer slots were seen, then leave with the next meta in the order of their
+    height with the blocks lost before them; a meta for a slot that left or was
+    seen is late or duplicate; a bank without a meta is abandoned when its slot
+    is more than ``abandon`` behind, and so is its meta after that. A bank whose
+    meta lacks height, time or blockhash, or one of whose updates was
+    undecodable, is partial and dropped with its transactions.
+
+    With ``coverage``, a slot counts only from where an open row (its slot, else
+    ``COVERAGE_MARGIN`` after the highest or the first one seen) says; other
+    metas are uncovered. A close row lets what is held leave and abandons the rest.
     """
 
-    def __init__(self, hold: int = 4, abandon: int = 32):
-        self.hold, self.abandon = hold, abandon
+    def __init__(self, hold: int = 4, abandon: int = 32, coverage: bool = False):
+        self.hold, self.abandon, self.coverage = hold, abandon, coverage
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        doc = self.load() or {"open": {}, "sealed": [], "top": -1, "released": -1, "height": None}
+        start = {"covered": not self.coverage, "boundary": None if self.coverage else 0}
+        doc = self.load() or {"open": {}, "sealed": [], "closed": {}, "top": -1, "released": -1, "height": None, **start}
         out = []
         for e in pd.concat(list(rows)).sort_values(["seq"], kind="stable").itertuples():
-            slot = int(e.slot)
-            doc["top"] = max(doc["top"], slot)
-            if e.kind == "tx":
-                if slot > doc["released"]:
-                    doc["open"][str(slot)] = doc["open"].get(str(slot), 0) + 1
-            elif any(s[1] == slot for s in doc["sealed"]):
-                out.append((*key, slot, int(e.block_height), 0, 0, "duplicate"))
-            elif slot <= doc["released"]:
-                out.append((*key, slot, int(e.block_height), 0, 0, "late"))
-            else:
-                doc["sealed"].append([int(e.block_height), slot, doc["open"].pop(str(slot), 0)])
-            doc["sealed"].sort()
+            if e.kind == "open":
+                doc["covered"] = True
+                doc["boundary"] = int(e.slot) if _given(e.slot) else doc["top"] + COVERAGE_MARGIN if doc["top"] > 0 else None
+                continue
+            if e.kind == "close":
+                out += [(*key, *self.bank(k), None, b[0], 0, "abandoned") for k, b in doc["open"].items()]
+                out += [self.release(doc, key) for _ in range(len(doc["sealed"]))]
+                doc |= {"open": {}, "closed": {}, "top": -1, "covered": False, "boundary": None}
+                continue
+            slot, bank_id = int(e.slot), int(e.bank_id) if hasattr(e, "bank_id") else 0
+            out += self.advance(doc, key, slot)
+            if e.kind != "meta":
+                own = f"{slot}:{bank_id}"
+                if self.covers(doc, slot) and own not in doc["closed"] and slot > doc["released"] and slot >= doc["top"] - self.abandon:
+                    bank = doc["open"].setdefault(own, [0, False])
+                    if e.kind == "undecodable":
+                        bank[1] = True
+                    else:
+                        bank[0] += 1
+                continue
+            verdict, n = self.seal(doc, e, slot, bank_id)
+            if verdict:
+                out.append((*key, slot, bank_id, int(e.block_height) if _given(e.block_height) else None, n, 0, verdict))
             while doc["sealed"] and doc["sealed"][0][1] + self.hold <= doc["top"]:
-                height, s, n = doc["sealed"].pop(0)
-                lost = max(height - doc["height"] - 1, 0) if doc["height"] is not None else 0
-                doc["height"], doc["released"] = height, max(doc["released"], s)
-                out.append((*key, s, height, n, lost, "sealed"))
-            for s in [s for s in doc["open"] if int(s) + self.abandon <= doc["top"]]:
-                out.append((*key, int(s), None, doc["open"].pop(s), 0, "abandoned"))
+                out.append(self.release(doc, key))
         self.save(doc)
         if out:
             yield pd.DataFrame(out, columns=[x.split()[0] for x in SLOT_SCHEMA.split(", ")]).astype({"block_height": "Int64"})
 
+    @staticmethod
+    def bank(own: str) -> tuple[int, int]:
+        slot, bank_id = own.split(":")
+        return int(slot), int(bank_id)
 
-def slots(stream: DataFrame, hold: int = 4, abandon: int = 32) -> DataFrame:
-    """``stream``: chain, seq (arrival), kind (tx, meta), slot, block_height."""
-    return stream.groupBy("chain").transformWithStateInPandas(statefulProcessor=SlotAssembler(hold, abandon), outputStructType=SLOT_SCHEMA, outputMode="Append", timeMode="None")
+    @staticmethod
+    def covers(doc: dict, slot: int) -> bool:
+        return doc["covered"] and doc["boundary"] is not None and slot >= doc["boundary"]
+
+    def advance(self, doc: dict, key, slot: int) -> list[tuple]:
+        """Raise the highest slot; tell the banks that fall behind it."""
+        if doc["covered"] and doc["boundary"] is None:
+            doc["boundary"] = slot + COVERAGE_MARGIN
+        if slot <= doc["top"]:
+            return []
+        doc["top"] = slot
+        floor = slot - self.abandon
+        gone = [k for k in doc["open"] if self.bank(k)[0] < floor]
+        doc["closed"] |= dict.fromkeys(gone, "abandoned")
+        doc["closed"] = {k: v for k, v in doc["closed"].items() if self.bank(k)[0] >= floor - self.abandon}
+        return [(*key, *self.bank(k), None, doc["open"].pop(k)[0], 0, "abandoned") for k in gone]
+
+    def seal(self, doc: dict, e, slot: int, bank_id: int) -> tuple[str | None, int]:
+        """The verdict of a meta, None if its bank is held now, and the transactions dropped with it."""
+        own = f"{slot}:{bank_id}"
+        n, poisoned = doc["open"].pop(own, [0, False])
+        if not self.covers(doc, slot):
+            return "uncovered", 0
+        if doc["closed"].get(own) == "sealed":
+            return "late" if slot <= doc["released"] else "duplicate", 0
+        if own in doc["closed"] or slot < doc["top"] - self.abandon:
+            doc["closed"][own] = "abandoned"
+            return "abandoned", n
+        doc["closed"][own] = "sealed"
+        height, time, blockhash = e.block_height, getattr(e, "block_time_secs", 1), getattr(e, "blockhash", "-")
+        if not (_given(height) and height > 0 and _given(time) and time > 0 and _given(blockhash) and blockhash):
+            return "partial", n
+        if slot <= doc["released"] or (doc["height"] is not None and height <= doc["height"]):
+            return "late", n
+        if any(s[0] == height for s in doc["sealed"]):
+            return "duplicate", n
+        if poisoned:
+            return "partial", n
+        doc["sealed"] = sorted([*doc["sealed"], [int(height), slot, bank_id, n]])
+        return None, 0
+
+    def release(self, doc: dict, key) -> tuple:
+        height, slot, bank_id, n = doc["sealed"].pop(0)
+        lost = max(height - doc["height"] - 1, 0) if doc["height"] is not None else 0
+        doc["height"], doc["released"] = height, slot
+        return (*key, slot, bank_id, height, n, lost, "sealed")
+
+
+def slots(stream: DataFrame, hold: int = 4, abandon: int = 32, coverage: bool = False) -> DataFrame:
+    """``stream``: chain, seq (arrival), kind (tx, undecodable, meta, open, close), slot, block_height; bank_id (else 0), block_time_secs and blockhash (else not checked) where there are."""
+    return stream.groupBy("chain").transformWithStateInPandas(statefulProcessor=SlotAssembler(hold, abandon, coverage), outputStructType=SLOT_SCHEMA, outputMode="Append", timeMode="None")
 
 
 # ---- sinks
