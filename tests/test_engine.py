@@ -370,6 +370,26 @@ def test_chain_verdicts_failures_and_order(spark):
     assert [(g.prev_height, g.next_height, g.blocks_lost) for g in gaps] == [(2, 70_000, 69_997)]
 
 
+def test_books_and_transactions_are_held_against_all_checks(spark):
+    schema = "file string, symbol string, orderbook_ts_us long, place long, side string, price double, size double"
+    level = [("a", "X", 0, 1), ("a", "Y", 0, 2), ("a", "X", S, 3), ("b", "X", S, 1), ("b", "X", 0, 2), ("c", "X", 0, 1), ("c", "X", S, 2)]
+    # Two symbols of one time, each sound: as one book they would cross.
+    data = [(*x, side, (10.0 if x[1] == "X" else 5.0) + (side == "ask"), 1.0) for x in level for side in ("bid", "ask")]
+    report = validation.check_books(rows(spark, data, schema), 2, S, book=["symbol"], order=["place"])
+    got = {(r.file, r.check): r.failures for r in report.collect()}
+    assert {k for k, n in got.items() if n} == {("a", "T06"), ("b", "T04")} and got["a", "T06"] == 1
+
+    schema = "file string, address string, expected string, signature string, source_tx_ts_us long, slot long, tx_index long, blockhash string, block_height long, success boolean, failure_error string, version string, compute_unit_price_micro_lamports long, priority_fee_lamports long, arrival long"
+    ok = ("h", 5, True, None, "v0", None, None)
+    data = [
+        ("a", "A", "A", "s1", 1 * S, 1, 0, *ok, 1), ("a", "A", "A", "s2", 2 * S, 1, 1, *ok, 2),
+        ("b", "A", "A", "s1", 2 * S, 1, 0, *ok, 1), ("b", "A", "A", "s1", 1 * S, 1, 0, *ok, 2), ("b", "B", "A", "s3", 9 * S, 1, 0, "", *ok[1:], 3),
+    ]
+    got = {(r.file, r.check): r.failures for r in validation.check_transactions(rows(spark, data, schema), 2, S, ["arrival"], expected="expected").collect()}
+    assert {k: n for k, n in got.items() if n} == {("b", "T04"): 1, ("b", "T05"): 1, ("b", "T11"): 2, ("b", "T12"): 1, ("b", "T13"): 1}
+    assert len(got) == 12
+
+
 def test_validation_catches_each_fault(spark):
     data = [("f", 1, 1, 1.0, 1.0), ("f", 0, 2, 1.0, 1.0), ("f", 2, 2, -1.0, 1.0)]
     report = validation.check_trades(rows(spark, [(f, t, n, i, p, a) for n, (f, t, i, p, a) in enumerate(data)], "file string, ts_us long, seq long, id long, price double, amount double"), 2, S, ["seq"])

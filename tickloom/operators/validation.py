@@ -55,24 +55,34 @@ def overlaps(files: DataFrame, scope: Sequence[str]) -> DataFrame:
     return rows.where("first_ts <= prev_last").select(*scope, "prev_file", "prev_last", "file", "first_ts")
 
 
-def check_books(levels: DataFrame, threshold: int, period_us: int, by: Sequence[str] = ("file",)) -> DataFrame:
-    """Report rows (by, check, failures) of book files: levels with orderbook_ts_us, side, price, size."""
+def check_books(levels: DataFrame, threshold: int, period_us: int, by: Sequence[str] = ("file",), book: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+    """Report rows (by, check, failures) of book files: levels with orderbook_ts_us, side, price, size.
+
+    ``book``: columns that tell the books of a file apart beside their time (a
+    symbol, a number); ``order``: the place of a book's rows in its file. Time
+    alone cannot tell two books of one time, nor their order, so T06 comes with
+    ``book`` and T04 with ``order``.
+    """
     ts = "orderbook_ts_us"
-    heads = levels.select(*by, ts).distinct()
+    place = F.min(F.struct(*order)) if order else F.lit(0)
+    heads = levels.groupBy(*by, *book, ts).agg(place.alias("_place"))
     span = spans(heads, ts, by)
-    book = books.metrics(levels, [*by, ts]).groupBy(*by).agg(F.count(F.when(F.col("crossed"), 1)).alias("crossed"))
+    found = books.metrics(levels, [*by, *book, ts]).groupBy(*by).agg(F.count(F.when(F.col("crossed"), 1)).alias("crossed"))
     bad = levels.groupBy(*by).agg(F.count(F.when((F.col("price") <= 0) | (F.col("size") <= 0), 1)).alias("bad"))
-    met = span.join(book, list(by)).join(bad, list(by))
-    return _report(
-        met,
-        by,
-        {
-            "T02": F.col("rows") == 0,
-            "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us),
-            "T08": F.col("crossed"),
-            "T09": F.col("bad"),
-        },
-    )
+    met = span.join(found, list(by)).join(bad, list(by))
+    checks = {
+        "T02": F.col("rows") == 0,
+        "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us),
+        "T08": F.col("crossed"),
+        "T09": F.col("bad"),
+    }
+    if order:
+        met = met.join(backward_steps(heads, ts, ["_place"], by), list(by))
+        checks["T04"] = F.col("backward")
+    if book:
+        met = met.join(repeated(heads, [ts], by), list(by))
+        checks["T06"] = F.col("repeated")
+    return _report(met, by, checks)
 
 
 def check_trades(rows: DataFrame, threshold: int, period_us: int, order: Sequence[str], by: Sequence[str] = ("file",), ts: str = "ts_us", key: str = "id") -> DataFrame:
@@ -96,14 +106,28 @@ def check_trades(rows: DataFrame, threshold: int, period_us: int, order: Sequenc
     )
 
 
-def check_transactions(rows: DataFrame, order: Sequence[str], by: Sequence[str] = ("file",)) -> DataFrame:
-    """Report rows of transaction files: repeated keys, order, invariants."""
+def check_transactions(rows: DataFrame, threshold: int, period_us: int, order: Sequence[str], by: Sequence[str] = ("file",), ts: str = "source_tx_ts_us", expected: str | None = None) -> DataFrame:
+    """Report rows of transaction files: times, span, repeated keys, order, invariants. ``expected``: a column with the address of the file's name; T11 counts the rows of others too."""
+    foreign = F.col("address") != F.col(expected) if expected else F.lit(False)
     met = (
-        repeated(rows, ["address", "signature"], by)
+        spans(rows, ts, by)
+        .join(backward_steps(rows, ts, order, by), list(by))
+        .join(repeated(rows, ["address", "signature"], by), list(by))
         .join(onchain.out_of_order(rows, order, [*by, "address"]).groupBy(*by).agg(F.sum("out_of_order").alias("unordered")), list(by))
-        .join(rows.groupBy(*by).agg(F.count(onchain.violation()).alias("bad")), list(by))
+        .join(rows.groupBy(*by).agg(F.count(onchain.violation()).alias("bad"), F.count(F.when(foreign, 1)).alias("foreign")), list(by))
+    )
+    return _report(
+        met,
+        by,
+        {
+            "T02": F.col("rows") == 0,
+            "T04": F.col("backward"),
+            "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us, upper_only=True),
+            "T11": F.col("repeated") + F.col("foreign"),
+            "T12": F.col("unordered"),
+            "T13": F.col("bad"),
+        },
     )
-    return _report(met, by, {"T11": F.col("repeated"), "T12": F.col("unordered"), "T13": F.col("bad")})
 
 
 def _report(met: DataFrame, by: Sequence[str], checks: dict) -> DataFrame:

@@ -195,6 +195,53 @@ br as (
 )
 
 
+def validate_files(spark: SparkSession, d: str) -> DataFrame:
+    """The report over trade, book and transaction files, with the books' times held against their order and each other."""
+    report = validation.check_trades(_filed(spark, d), threshold=12, period_us=HOUR, order=["seq"])
+    k = F.col("book")
+    levels = m.levels(spark, d).select(
+        F.concat(F.lit("b"), k % 40).alias("file"), F.concat(F.lit("U"), F.expr("book div 40 % 2")).alias("symbol"), F.expr(f"book div 80 * {HOUR}").alias("orderbook_ts_us"),
+        F.when(k % 13 == 0, k * 2 + 2001).otherwise(k * 2).alias("place"), "side", "price", "size",
+    )
+    at = F.col("arrival")
+    txs = _tx_rows(spark, d).withColumn("source_tx_ts_us", F.when(at % 97 == 0, 5).otherwise(at * 10)).withColumn("signature", F.when(at % 101 == 0, "").otherwise(F.concat(F.lit("s"), F.expr("arrival div 8"))))
+    report = report.unionByName(validation.check_books(levels, threshold=5000, period_us=HOUR, book=["symbol"], order=["place"]))
+    return report.unionByName(validation.check_transactions(txs, threshold=12, period_us=10_000, order=["arrival"]))
+
+
+FILES_SQL = o.sql(
+    TX_ROWS, o.LEVELS,
+    f"""
+lv as (
+  select 'b' || cast(book % 40 as varchar) as file, book // 40 % 2 as symbol, book // 80 * {HOUR} as ts, case when book % 13 = 0 then book * 2 + 2001 else book * 2 end as place, side, price, size from levels),
+bk as (select file, symbol, ts, min(place) as place, max(price) filter (side = 'bid') >= min(price) filter (side = 'ask') as crossed from lv group by file, symbol, ts),
+bo as (select *, ts < lag(ts) over (partition by file order by place) as back from bk),
+bs as (
+  select file, count(*) as n, count(*) filter (crossed) as crossed, min(ts) as a, max(ts) as b, count(*) filter (back) as backward, count(*) - count(distinct ts) as repeated from bo group by file),
+bad as (select file, count(*) filter (price <= 0 or size <= 0) as bad from lv group by file),
+br as (
+  select file, unnest([{{'c': 'T02', 'f': cast(n = 0 as bigint)}}, {{'c': 'T04', 'f': backward}}, {{'c': 'T05', 'f': cast(b - a > {4999 * HOUR} * 1.2 or b - a < {4999 * HOUR} * 0.8 as bigint)}},
+    {{'c': 'T06', 'f': repeated}}, {{'c': 'T08', 'f': crossed}}, {{'c': 'T09', 'f': bad}}]) as x from bs join bad using (file)),
+tx as (
+  select * replace (case when tx_index % 97 = 0 then 5 else source_tx_ts_us end as source_tx_ts_us, case when signature <> '' then 's' || cast(tx_index // 8 as varchar) else '' end as signature) from rows),
+tl as (
+  select *, source_tx_ts_us < lag(source_tx_ts_us) over (partition by file order by tx_index) as back,
+    (slot, tx_index) <= lag((slot, tx_index)) over (partition by file, address order by tx_index) as unordered,
+    row_number() over (partition by file, address, signature) > 1 as again,
+    signature = '' or source_tx_ts_us = 0 or blockhash = '' or block_height = 0 or success = (failure_error is not null) or coalesce(failure_error = '', false)
+      or (version = 'v1' and cu_price is not null) or (version <> 'v1' and priority_fee is not null) as bad
+  from tx),
+ts as (
+  select file, count(*) as n, count(*) filter (back) as backward, max(source_tx_ts_us) - min(source_tx_ts_us) as span, count(*) filter (again) as repeated, count(*) filter (unordered) as unordered,
+    count(*) filter (bad) as bad from tl group by file),
+tr as (
+  select file, unnest([{{'c': 'T02', 'f': cast(n = 0 as bigint)}}, {{'c': 'T04', 'f': backward}}, {{'c': 'T05', 'f': cast(span > 110000 * 1.2 as bigint)}}, {{'c': 'T11', 'f': repeated}},
+    {{'c': 'T12', 'f': unordered}}, {{'c': 'T13', 'f': bad}}]) as x from ts)""",
+    last=f'''
+select file, x.c as "check", x.f as failures from br union all select file, x.c, x.f from tr union all select * from ({VALIDATE_SQL}) where contains(file, '_')''',
+)
+
+
 def validation_rollup(spark: SparkSession, d: str) -> DataFrame:
     return validation.rollup(validate_report(spark, d).withColumn("venue", F.split("file", "_")[0]), ["venue", "check"])
 
@@ -459,7 +506,7 @@ RATE_SQL = o.sql(
 QUERIES = {
     f.__name__: f
     for f in (
-        tx_match_roles, tx_invariants, tx_order_check, tx_cross_file_dups, slot_gaps, tx_requested_compute, validate_report, validation_rollup, file_overlap, dataset_stats, symbol_codec,
+        tx_match_roles, tx_invariants, tx_order_check, tx_cross_file_dups, slot_gaps, tx_requested_compute, validate_report, validate_files, validation_rollup, file_overlap, dataset_stats, symbol_codec,
         known_quote_split, epoch_normalize, effective_ts, order_id_codec, file_name_parse, latency_histogram, archive_plan, archive_edge, archive_coins, json_frames, context_rows,
         heartbeat_windows, base58_codec, trailing_rate,
     )
@@ -472,6 +519,7 @@ ORACLE_SQL = {
     "slot_gaps": SLOT_SQL,
     "tx_requested_compute": COMPUTE_SQL,
     "validate_report": VALIDATE_SQL,
+    "validate_files": FILES_SQL,
     "validation_rollup": f"""
 select split_part(file, '_', 1) as venue, "check", count(*) as checks, count(*) filter (failures > 0) as failed from ({VALIDATE_SQL}) group by rollup (venue, "check")""",
     "file_overlap": OVERLAP_SQL,
