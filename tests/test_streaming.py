@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.functions import codecs
 from tickloom.operators import books, grid, trades
 from tickloom.sources import mapping as m
 from tickloom.streaming import stateful
@@ -100,6 +101,49 @@ def test_books_and_slots(spark, replay):
     assert sorted(got[got.verdict != "sealed"].verdict) == ["abandoned", "duplicate", "late"]
 
 
+@pytest.mark.parametrize(("recipe", "crc"), [("kraken", codecs.kraken_crc), ("okx", codecs.okx_crc)])
+def test_lost_and_unchecked_deltas_gap_a_checksummed_book(spark, replay, recipe, crc):
+    level = "array<struct<price:string,size:string>>"
+    first = crc([("100.0", "1.50"), ("99.0", "0.20")], [("101.0", "1.00")])
+    second = crc([("99.0", "0.20")], [("101.0", "1.00")])
+    fourth = crc([("99.0", "0.20"), ("98.0", "3.00")], [("101.0", "1.00"), ("102.0", "5.00")])
+    seed = [("100.0", "1.50"), ("99.0", "0.20")], [("101.0", "1.00")]
+    updates = [
+        (*seed, True, first), ([("100.0", "0")], [], False, second),
+        # The delta that brings 102.0 is lost.
+        ([("98.0", "3.00")], [], False, fourth), ([("97.0", "1.00")], [], False, fourth),
+        # A snapshot may come without a checksum, a delta may not.
+        (*seed, True, None), ([("100.0", "0")], [], False, None), (*seed, True, first), (*seed, True, second),
+    ]
+    rows = [(recipe, "A/B", k, *x) for k, x in enumerate(updates)]
+    frame = spark.createDataFrame(rows, f"exchange string, symbol string, seq long, bids {level}, asks {level}, is_snapshot boolean, checksum long")
+    frame = frame.withColumn("update_id", F.col("seq")).withColumn("sequence", F.lit(0).cast("long"))
+    got = replay(frame, lambda s: stateful.book_states(s, depth=10, recipe=recipe), name=f"crc_{recipe}").sort_values("update_id")
+    assert got.state.tolist() == ["synced", "synced", "gapped", "gapped", "synced", "gapped", "synced", "gapped"]
+    assert got.gaps.tolist() == [0, 0, 1, 1, 1, 2, 2, 3] and got.bid.tolist()[1] == 99.0
+
+
+def test_books_from_single_orders(spark, replay):
+    updates = [
+        ([("a", False, "100", "1", False), ("b", False, "100", "2", False), ("c", True, "102", "1", False), ("d", True, "103", "4", False)], True),
+        # One of two orders of a level goes, another one moves, a third has no readable size and is gone.
+        ([("a", False, "", "", True), ("c", True, "101", "1", False), ("d", True, "103", "x", False)], False),
+        ([("b", False, "", "", True), ("e", False, "99", "1", False)], False),
+        ([("f", False, "101", "1", False)], False), ([("g", False, "98", "1", False)], False), ([("h", False, "97", "1", False)], True),
+    ]
+    frame = spark.createDataFrame([("bitso", "A/B", k, *x) for k, x in enumerate(updates)], "exchange string, symbol string, seq long, orders array<struct<order_id:string,is_ask:boolean,price:string,size:string,removed:boolean>>, is_snapshot boolean")
+    got = replay(frame.withColumn("update_id", F.col("seq")), lambda s: stateful.book_states(s, orders=True), name="orders").sort_values("update_id")
+    assert got.state.tolist() == ["synced", "synced", "synced", "gapped", "gapped", "synced"]
+    assert got.bid.tolist()[:3] == [100.0, 100.0, 99.0] and got.ask.tolist()[:3] == [102.0, 101.0, 101.0]
+    assert got.n_asks.tolist() == [2, 1, 1, 0, 0, 0] and got.gaps.tolist()[-1] == 1
+
+
+def test_order_books_are_bounded():
+    book = books.OrderFold(most=2)
+    assert book.apply_orders([("a", "bid", "1", "1", False), ("b", "bid", "1", "2", False)], 1, True) and [float(s) for *_, s in book.levels()] == [3.0]
+    assert not book.apply_orders([("c", "bid", "1", "1", False)], 2) and book.state == "gapped"
+
+
 def test_slots_partial_uncovered_abandoned_and_coverage(spark, replay):
     ok = (1, "h")
     events = [

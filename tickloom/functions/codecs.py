@@ -47,6 +47,17 @@ def kraken_crc(bids: list[tuple[str, str]], asks: list[tuple[str, str]]) -> int:
     return zlib.crc32(text.encode())
 
 
+def okx_crc(bids: list[tuple[str, str]], asks: list[tuple[str, str]]) -> int:
+    """``okx_checksum`` for one book, best level first."""
+    text = ":".join(":".join(side[k]) for k in range(25) for side in (bids, asks) if k < len(side))
+    crc = zlib.crc32(text.encode())
+    return crc - (1 << 32) if crc >> 31 else crc
+
+
+#: The checksum of a book by recipe.
+RECIPES = {"kraken": kraken_crc, "okx": okx_crc}
+
+
 def b58encode(data: bytes) -> str:
     number, out = int.from_bytes(data, "big"), ""
     while number:

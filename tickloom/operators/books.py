@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from decimal import Decimal
+from decimal import Decimal, InvalidOperation
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.codecs import RECIPES
+
 BOOK = ("book",)
 
 
@@ -179,6 +181,8 @@ class Fold:
         self.depth, self.predicate = depth, predicate
         self.state, self.last = "empty", None
         self.gaps = self.rejected = 0
+        #: Whether a crossed book is a gap.
+        self.gated = predicate is not None
 
     def follows(self, sequence, update_id) -> bool:
         if self.predicate is None or self.last is None:
@@ -198,7 +202,7 @@ class Fold:
             self.sides[side][Decimal(str(price))] = (price, size)
 
     def apply(self, changes: list[tuple], update_id=None, sequence=None, is_snapshot: bool = False, checksum: Callable[[dict], bool] | None = None) -> bool:
-        """Apply one update: (side, price, size) changes. False if it was not applied."""
+        """Apply one update: (side, price, size) changes. False if it was not applied. With ``checksum``, a book that it refuses or that is crossed is gapped."""
         if self.state == "closed":
             return False
         if is_snapshot:
@@ -217,7 +221,7 @@ class Fold:
                     keep = sorted(own, reverse=side == "bid")[: self.depth]
                     self.sides[side] = {p: own[p] for p in keep}
         bids, asks = self.sides["bid"], self.sides["ask"]
-        if (bids and asks and max(bids) >= min(asks) and self.predicate is not None) or (checksum and not checksum(self.sides)):
+        if (bids and asks and max(bids) >= min(asks) and (self.gated or checksum)) or (checksum and not checksum(self.sides)):
             self.gap()
             return False
         self.last = update_id if update_id is not None else self.last
@@ -229,6 +233,72 @@ class Fold:
         return [(side, n, *own[p]) for side, own in self.sides.items() for n, p in enumerate(sorted(own, reverse=side == "bid"))]
 
 
+def checked(recipe: str, expected: int | None, is_snapshot: bool) -> Callable[[dict], bool]:
+    """A checksum function for ``Fold.apply``: the book must reproduce ``expected``; only a snapshot may come without one."""
+
+    def holds(sides: dict) -> bool:
+        if expected is None:
+            return is_snapshot
+        bids, asks = ([tuple(map(str, own[p])) for p in sorted(own, reverse=side == "bid")] for side, own in sides.items())
+        return RECIPES[recipe](bids, asks) == expected
+
+    return holds
+
+
+#: A book of more single orders than this is gapped.
+MOST_ORDERS = 200_000
+
+
+class OrderFold(Fold):
+    """One book from single orders (L3): an order id is set, moved or removed, and only the levels that it touches are summed anew."""
+
+    def __init__(self, depth: int | None = None, most: int = MOST_ORDERS):
+        super().__init__(depth)
+        self.gated, self.most = True, most
+        self.orders: dict[str, tuple[str, Decimal, Decimal]] = {}
+        self.totals: dict[tuple[str, Decimal], Decimal] = {}
+
+    def gap(self) -> None:
+        super().gap()
+        self.orders, self.totals = {}, {}
+
+    def place(self, order_id: str, side: str, price: Decimal, size: Decimal) -> None:
+        self.orders[order_id] = (side, price, size)
+        self.totals[side, price] = self.totals.get((side, price), Decimal(0)) + size
+
+    def apply_orders(self, orders: list[tuple], update_id=None, is_snapshot: bool = False) -> bool:
+        """Apply one update: (order_id, side, price, size, removed) rows. Orders whose numbers can't be read, or of no size, are gone."""
+        if self.state == "closed" or (self.state == "gapped" and not is_snapshot):
+            return self.apply([], update_id)
+        if is_snapshot:
+            self.orders, self.totals = {}, {}
+        touched = {}
+        for order_id, side, price, size, removed in orders:
+            if order_id in self.orders:
+                *level, old = self.orders.pop(order_id)
+                left = self.totals[tuple(level)] = self.totals[tuple(level)] - old
+                if left <= 0:
+                    del self.totals[tuple(level)]
+                touched[tuple(level)] = True
+            at, much = _number(price), _number(size)
+            if removed or at is None or much is None or much <= 0:
+                continue
+            self.place(order_id, side, at, much)
+            touched[side, at] = True
+        if len(self.orders) > self.most:
+            self.gap()
+            return False
+        return self.apply([(side, price, self.totals.get((side, price), Decimal(0))) for side, price in touched], update_id, None, is_snapshot)
+
+
+def _number(text) -> Decimal | None:
+    try:
+        found = Decimal(str(text))
+    except InvalidOperation:
+        return None
+    return found if found.is_finite() else None
+
+
 def pruned_state(deltas: DataFrame, depth: int, order: Sequence[str], key: str = "book") -> DataFrame:
     """Levels of each book when its depth is cut after every update.
 

@@ -15,13 +15,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tickloom.operators.books import Fold
+from tickloom.operators.books import Fold, OrderFold, checked
 from tickloom.operators.onchain import COVERAGE_MARGIN
 
 # ---- idiomatic versions
@@ -52,6 +53,10 @@ def sessions(stream: DataFrame, gap: str = "5 seconds", ts: str = "ts", late: st
 # ---- exact versions
 
 
+def _given(value) -> bool:
+    return value is not None and not pd.isna(value)
+
+
 class Keyed(StatefulProcessor):
     """A processor whose state is one JSON document for each key."""
 
@@ -163,32 +168,45 @@ BOOK_SCHEMA = "exchange string, symbol string, update_id long, applied boolean,
 
 
 class BookKeeper(Keyed):
-    """One book from its updates: full refresh, sequence-checked deltas, depth bound; tells the top after every update."""
+    """One book from its updates: full refresh, deltas checked by sequence or checksum, single orders, depth bound; tells the top after every update."""
 
-    def __init__(self, predicate: str | None = None, depth: int | None = None):
-        self.predicate, self.depth = predicate, depth
+    def __init__(self, predicate: str | None = None, depth: int | None = None, recipe: str | None = None, orders: bool = False):
+        self.predicate, self.depth, self.recipe, self.orders = predicate, depth, recipe, orders
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         doc = self.load()
-        book = Fold(self.depth, self.predicate)
+        book = OrderFold(self.depth) if self.orders else Fold(self.depth, self.predicate)
         if doc:
             book.state, book.last, book.gaps = doc["state"], doc["last"], doc["gaps"]
             for side, price, size in doc["levels"]:
                 book.apply_level(side, price, size)
+            for order_id, side, price, size in doc.get("orders", []):
+                book.place(order_id, side, Decimal(price), Decimal(size))
         out = []
         for u in pd.concat(list(rows)).sort_values(["seq"], kind="stable").itertuples():
-            changes = [("bid", x["price"], x["size"]) for x in u.bids] + [("ask", x["price"], x["size"]) for x in u.asks]
-            done = book.apply(changes, int(u.update_id), int(u.sequence), bool(u.is_snapshot))
+            number, snapshot = int(u.update_id), bool(u.is_snapshot)
+            if self.orders:
+                done = book.apply_orders([(x["order_id"], "ask" if x["is_ask"] else "bid", x["price"], x["size"], bool(x["removed"])) for x in u.orders], number, snapshot)
+            else:
+                changes = [("bid", x["price"], x["size"]) for x in u.bids] + [("ask", x["price"], x["size"]) for x in u.asks]
+                check = checked(self.recipe, int(u.checksum) if _given(u.checksum) else None, snapshot) if self.recipe else None
+                done = book.apply(changes, number, int(u.sequence), snapshot, check)
             bids, asks = book.sides["bid"], book.sides["ask"]
-            out.append((*key, int(u.update_id), done, book.state, float(max(bids)) if bids else None, float(min(asks)) if asks else None, len(bids), len(asks), book.gaps))
-        levels = [(side, str(p), str(s)) for side, _, p, s in book.levels()]
-        self.save({"state": book.state, "last": book.last, "gaps": book.gaps, "levels": levels})
+            out.append((*key, number, done, book.state, float(max(bids)) if bids else None, float(min(asks)) if asks else None, len(bids), len(asks), book.gaps))
+        doc = {"state": book.state, "last": book.last, "gaps": book.gaps, "levels": [(side, str(p), str(s)) for side, _, p, s in book.levels()]}
+        if self.orders:
+            doc["orders"] = [(k, side, str(p), str(s)) for k, (side, p, s) in book.orders.items()]
+        self.save(doc)
         yield pd.DataFrame(out, columns=[x.split()[0] for x in BOOK_SCHEMA.split(", ")])
 
 
-def book_states(stream: DataFrame, predicate: str | None = None, depth: int | None = None) -> DataFrame:
-    """``stream``: exchange, symbol, seq (arrival), bids and asks (arrays of price, size text), update_id, sequence, is_snapshot."""
-    return stream.groupBy("exchange", "symbol").transformWithStateInPandas(statefulProcessor=BookKeeper(predicate, depth), outputStructType=BOOK_SCHEMA, outputMode="Append", timeMode="None")
+def book_states(stream: DataFrame, predicate: str | None = None, depth: int | None = None, recipe: str | None = None, orders: bool = False) -> DataFrame:
+    """``stream``: exchange, symbol, seq (arrival), bids and asks (arrays of price, size text), update_id, sequence, is_snapshot.
+
+    With ``recipe`` ("kraken" at a depth of 10, or "okx") it has ``checksum`` too: a delta that doesn't lead to it, or comes
+    without one, gaps the book. With ``orders``, an array of order_id, is_ask, price, size, removed (as ``venues.l3_updates`` tells them) stands for bids, asks and sequence.
+    """
+    return stream.groupBy("exchange", "symbol").transformWithStateInPandas(statefulProcessor=BookKeeper(predicate, depth, recipe, orders), outputStructType=BOOK_SCHEMA, outputMode="Append", timeMode="None")
 
 
 LOSS_SCHEMA = "exchange string, symbol string, number long, missed long, duplicate boolean"
@@ -215,10 +233,6 @@ def continuity(stream: DataFrame) -> DataFrame:
 SLOT_SCHEMA = "chain string, slot long, bank_id long, block_height long, n_transactions long, blocks_lost long, verdict string"
 
 
-def _given(value) -> bool:
-    return value is not None and not pd.isna(value)
-
-
 class SlotAssembler(Keyed):
     """Blocks of a chain from transactions and block metas.
 
