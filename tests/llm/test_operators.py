@@ -556,3 +556,17 @@ def test_mix_meets_targets_and_repeats_itself(spark, docs, monkeypatch, block):
         own[1] += r.taken
     for size, taken, total, target in by.values():
         assert size == total and abs(taken - target) <= max(0.02 * target, 60)
+
+
+def test_small_sources_land_whatever_the_others_need(spark, monkeypatch):
+    """A source of one block is drawn as it would be if every source were one block."""
+    draw = random.Random(12)
+    rows = [(k, " ".join(["w"] * draw.randint(50, 900)), "tiny" if k < 20 else "hot") for k in range(320)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def tiny(block):
+        monkeypatch.setattr(mixing, "BLOCK", block)
+        return sorted((r.doc_id, r.copies, r.target) for r in mixing.mix(docs, (30.0, 1.0)).collect() if r.source == "tiny")
+
+    alone = tiny(4096)
+    assert 0 < sum(n for _, n, _ in alone) < 20 and alone == tiny(40)

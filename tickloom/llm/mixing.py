@@ -6,7 +6,8 @@ through the null space of two constraints (words and documents of the source),
 three documents at a time, until each is 0 or 1. Blocks of a source fly on
 their own and leave two documents undecided at most; those fly again, block by
 block, until one block of a source is left. Its undecided documents and a few
-more are the landing problem, decided by trying every choice.
+more are the landing problem, decided by trying every choice, whatever the
+other sources still need.
 """
 
 from __future__ import annotations
@@ -105,12 +106,12 @@ def land(size: list[int], chance: list[float]) -> list[int]:
 ROW = "doc_id long, h1 long, h2 long, nth int, source string, size long, chance double"
 
 
-def _fly(rows: DataFrame, last: bool) -> DataFrame:
-    """Each row with its chance moved; with ``last`` the undecided ones are landed."""
+def _fly(rows: DataFrame) -> DataFrame:
+    """Each row with its chance moved; where ``last`` is set the undecided ones are landed."""
 
     def block(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["mark", *KEY, "nth"], kind="stable").reset_index(drop=True)
-        size, chance = rows["size"].tolist(), rows["chance"].tolist()
+        size, chance, last = rows["size"].tolist(), rows["chance"].tolist(), bool(rows["last"].iloc[0])
         n = max(0, len(size) - POOL) if last else len(size)
         moved, undecided = flight(size[:n], chance[:n], int(rows["mark"].iloc[0]))
         moved += chance[n:]
@@ -125,13 +126,13 @@ def _fly(rows: DataFrame, last: bool) -> DataFrame:
 
 
 def _dealt(rows: DataFrame, counts: dict[str | None, int], level: int) -> tuple[DataFrame, bool]:
-    """Rows with a mark that orders them and a block; whether every source is one block."""
+    """Rows with a mark that orders them, a block and whether their source is one block (last); whether every source is."""
     blocks = {s: max(1, -(-n // BLOCK)) for s, n in counts.items()}
     table = rows.sparkSession.createDataFrame([(s, n) for s, n in blocks.items()] or [(None, 1)], "source string, blocks int")
     named = table.withColumnRenamed("source", "of")
     mark = F.xxhash64(F.lit(level), *KEY, "nth")
     dealt = rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("mark", mark)
-    return dealt.withColumn("block", F.pmod(F.col("mark"), F.col("blocks")).cast("int")).drop("blocks"), all(n == 1 for n in blocks.values())
+    return dealt.withColumn("block", F.pmod(F.col("mark"), F.col("blocks")).cast("int")).withColumn("last", F.col("blocks") == 1).drop("blocks"), all(n == 1 for n in blocks.values())
 
 
 def _per_source(rows: DataFrame, value) -> dict[str | None, int]:
@@ -163,7 +164,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: flo
     decided, level = None, 0
     while True:
         dealt, last = _dealt(open_, _per_source(open_, F.count("*")), level)
-        flown = store.keep(_fly(dealt, last))
+        flown = store.keep(_fly(dealt))
         settled = flown.where("chance = 0 or chance = 1").select(*KEY, "nth", "source", "chance")
         decided = settled if decided is None else decided.unionByName(settled)
         if last:
