@@ -336,6 +336,12 @@ def test_integrity(spark):
     assert [r.intact for r in got] == [True, False, False]
 
 
+def test_slot_verdicts_read_a_long_chain(spark):
+    assert "slot_verdicts" in catalogue.ORACLE_SQL
+    got = {r.verdict: r.n for r in catalogue.QUERIES["slot_verdicts"](spark, SF).groupBy("verdict").agg(F.sum("n").alias("n")).collect()}
+    assert set(got) == {"sealed", "duplicate", "late", "partial", "abandoned", "uncovered"} and sum(got.values()) >= 1500
+
+
 def test_chain_verdicts_partial_uncovered_and_abandoned(spark):
     schema = "slot long, bank_id long, block_height long, block_time_secs long, blockhash string, arrival long"
     data = [

@@ -114,11 +114,31 @@ def recovered_prints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def slot_verdicts(spark: SparkSession, d: str) -> DataFrame:
-    """Block metas in arrival order, some seen twice, some far behind."""
-    k = F.col("r_regionkey").cast("long")
-    metas = m.read(spark, d, "region").select(F.explode(F.array(k * 10, k * 10, k * 10 - 20)).alias("slot"), F.lit(1).alias("bank_id"), k.alias("block_height"))
-    metas = metas.withColumn("arrival", F.col("block_height") * 100 + F.when(F.col("slot") < F.col("block_height") * 10, 50).otherwise(0))
-    return onchain.verdicts(metas).groupBy("slot", "verdict").agg(F.count("*").alias("n"))
+    """Orders as block metas in arrival order: some seen twice or by a second bank, some far behind, some incomplete or with an undecodable update."""
+    k = F.col("o_orderkey")
+    slot = k - F.when(k % 19 == 0, 50).when(k % 17 == 0, 10).otherwise(0)
+    rows = m.read(spark, d, "orders").select(k.alias("k"), slot.alias("slot"), (k % 2).alias("bank_id"), F.explode(F.expr("filter(array(0, 1, 2, 3), x -> x = 1 or (x = 0 and o_orderkey % 37 = 0) or (x = 2 and o_orderkey % 11 = 0) or (x = 3 and o_orderkey % 13 = 0))")).alias("x"))
+    rows = rows.withColumn("arrival", F.col("k") * 40 + F.col("x")).withColumn("bank_id", F.col("bank_id") + F.when(F.col("x") == 3, 2).otherwise(0))
+    k = F.col("k")
+    metas = rows.where("x > 0").select("slot", "bank_id", F.when(k % 31 != 0, k).alias("block_height"), F.when(k % 23 == 0, 0).otherwise(k).alias("block_time_secs"), F.when(k % 29 == 0, "").otherwise("h").alias("blockhash"), "arrival")
+    updates = rows.where("x = 0").select("slot", "bank_id", "arrival", F.lit(True).alias("undecodable"))
+    return onchain.verdicts(metas, updates=updates, covered_from=100).groupBy("slot", "verdict").agg(F.count("*").alias("n"))
+
+
+VERDICTS_SQL = """
+with xs as (
+  select o_orderkey as k, o_orderkey - case when o_orderkey % 19 = 0 then 50 when o_orderkey % 17 = 0 then 10 else 0 end as slot, unnest([0, 1, 2, 3]) as x from orders),
+ev as (
+  select k, slot, k % 2 + case when x = 3 then 2 else 0 end as bank, x, k * 40 + x as arrival, k % 31 <> 0 and k % 23 <> 0 and k % 29 <> 0 as whole from xs
+  where x = 1 or (x = 0 and k % 37 = 0) or (x = 2 and k % 11 = 0) or (x = 3 and k % 13 = 0)),
+tops as (select *, coalesce(max(slot) over (order by arrival rows between unbounded preceding and 1 preceding) - slot, 0) as behind from ev),
+banks as (
+  select *, min(arrival) filter (x > 0 and slot >= 100 and behind <= 32) over w as taken, coalesce(min(arrival) filter (x = 0) over w < arrival, false) as bad from tops window w as (partition by slot, bank)),
+told as (
+  select *, case when slot < 100 then 'uncovered' when taken < arrival and behind <= 64 then 'duplicate' when behind > 32 then 'abandoned' when not whole then 'partial' when behind > 4 then 'late' end as early
+  from banks where x > 0),
+heights as (select *, min(arrival) filter (early is null and not bad) over (partition by k) as first from told)
+select slot, coalesce(early, case when first < arrival then 'duplicate' when bad then 'partial' else 'sealed' end) as verdict, count(*) as n from heights group by all"""
 
 
 def random_books(spark: SparkSession, d: str) -> DataFrame:
@@ -158,5 +178,6 @@ ORACLE_SQL = {
     "book_snapshot": SNAPSHOT_SQL,
     "book_since_snapshot": SINCE_SQL,
     "recovered_prints": o.sql(o.EVENTS, o.TRADES, last="select exchange, symbol, seq as id, side from trades_ev where side = 'sell'"),
+    "slot_verdicts": VERDICTS_SQL,
     "instrument_tags": TAGS_SQL,
 }
