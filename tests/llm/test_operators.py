@@ -570,3 +570,14 @@ def test_small_sources_land_whatever_the_others_need(spark, monkeypatch):
 
     alone = tiny(4096)
     assert 0 < sum(n for _, n, _ in alone) < 20 and alone == tiny(40)
+
+
+def test_all_significant_tokens_are_kept(spark):
+    """More telling words and stems than 50 000 stay in the model."""
+    draw = random.Random(6)
+    words = [f"{k:05d}x" for k in range(26_000)]
+    rows = [(k, " ".join(draw.sample(words, len(words)) if k < 30 else [f"c{k}"] * 3), k < 30) for k in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(8)
+    marks = spark.createDataFrame([(k, int(y)) for k, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, marks)
+    assert len(model.words) == len(model.stems) == len(words)

@@ -28,8 +28,6 @@ from tickloom.llm.quality import fold, labelled, sampled
 
 #: Training documents at most (about), drawn by a hash of doc_id.
 SAMPLE = 40_000
-#: Tokens of the model at most, the most significant first.
-TOKENS = 50_000
 #: Score from which a document is called toxic.
 CUT = 0.7
 #: Weight of the Dirichlet prior, in documents; least likelihood-ratio statistic of a scored token (about one in a million by chance); expected chance segments below which one is significant.
@@ -207,7 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     if len(kinds) < 2:
         return None
     scored = _log_odds(_counted(single), kinds[1], kinds[0])
-    kept = scored.where((F.col("g") >= LEAST_G) & (F.col("toxic") >= 3) & (F.col("delta") > 1)).orderBy(F.desc("g"), "token", "stem").limit(TOKENS).collect()
+    # The sample bounds the tokens: each stands in three of its toxic documents.
+    kept = scored.where((F.col("g") >= LEAST_G) & (F.col("toxic") >= 3) & (F.col("delta") > 1)).orderBy(F.desc("g"), "token", "stem").collect()
     model = Model()
     for t in kept:
         (model.stems if t["stem"] else model.words)[bytes(t["token"])] = t["delta"]
