@@ -524,6 +524,18 @@ def test_components(spark):
     assert got == {k: root(k) for k in list(parent)}
 
 
+def test_component_rounds_grow_with_the_logarithm(spark):
+    """Long chains, in random and in ascending order, and a star end in few written tables."""
+    ids = random.Random(8).sample(range(1 << 40), 2000)
+    for chain, most in ((ids, 60), (list(range(2000)), 20)):
+        store = Store(spark)
+        edges = spark.createDataFrame(list(zip(chain, chain[1:], strict=False)), "a long, b long")
+        roots = {r.root for r in components.components(edges, store).select("root").distinct().collect()}
+        assert roots == {min(chain)} and store.count <= most
+    store = Store(spark)
+    assert components.components(spark.range(1, 3000).selectExpr("0L a", "id b"), store).where("root = 0").count() == 3000 and store.count <= 6
+
+
 # ---- op10
 
 
