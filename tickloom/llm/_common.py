@@ -5,10 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,19 +66,13 @@ def fresh(frame: DataFrame, name: str) -> str:
     return name
 
 
-def same_key(left: DataFrame, right: DataFrame, columns: Iterable[str] = KEY):
-    """Null-safe equality on the key columns."""
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 class Store:
     """Parquet intermediates in the folder that the cluster shares (spark.checkpoint.dir).
 
     Each written table cuts the lineage and outlives lost executors. Where the
     setting is unset, a local master gets a temporary folder; a cluster must set it.
+    What an operator wrote goes at the end of the ``cleaned`` block that it was
+    called in.
     """
 
     def __init__(self, spark: SparkSession):
@@ -93,6 +87,8 @@ class Store:
             root = f"file://{tempfile.mkdtemp(prefix='tickloom-')}"
         self.root = f"{root.rstrip('/')}/tickloom-{uuid.uuid4().hex}"
         self.count = 0
+        if _open:
+            _open[-1].append(self)
 
     def keep(self, frame: DataFrame) -> DataFrame:
         """Write a frame, read it back."""
@@ -103,19 +99,39 @@ class Store:
         kept._stored_at = path
         return kept
 
-    def hold(self, frame: DataFrame) -> DataFrame:
-        """Keep a frame on the executors' disks for several readers; what a lost executor held is computed again."""
-        return frame.persist(StorageLevel.DISK_ONLY)
-
     def drop(self, *frames: DataFrame) -> None:
-        """Remove written or held frames that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
+        """Remove written frames that nothing reads any more."""
         for frame in frames:
-            if not hasattr(frame, "_stored_at"):
-                frame.unpersist()
-                continue
-            path = jvm.org.apache.hadoop.fs.Path(frame._stored_at)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(frame._stored_at)
+
+    def close(self) -> None:
+        """Remove all that was written here. Frames that read it are of no use afterwards."""
+        self._delete(self.root)
+
+    def _delete(self, place: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: The stores of the innermost ``cleaned`` block that is open.
+_open: list[list[Store]] = []
+
+
+@contextmanager
+def cleaned() -> Iterator[None]:
+    """Removes the intermediates of all operators called inside once the block ends; write or collect their results before that.
+
+    Operators return frames that read their intermediates, so these stay until
+    then, or until the folder is emptied.
+    """
+    own: list[Store] = []
+    _open.append(own)
+    try:
+        yield
+    finally:
+        _open.remove(own)
+        for store in own:
+            store.close()
 
 
 def parallelism(spark: SparkSession) -> int:

@@ -16,12 +16,14 @@ form a chunk. Three steps narrow the work, none of them loses a repeat:
    (runs of ``CLASS`` symbols) occur twice.
 
 The suffix array is built by linear grouping: suffixes are grouped by their
-Lyndon prefixes, groups are processed in descending order and refine the
-groups of their previous-smaller suffixes, and a second pass emits each
-group's order from its next-smaller suffixes; nothing is renamed or recursed.
+Lyndon prefixes, groups are processed in descending order, find their
+previous-smaller pointers through the pointers of the groups done before, and
+refine the groups that they point to; a second pass emits each group's order
+along the pointers. Nothing is renamed or recursed.
 
 Suffix arrays of whole corpora are out of reach for Python; the narrowing keeps
-the text that they sort to the surroundings of the places where repeats end.
+the text that they sort to the surroundings of the places where repeats end,
+and settles most windows by equal hashes (the README gives the shares).
 """
 
 from __future__ import annotations
@@ -225,16 +227,8 @@ def _occurrences(rows: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def suffix_array(text: str) -> list[int]:
-    """The suffix array of a text whose last character is its only least one."""
+    """The suffix array of a text whose last character is its only least one, in linear time but for sorting each group's places."""
     n = len(text)
-    # Previous and next smaller suffixes.
-    before, after = [-1] * n, [n] * n
-    for i in range(1, n):
-        j = i - 1
-        while j >= 0 and _greater(text, j, i):
-            after[j] = i
-            j = before[j]
-        before[i] = j
     # Groups as intervals of one array, at first by character.
     order = sorted(range(n), key=text.__getitem__)
     place, start, size = [0] * n, [0] * n, [0] * n
@@ -247,66 +241,58 @@ def suffix_array(text: str) -> list[int]:
             e += 1
         size[k] = e - k
         k = e
-    # Groups in descending order lengthen the prefixes of the suffixes that they hang on.
+    # Groups in descending order lengthen the prefixes of the suffixes that they hang on: the last before them in a smaller group.
+    before = [-1] * n
     end = n
     while end > 0:
         begin = start[order[end - 1]]
         times: dict[int, int] = {}
-        for i in order[begin:end]:
-            p = before[i]
+        for i in sorted(order[begin:end]):
+            p = i - 1
+            # Greater groups are done, so their pointers lead on.
+            while p >= 0 and start[p] > begin:
+                p = before[p]
+            if p >= 0 and start[p] == begin:
+                p = before[p]
+            before[i] = p
             if p >= 0:
                 times[p] = times.get(p, 0) + 1
-        if times:
-            by_count: dict[int, list[int]] = {}
-            for p, t in times.items():
-                by_count.setdefault(t, []).append(p)
-            for t in sorted(by_count, reverse=True):
-                moved: dict[int, int] = {}
-                for p in by_count[t]:
-                    g = start[p]
-                    last = g + size[g] - 1 - moved.get(g, 0)
-                    moved[g] = moved.get(g, 0) + 1
-                    other, at = order[last], place[p]
-                    order[at], order[last] = other, p
-                    place[other], place[p] = at, last
-                for g, m in moved.items():
-                    if m == size[g]:
-                        continue
-                    size[g] -= m
-                    new = g + size[g]
-                    size[new] = m
-                    for at in range(new, new + m):
-                        start[order[at]] = new
+        by_count: dict[int, list[int]] = {}
+        for p, t in times.items():
+            by_count.setdefault(t, []).append(p)
+        for t in sorted(by_count, reverse=True):
+            moved: dict[int, int] = {}
+            for p in by_count[t]:
+                g = start[p]
+                m = moved.get(g, 0) + 1
+                moved[g] = m
+                last = g + size[g] - m
+                other, at = order[last], place[p]
+                order[at], order[last] = other, p
+                place[other], place[p] = at, last
+            for g, m in moved.items():
+                if m == size[g]:
+                    continue
+                size[g] -= m
+                new = g + size[g]
+                size[new] = m
+                for at in range(new, new + m):
+                    start[order[at]] = new
         end = begin
-    # A suffix follows its group's prefix; the prefix's end is the next smaller suffix, which is placed already.
-    out, free = [-1] * n, start
-    head = list(range(n))
+    # A suffix follows its group's prefix; the suffixes that end in front of a placed one are its chain of pointers.
+    out, head, placed = [-1] * n, list(range(n)), [False] * n
     out[0] = n - 1
     for k in range(n):
-        s = out[k]
-        p, stop = s - 1, before[s]
-        while p > stop:
-            g = free[p]
+        p = out[k] - 1
+        while p >= 0 and not placed[p]:
+            g = start[p]
             out[head[g]] = p
             head[g] += 1
+            placed[p] = True
             p = before[p]
     return out
 
 
-def _greater(text: str, i: int, j: int) -> bool:
-    """Whether suffix i is greater than suffix j."""
-    if text[i] != text[j]:
-        return text[i] > text[j]
-    width = 32
-    while True:
-        a, b = text[i : i + width], text[j : j + width]
-        if a != b:
-            return a > b
-        i += width
-        j += width
-        width *= 4
-
-
 def repeated_windows(pieces: list[tuple[int, bytes, bytes]]) -> list[int]:
     """A mask for each piece (core number, left, right): bit l is set if the window with l bytes left of the core occurs in another piece too."""
     masks = [0] * len(pieces)
@@ -337,7 +323,7 @@ def _masks(pieces: DataFrame, parts: int) -> DataFrame:
     schema = "anchor long, chunk long, q int, mask long, core long, core2 long, hot boolean, left binary, right binary"
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "core"):
+        for batch in runs(batches, "unit"):
             rows = batch.to_pylist()
             rows.sort(key=lambda r: (r["core"], r["core2"], r["deal"]))
             block, used, seen = [], 0, {}
@@ -367,7 +353,8 @@ def _masks(pieces: DataFrame, parts: int) -> DataFrame:
         columns += [pa.array([r[c] if r["hot"] else None for r in block], pa.binary()) for c in ("left", "right")]
         return pa.RecordBatch.from_arrays(columns, ["anchor", "chunk", "q", "mask", "core", "core2", "hot", "left", "right"])
 
-    dealt = pieces.repartition(parts, "core", "deal").sortWithinPartitions("core", "deal")
+    # Runs are gathered by deal, so that the deals of a large core which meet in a task stay apart.
+    dealt = pieces.withColumn("unit", F.xxhash64("core", "core2", "deal")).repartition(parts, "unit").sortWithinPartitions("unit")
     return dealt.mapInArrow(settle, schema)
 
 
@@ -396,23 +383,25 @@ def _across_blocks(masks: DataFrame, store: Store) -> DataFrame:
     return met.groupBy("anchor", "chunk", "q").agg(F.bit_or(F.expr("shiftleft(1L, l)")).alias("mask"))
 
 
-def _marks(mixed: DataFrame, store: Store, parts: int) -> tuple[DataFrame, tuple[DataFrame, ...]]:
-    """(anchor, chunk, whole, masks): what repeats in the chunks of mixed anchors; and the frames held for it."""
-    chunks = store.hold(mixed.groupBy("anchor", "chunk").agg(F.count("*").alias("n")))
+def _marks(mixed: DataFrame, store: Store, parts: int) -> DataFrame:
+    """(anchor, chunk, whole, masks): what repeats in the chunks of mixed anchors."""
+    chunks = store.keep(mixed.groupBy("anchor", "chunk").agg(F.count("*").alias("n")))
     pieces = mixed.where("pieces is not null").select("anchor", "chunk", F.explode("pieces").alias("p")).select("anchor", "chunk", "p.*")
-    pieces = store.hold(pieces.groupBy("anchor", "chunk", "q", "core", "core2").agg(F.min("left").alias("left"), F.min("right").alias("right")))
-    cores = store.hold(pieces.groupBy("core", "core2").agg(F.count("*").alias("n")).where("n > 1"))
+    # Written tables have no partitioning of their own, so that the joins which follow can split a frequent core or chunk.
+    pieces = store.keep(pieces.groupBy("anchor", "chunk", "q", "core", "core2").agg(F.min("left").alias("left"), F.min("right").alias("right")))
+    cores = store.keep(pieces.groupBy("core", "core2").agg(F.count("*").alias("n")).where("n > 1"))
     deal = F.pmod("chunk", F.ceil(F.col("n") / BLOCK).cast("long")).cast("int")
     dealt = pieces.join(cores, ["core", "core2"]).select(*pieces.columns, deal.alias("deal"), (F.col("n") > BLOCK).alias("hot"))
-    masks = store.hold(_masks(dealt, parts))
+    masks = store.keep(_masks(dealt, parts))
     told = masks.where("mask <> 0").select("anchor", "chunk", "q", "mask")
     if not masks.where("hot").isEmpty():
         told = told.unionByName(_across_blocks(masks, store))
     told = told.groupBy("anchor", "chunk", "q").agg(F.bit_or("mask").alias("mask"))
     single = told.groupBy("anchor", "chunk").agg(F.collect_list(F.struct("q", "mask")).alias("masks"))
     met = chunks.join(single, ["anchor", "chunk"], "left").where("n > 1 or masks is not null")
-    # A written table has no partitioning of its own, so that the join which follows can split a frequent chunk.
-    return store.keep(met.select("anchor", "chunk", (F.col("n") > 1).alias("whole"), "masks")), (chunks, pieces, cores, masks)
+    marks = store.keep(met.select("anchor", "chunk", (F.col("n") > 1).alias("whole"), "masks"))
+    store.drop(chunks, pieces, cores, masks)
+    return marks
 
 
 def merged(doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -433,8 +422,8 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
     anchors = store.keep(_anchor_counts(rows))
-    real = store.hold(_occurrences(rows, anchors).join(anchors, "anchor"))
-    marks, steps = _marks(real.where("not pure"), store, parts)
+    real = store.keep(_occurrences(rows, anchors).join(anchors, "anchor"))
+    marks = _marks(real.where("not pure"), store, parts)
     whole = F.struct(F.col("low").alias("first"), (F.col("low") + F.col("count")).alias("end")).alias("range")
     pure = real.where("pure").select(*KEY, whole)
     other = real.where("not pure").select(*KEY, "anchor", "chunk", "low", "count", "offset").join(marks, ["anchor", "chunk"])
@@ -445,9 +434,10 @@ def repeated_ranges(docs: DataFrame, store: Store) -> DataFrame:
     single = other.where("not whole").select(*KEY, "low", "offset", F.explode("masks").alias("m")).select(*KEY, "low", "offset", F.col("m.q").alias("q"), F.explode(bits).alias("l"))
     core = F.col("low") + F.col("offset") - F.col("q") * CLASS
     single = single.select(*KEY, F.struct((core - F.col("l.high")).cast("long").alias("first"), (core - F.col("l.low") + 1).cast("long").alias("end")).alias("range"))
-    by_doc = pure.unionByName(full).unionByName(single).groupBy(*KEY).agg(F.collect_list("range").alias("ranges"))
+    by_doc = pure.unionByName(full).unionByName(single).groupBy(*KEY).agg(F.collect_set("range").alias("ranges"))
+    # Rows of one doc_id and text send the same ranges; a set holds them once.
     kept = store.keep(by_doc)
-    store.drop(real, marks, *steps)
+    store.drop(real, marks, anchors)
     return kept
 
 
