@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import decontaminate, line_dedup, mixing, quality, simhash
-from tickloom.llm._common import Store, table
+from tickloom.llm._common import Store, cleaned, table
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +44,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; each stage's result is written before the next reads it."""
+    """All stages over the documents of ``sf_dir``; each stage's result is written before the next reads it, and goes with the stage's intermediates once it has been read."""
     store = Store(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = store.keep(stage(spark, docs, sf_dir))
+        with cleaned():
+            docs = store.keep(stage(spark, docs, sf_dir))
+        if before is not None:
+            store.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
