@@ -25,6 +25,8 @@ BUCKETS = 128
 BOUND = 400
 #: Bytes of the header: length, ratios of the quartiles.
 HEADER = 2
+#: Bytes counted at once; longer texts are counted in parts.
+SEGMENT = 1 << 20
 #: The byte pairs that, with the newest byte, make the six triplets of a window.
 TRIPLETS = ((1, 2), (1, 3), (2, 3), (2, 4), (1, 4), (3, 4))
 
@@ -50,6 +52,23 @@ def _pair_tables() -> list[np.ndarray]:
     return [MIX[MIX[MIX[salt] ^ high] ^ low].ravel() for salt in (2, 3, 5, 7, 11, 13)]
 
 
+def _parts(texts: list[bytes]) -> Iterator[tuple[list[int], list[memoryview]]]:
+    """(text numbers, parts) of SEGMENT bytes at most; parts of a long text overlap by four bytes, so that each window is in one."""
+    owners, parts, held = [], [], 0
+    for k, text in enumerate(texts):
+        view = memoryview(text)
+        for at in range(0, max(1, len(view) - 4), SEGMENT - 4):
+            part = view[at : at + SEGMENT]
+            if parts and held + len(part) > SEGMENT:
+                yield owners, parts
+                owners, parts, held = [], [], 0
+            owners.append(k)
+            parts.append(part)
+            held += len(part)
+    if parts:
+        yield owners, parts
+
+
 class Digester:
     """Digests of many texts at once."""
 
@@ -58,12 +77,19 @@ class Digester:
 
     def counts(self, texts: list[bytes]) -> np.ndarray:
         """Bucket counts, a row for each text; a text below five bytes has none."""
-        sizes = np.array([len(x) for x in texts], np.int64)
-        out = np.zeros(len(texts) * BUCKETS, np.int64)
-        data = np.frombuffer(b"".join(texts), np.uint8)
+        out = np.zeros((len(texts), BUCKETS), np.int64)
+        for owners, parts in _parts(texts):
+            np.add.at(out, owners, self._counts(parts))
+        return out
+
+    def _counts(self, parts: list[memoryview]) -> np.ndarray:
+        """Bucket counts of SEGMENT bytes or so."""
+        sizes = np.array([len(x) for x in parts], np.int64)
+        out = np.zeros(len(parts) * BUCKETS, np.int64)
+        data = np.frombuffer(b"".join(parts), np.uint8)
         if len(data) >= 5:
             ends = np.cumsum(sizes)
-            owner = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)[4:]
+            owner = np.repeat(np.arange(len(parts), dtype=np.int64), sizes)[4:]
             whole = np.arange(4, len(data)) - (ends - sizes)[owner] >= 4
             base = owner[whole] * BUCKETS
             bytes_at = [data[4 - k : len(data) - k][whole] for k in range(5)]
@@ -71,7 +97,7 @@ class Digester:
             for table, (second, third) in zip(self.pairs, TRIPLETS, strict=True):
                 h = MIX[table[newest | bytes_at[second]] ^ bytes_at[third]] % BUCKETS
                 out += np.bincount(base + h, minlength=len(out))
-        return out.reshape(len(texts), BUCKETS)
+        return out.reshape(len(parts), BUCKETS)
 
     def digests(self, texts: list[bytes]) -> np.ndarray:
         """One row of bytes for each text: header, then four buckets to a byte. The empty text is all zero."""
@@ -111,20 +137,6 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 1.0 - difference(a, b) / BOUND
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """Each row of ``docs`` with its digest in hex."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digester = Digester()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                digests = digester.digests([(x or "").encode() for x in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x.tobytes().hex() for x in digests])], ["doc_id", "fingerprint"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, fingerprint string")
-
-
 def _deal_by_order(rows: DataFrame, parts: int) -> DataFrame:
     """Deal (doc_id, text) to ``parts`` ranges of doc_id; the row after a range's last comes along, marked by ``tail``.
 
