@@ -32,7 +32,11 @@ ASSIGN_HINTS = ("passw", "secret", "token", "api")
 
 WEAK_ACCESS = re.compile(r"""\b(?:client|user|account|login|access)[_-]?(?:id|name|key)?["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{4,})""", re.ASCII | re.IGNORECASE)
 WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])[A-Za-z0-9+/_-]{20,}={0,2}", re.ASCII)
-ENDPOINT = re.compile(r"""\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp)://[^\s"'<>]+|\b(?:[a-z0-9-]+\.){2,}(?:com|net|org|io|internal|local)(?::[0-9]{2,5})?\b""", re.ASCII)
+URL = re.compile(r"""\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp)://[^\s"'<>]+""", re.ASCII)
+#: A chain of three labels at least, matched once as a whole; then its end is looked for.
+CHAIN = re.compile(r"(?<![a-z0-9-])[a-z0-9-]++(?:\.[a-z0-9-]++){2,}+")
+TOP = re.compile(r"(?:com|net|org|io|internal|local)(?::[0-9]{2,5})?\b", re.ASCII)
+BEGIN = re.compile(r"\b[a-z0-9-]", re.ASCII)
 
 KINDS = ("assign", "access", "hex", "weak_access", "weak_secret", "endpoint")
 
@@ -58,6 +62,32 @@ def strict_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def hosts(text: str, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of host names in a part of a text: labels, two at least, before the last top level of their chain. Linear in the part."""
+    for m in CHAIN.finditer(text, low, high):
+        starts = [m.start()]
+        while (dot := text.find(".", starts[-1], m.end())) >= 0:
+            starts.append(dot + 1)
+        for k in range(len(starts) - 1, 1, -1):
+            if top := TOP.match(text, starts[k], high):
+                begin = BEGIN.search(text, m.start(), starts[k - 1])
+                # Two whole labels must lie between the begin and the top level.
+                if begin and begin.start() < starts[k - 1]:
+                    yield begin.start(), top.end()
+                break
+
+
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """URLs, and host names between them."""
+    urls = [m.span() for m in URL.finditer(text)]
+    found = list(urls)
+    at = 0
+    for start, end in [*urls, (len(text), len(text))]:
+        found += hosts(text, at, start)
+        at = end
+    return found
+
+
 def weak_spans(text: str) -> list[Span]:
     """Candidates that need a complementary part nearby."""
     found = []
@@ -65,7 +95,7 @@ def weak_spans(text: str) -> list[Span]:
         found += [Span(m.start(1), 3, m.end(1)) for m in WEAK_ACCESS.finditer(text)]
     found += [Span(m.start(), 4, m.end()) for m in WEAK_SECRET.finditer(text)]
     if "://" in text or ".com" in text or ".net" in text or ".org" in text or ".io" in text or ".internal" in text or ".local" in text:
-        found += [Span(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
+        found += [Span(start, 5, end) for start, end in endpoints(text)]
     return found
 
 
