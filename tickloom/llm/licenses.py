@@ -64,9 +64,11 @@ def _scanned(docs: DataFrame, vocabulary: list[bytes], lengths: list[int]) -> Da
         joined = b" " + b" ".join(words) + b" "
         places, labels = [], []
         for phrase, label in phrases:
-            at = joined.find(phrase)
+            at, word, seen = joined.find(phrase), 0, 0
             while at >= 0:
-                places.append(joined.count(b" ", 0, at))
+                word += joined.count(b" ", seen, at)
+                seen = at
+                places.append(word)
                 labels.append(label)
                 at = joined.find(phrase, at + 1)
         return places, sorted(set(labels))
@@ -149,7 +151,7 @@ def _merged(diagonals: DataFrame) -> DataFrame:
     """Runs of neighbouring diagonals of one document and template, with the distinct template words they match.
 
     A run goes on while the next diagonal is within DRIFT and starts before or
-    soon after the run's end. A document has few diagonals of one template: at
+    soon after the end of the diagonal before. A document has few diagonals of one template: at
     most one for each of its words.
     """
     from pyspark.sql import Window
