@@ -157,10 +157,10 @@ def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> Model:
-    """A model of labels 0/1. One class only, or no rows: a constant."""
+    """A model of labels 0/1. One class only, or no rows: a constant. Leaves need weight, so few rows give few cuts or none."""
     rate = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.5
     model = Model(base=math.log(rate / (1 - rate)))
-    if len(y) < 20 or rate in (0, 1) or y.min() == y.max():
+    if not len(y) or y.min() == y.max():
         return model
     for j in range(x.shape[1]):
         model.edges.append(np.unique(np.quantile(x[:, j], np.arange(1, BINS) / BINS)))
@@ -235,11 +235,13 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
     Learns from ``labels.quality`` of rows whose crc32(doc_id) mod 3 is not 1,
     ``sample`` of them at most (about). Only the text is an input of a score.
     Nulls: a null text is empty, a null doc_id is not held out. Repeated rows
-    repeat; equal texts score alike. Without labels of both kinds every score
-    is the labels' rate (0.5 without any). Other columns are not read.
+    repeat; equal texts score alike. Of several texts of one labelled doc_id
+    the one with the least features is learnt from. Without labels of both
+    kinds every score is the labels' rate (0.5 without any). Other columns are
+    not read.
     """
     rows = Store(docs.sparkSession).keep(described(docs))
-    train = sampled(labelled(labels, "quality"), sample, "quality").join(rows, "doc_id").select("doc_id", "y", "x").dropDuplicates(["doc_id"])
+    train = sampled(labelled(labels, "quality"), sample, "quality").join(rows, "doc_id").groupBy("doc_id", "y").agg(F.min("x").alias("x"))
     got = train.orderBy("doc_id").toPandas()
     model = fit(np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES)), got["y"].to_numpy(float))
 
@@ -253,13 +255,21 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFra
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with their own columns; each row is judged by its own text."""
+    """The rows of ``docs`` that the classifier accepts, with their own columns; each row is judged by its own text.
+
+    Learns as ``quality`` does; of several texts of one labelled doc_id the one
+    with the least hash is learnt from. Nulls: a null text is judged as the
+    empty one, a null doc_id keeps its row if the text is accepted. Repeated
+    rows stay or go together. An empty table gives an empty one; without labels
+    of both kinds all rows stay if the labels' rate is half or more (without
+    any: all), else none.
+    """
     tag = fresh(docs, "tag")
     texts = docs.withColumn(tag, F.xxhash64(F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))))
     # Copies are described again rather than moved to be compared.
     rows = Store(docs.sparkSession).keep(described(texts.select(F.col(tag).alias("doc_id"), "text")))
     ids = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(tag).alias("text_id"))
-    train = sampled(labelled(labels, "quality"), sample, "quality").join(ids, "doc_id").dropDuplicates(["doc_id"]).join(rows.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "text_id"), "text_id")
+    train = sampled(labelled(labels, "quality"), sample, "quality").join(ids, "doc_id").groupBy("doc_id", "y").agg(F.min("text_id").alias("text_id")).join(rows.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "text_id"), "text_id")
     got = train.select("doc_id", "y", "x").orderBy("doc_id").toPandas()
     model = fit(np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES)), got["y"].to_numpy(float))
 
