@@ -1,8 +1,10 @@
 """The training-data operators against brute force, and their edge cases: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -148,6 +150,52 @@ def test_digest_counts_by_hand():
     assert (fingerprint.likeness(a, a) == 1).all() and not a[1].any()
 
 
+def plain_digest(data):
+    """The digest by its definition, one window and one bucket after another."""
+    counts = [0] * 128
+    for at in range(4, len(data)):
+        window = [data[at - k] for k in range(5)]
+        for salt, (j, k) in zip((2, 3, 5, 7, 11, 13), fingerprint.TRIPLETS, strict=True):
+            h = salt
+            for byte in (None, window[0], window[j], window[k]):
+                h = int(fingerprint.MIX[h if byte is None else h ^ byte])
+            counts[h % 128] += 1
+    q1, q2, q3 = (sorted(counts)[128 * k // 4 - 1] for k in (1, 2, 3))
+    head = [0 if not data else 1 + round(math.log(len(data)) / math.log(1.1)) % 255, (q1 * 100 // max(q3, 1) % 16) << 4 | q2 * 100 // max(q3, 1) % 16]
+    codes = [(c > q1) + (c > q2) + (c > q3) for c in counts]
+    return bytes(head + [sum(codes[4 * k + i] << 2 * i for i in range(4)) for k in range(32)])
+
+
+def plain_likeness(a, b):
+    steep = lambda gap: gap if gap <= 1 else (gap - 1) * 12
+    turn = lambda x, y, size: min(abs(x - y), size - abs(x - y))
+    score = steep(turn(a[0], b[0], 256)) + steep(turn(a[1] >> 4, b[1] >> 4, 16)) + steep(turn(a[1] & 15, b[1] & 15, 16))
+    for x, y in zip(a[2:], b[2:], strict=True):
+        score += sum((0, 1, 2, 6)[abs((x >> 2 * k & 3) - (y >> 2 * k & 3))] for k in range(4))
+    return 1 - min(score, 400) / 400
+
+
+def test_digests_equal_their_definition(spark, docs, texts, monkeypatch):
+    """Also of texts that are longer than what is counted at once."""
+    monkeypatch.setattr(fingerprint, "SEGMENT", 1000)
+    own = [t.encode() for t in list(texts.values())[:40]] + [b"", b"abcd", b"abcde", LONG.encode()[:5000], b"x" * 999, b"y" * 1004]
+    got = fingerprint.Digester().digests(own)
+    want = [plain_digest(x) for x in own]
+    assert [x.tobytes() for x in got] == want
+    for k in range(len(own) - 1):
+        assert fingerprint.likeness(got[k : k + 1], got[k + 1 : k + 2])[0] == pytest.approx(plain_likeness(want[k], want[k + 1]))
+
+
+def test_long_texts_take_little_memory():
+    import tracemalloc
+
+    text = random.Random(1).randbytes(20_000_000)
+    tracemalloc.start()
+    fingerprint.Digester().digests([text])
+    assert tracemalloc.get_traced_memory()[1] < 150_000_000
+    tracemalloc.stop()
+
+
 # ---- op2
 
 
@@ -198,6 +246,19 @@ def test_suffix_arrays():
         assert suffix_dedup.suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])  # noqa: B023
 
 
+def test_stores_clean_up(spark, docs):
+    """What operators wrote is gone when the block ends."""
+    from pathlib import Path
+
+    from tickloom.llm._common import cleaned
+
+    folder = Path(Store(spark).root.removeprefix("file://")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with cleaned():
+        assert simhash.near_duplicates(docs).count() == 200 and set(folder.iterdir()) > before
+    assert set(folder.iterdir()) == before
+
+
 def test_texts_longer_than_a_segment(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 2048)
     import pyarrow as pa
@@ -260,6 +321,52 @@ def test_classifiers_hold_out_and_learn(spark):
         assert np.mean([a == b for a, b in held]) >= least
 
 
+def test_few_labels_of_both_kinds_are_learnt_from():
+    x = np.concatenate([np.random.default_rng(0).random((9, 2)), 2 + np.random.default_rng(1).random((10, 2))])
+    y = np.repeat([0.0, 1.0], [9, 10])
+    assert ((quality.fit(x, y).score(x) >= 0.5) == y).all()
+
+
+def test_one_text_of_a_doc_id_is_learnt_from_whatever_the_order(spark):
+    draw = random.Random(3)
+    rows = [(k % 30, " ".join(draw.choice(["good words here.", "JUNK!!! 111", "||| === {}"]) for _ in range(20))) for k in range(90)]
+    marks = labels(spark, [(k, k % 2, 0) for k in range(30)])
+    told = [sorted(quality.quality(frame(spark, own).repartition(n), marks).collect(), key=str) for own, n in ((rows, 1), (rows[::-1], 7))]
+    assert told[0] == told[1]
+
+
+def test_copies_are_verified(spark):
+    """Training texts count once with their copies; texts that only share their least triple stay."""
+    words = [f"w{k}" for k in range(40)]
+    base = " ".join(words)
+    near, other = " ".join([*words[:-1], "end"]), " ".join([*words[:20], *(f"v{k}" for k in range(40))])
+    rows = [(1, 0, base, 7), (2, 0, base, 7), (3, 0, near, 7), (4, 0, other, 7), (5, 1, base, 7), (6, 0, None, 0), (7, 0, "!!", 0), (8, 0, "", 0)]
+    got = toxicity._single(spark.createDataFrame(rows, "doc_id long, y int, text string, sign long")).collect()
+    assert sorted((r.y, r.text) for r in got) == sorted([(0, base), (0, other), (1, base), (0, ""), (0, "!!")])
+    assert toxicity.words_of("ÉÉÉÉÉÉ x\u2003y, 1") == ["éééééé", "x\u2003y", "1"] and toxicity.STEMS("éééééé") == "ééééé"
+
+
+def test_log_odds_and_law_by_definition(spark):
+    """Log-odds under the pooled prior, the statistic, and the root of the law, each by plain Python."""
+    counts = spark.createDataFrame([("a", False, 8, 2), ("b", False, 0, 9), ("c", True, 3, 0)], "token string, stem boolean, toxic long, other long")
+    for r in toxicity._log_odds(counts, 10, 30).collect():
+        share = (r.toxic + r.other) / 40 * 20
+        a, b = r.toxic + share, r.other + share
+        assert r.delta == pytest.approx(math.log(a / (30 - a + 1)) - math.log(b / (50 - b + 1))) and r.chance == pytest.approx(b / 50)
+        expected = lambda kind: (r.toxic + r.other) * kind / 40  # noqa: B023, E731
+        assert r.g == pytest.approx(2 * sum(n * math.log(n / expected(kind)) for n, kind in ((r.toxic, 10), (r.other, 30)) if n))
+    tokens = [{"delta": 2.0, "stem": False, "chance": 0.3}, {"delta": 1.0, "stem": False, "chance": 0.5}]
+    rate = toxicity._law(tokens, 10.0)
+    assert 0.03 * math.exp(rate * 2) + 0.05 * math.exp(rate) + 0.92 * math.exp(rate * toxicity.DRIFT) == pytest.approx(1, abs=1e-6)
+
+
+def test_calibration_puts_the_cut_between_the_kinds():
+    excess, y = np.array([0.0, 0, 1, 2, 8, 9, 12]), np.array([0, 0, 0, 0, 1, 1, 1])
+    slope, shift = toxicity._calibrate(excess, y)
+    score = 1 / (1 + np.exp(-slope * (excess - shift)))
+    assert ((score >= toxicity.CUT) == y).all()
+
+
 def test_segments_are_the_maximal_ones():
     draw = random.Random(4)
 
@@ -427,6 +534,28 @@ def test_long_complements_link_by_their_ends():
         assert credentials.linked(strict, weak) == want
 
 
+ENDPOINT = re.compile(r"""\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp)://[^\s"'<>]+|\b(?:[a-z0-9-]+\.){2,}(?:com|net|org|io|internal|local)(?::[0-9]{2,5})?\b""", re.A)
+
+
+def test_endpoints_equal_one_pattern_and_stay_linear():
+    draw = random.Random(9)
+    parts = ["a", "b-", "-", "A", "_", ".", ".", ".", "com", "io", "local", ":80", ":8", " ", "http://", "x1", "net", "é", "'"]
+    for _ in range(20_000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 14)))
+        assert sorted(credentials.endpoints(text)) == [m.span() for m in ENDPOINT.finditer(text)], text
+    began = time.perf_counter()
+    for long in ("a-" * 400_000 + "x.com", "a." * 400_000 + "x .com", "AKIA" * 200_000, "secret" + " " * 800_000, "mit license " * 50_000):
+        credentials.strict_spans(long), credentials.weak_spans(long)
+    assert time.perf_counter() - began < 20
+
+
+def test_many_license_phrases_of_one_text(spark):
+    text = "mit license " * 60_000
+    began = time.perf_counter()
+    row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert (row.n_base, row.first_word, row.last_word) == (60_000, 0, 119_998) and time.perf_counter() - began < 60
+
+
 def test_licenses_base_and_diagonals(spark, docs, texts):
     mit = licenses.TEMPLATES[0][1]
     cases = dict(texts)

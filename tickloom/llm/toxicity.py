@@ -1,7 +1,8 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Words and five-byte stems get log-odds of toxic against other training
-documents under an informative Dirichlet prior. A linear scan finds every
+Words and their first five characters get log-odds of toxic against other
+training documents under an informative Dirichlet prior; of near copies among
+the training documents one counts. A linear scan finds every
 maximal segment of a document's token scores. Segment scores follow an
 extreme-value law on clean text; its rate and place are fitted on the clean
 training documents, and a document's score adds up what its segments exceed
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm._common import Store, slices
-from tickloom.llm.decontaminate import run_hashes, word_codes, words_of
+from tickloom.llm.decontaminate import WORDS, run_hashes, word_codes
 from tickloom.llm.quality import fold, labelled, sampled
 
 #: Training documents at most (about), drawn by a hash of doc_id.
@@ -34,20 +35,28 @@ CUT = 0.7
 PRIOR, LEAST_G, EXPECT = 20.0, 24.0, 0.01
 STEM = 5
 STEMS = itemgetter(slice(STEM))
+#: Share of word triples from which two training documents count as one.
+COPY = 0.8
 #: Score of a token that the model doesn't know: text drifts down between toxic words.
 DRIFT = -0.5
 
 
+def words_of(text: str | None) -> list[str]:
+    """Lower-case words: runs of digits, letters a-z and non-ASCII characters."""
+    parts = (text or "").lower().encode().translate(WORDS).decode()
+    return parts.split() if parts.isascii() else [w for w in parts.split(" ") if w]
+
+
 @dataclass
 class Model:
-    words: dict[bytes, float] = field(default_factory=dict)
-    stems: dict[bytes, float] = field(default_factory=dict)
+    words: dict[str, float] = field(default_factory=dict)
+    stems: dict[str, float] = field(default_factory=dict)
     rate: float = 1.0
     log_k: float = 0.0
     slope: float = 0.0
     shift: float = 0.0
 
-    def scores(self, words: list[bytes]) -> np.ndarray:
+    def scores(self, words: list[str]) -> np.ndarray:
         whole = np.fromiter(map(self.words.get, words, repeat(DRIFT)), float, len(words))
         if self.stems:
             np.maximum(whole, np.fromiter(map(self.stems.get, map(STEMS, words), repeat(DRIFT)), float, len(words)), out=whole)
@@ -87,21 +96,46 @@ def _excess(model: Model, found: list[tuple[int, int, float]], size: int) -> lis
     return [x for x in over if x[2] >= -math.log(EXPECT)]
 
 
+def _triples(text: str | None) -> np.ndarray:
+    """The distinct hashes of a text's word triples; a shorter text is one run."""
+    codes = word_codes([w.encode() for w in words_of(text)])
+    return np.unique(run_hashes(codes, min(3, len(codes)))) if len(codes) else np.empty(0, np.int64)
+
+
 def _signed(docs: DataFrame) -> DataFrame:
     """(doc_id, y, text, sign): the least hash of the text's word triples, which near copies mostly share."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            least = []
-            for text in batch.column("text").to_pylist():
-                codes = word_codes(words_of((text or "").lower().encode()))
-                runs = run_hashes(codes, min(3, len(codes))) if len(codes) else codes
-                least.append(int(runs.min()) if len(runs) else 0)
+            least = [int(own[0]) if len(own := _triples(text)) else 0 for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "y", "text")), pa.array(least, pa.int64())], ["doc_id", "y", "text", "sign"])
 
     return docs.select("doc_id", "y", "text").mapInArrow(sign, "doc_id long, y int, text string, sign long")
 
 
+def _single(rows: DataFrame) -> DataFrame:
+    """(y, text): the signed rows without those whose text is a copy of the first one with their sign and label.
+
+    A sign only proposes: the triples of both texts are compared, and a row
+    below COPY stays. Texts without words are copies where they are equal.
+    """
+    text = F.coalesce("text", F.lit(""))
+    first = rows.groupBy("sign", "y").agg(F.min(F.struct("doc_id", text.alias("text"))).alias("first"))
+    met = rows.join(first, ["sign", "y"]).select("doc_id", "y", text.alias("text"), F.col("first.doc_id").alias("first_id"), F.col("first.text").alias("first_text"))
+    others = met.where("text <> first_text").dropDuplicates(["y", "text"])
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            kept = []
+            for own, other in zip(batch.column("text").to_pylist(), batch.column("first_text").to_pylist(), strict=True):
+                a, b = _triples(own), _triples(other)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                kept.append(not common or common < COPY * (len(a) + len(b) - common))
+            yield batch.select(["y", "text"]).filter(pa.array(kept))
+
+    return first.select("y", "first.text").unionByName(others.select("y", "text", "first_text").mapInArrow(differ, "y int, text string"))
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """(token, stem, toxic, other): in how many training documents of each kind a word or stem occurs."""
 
@@ -109,16 +143,16 @@ def _counted(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             tally = {key: Counter() for key in ((0, False), (0, True), (1, False), (1, True))}
             for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = set(words_of((text or "").lower().encode()))
+                words = set(words_of(text))
                 tally[y, False].update(words)
                 tally[y, True].update({w[:STEM] for w in words if len(w) > STEM})
             for (y, stem), counts in tally.items():
                 n = np.fromiter(counts.values(), np.int64, len(counts))
                 none = np.zeros(len(n), np.int64)
-                columns = [pa.array(list(counts), pa.binary()), pa.array(np.full(len(n), stem)), pa.array(n if y else none), pa.array(none if y else n)]
+                columns = [pa.array(list(counts), pa.string()), pa.array(np.full(len(n), stem)), pa.array(n if y else none), pa.array(none if y else n)]
                 yield pa.RecordBatch.from_arrays(columns, ["token", "stem", "toxic", "other"])
 
-    counted = docs.mapInArrow(count, "token binary, stem boolean, toxic long, other long")
+    counted = docs.mapInArrow(count, "token string, stem boolean, toxic long, other long")
     return counted.groupBy("token", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
@@ -157,12 +191,15 @@ def _scan(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, size, most (best segment), excess, and the significant passages (start word, end word, excess)."""
     passages = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()), ("excess", pa.float64())]))
     schema = "doc_id long, size long, most double, excess double, passages array<struct<first_word:long,end_word:long,excess:double>>"
+    # As large as the tokens of the bounded training sample.
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in slices(batches):
             size, most, excess, spans = [], [], [], []
             for text in batch.column("text").to_pylist():
-                words = words_of((text or "").lower().encode())
+                words = words_of(text)
                 found = segments(model.scores(words)) if words else []
                 over = _excess(model, found, len(words))
                 size.append(len(words))
@@ -199,8 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     drawn = sampled(labelled(labels, "toxic"), sample, "toxic")
     rows = store.keep(_signed(texts.join(F.broadcast(drawn), "doc_id")))
     # Copies would make every word of theirs look telling, so one of each counts.
-    first = rows.groupBy("sign", "y").agg(F.min("doc_id").alias("doc_id"))
-    single = store.keep(rows.join(first, ["sign", "y", "doc_id"], "left_semi").select("y", "text"))
+    single = store.keep(_single(rows))
     kinds = {r["y"]: r["n"] for r in single.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
         return None
@@ -209,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     kept = scored.where((F.col("g") >= LEAST_G) & (F.col("toxic") >= 3) & (F.col("delta") > 1)).orderBy(F.desc("g"), "token", "stem").collect()
     model = Model()
     for t in kept:
-        (model.stems if t["stem"] else model.words)[bytes(t["token"])] = t["delta"]
+        (model.stems if t["stem"] else model.words)[t["token"]] = t["delta"]
     seen = store.keep(_scan(rows.select("doc_id", "text"), model).select("doc_id", "size", "most").join(rows.select("doc_id", "y"), "doc_id"))
     clean = seen.where("y = 0 and size > 0").agg(F.avg("size").alias("size"), F.avg("most").alias("most"), F.avg(F.log("size")).alias("log_size")).first()
     if clean["size"]:
@@ -226,7 +262,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
     ``passages`` are the significant toxic segments as start:end word places.
     Learns from rows whose crc32(doc_id) mod 3 is not 1, ``sample`` of them at
-    most (about); only the text is an input of a score. Nulls: a null text is
+    most (about), and counts a training text once with its copies: equal ones,
+    and those that share its least word triple and COPY of all triples. Only
+    the text is an input of a score. Nulls: a null text is
     empty (no passages, the lowest score), a null doc_id is not held out.
     Repeated rows repeat. Without labels of both kinds all scores are 0.
     """
