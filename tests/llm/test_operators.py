@@ -405,7 +405,9 @@ def test_model_has_interactions():
 # ---- op5
 
 
-def test_lines_equal_brute_force(spark, docs, texts):
+@pytest.mark.parametrize("team", [512, 4])
+def test_lines_equal_brute_force(spark, docs, texts, monkeypatch, team):
+    monkeypatch.setattr(line_dedup, "TEAM", team)
     lines = [(i, n, s) for i in sorted(texts) for n, s in line_dedup.lines_of(texts[i])]
     distinct = sorted({s for *_, s in lines})
     sets = [frozenset(s[k : k + 8] for k in range(len(s) - 7)) or frozenset([s]) for s in distinct]
@@ -480,8 +482,37 @@ def test_team_comparison_ways_agree(monkeypatch):
     assert parts(line_dedup.Teams(lines).links([team])) == want
 
 
+def test_blocks_of_a_large_team_lose_no_component(spark, monkeypatch):
+    """Near copies of two lines and chains between strangers, all one candidate group, dealt in blocks of six."""
+    monkeypatch.setattr(line_dedup, "TEAM", 6)
+    draw = random.Random(11)
+    lines = []
+    for _ in range(2):
+        own = "".join(draw.choice("abcdefgh ") for _ in range(150))
+        for _ in range(20):
+            at = draw.randint(0, 149)
+            lines.append(own[:at] + draw.choice("xyz") + own[at + 1 :])
+    chain = "".join(draw.choice("ijklmnop") for _ in range(100))
+    for k in range(15):
+        lines.append(chain[: 100 - 7 * k] + "q" * (7 * k))
+    lines = sorted(set(lines))
+    ids = line_dedup.line_ids(lines)[:, 0].tolist()
+    groups = spark.createDataFrame([(1, 1, len(lines), i) for i in ids], "deal long, team long, n long, line long")
+    contents = spark.createDataFrame(list(zip(ids, lines, strict=True)), "line long, content string")
+    sets = [{s[k : k + 8] for k in range(len(s) - 7)} for s in lines]
+    want, got = line_dedup.Forest(len(lines)), line_dedup.Forest(len(lines))
+    for i in range(len(lines)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                want.join(i, j)
+    place = {i: k for k, i in enumerate(ids)}
+    for r in line_dedup._large_links(groups, contents, 4, Store(spark)).collect():
+        got.join(place[r.a], place[r.b])
+    assert got.links() == want.links()
+
+
 def test_band_recall():
-    assert line_dedup.expected_recall(0.8) > 0.995
+    assert 1 - (1 - 0.8**line_dedup.ROWS) ** line_dedup.BANDS > 0.995
     draw = random.Random(6)
     hit = 0
     for _ in range(300):

@@ -7,15 +7,18 @@ Jaccard similarity of 0.8, and nearly all above. Exact Jaccard similarity of
 the shingle sets decides, and distributed union-find joins the links to
 components, of which the first line of the corpus stays.
 
-Band rows are 16 bytes and carry no text. Equal lines are one line from the
-start, equal candidate groups of several bands are verified once, and texts are
-fetched for candidates only.
+Band rows are 16 bytes, carry no text and travel packed, a row for each slice
+of texts and share of the keys. Equal lines are one line from the start, equal
+candidate groups of several bands are verified once, and texts are fetched for
+candidates only. A group above ``TEAM`` lines is dealt in blocks, each with the
+group's pivots; only the lines that no pivot's component takes in are held
+against the other blocks, block by block, so that no task sees a whole group
+and no link between components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,10 @@ BANDS, ROWS = 12, 4
 BINS = BANDS * ROWS
 #: Lines of a candidate group up to which its pairs are compared in one sort; beyond, by tables of BLOCK lines and TABLE cells at most.
 SMALL, BLOCK, TABLE = 16, 1024, 2 << 20
-#: Band rows that one task sorts, about.
-TASK_ROWS = 2_000_000
+#: Lines of a candidate group, or of a block of a larger group, that one task compares; and pivots of a larger group.
+TEAM, PIVOTS = 512, 8
+#: Band rows that one task sorts, about; and packed shares of the keys for each task.
+TASK_ROWS, SHARES = 2_000_000, 16
 #: Bits of a shingle's code.
 CODE = 50
 #: Bits that address the candidates' bit table.
@@ -112,15 +117,38 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
 
 
+class Forest:
+    """Union-find over the numbers 0..n-1; the least number of a component is its root."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+
+    def links(self) -> list[tuple[int, int]]:
+        """Each number with its root, where they differ."""
+        return [(x, r) for x in range(len(self.parent)) if (r := self.root(x)) != x]
+
+
 class Teams:
     """Exact comparison of the lines of many candidate groups at once.
 
     A line's shingles are a sorted run of distinct 50-bit codes; a pair's common
     shingles are the equal neighbours after sorting both runs together, many
-    pairs in one sort.
+    pairs in one sort. Before two components are joined, the shingles
+    themselves of the pair that joins them are compared.
     """
 
     def __init__(self, lines: list[str]):
+        self.lines = lines
         codes, owner = shingles(lines)
         n = len(lines)
         most = 1 << (64 - CODE)
@@ -133,6 +161,12 @@ class Teams:
         self.codes = np.concatenate(parts) & np.uint64((1 << CODE) - 1) if parts else np.empty(0, np.uint64)
         self.start = np.cumsum(self.size) - self.size
 
+    def exact(self, a: int, b: int) -> bool:
+        """Whether two lines' shingle sets have a Jaccard similarity of SIMILAR."""
+        x, y = ({s[k : k + SHINGLE] for k in range(len(s) - SHINGLE + 1)} for s in (self.lines[a], self.lines[b]))
+        common = len(x & y)
+        return common >= SIMILAR * (len(x) + len(y) - common) - 1e-6
+
     def similar(self, left: np.ndarray, right: np.ndarray, least: float = SIMILAR) -> np.ndarray:
         """Whether each pair of lines has a Jaccard similarity of ``least``."""
         out = np.zeros(len(left), bool)
@@ -160,8 +194,8 @@ class Teams:
         The pairs of small teams are compared in one go, each pair once;
         larger teams by products of their shingle tables.
         """
+        forest = Forest(len(self.lines))
         small = [t for t in teams if len(t) <= SMALL]
-        found: list[tuple[int, int]] = []
         if small:
             by_size: dict[int, list[np.ndarray]] = {}
             for t in small:
@@ -175,14 +209,19 @@ class Teams:
             close = np.minimum(self.size[left], self.size[right]) >= SIMILAR * np.maximum(self.size[left], self.size[right]) - 1e-6
             left, right = left[close], right[close]
             near = self.similar(left, right)
-            found += zip(left[near].tolist(), right[near].tolist(), strict=True)
+            for a, b in zip(left[near].tolist(), right[near].tolist(), strict=True):
+                self._join(forest, a, b)
         for team in teams:
             if len(team) > SMALL:
-                found += self._large(team)
-        return spanning(found)
+                self._large(team, forest)
+        return forest.links()
+
+    def _join(self, forest: Forest, a: int, b: int) -> None:
+        if forest.root(a) != forest.root(b) and self.exact(a, b):
+            forest.join(a, b)
 
-    def _large(self, team: np.ndarray) -> list[tuple[int, int]]:
-        """Each line of a large team with the first of its component. Blocks that are connected already are not compared."""
+    def _large(self, team: np.ndarray, forest: Forest) -> None:
+        """Join the similar lines of a large team. Blocks that are connected already are not compared."""
         size = self.size[team]
         row = np.repeat(np.arange(len(team)), size)
         codes = self.codes[np.repeat(self.start[team] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
@@ -194,12 +233,16 @@ class Teams:
         kept = shared[group]
         column, row = (np.cumsum(shared) - 1)[group[kept]], row[kept]
         width = max(256, TABLE // min(len(team), BLOCK))
-        part = np.arange(len(team))
+        names = team.tolist()
+
+        def parts(of: np.ndarray) -> np.ndarray:
+            return np.array([forest.root(names[k]) for k in of.tolist()])
+
         for i in range(0, len(team), BLOCK):
             a = np.arange(i, min(i + BLOCK, len(team)))
             for j in range(i, len(team), BLOCK):
                 b = np.arange(j, min(j + BLOCK, len(team)))
-                if len(set(part[a].tolist()) | set(part[b].tolist())) == 1:
+                if len(set(parts(a).tolist()) | set(parts(b).tolist())) == 1:
                     continue
                 common = np.zeros((len(a), len(b)), np.float32)
                 for at in range(0, int(shared.sum()), width):
@@ -213,28 +256,10 @@ class Teams:
                     common += tables[0] @ tables[-1].T
                 near = common >= SIMILAR * (size[a][:, None] + size[b][None, :] - common) - 1e-6
                 for k in np.flatnonzero(near.any(axis=1)).tolist():
-                    met = np.unique(part[b[near[k]]])
-                    met = met[met != part[a[k]]]
-                    if len(met):
-                        part[np.isin(part, met)] = part[a[k]]
-        return [(int(team[k]), int(team[p])) for k, p in enumerate(part.tolist()) if k != p]
-
-
-def spanning(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """As many links as join the same components."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    for a, b in links:
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    return [(x, root(x)) for x in list(parent)]
+                    others = b[near[k]]
+                    met = parts(others)
+                    for x in others[met != forest.root(names[a[k]])].tolist():
+                        self._join(forest, names[a[k]], names[x])
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
@@ -258,17 +283,26 @@ def _occurrences(rows: DataFrame) -> DataFrame:
     return rows.select(*KEY, "text").mapInArrow(scan, schema)
 
 
-def _band_rows(rows: DataFrame) -> DataFrame:
-    """(band, line): the band keys of each distinct line of a slice."""
+def _band_rows(rows: DataFrame, shares: int) -> DataFrame:
+    """(share, packed): the (band key, line id) pairs of each distinct line of a slice, as 16 bytes each, a row for each share of the keys."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=2 << 20):
             own = list(dict.fromkeys(line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE))
-            if own:
-                ids = line_ids(own)[:, 0].copy()
-                yield pa.RecordBatch.from_arrays([pa.array(bands(own).ravel()), pa.array(np.repeat(ids, BANDS))], ["band", "line"])
+            if not own:
+                continue
+            pairs = np.empty((len(own) * BANDS, 2), np.int64)
+            pairs[:, 0] = bands(own).ravel()
+            pairs[:, 1] = np.repeat(line_ids(own)[:, 0], BANDS)
+            share = ((pairs[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(shares) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(share, kind="stable")
+            count = np.bincount(share, minlength=shares)
+            there = np.flatnonzero(count)
+            ends = np.append(0, np.cumsum(count[there]) * 16).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(there), [None, pa.py_buffer(ends), pa.py_buffer(pairs[order])])
+            yield pa.RecordBatch.from_arrays([pa.array(there), packed], ["share", "packed"])
 
-    return rows.select("text").mapInArrow(scan, "band long, line long")
+    return rows.select("text").mapInArrow(scan, "share long, packed binary")
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
@@ -290,21 +324,22 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _groups(band_rows: DataFrame, parts: int) -> DataFrame:
-    """(deal, team, line): lines that share a band; a team is known by its members, so that equal teams of several bands are one.
+def _groups(rows: DataFrame, parts: int) -> DataFrame:
+    """(deal, team, n, line): lines that share a band; a team is known by its members, so that equal teams of several bands are one.
 
     Small teams are dealt by their first line: the teams of one line's bands
-    meet in one task, which compares each of their pairs once.
+    meet in one task, which compares each of their pairs once. ``n`` is the
+    size of the team.
 
     A task sorts one partition's keys, 16 bytes a row; ``parts`` keeps
     partitions at TASK_ROWS rows, so it holds about 100 MB.
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column("band").to_numpy(), b.column("line").to_numpy()) for b in batches if b.num_rows]
+        held = [np.frombuffer(b"".join(b.column("packed").to_pylist()), np.int64).reshape(-1, 2) for b in batches if b.num_rows]
         if not held:
             return
-        band, line = (np.concatenate(x) for x in zip(*held, strict=True))
+        band, line = (np.concatenate([x[:, k] for x in held]) for k in (0, 1))
         held.clear()
         order = np.argsort(band)
         band, line = band[order], line[order]
@@ -322,15 +357,15 @@ def _groups(band_rows: DataFrame, parts: int) -> DataFrame:
         if many.any():
             team = np.add.reduceat(_mixed(line.view(np.uint64), 1), start).view(np.int64)
             deal = np.where(size <= SMALL, line[start], team)
-            columns = [np.repeat(deal, size)[many], np.repeat(team, size)[many], line[many]]
+            columns = [np.repeat(deal, size)[many], np.repeat(team, size)[many], np.repeat(size, size)[many], line[many]]
             for at in range(0, len(columns[0]), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in columns], ["deal", "team", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in columns], ["deal", "team", "n", "line"])
 
-    return band_rows.repartition(parts, "band").mapInArrow(gather, "deal long, team long, line long")
+    return _band_rows(rows, SHARES * parts).repartition(parts, "share").mapInArrow(gather, "deal long, team long, n long, line long")
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line, content) of the wanted line ids, read from the documents through a bit table of fixed size."""
+    """(line, line2, content) of the wanted line ids, read from the documents through a bit table of fixed size; of lines whose first hashes are equal, one."""
     place = F.shiftrightunsigned("line", 64 - TABLE_BITS) + 1
     parts = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     table = bytearray(1 << (TABLE_BITS - 3))
@@ -344,17 +379,17 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             own = list(dict.fromkeys(line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE))
             if not own:
                 continue
-            ids = line_ids(own)[:, 0].copy()
-            at = ids.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+            ids = line_ids(own)
+            at = ids[:, 0].copy().view(np.uint64) >> np.uint64(64 - TABLE_BITS)
             hit = np.flatnonzero(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array([own[k] for k in hit.tolist()], pa.string())], ["line", "content"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[hit, 0]), pa.array(ids[hit, 1]), pa.array([own[k] for k in hit.tolist()], pa.string())], ["line", "line2", "content"])
 
-    found = rows.select("text").mapInArrow(scan, "line long, content string").join(wanted, "line", "left_semi")
-    return found.groupBy("line").agg(F.min("content").alias("content"))
+    found = rows.select("text").mapInArrow(scan, "line long, line2 long, content string").join(wanted, "line", "left_semi")
+    return found.groupBy("line").agg(F.min("line2").alias("line2"), F.min_by("content", "line2").alias("content"))
 
 
 def _verified(groups: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
-    """(a, b): links of lines that are similar indeed."""
+    """(a, b): links of lines that are similar indeed, from groups of TEAM lines at most."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, "deal"):
@@ -371,6 +406,60 @@ def _verified(groups: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
     return full.repartition(parts, "deal").sortWithinPartitions("deal").mapInArrow(check, "a long, b long")
 
 
+def _compared(units: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
+    """(a, b, team): the links inside each unit (unit, team, line, pivot), and with b null the lines that the component of the unit's least pivot doesn't hold."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, "unit"):
+            unit, line, team, pivot = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("unit", "line", "team", "pivot"))
+            order = np.lexsort((line, unit))
+            for own in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1):
+                ids = line[own]
+                found = Teams(batch.column("content").take(pa.array(own)).to_pylist()).links([np.arange(len(own))])
+                root = np.arange(len(own))
+                for x, r in found:
+                    root[x] = r
+                least = np.flatnonzero(pivot[own])
+                apart = np.flatnonzero(root != root[least[0]]) if len(least) else np.empty(0, np.int64)
+                a = np.concatenate([ids[[x for x, _ in found]] if found else ids[:0], ids[apart]])
+                b = pa.array([int(ids[r]) for _, r in found] + [None] * len(apart), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(np.full(len(a), team[own[0]]))], ["a", "b", "team"])
+
+    full = units.join(texts, "line").select("unit", "team", "line", "pivot", "content")
+    return full.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(check, "a long, b long, team long")
+
+
+def _large_links(groups: DataFrame, texts: DataFrame, parts: int, store: Store) -> DataFrame:
+    """(a, b): links that span the components of groups above TEAM lines (team, n, line).
+
+    Every block is compared with itself and the group's pivots. Lines that end
+    up beside the least pivot are one component; any other line may still be
+    similar to a line of another block, so these are dealt in blocks too and
+    each is held against each block of the group. Work and copies grow with
+    the lines that no pivot settles times the blocks of their group.
+    """
+    member = groups.select("team", "line", F.ceil(F.col("n") / TEAM).cast("long").alias("blocks")).distinct()
+    member = store.keep(member.withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks"))))
+    chosen = F.array_compact(F.array(*(F.min(F.when(F.pmod("line", F.lit(PIVOTS)) == k, F.col("line"))) for k in range(PIVOTS))))
+    teams = member.groupBy("team").agg(F.max("blocks").alias("blocks"), chosen.alias("pivots"))
+    own = F.xxhash64("team", "block")
+    pivots = teams.select("team", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "pivots").select("team", "block", F.explode("pivots").alias("line"))
+    units = member.select(own.alias("unit"), "team", "line", F.lit(False).alias("pivot")).unionByName(pivots.select(own.alias("unit"), "team", "line", F.lit(True).alias("pivot")))
+    units = units.groupBy("unit", "team", "line").agg(F.max("pivot").alias("pivot"))
+    first = store.keep(_compared(units, texts, parts))
+    found = first.where("b is not null").select("a", "b")
+    # A pivot stands in every block; it is apart only if it is so in each, but a line too many costs time only.
+    rest = store.keep(first.where("b is null").select("team", F.col("a").alias("line")).distinct())
+    if rest.isEmpty():
+        return found
+    sizes = rest.groupBy("team").agg(F.ceil(F.count("*") / TEAM).cast("long").alias("others"))
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    left = rest.join(teams.select("team", "blocks"), "team").join(sizes, "team").select("team", "line", F.pmod(F.xxhash64(F.lit("rest"), "line"), F.col("others")).alias("other"), spread)
+    right = member.join(sizes, "team").select("team", "line", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).alias("other"), "block")
+    crossed = left.unionByName(right, allowMissingColumns=True).select(F.xxhash64("team", "other", "block").alias("unit"), "team", "line", F.lit(False).alias("pivot")).distinct()
+    return found.unionByName(_compared(crossed, texts, parts).where("b is not null").select("a", "b"))
+
+
 def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
     """(doc_id, h1, h2, rows, n_lines, removed array<long>, joined array<long>) for each distinct (doc_id, text).
 
@@ -378,21 +467,27 @@ def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
     component precedes, by doc_id (null first), text hash and number;
     ``joined`` are the ids of the components that the document's lines belong
     to and that hold several lines, ascending; ``rows`` is how often the row
-    occurs. A line's id is a 64-bit hash of its stripped text; equal lines are
-    told by 128 bits.
+    occurs. A line's id is a 64-bit hash of its stripped text. Equal lines, and
+    the lines that a link stands for, are told by 128 bits: where two lines
+    share an id, one of them loses its links, but no line is taken for another.
     """
     store = store or Store(docs.sparkSession)
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
     seen = store.keep(_occurrences(rows))
     enough = -(-seen.count() * BANDS // TASK_ROWS)
-    groups = store.keep(_groups(_band_rows(rows), max(parts, enough)).distinct())
+    groups = store.keep(_groups(rows, max(parts, enough)).distinct())
     wanted = store.keep(groups.select("line").distinct())
     texts = store.keep(_texts(rows, wanted))
-    roots = store.keep(components(_verified(groups, texts, parts), store))
+    links = _verified(groups.where(F.col("n") <= TEAM), texts, parts)
+    large = groups.where(F.col("n") > TEAM)
+    if not large.isEmpty():
+        links = links.unionByName(_large_links(large, texts, parts, store))
+    roots = components(links, store).withColumnRenamed("node", "line")
+    roots = store.keep(roots.join(texts.select("line", "line2"), "line"))
     store.drop(groups, texts, wanted)
 
-    named = seen.where("number is not null").join(roots.withColumnRenamed("node", "line"), "line", "left")
+    named = seen.where("number is not null").join(roots, ["line", "line2"], "left")
     named = named.select(*KEY, "number", F.coalesce("root", "line").alias("part"), F.when(F.col("root").isNull(), F.col("line2")).otherwise(0).alias("part2"))
     named = store.keep(named)
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), *KEY, "number")
@@ -431,7 +526,11 @@ def line_report(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents without their repeated lines; n_chars follows, and a document that loses all its lines goes.
 
-    Columns are those of ``docs``. Identical rows lose the same lines.
+    Columns are those of ``docs``. Identical rows lose the same lines. Nulls: a
+    null text has no lines and stays null, as do empty texts and texts of
+    blanks; a null doc_id keeps its row and comes first. Of lines in one place
+    of the order (rows of one doc_id) the text's hash, then the number decides.
+    An empty table gives an empty one.
     """
     judged = judged_lines(docs).select(*KEY, "n_lines", "removed").where(F.size("removed") > 0)
     one, two, gone = fresh(docs, "hash"), fresh(docs, "hash2"), fresh(docs, "gone")
@@ -445,9 +544,3 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         edited["n_chars"] = F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length(kept)).cast(docs.schema["n_chars"].dataType)
     return met.select(*(edited[c].alias(c) if c in edited else base[c] for c in docs.columns))
-
-
-@cache
-def expected_recall(similar: float) -> float:
-    """Share of pairs of a similarity that become candidates."""
-    return 1 - (1 - similar**ROWS) ** BANDS
