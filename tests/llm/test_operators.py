@@ -117,7 +117,8 @@ def test_empty_tables(spark, empty):
 
 def test_filters_keep_foreign_columns(spark, odd):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
-    for out in (quality.good_documents(odd, labels(spark, [])), line_dedup.without_repeats(odd), simhash.one_of_each(odd), decontaminate.clean_documents(odd, bench)):
+    for out in (quality.good_documents(odd, labels(spark, [])), line_dedup.without_repeats(odd), simhash.one_of_each(odd), decontaminate.clean_documents(odd, bench), mixing.mixed_documents(odd)):
+        out = out.drop("mix_copies_", "mix_taken")
         assert out.columns == odd.columns
         assert set(r.tag for r in out.select("tag").collect()) <= {"x"}
     clean = decontaminate.clean_documents(odd, bench)
@@ -699,12 +700,59 @@ def test_component_rounds_grow_with_the_logarithm(spark):
 # ---- op10
 
 
-def test_targets_share_and_stop():
-    got = mixing.targets({"b": 1000, "a": 1000, None: 1000, "c": 1})
+def plain_targets(totals, weights=(1.0, 2.0, 3.0)):
+    """Shares by weight; what a source cannot give is shared again among the rest."""
+    order = sorted((s for s in totals if s is not None), key=lambda s: s.encode()) + [None] * (None in totals)
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    total, out, free = float(sum(totals.values())), {}, list(order)
+    while free:
+        left, unit = total - sum(out.values()), sum(weight[x] for x in free)
+        over = [s for s in free if left * weight[s] / unit > 3 * totals[s]]
+        out |= {s: 3.0 * totals[s] for s in over} if over else {s: left * weight[s] / unit for s in free}
+        free = [s for s in free if s not in out]
+    return out
+
+
+def told_targets(spark, totals):
+    rows = spark.createDataFrame(list(totals.items()), "source string, total long").repartition(3)
+    return {r.source: r.target for r in mixing.targets(rows, Store(spark)).collect()}
+
+
+def test_targets_share_and_stop(spark):
+    got = told_targets(spark, {"b": 1000, "a": 1000, None: 1000, "c": 1})
     assert got["c"] == 3.0 and sum(got.values()) == pytest.approx(3001)
     rest = 3001 - 3
     assert got["a"] == pytest.approx(rest / 4) and got["b"] == pytest.approx(rest / 2) and got[None] == pytest.approx(rest / 4)
-    assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0.0}
+    assert told_targets(spark, {}) == {} and told_targets(spark, {"a": 0}) == {"a": 0.0}
+    draw = random.Random(2)
+    for n in (1, 7, 60):
+        totals = {draw.choice(["é", "z", "A", "\U0001f600", "\uffff", ""]) + str(k): int(10 ** draw.uniform(0, 6)) for k in range(n)} | {None: 5}
+        got, want = told_targets(spark, totals), plain_targets(totals)
+        assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
+
+
+def test_many_sources(spark):
+    """A hundred thousand sources, with a shuffled join in place of the broadcast, meet the same targets."""
+    n = 100_000
+    docs = spark.range(n).selectExpr("id doc_id", "repeat('w ', int(1 + id % 7)) text", "concat('host', id) source")
+    want = plain_targets({f"host{k}": 1 + k % 7 for k in range(n)})
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == n and all(r.target == pytest.approx(want[r.source]) and r.taken <= 3 * r.size for r in rows)
+    assert sum(r.taken for r in rows) == pytest.approx(sum(want.values()), rel=0.02)
+
+
+def test_shuffled_sources_give_the_same(spark, docs, monkeypatch):
+    want = sorted(mixing.mix(docs).collect(), key=str)
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
+    assert sorted(mixing.mix(docs).collect(), key=str) == want
+
+
+def test_flight_keeps_each_chance():
+    """Over many draws every document is taken as often as its chance says."""
+    draw = random.Random(13)
+    size, chance = [draw.randint(1, 50) for _ in range(12)], [draw.choice([0.2, 0.5, 0.7]) for _ in range(12)]
+    mean = np.mean([mixing.flight(size, chance, seed)[0] for seed in range(4000)], axis=0)
+    assert np.abs(mean - chance).max() < 0.04
 
 
 def test_flight_keeps_totals():

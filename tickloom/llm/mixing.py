@@ -16,12 +16,12 @@ import random
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm._common import KEY, Store, byte_texts, fresh, slices
+from tickloom.llm._common import KEY, Store, byte_texts, fresh, parallelism, slices
+from tickloom.llm.line_dedup import runs
 
 #: Times its size that a source (and a document) may give at most.
 MOST = 3
@@ -30,6 +30,8 @@ BLOCK = 4096
 #: Documents of a source's last block that are kept for the landing, besides the undecided ones.
 POOL = 12
 TINY = 1e-9
+#: Bytes of a table with a row for each source up to which joins broadcast it; above, they shuffle.
+BROADCAST_BYTES = 16 << 20
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -45,25 +47,39 @@ def sizes(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(scan, "doc_id long, h1 long, h2 long, source string, size long")
 
 
-def targets(totals: dict[str | None, int], weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = MOST) -> dict[str | None, float]:
-    """Words that each source shall give.
+def _ranked(totals: DataFrame, store: Store) -> DataFrame:
+    """``totals`` with each source's place in the order of code points, null last: ranges are sorted on their own, only their sizes are summed up."""
+    parts = parallelism(store.spark)
+    order = F.col("source").asc_nulls_last()
+    dealt = store.keep(totals.repartitionByRange(parts, order).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each range, as many as shuffle partitions.
+    offset = dealt.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    return dealt.withColumn("place", inside).join(F.broadcast(offset), "part").select("source", "total", (F.col("place") + F.col("offset")).alias("place"))
+
+
+def targets(totals: DataFrame, store: Store, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = MOST) -> DataFrame:
+    """(source, total, target): the words that each source of ``totals`` (source, total) shall give.
 
     Sources in the order of their code points, null last, weigh ``weights`` in
     turn and share the sum of all sizes; no target exceeds ``most`` times its
     source's size, and what that cuts off is shared by weight among the rest.
+    Each round sees the sums of all sources only; what one weight gets rises
+    from round to round, until no more sources are cut off.
     """
-    order = sorted((s for s in totals if s is not None), key=lambda s: s.encode()) + [None] * (None in totals)
-    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
-    total, out, free = float(sum(totals.values())), {}, list(order)
-    while free:
-        left = total - sum(out.values())
-        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
-        over = [s for s in free if share[s] > most * totals[s]]
-        if not over:
-            return out | share
-        out |= {s: float(most * totals[s]) for s in over}
-        free = [s for s in free if s not in out]
-    return out
+    turn = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights)).cast("int") + 1)
+    own = store.keep(_ranked(totals, store).select("source", "total", turn.alias("weight"), (F.col("total") * float(most)).alias("cap")))
+    left, weight = own.agg(F.sum("total"), F.sum("weight")).first()
+    whole, cut = float(left or 0), 0
+    left = whole
+    while weight:
+        over = F.col("weight") * left / weight > F.col("cap")
+        now, capped, free = own.agg(F.count(F.when(over, 1)), F.sum(F.when(over, F.col("cap"))), F.sum(F.when(~over, F.col("weight")))).first()
+        if now <= cut:
+            return own.select("source", "total", F.when(over, F.col("cap")).otherwise(F.col("weight") * left / weight).alias("target"))
+        cut, left, weight = now, whole - capped, free or 0.0
+    return own.select("source", "total", "cap").withColumnRenamed("cap", "target")
 
 
 def flight(size: list[int], chance: list[float], seed: int) -> tuple[list[float], list[int]]:
@@ -104,40 +120,51 @@ def land(size: list[int], chance: list[float]) -> list[int]:
 
 
 ROW = "doc_id long, h1 long, h2 long, nth int, source string, size long, chance double"
+NAMES = [x.split()[0] for x in ROW.split(", ")]
 
 
-def _fly(rows: DataFrame) -> DataFrame:
-    """Each row with its chance moved; where ``last`` is set the undecided ones are landed."""
+def _fly(dealt: DataFrame, parts: int) -> DataFrame:
+    """Each row with its chance moved; where ``last`` is set the undecided ones are landed. A task holds one block."""
 
-    def block(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["mark", *KEY, "nth"], kind="stable").reset_index(drop=True)
-        size, chance, last = rows["size"].tolist(), rows["chance"].tolist(), bool(rows["last"].iloc[0])
+    def move(size: list[int], chance: list[float], seed: int, last: bool) -> list[float]:
         n = max(0, len(size) - POOL) if last else len(size)
-        moved, undecided = flight(size[:n], chance[:n], int(rows["mark"].iloc[0]))
+        moved, undecided = flight(size[:n], chance[:n], seed)
         moved += chance[n:]
         if last:
             undecided += range(n, len(size))
             for k, got in zip(undecided, land([size[k] for k in undecided], [moved[k] for k in undecided]), strict=True):
                 moved[k] = float(got)
-        rows["chance"] = moved
-        return rows[[x.split()[0] for x in ROW.split(", ")]]
+        return moved
 
-    return rows.groupBy("source", "block").applyInPandas(block, ROW)
+    def fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches, "unit"):
+            size, chance, mark, last = (batch.column(c).to_pylist() for c in ("size", "chance", "mark", "last"))
+            unit, block, source = batch.column("unit").to_numpy(), batch.column("block").to_numpy(), batch.column("source").to_pylist()
+            cuts = [k for k in range(1, len(size)) if unit[k] != unit[k - 1] or block[k] != block[k - 1] or source[k] != source[k - 1]]
+            moved = []
+            for a, b in zip([0, *cuts], [*cuts, len(size)], strict=True):
+                moved += move(size[a:b], chance[a:b], mark[a], last[a])
+            columns = [pa.array(moved) if c == "chance" else batch.column(c) for c in NAMES]
+            yield pa.RecordBatch.from_arrays(columns, NAMES)
 
+    placed = dealt.withColumn("unit", F.xxhash64("source", "block")).repartition(parts, "unit")
+    return placed.sortWithinPartitions("unit", "source", "block", "mark", *KEY, "nth").mapInArrow(fly, ROW)
 
-def _dealt(rows: DataFrame, counts: dict[str | None, int], level: int) -> tuple[DataFrame, bool]:
-    """Rows with a mark that orders them, a block and whether their source is one block (last); whether every source is."""
-    blocks = {s: max(1, -(-n // BLOCK)) for s, n in counts.items()}
-    table = rows.sparkSession.createDataFrame([(s, n) for s, n in blocks.items()] or [(None, 1)], "source string, blocks int")
-    named = table.withColumnRenamed("source", "of")
-    mark = F.xxhash64(F.lit(level), *KEY, "nth")
-    dealt = rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("mark", mark)
-    return dealt.withColumn("block", F.pmod(F.col("mark"), F.col("blocks")).cast("int")).withColumn("last", F.col("blocks") == 1).drop("blocks"), all(n == 1 for n in blocks.values())
 
+def _met(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``per_source`` (source, ...), a written table: broadcast if its bytes allow that, else shuffled."""
+    n, named = per_source.agg(F.count("*"), F.sum(F.octet_length("source"))).first()
+    right = per_source.withColumnRenamed("source", "of")
+    right = F.broadcast(right) if 64 * n + (named or 0) <= BROADCAST_BYTES else right
+    return rows.join(right, F.col("source").eqNullSafe(F.col("of"))).drop("of")
 
-def _per_source(rows: DataFrame, value) -> dict[str | None, int]:
-    """One number for each source: a driver table as long as the list of sources, which is metadata."""
-    return {r["source"]: int(r["v"]) for r in rows.groupBy("source").agg(value.alias("v")).collect()}
+
+def _dealt(rows: DataFrame, store: Store, level: int) -> tuple[DataFrame, bool]:
+    """Rows with a mark that orders them, a block and whether their source is one block (last); whether every source is."""
+    blocks = store.keep(rows.groupBy("source").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")))
+    dealt = _met(rows, blocks).withColumn("mark", F.xxhash64(F.lit(level), *KEY, "nth"))
+    dealt = dealt.withColumn("block", F.pmod("mark", "blocks")).withColumn("last", F.col("blocks") == 1).drop("blocks")
+    return dealt, blocks.where("blocks > 1").isEmpty()
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = MOST) -> DataFrame:
@@ -153,18 +180,17 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: flo
     store = Store(docs.sparkSession)
     # Rows of one key differ in nothing; a key's rows are numbered by being counted and repeated.
     counted = store.keep(sizes(docs).groupBy(*KEY, "source", "size").agg(F.count("*").cast("int").alias("rows")))
-    totals = _per_source(counted, F.sum(F.col("size") * F.col("rows")))
-    aims = targets(totals, weights, most)
-    rates = [(s, totals[s], aims[s], aims[s] / totals[s] if totals[s] else 0.0) for s in totals]
-    rates = docs.sparkSession.createDataFrame(rates, "of string, source_size long, target double, rate double")
-    placed = counted.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    totals = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("total"))
+    rate = F.when(F.col("total") > 0, F.col("target") / F.col("total")).otherwise(0.0)
+    rates = store.keep(targets(totals, store, weights, most).select("source", F.col("total").alias("source_size"), "target", rate.alias("rate")))
+    placed = _met(counted, rates)
     each = placed.select("*", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("nth")).drop("rows")
 
     open_ = store.keep(each.where("size > 0 and rate - floor(rate) > 0").select(*KEY, "nth", "source", "size", (F.col("rate") - F.floor("rate")).alias("chance")))
     decided, level = None, 0
     while True:
-        dealt, last = _dealt(open_, _per_source(open_, F.count("*")), level)
-        flown = store.keep(_fly(dealt))
+        dealt, last = _dealt(open_, store, level)
+        flown = store.keep(_fly(dealt, parallelism(docs.sparkSession)))
         settled = flown.where("chance = 0 or chance = 1").select(*KEY, "nth", "source", "chance")
         decided = settled if decided is None else decided.unionByName(settled)
         if last:
@@ -182,7 +208,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: flo
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = MOST) -> DataFrame:
-    """The documents that the mix takes, with their own columns and (mix_copies, mix_taken); identical rows come as one, their copies added."""
+    """The documents that the mix takes, with their own columns and (mix_copies, mix_taken); identical rows come as one, their copies added.
+
+    Nulls: null, empty and wordless texts are never taken; a null doc_id is a
+    document like any other, a null source a source of its own. Where ``docs``
+    has mix_copies or mix_taken already, the new columns' names get underscores.
+    An empty table gives an empty one.
+    """
     store = Store(docs.sparkSession)
     drawn = mix(docs, weights, most).groupBy(*KEY, "source").agg(F.sum("copies").alias("copies"), F.sum("taken").alias("taken"), F.count("*").alias("rows"))
     drawn = store.keep(drawn.where("copies > 0"))
