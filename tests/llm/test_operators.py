@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tickloom.llm import components, credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity
+from tickloom.llm import banding, components, credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity
 from tickloom.llm._common import Store, table
 
 SF = "/root/testdata/sf0.001"
@@ -408,7 +408,7 @@ def test_model_has_interactions():
 
 @pytest.mark.parametrize("team", [512, 4])
 def test_lines_equal_brute_force(spark, docs, texts, monkeypatch, team):
-    monkeypatch.setattr(line_dedup, "TEAM", team)
+    monkeypatch.setattr(banding, "TEAM", team)
     lines = [(i, n, s) for i in sorted(texts) for n, s in line_dedup.lines_of(texts[i])]
     distinct = sorted({s for *_, s in lines})
     sets = [frozenset(s[k : k + 8] for k in range(len(s) - 7)) or frozenset([s]) for s in distinct]
@@ -485,7 +485,7 @@ def test_team_comparison_ways_agree(monkeypatch):
 
 def test_blocks_of_a_large_team_lose_no_component(spark, monkeypatch):
     """Near copies of two lines and chains between strangers, all one candidate group, dealt in blocks of six."""
-    monkeypatch.setattr(line_dedup, "TEAM", 6)
+    monkeypatch.setattr(banding, "TEAM", 6)
     draw = random.Random(11)
     lines = []
     for _ in range(2):
@@ -501,19 +501,19 @@ def test_blocks_of_a_large_team_lose_no_component(spark, monkeypatch):
     groups = spark.createDataFrame([(1, 1, len(lines), i) for i in ids], "deal long, team long, n long, line long")
     contents = spark.createDataFrame(list(zip(ids, lines, strict=True)), "line long, content string")
     sets = [{s[k : k + 8] for k in range(len(s) - 7)} for s in lines]
-    want, got = line_dedup.Forest(len(lines)), line_dedup.Forest(len(lines))
+    want, got = banding.Forest(len(lines)), banding.Forest(len(lines))
     for i in range(len(lines)):
         for j in range(i):
             if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
                 want.join(i, j)
     place = {i: k for k, i in enumerate(ids)}
-    for r in line_dedup._large_links(groups, contents, 4, Store(spark)).collect():
+    for r in banding.large_links(groups, contents, 4, Store(spark), line_dedup.Teams).collect():
         got.join(place[r.a], place[r.b])
     assert got.links() == want.links()
 
 
 def test_band_recall():
-    assert 1 - (1 - 0.8**line_dedup.ROWS) ** line_dedup.BANDS > 0.995
+    assert 1 - (1 - 0.8**banding.ROWS) ** banding.BANDS > 0.995
     draw = random.Random(6)
     hit = 0
     for _ in range(300):
@@ -637,8 +637,40 @@ def test_simhash_equals_brute_force(spark, docs, texts):
                 parent[max(x, y)] = min(x, y)
     for i in ids:
         assert (got[i].fingerprint, got[i].component_id) == (f"{fps[i]:016x}", root(i))
-    kept = sorted(r.doc_id for r in simhash.one_of_each(docs).collect())
-    assert kept == sorted({root(i) for i in ids})
+
+
+def similar_groups(texts):
+    """{doc_id: least doc_id of its group} by comparing the five-word shingles of all pairs."""
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        sets[i] = frozenset(" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset([("none", t)])
+    ids = sorted(sets)
+    forest = banding.Forest(len(ids))
+    for n, i in enumerate(ids):
+        for m in range(n):
+            common = len(sets[i] & sets[ids[m]])
+            if common and common >= 0.8 * len(sets[i] | sets[ids[m]]):
+                forest.join(m, n)
+    return {i: ids[forest.root(n)] for n, i in enumerate(ids)}
+
+
+@pytest.mark.parametrize("team", [512, 6])
+def test_one_of_each_equals_brute_force(spark, docs, texts, monkeypatch, team):
+    """On the table and on planted near copies of several lengths; groups in one task and dealt in blocks."""
+    monkeypatch.setattr(banding, "TEAM", team)
+    draw = random.Random(team)
+    cases = dict(texts)
+    for size in (6, 40, 300):
+        base = [draw.choice("abcdefghijk") + str(draw.randint(0, 999)) for _ in range(size)]
+        for k in range(14):
+            own = list(base)
+            for _ in range(draw.choice([0, 0, 1, 1, 2, 4])):
+                own[draw.randint(0, size - 1)] = draw.choice(["x", "Y", "z1"])
+            cases[10_000 + 100 * size + k] = " ".join(own)
+    cases |= {-1: "", -2: " ", -3: ""}
+    kept = sorted(r.doc_id for r in simhash.one_of_each(frame(spark, list(cases.items()))).collect())
+    assert kept == sorted(set(similar_groups(cases).values()))
 
 
 @pytest.mark.parametrize("group", [4096, 5])

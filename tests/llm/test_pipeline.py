@@ -3,9 +3,11 @@
 import pytest
 
 import corpus_pipeline
-from tickloom.llm import line_dedup, simhash
+from tickloom.llm import line_dedup
 from tickloom.llm._common import Store, table
 
+from test_operators import similar_groups
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -51,8 +53,8 @@ def test_lines_are_unique_after_their_stage(stages):
 
 def test_one_document_of_each_group(stages):
     docs, kept = stages["near_duplicates"]
-    component = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert ids(kept) == sorted(set(component.values()))
+    group = similar_groups({r.doc_id: r.text for r in docs.collect()})
+    assert ids(kept) == sorted(set(group.values()))
 
 
 def test_clean_documents_stay(spark, stages):

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task works on at once.
 SLICE_BYTES = 4 << 20
+#: Leading bits of a hash that address a bit table (8 MB).
+TABLE_BITS = 26
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,6 +136,41 @@ def cleaned() -> Iterator[None]:
             store.close()
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Cut sorted batches so that no run of equal keys is parted; a run longer than a batch is gathered."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key).to_numpy()
+        cut = int(np.searchsorted(values, values[-1], side="left"))
+        if held and held[-1].column(key)[-1].as_py() != values[0]:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks().to_batches()[0]
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def bit_table(keys: DataFrame, column: str, bits: int = TABLE_BITS) -> bytes:
+    """A bit for each value of the leading bits of a 64-bit hash column: of fixed size, whatever the number of keys."""
+    place = F.shiftrightunsigned(column, 64 - bits) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    table = bytearray(1 << (bits - 3))
+    for row in parts.toLocalIterator():
+        table[(row["bucket"] - 1) * 4096 : row["bucket"] * 4096] = row["bits"]
+    return bytes(table)
+
+
+def in_table(table: np.ndarray, keys: np.ndarray, bits: int = TABLE_BITS) -> np.ndarray:
+    """Whether each key's bit is set: for all keys of the table, and for a few others."""
+    at = keys.view(np.uint64) >> np.uint64(64 - bits)
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def parallelism(spark: SparkSession) -> int:
     """The number of shuffle partitions that the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,19 +1,11 @@
 """Fuzzy line dedup by MinHash.
 
-Lines are sets of eight-character shingles. A sketch of 48 bins (filled round
-by round until no bin is empty, so short lines fill it too) is cut into 12
-bands of four; lines that share a band are candidates: 99.8 % of pairs at a
-Jaccard similarity of 0.8, and nearly all above. Exact Jaccard similarity of
-the shingle sets decides, and distributed union-find joins the links to
-components, of which the first line of the corpus stays.
-
-Band rows are 16 bytes, carry no text and travel packed, a row for each slice
-of texts and share of the keys. Equal lines are one line from the start, equal
-candidate groups of several bands are verified once, and texts are fetched for
-candidates only. A group above ``TEAM`` lines is dealt in blocks, each with the
-group's pivots; only the lines that no pivot's component takes in are held
-against the other blocks, block by block, so that no task sees a whole group
-and no link between components is lost.
+Lines are sets of eight-character shingles. Their sketches are filled round by
+round until no bin is empty, so short lines fill them too; lines that share a
+band (see ``banding``) are candidates. Exact Jaccard similarity of the shingle
+sets decides, and distributed union-find joins the links to components, of
+which the first line of the corpus stays. Equal lines are one line from the
+start, and texts are fetched for candidates only.
 """
 
 from __future__ import annotations
@@ -26,23 +18,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm._common import KEY, Store, fresh, keyed, parallelism, slices
+from tickloom.llm import banding
+from tickloom.llm._common import KEY, Store, bit_table, fresh, in_table, keyed, parallelism, slices
+from tickloom.llm.banding import ODD, Forest, mixed
 from tickloom.llm.components import components
 
 SHINGLE, SIMILAR = 8, 0.8
-BANDS, ROWS = 12, 4
-BINS = BANDS * ROWS
 #: Lines of a candidate group up to which its pairs are compared in one sort; beyond, by tables of BLOCK lines and TABLE cells at most.
 SMALL, BLOCK, TABLE = 16, 1024, 2 << 20
-#: Lines of a candidate group, or of a block of a larger group, that one task compares; and pivots of a larger group.
-TEAM, PIVOTS = 512, 8
-#: Band rows that one task sorts, about; and packed shares of the keys for each task.
-TASK_ROWS, SHARES = 2_000_000, 16
 #: Bits of a shingle's code.
 CODE = 50
-#: Bits that address the candidates' bit table.
-TABLE_BITS = 26
-ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
 def lines_of(text: str | None) -> list[tuple[int, str]]:
@@ -71,73 +56,12 @@ def shingles(lines: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     return code[whole], owner[whole]
 
 
-def _mixed(codes: np.ndarray, turn: int) -> np.ndarray:
-    h = codes ^ np.uint64((turn + 1) * ODD[3] & (1 << 64) - 1)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(ODD[1])
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(ODD[2])
-    return h ^ (h >> np.uint64(32))
-
-
-def sketches(lines: list[str]) -> np.ndarray:
-    """A sketch of BINS values for each line of SHINGLE characters at least.
-
-    In each round every shingle falls into one bin; a bin keeps the least
-    value of the first round that reached it. Rounds end when all bins are
-    filled; from round BINS on, all shingles fall into one bin after another.
-    """
-    codes, owner = shingles(lines)
-    none = ~np.uint64(0)
-    out = np.full(len(lines) * BINS, none)
-    for turn in range(2 * BINS):
-        if not len(codes):
-            break
-        h = _mixed(codes, turn)
-        bins = (h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32) if turn < BINS else np.uint64(turn - BINS)
-        value = np.uint64(turn << 56) | (h * np.uint64(ODD[0])) >> np.uint64(8)
-        np.minimum.at(out, owner * BINS + bins.astype(np.int64), value)
-        open_ = (out.reshape(-1, BINS) == none).any(axis=1)
-        left = open_[owner]
-        codes, owner = codes[left], owner[left]
-    return out.reshape(-1, BINS)
-
-
-def bands(lines: list[str]) -> np.ndarray:
-    """One 64-bit key for each line and band."""
-    sketch = sketches(lines).reshape(len(lines), BANDS, ROWS)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(lines), BANDS)).copy()
-    for k in range(ROWS):
-        key = (key ^ sketch[:, :, k]) * np.uint64(ODD[1])
-        key ^= key >> np.uint64(31)
-    return key.view(np.int64)
-
-
 def distinct(values: np.ndarray) -> np.ndarray:
     """The distinct values, ascending; sorts in place (numpy's unique hashes, which is far slower here)."""
     values.sort()
     return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
 
 
-class Forest:
-    """Union-find over the numbers 0..n-1; the least number of a component is its root."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def root(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        self.parent[max(a, b)] = min(a, b)
-
-    def links(self) -> list[tuple[int, int]]:
-        """Each number with its root, where they differ."""
-        return [(x, r) for x in range(len(self.parent)) if (r := self.root(x)) != x]
-
-
 class Teams:
     """Exact comparison of the lines of many candidate groups at once.
 
@@ -155,7 +79,7 @@ class Teams:
         parts = []
         for at in range(0, n, most):
             low, high = np.searchsorted(owner, [at, at + most])
-            key = (owner[low:high] - at).astype(np.uint64) << np.uint64(CODE) | _mixed(codes[low:high], 5) >> np.uint64(64 - CODE)
+            key = (owner[low:high] - at).astype(np.uint64) << np.uint64(CODE) | mixed(codes[low:high], 5) >> np.uint64(64 - CODE)
             parts.append(distinct(key))
         self.size = np.concatenate([np.bincount((p >> np.uint64(CODE)).astype(np.int64), minlength=min(most, n - k * most)) for k, p in enumerate(parts)]) if parts else np.zeros(0, np.int64)
         self.codes = np.concatenate(parts) & np.uint64((1 << CODE) - 1) if parts else np.empty(0, np.uint64)
@@ -283,95 +207,26 @@ def _occurrences(rows: DataFrame) -> DataFrame:
     return rows.select(*KEY, "text").mapInArrow(scan, schema)
 
 
+def bands(lines: list[str]) -> np.ndarray:
+    """One 64-bit key for each line and band."""
+    return banding.bands(*shingles(lines), len(lines))
+
+
 def _band_rows(rows: DataFrame, shares: int) -> DataFrame:
-    """(share, packed): the (band key, line id) pairs of each distinct line of a slice, as 16 bytes each, a row for each share of the keys."""
+    """(share, packed): the band keys and ids of each distinct line of a slice."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=2 << 20):
             own = list(dict.fromkeys(line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE))
-            if not own:
-                continue
-            pairs = np.empty((len(own) * BANDS, 2), np.int64)
-            pairs[:, 0] = bands(own).ravel()
-            pairs[:, 1] = np.repeat(line_ids(own)[:, 0], BANDS)
-            share = ((pairs[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(shares) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(share, kind="stable")
-            count = np.bincount(share, minlength=shares)
-            there = np.flatnonzero(count)
-            ends = np.append(0, np.cumsum(count[there]) * 16).astype(np.int32)
-            packed = pa.Array.from_buffers(pa.binary(), len(there), [None, pa.py_buffer(ends), pa.py_buffer(pairs[order])])
-            yield pa.RecordBatch.from_arrays([pa.array(there), packed], ["share", "packed"])
-
-    return rows.select("text").mapInArrow(scan, "share long, packed binary")
-
-
-def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
-    """Cut sorted batches so that no run of equal keys is parted; a run longer than a batch is gathered."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(key).to_numpy()
-        cut = int(np.searchsorted(values, values[-1], side="left"))
-        if held and held[-1].column(key)[-1].as_py() != values[0]:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
-        if cut:
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks().to_batches()[0]
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
-def _groups(rows: DataFrame, parts: int) -> DataFrame:
-    """(deal, team, n, line): lines that share a band; a team is known by its members, so that equal teams of several bands are one.
-
-    Small teams are dealt by their first line: the teams of one line's bands
-    meet in one task, which compares each of their pairs once. ``n`` is the
-    size of the team.
-
-    A task sorts one partition's keys, 16 bytes a row; ``parts`` keeps
-    partitions at TASK_ROWS rows, so it holds about 100 MB.
-    """
+            if own:
+                yield banding.packed(bands(own), line_ids(own)[:, 0], shares)
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(b"".join(b.column("packed").to_pylist()), np.int64).reshape(-1, 2) for b in batches if b.num_rows]
-        if not held:
-            return
-        band, line = (np.concatenate([x[:, k] for x in held]) for k in (0, 1))
-        held.clear()
-        order = np.argsort(band)
-        band, line = band[order], line[order]
-        # Most keys occur once; only the others are looked at further.
-        twice = np.append(False, band[1:] == band[:-1])
-        twice[:-1] |= twice[1:]
-        band, line = band[twice], line[twice]
-        order = np.lexsort((line, band))
-        band, line = band[order], line[order]
-        new = np.append(True, (band[1:] != band[:-1]) | (line[1:] != line[:-1]))[: len(band)]
-        band, line = band[new], line[new]
-        start = np.flatnonzero(np.append(True, band[1:] != band[:-1])[: len(band)])
-        size = np.diff(np.append(start, len(band)))
-        many = np.repeat(size > 1, size)
-        if many.any():
-            team = np.add.reduceat(_mixed(line.view(np.uint64), 1), start).view(np.int64)
-            deal = np.where(size <= SMALL, line[start], team)
-            columns = [np.repeat(deal, size)[many], np.repeat(team, size)[many], np.repeat(size, size)[many], line[many]]
-            for at in range(0, len(columns[0]), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in columns], ["deal", "team", "n", "line"])
-
-    return _band_rows(rows, SHARES * parts).repartition(parts, "share").mapInArrow(gather, "deal long, team long, n long, line long")
+    return rows.select("text").mapInArrow(scan, banding.PACKED)
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(line, line2, content) of the wanted line ids, read from the documents through a bit table of fixed size; of lines whose first hashes are equal, one."""
-    place = F.shiftrightunsigned("line", 64 - TABLE_BITS) + 1
-    parts = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    table = bytearray(1 << (TABLE_BITS - 3))
-    for row in parts.toLocalIterator():
-        table[(row["bucket"] - 1) * 4096 : row["bucket"] * 4096] = row["bits"]
-    shared = rows.sparkSession.sparkContext.broadcast(bytes(table))
+    shared = rows.sparkSession.sparkContext.broadcast(bit_table(wanted, "line"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
@@ -380,86 +235,13 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             if not own:
                 continue
             ids = line_ids(own)
-            at = ids[:, 0].copy().view(np.uint64) >> np.uint64(64 - TABLE_BITS)
-            hit = np.flatnonzero(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1)
+            hit = np.flatnonzero(in_table(bits, ids[:, 0].copy()))
             yield pa.RecordBatch.from_arrays([pa.array(ids[hit, 0]), pa.array(ids[hit, 1]), pa.array([own[k] for k in hit.tolist()], pa.string())], ["line", "line2", "content"])
 
     found = rows.select("text").mapInArrow(scan, "line long, line2 long, content string").join(wanted, "line", "left_semi")
     return found.groupBy("line").agg(F.min("line2").alias("line2"), F.min_by("content", "line2").alias("content"))
 
 
-def _verified(groups: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
-    """(a, b): links of lines that are similar indeed, from groups of TEAM lines at most."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "deal"):
-            team, line = batch.column("team").to_numpy(), batch.column("line").to_numpy()
-            ids, first, place = np.unique(line, return_index=True, return_inverse=True)
-            content = batch.column("content").take(pa.array(first)).to_pylist()
-            order = np.lexsort((place, team))
-            cuts = np.flatnonzero(np.diff(team[order])) + 1
-            found = Teams(content).links(np.split(place[order], cuts))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(ids[[x for x, _ in found]]), pa.array(ids[[y for _, y in found]])], ["a", "b"])
-
-    full = groups.join(texts, "line").select("deal", "team", "line", "content")
-    return full.repartition(parts, "deal").sortWithinPartitions("deal").mapInArrow(check, "a long, b long")
-
-
-def _compared(units: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
-    """(a, b, team): the links inside each unit (unit, team, line, pivot), and with b null the lines that the component of the unit's least pivot doesn't hold."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "unit"):
-            unit, line, team, pivot = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("unit", "line", "team", "pivot"))
-            order = np.lexsort((line, unit))
-            for own in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1):
-                ids = line[own]
-                found = Teams(batch.column("content").take(pa.array(own)).to_pylist()).links([np.arange(len(own))])
-                root = np.arange(len(own))
-                for x, r in found:
-                    root[x] = r
-                least = np.flatnonzero(pivot[own])
-                apart = np.flatnonzero(root != root[least[0]]) if len(least) else np.empty(0, np.int64)
-                a = np.concatenate([ids[[x for x, _ in found]] if found else ids[:0], ids[apart]])
-                b = pa.array([int(ids[r]) for _, r in found] + [None] * len(apart), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(np.full(len(a), team[own[0]]))], ["a", "b", "team"])
-
-    full = units.join(texts, "line").select("unit", "team", "line", "pivot", "content")
-    return full.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(check, "a long, b long, team long")
-
-
-def _large_links(groups: DataFrame, texts: DataFrame, parts: int, store: Store) -> DataFrame:
-    """(a, b): links that span the components of groups above TEAM lines (team, n, line).
-
-    Every block is compared with itself and the group's pivots. Lines that end
-    up beside the least pivot are one component; any other line may still be
-    similar to a line of another block, so these are dealt in blocks too and
-    each is held against each block of the group. Work and copies grow with
-    the lines that no pivot settles times the blocks of their group.
-    """
-    member = groups.select("team", "line", F.ceil(F.col("n") / TEAM).cast("long").alias("blocks")).distinct()
-    member = store.keep(member.withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks"))))
-    chosen = F.array_compact(F.array(*(F.min(F.when(F.pmod("line", F.lit(PIVOTS)) == k, F.col("line"))) for k in range(PIVOTS))))
-    teams = member.groupBy("team").agg(F.max("blocks").alias("blocks"), chosen.alias("pivots"))
-    own = F.xxhash64("team", "block")
-    pivots = teams.select("team", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "pivots").select("team", "block", F.explode("pivots").alias("line"))
-    units = member.select(own.alias("unit"), "team", "line", F.lit(False).alias("pivot")).unionByName(pivots.select(own.alias("unit"), "team", "line", F.lit(True).alias("pivot")))
-    units = units.groupBy("unit", "team", "line").agg(F.max("pivot").alias("pivot"))
-    first = store.keep(_compared(units, texts, parts))
-    found = first.where("b is not null").select("a", "b")
-    # A pivot stands in every block; it is apart only if it is so in each, but a line too many costs time only.
-    rest = store.keep(first.where("b is null").select("team", F.col("a").alias("line")).distinct())
-    if rest.isEmpty():
-        return found
-    sizes = rest.groupBy("team").agg(F.ceil(F.count("*") / TEAM).cast("long").alias("others"))
-    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-    left = rest.join(teams.select("team", "blocks"), "team").join(sizes, "team").select("team", "line", F.pmod(F.xxhash64(F.lit("rest"), "line"), F.col("others")).alias("other"), spread)
-    right = member.join(sizes, "team").select("team", "line", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).alias("other"), "block")
-    crossed = left.unionByName(right, allowMissingColumns=True).select(F.xxhash64("team", "other", "block").alias("unit"), "team", "line", F.lit(False).alias("pivot")).distinct()
-    return found.unionByName(_compared(crossed, texts, parts).where("b is not null").select("a", "b"))
-
-
 def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
     """(doc_id, h1, h2, rows, n_lines, removed array<long>, joined array<long>) for each distinct (doc_id, text).
 
@@ -475,14 +257,11 @@ def judged_lines(docs: DataFrame, store: Store | None = None) -> DataFrame:
     parts = parallelism(docs.sparkSession)
     rows = keyed(docs)
     seen = store.keep(_occurrences(rows))
-    enough = -(-seen.count() * BANDS // TASK_ROWS)
-    groups = store.keep(_groups(rows, max(parts, enough)).distinct())
+    enough = max(parts, -(-seen.count() * banding.BANDS // banding.TASK_ROWS))
+    groups = store.keep(banding.groups(_band_rows(rows, banding.SHARES * enough), enough).distinct())
     wanted = store.keep(groups.select("line").distinct())
     texts = store.keep(_texts(rows, wanted))
-    links = _verified(groups.where(F.col("n") <= TEAM), texts, parts)
-    large = groups.where(F.col("n") > TEAM)
-    if not large.isEmpty():
-        links = links.unionByName(_large_links(large, texts, parts, store))
+    links = banding.links(groups, texts, store, parts, Teams)
     roots = components(links, store).withColumnRenamed("node", "line")
     roots = store.keep(roots.join(texts.select("line", "line2"), "line"))
     store.drop(groups, texts, wanted)

@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm._common import KEY, Store, byte_texts, fresh, parallelism, slices
-from tickloom.llm.line_dedup import runs
+from tickloom.llm._common import KEY, Store, byte_texts, fresh, parallelism, runs, slices
 
 #: Times its size that a source (and a document) may give at most.
 MOST = 3

@@ -22,12 +22,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm._common import Store, byte_texts, fresh, parallelism, slices
+from tickloom.llm import banding
+from tickloom.llm._common import KEY, Store, bit_table, byte_texts, fresh, in_table, keyed, parallelism, slices
+from tickloom.llm.banding import Forest
 from tickloom.llm.components import components
 
 DISTANCE = 2
 GROUP = 4096
 FANOUT = 16
+#: Words of a shingle and Jaccard similarity of the documents that the filter takes for copies, and the bits in which their fingerprints differ at most: ten of 64 are expected, with a deviation of three.
+WORDS, SIMILAR, WIDE = 5, 0.8, 20
 
 
 def shingle_hashes(data: bytes, words: int = 3, seed: int = 42) -> np.ndarray:
@@ -56,20 +60,15 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, tag, fp) for each row of ``docs``; null text is empty, its fingerprint zero. The tag is a hash of doc_id and text."""
+    """(doc_id, fp) for each row of ``docs``; null text is empty, its fingerprint zero."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = np.array([fingerprint(shingle_hashes(x, words)) for x in byte_texts(batch)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(fps.view(np.int64))], ["doc_id", "tag", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.withColumn("tag", _tag()).mapInArrow(scan, "doc_id long, tag long, fp long")
-
-
-def _tag():
-    """A hash of a row's doc_id and text."""
-    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("\0"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return rows.mapInArrow(scan, "doc_id long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -117,19 +116,11 @@ def near_pairs(codes: np.ndarray, distance: int = DISTANCE, step: int = 1 << 14)
 
 def local_links(codes: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
     """A spanning set of links: each code of a local component with that component's first code."""
-    parent = list(range(len(codes)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
+    forest = Forest(len(codes))
     for left, right in near_pairs(codes, distance):
         for a, b in zip(left.tolist(), right.tolist(), strict=True):
-            a, b = root(a), root(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    return [(i, r) for i in range(len(codes)) if (r := root(i)) != i]
+            forest.join(a, b)
+    return forest.links()
 
 
 def _spread_bits(mask: int, parts: int) -> list[int]:
@@ -249,16 +240,98 @@ def _named(rows: DataFrame, store: Store) -> DataFrame:
     return store.keep(placed.join(named, "root").select("fp", "root", "component_id"))
 
 
-def one_of_each(docs: DataFrame, words: int = 3) -> DataFrame:
-    """The rows of ``docs`` that come first in their component (by doc_id, null last, then a hash of the text), with their own columns; of repeated rows one stays."""
-    store = Store(docs.sparkSession)
-    rows = store.keep(fingerprints(docs, words))
-    met = rows.join(_named(rows, store).select("fp", "root"), "fp")
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tag")
-    firsts = met.groupBy("root").agg(F.min(place).alias("first")).select("root", "first.tag").withColumn("stays", F.lit(True))
-    gone = store.keep(rows.select("tag").join(firsts.select("tag"), "tag", "left_anti").distinct())
-    tag = fresh(docs, "tag")
-    kept = docs.withColumn(tag, _tag()).join(gone.withColumnRenamed("tag", tag), tag, "left_anti")
-    if not rows.groupBy("tag").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([tag])
+class Documents:
+    """Exact comparison of the texts of candidate groups: the Gray-ordered index proposes what differs in WIDE bits at most, the shingle sets decide."""
+
+    def __init__(self, texts: list[str]):
+        self.sets = [np.unique(shingle_hashes(x.encode(), WORDS)) for x in texts]
+        self.codes = np.array([fingerprint(x) for x in self.sets], np.uint64)
+
+    def similar(self, a: int, b: int) -> bool:
+        x, y = self.sets[a], self.sets[b]
+        if min(len(x), len(y)) < SIMILAR * max(len(x), len(y)) - 1e-6:
+            return False
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return common >= SIMILAR * (len(x) + len(y) - common) - 1e-6
+
+    def links(self, teams: list[np.ndarray]) -> list[tuple[int, int]]:
+        forest = Forest(len(self.sets))
+        for team in teams:
+            order = team[np.argsort(gray_rank(self.codes[team]))]
+            for left, right in near_pairs(self.codes[order], WIDE):
+                for a, b in zip(order[left].tolist(), order[right].tolist(), strict=True):
+                    if forest.root(a) != forest.root(b) and self.similar(a, b):
+                        forest.join(a, b)
+        return forest.links()
+
+
+def _band_rows(rows: DataFrame, shares: int) -> DataFrame:
+    """(share, packed): the band keys of the word shingles of each distinct text of a slice."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=2 << 20):
+            ids, first = np.unique(batch.column("h1").to_numpy(), return_index=True)
+            texts = byte_texts(batch)
+            sets = [np.unique(shingle_hashes(texts[k], WORDS)) for k in first.tolist()]
+            there = np.flatnonzero([len(x) > 0 for x in sets])
+            if len(there):
+                own = [sets[k] for k in there.tolist()]
+                owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
+                yield banding.packed(banding.bands(np.concatenate(own), owner, len(own)), ids[there], shares)
+
+    return rows.select("h1", "text").mapInArrow(scan, banding.PACKED)
+
+
+def _wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(line, line2, content): the texts whose first hash is wanted; of texts that share it, one."""
+    shared = rows.sparkSession.sparkContext.broadcast(bit_table(wanted, "line"))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(in_table(bits, batch.column("line").to_numpy())))
+
+    named = rows.select(F.col("h1").alias("line"), F.col("h2").alias("line2"), F.col("text").alias("content"))
+    found = named.mapInArrow(likely, "line long, line2 long, content string").join(wanted, "line", "left_semi")
+    return found.groupBy("line").agg(F.min("line2").alias("line2"), F.min_by("content", "line2").alias("content"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that come first in their group (by doc_id, null last, then hashes of the text), with their own columns.
+
+    Texts are linked if their sets of WORDS-word shingles (A-Z lowered; a
+    shorter text is one) have a Jaccard similarity of SIMILAR or more; groups
+    are the components of the links. Bands of MinHash sketches deal out the
+    search, which at this distance no choice of a fingerprint's bits could: a
+    pair meets in one of them 998 times in a thousand at the least similarity,
+    and is 20 bits apart or nearer practically always. Inside a band the
+    fingerprints' Gray-ordered index proposes pairs and the shingle sets
+    decide. Nulls: a null text is empty, a null doc_id comes last. Equal texts
+    are one group; texts without words are linked to equal texts only. Of
+    repeated rows one stays. An empty table gives an empty one.
+    """
+    spark = docs.sparkSession
+    store, parts = Store(spark), parallelism(spark)
+    rows = keyed(docs)
+    placed = store.keep(rows.select(*KEY))
+    enough = max(parts, -(-placed.count() * banding.BANDS // banding.TASK_ROWS))
+    groups = store.keep(banding.groups(_band_rows(rows, banding.SHARES * enough), enough).distinct())
+    wanted = store.keep(groups.select("line").distinct())
+    texts = store.keep(_wanted_texts(rows, wanted))
+    roots = components(banding.links(groups, texts, store, parts, Documents), store)
+    roots = store.keep(roots.withColumnRenamed("node", "h1").join(texts.select(F.col("line").alias("h1"), F.col("line2").alias("h2")), "h1"))
+    store.drop(groups, wanted, texts)
+
+    part2 = F.when(F.col("root").isNull(), F.col("h2")).otherwise(0).alias("part2")
+    named = placed.join(roots, ["h1", "h2"], "left").select(*KEY, F.coalesce("root", "h1").alias("part"), part2)
+    firsts = named.groupBy("part", "part2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), *KEY)).alias("first")).select("first.*")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"f.{c}")) for c in KEY]
+    gone = store.keep(placed.distinct().alias("p").join(firsts.alias("f"), same, "left_anti"))
+    one, two = fresh(docs, "hash"), fresh(docs, "hash2")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    base = docs.withColumn(one, F.xxhash64(text)).withColumn(two, F.xxhash64(F.lit("second"), text))
+    right = gone.select(F.col("doc_id").alias("_d"), F.col("h1").alias("_1"), F.col("h2").alias("_2"))
+    kept = base.join(right, (base[one] == right["_1"]) & (base[two] == right["_2"]) & base["doc_id"].cast("long").eqNullSafe(right["_d"]), "left_anti")
+    if not placed.groupBy(*KEY).count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([one, two, "doc_id"])
     return kept.select(*docs.columns)

@@ -37,8 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm._common import KEY, Store, byte_texts, keyed, parallelism, slices
-from tickloom.llm.line_dedup import runs
+from tickloom.llm._common import KEY, Store, bit_table, byte_texts, in_table, keyed, parallelism, runs, slices
 
 LENGTH = 200
 GRAM = 50
@@ -51,7 +50,6 @@ SEGMENT, PLACE = 1 << 18, 19
 BLOCK = 2000
 #: Symbols of one suffix array, about.
 SYMBOLS = 1 << 16
-TABLE_BITS = 26
 
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 POWERS = {}
@@ -180,21 +178,6 @@ def _anchor_counts(rows: DataFrame) -> DataFrame:
     return found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("n > 1").select("anchor", (F.col("a") == F.col("b")).alias("pure"))
 
 
-def bit_table(keys: DataFrame, column: str, bits: int = TABLE_BITS) -> bytes:
-    """A bit for each value of the leading bits of a 64-bit hash column: of fixed size, whatever the number of keys."""
-    place = F.shiftrightunsigned(column, 64 - bits) + 1
-    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    table = bytearray(1 << (bits - 3))
-    for row in parts.toLocalIterator():
-        table[(row["bucket"] - 1) * 4096 : row["bucket"] * 4096] = row["bits"]
-    return bytes(table)
-
-
-def _has(table: np.ndarray, keys: np.ndarray, bits: int = TABLE_BITS) -> np.ndarray:
-    at = keys.view(np.uint64) >> np.uint64(64 - bits)
-    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
 OCCURRENCE = "doc_id long, h1 long, h2 long, anchor long, chunk long, low long, count int, offset int, pieces array<struct<q:int,core:long,core2:long,left:binary,right:binary>>"
 PIECES = pa.list_(pa.struct([("q", pa.int32()), ("core", pa.int64()), ("core2", pa.int64()), ("left", pa.binary()), ("right", pa.binary())]))
 
@@ -208,12 +191,12 @@ def _occurrences(rows: DataFrame, anchors: DataFrame) -> DataFrame:
         two, many = np.frombuffer(repeated.value, np.uint8), np.frombuffer(mixed.value, np.uint8)
         for batch, numbers, first, texts in _segments(batches):
             c = Chunks(texts)
-            hit = np.flatnonzero(_has(two, c.anchor)) if len(c.anchor) else np.empty(0, np.int64)
+            hit = np.flatnonzero(in_table(two, c.anchor)) if len(c.anchor) else np.empty(0, np.int64)
             if not len(hit):
                 continue
             _, once = np.unique(c.chunk[hit], return_index=True)
             once = hit[np.sort(once)]
-            cut = c.pieces(once[_has(many, c.anchor[once])])
+            cut = c.pieces(once[in_table(many, c.anchor[once])])
             own: dict[int, list] = {}
             for k, *piece in zip(*cut.values(), strict=True):
                 own.setdefault(k, []).append(dict(zip(("q", "core", "core2", "left", "right"), piece, strict=True)))
@@ -460,7 +443,7 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(table.value, np.uint8)
         for batch in batches:
-            yield batch.filter(pa.array(_has(bits, batch.column("h2").to_numpy())))
+            yield batch.filter(pa.array(in_table(bits, batch.column("h2").to_numpy())))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
