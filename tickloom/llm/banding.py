@@ -61,7 +61,7 @@ def sketches(codes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return out.reshape(-1, BINS)
 
 
-def bands(codes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+def band_keys(codes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """One 64-bit key for each set and band."""
     sketch = sketches(codes, owner, n).reshape(n, BANDS, ROWS)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import banding
 from tickloom.llm._common import KEY, Store, bit_table, fresh, in_table, keyed, parallelism, slices
-from tickloom.llm.banding import ODD, Forest, mixed
+from tickloom.llm.banding import ODD, PACKED, Forest, band_keys, mixed, packed
 from tickloom.llm.components import components
 
 SHINGLE, SIMILAR = 8, 0.8
@@ -209,7 +209,7 @@ def _occurrences(rows: DataFrame) -> DataFrame:
 
 def bands(lines: list[str]) -> np.ndarray:
     """One 64-bit key for each line and band."""
-    return banding.bands(*shingles(lines), len(lines))
+    return band_keys(*shingles(lines), len(lines))
 
 
 def _band_rows(rows: DataFrame, shares: int) -> DataFrame:
@@ -219,9 +219,9 @@ def _band_rows(rows: DataFrame, shares: int) -> DataFrame:
         for batch in slices(batches, most=2 << 20):
             own = list(dict.fromkeys(line for text in batch.column("text").to_pylist() for _, line in lines_of(text) if len(line) >= SHINGLE))
             if own:
-                yield banding.packed(bands(own), line_ids(own)[:, 0], shares)
+                yield packed(bands(own), line_ids(own)[:, 0], shares)
 
-    return rows.select("text").mapInArrow(scan, banding.PACKED)
+    return rows.select("text").mapInArrow(scan, PACKED)
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:

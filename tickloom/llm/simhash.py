@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import banding
 from tickloom.llm._common import KEY, Store, bit_table, byte_texts, fresh, in_table, keyed, parallelism, slices
-from tickloom.llm.banding import Forest
+from tickloom.llm.banding import PACKED, Forest, band_keys, packed
 from tickloom.llm.components import components
 
 DISTANCE = 2
@@ -277,9 +277,9 @@ def _band_rows(rows: DataFrame, shares: int) -> DataFrame:
             if len(there):
                 own = [sets[k] for k in there.tolist()]
                 owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
-                yield banding.packed(banding.bands(np.concatenate(own), owner, len(own)), ids[there], shares)
+                yield packed(band_keys(np.concatenate(own), owner, len(own)), ids[there], shares)
 
-    return rows.select("h1", "text").mapInArrow(scan, banding.PACKED)
+    return rows.select("h1", "text").mapInArrow(scan, PACKED)
 
 
 def _wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
