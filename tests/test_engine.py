@@ -130,7 +130,7 @@ def test_gap_cap_skips_rows_and_their_events_are_late(spark):
 
 def test_late_and_holdback(spark):
     frame = rows(spark, [(*K, t, n) for n, t in enumerate([S, 2 * S, 3 * S, S + 5])], "exchange string, symbol string, ts_us long, seq long")
-    late = lambda hold: [r.late for r in grid.late_by_arrival(frame, S, "seq", hold_us=hold).orderBy("seq").collect()]
+    late = lambda hold: [r.late for r in grid.late_by_arrival(frame, S, ["seq"], hold_us=hold).orderBy("seq").collect()]
     assert late(0) == [False, False, False, True]
     assert late(2 * S) == [False, False, False, False]
 
@@ -290,9 +290,16 @@ def test_write_round_trip_with_manifest(spark, tmp_path):
     files.write(frame, str(tmp_path / "t"), "trades")
     back = files.scan(spark, str(tmp_path / "t"), "trades")
     assert back.orderBy("id").collect() == frame.orderBy("id").collect()
-    files.append_manifest(spark.read.parquet(str(tmp_path / "t")), str(tmp_path / "m"), "trades")
+    windows = rows(spark, [("A/B", 50, 150), ("A/B", 150, 250), ("A/B", 250, 350)], "symbol string, t_min_us long, t_max_us long")
+    quiet = files.heartbeats(windows, rows(spark, [("A/B", 60), ("A/B", 240)], "symbol string, ts long"), "ts", "trades")
+    files.append_manifest(spark, str(tmp_path / "t/*"), str(tmp_path / "m"), "trades", quiet)
     entries, beats, torn = files.manifest(spark, str(tmp_path / "m"))
-    assert entries.agg(F.sum("rows")).first()[0] == 5 and beats.count() == 0 and torn == 0
+    assert entries.agg(F.sum("rows")).first()[0] == 5 and torn == 0
+    assert [(r.t_min_us, r.t_max_us, r.rows) for r in beats.collect()] == [(250, 350, 0)]
+    import hashlib
+
+    for r in entries.collect():
+        assert r.sha256 == hashlib.sha256(next(tmp_path.glob(f"t/*/{r.filename}")).read_bytes()).hexdigest()
     listing = rows(spark, [(entries.first().filename,), ("new.parquet",)], "filename string")
     assert [r.filename for r in files.pending(listing, entries).collect()] == ["new.parquet"]
     levels = rows(spark, [(1, "A/B", "x", "bid", 0, 1.0, 2.0)], files.schemas.BOOK_STATE)

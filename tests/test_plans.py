@@ -31,6 +31,21 @@ def test_scans_are_pruned_and_filtered(spark):
 
 
 def test_shuffles_are_few(spark):
-    most = {"market_aggregate_1h": 9, "book_metrics": 2, "trade_dedup_report": 2, "book_final_state": 1, "trade_continuity": 1, "vwap_by_symbol": 1, "silence_gaps": 1}
+    most = {"market_aggregate_1h": 9, "book_metrics": 2, "trade_dedup_report": 2, "book_final_state": 1, "trade_continuity": 5, "vwap_by_symbol": 1, "silence_gaps": 3, "tx_match_roles": 2}
     for name, n in most.items():
         assert plan(catalogue.QUERIES[name](spark, SF)).count("Exchange hashpartitioning") <= n, name
+
+
+def test_watched_keys_are_joined_before_they_are_grouped(spark):
+    """One broadcast join over the exploded keys, below the aggregate: only matches are shuffled."""
+    text = plan(catalogue.QUERIES["tx_match_roles"](spark, SF))
+    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text
+    assert text.index("keys=[signature") < text.index("BroadcastHashJoin") and text.count("FileScan") == 1
+
+
+def test_no_window_over_a_whole_instrument(spark):
+    """Raw rows are windowed in blocks; a window by instrument alone sees a row for each block."""
+    for name in ("trade_continuity", "silence_gaps", "silence_stats", "possible_dropped_estimate", "trailing_rate", "wire_regressions", "late_events_count", "holdback_membership"):
+        text = plan(catalogue.QUERIES[name](spark, SF))
+        for order in re.findall(r"windowspecdefinition\(([^)]*)\)", text):
+            assert "_block" in order, (name, order)

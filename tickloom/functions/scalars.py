@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # Quotes of pairs written without a separator, in the order in which they are tried.
 KNOWN_QUOTES = ("USDT", "USDC", "BUSD", "TUSD", "FDUSD", "USDD", "USD", "BTC", "ETH", "EUR", "GBP", "DAI", "BNB")
 
-#: How each venue writes a pair: form, separator, lower case or not.
+# How each venue writes a pair: form, separator, lower case or not.
 CODECS: dict[str, tuple[str, str, bool]] = {
     "binance": ("joined", "", True),
     "bybit": ("joined", "", False),
@@ -59,13 +59,10 @@ def canonical(raw: Column) -> Column:
 
 
 def joined(raw: Column) -> Column:
-    """A pair without a separator: the first known quote that ends it and leaves a base."""
+    """A pair without a separator: the longest known quote that ends it and leaves a base."""
     up = F.upper(raw)
-    return reduce(
-        lambda out, q: F.coalesce(out, F.when(up.endswith(q) & (F.length(up) > len(q)), F.concat(F.substr(up, F.lit(1), F.length(up) - len(q)), F.lit(f"/{q}")))),
-        KNOWN_QUOTES,
-        F.lit(None).cast("string"),
-    )
+    pattern = f"^(.+?)({'|'.join(KNOWN_QUOTES)})$"
+    return F.when(up.rlike(pattern), F.regexp_replace(up, pattern, "$1/$2"))
 
 
 def bare_coin(raw: Column) -> Column:
@@ -78,23 +75,32 @@ def lenient(raw: Column) -> Column:
     return F.coalesce(canonical(raw), _parted(raw, "-"), joined(raw))
 
 
+def _by_spelling(exchange: Column, spell: Callable[..., Column | None]) -> Column:
+    """One expression for each spelling, whatever the number of venues that share it."""
+    venues: dict[tuple, list[str]] = {}
+    for venue, codec in CODECS.items():
+        venues.setdefault(codec, []).append(venue)
+    out = F.lit(None).cast("string")
+    for codec, own in venues.items():
+        text = spell(*codec)
+        out = out if text is None else F.when(exchange.isin(own), text).otherwise(out)
+    return out
+
+
 def decode_symbol(raw: Column, exchange: Column) -> Column:
     """A venue's symbol as BASE/QUOTE; null where it is none (or an address)."""
     raw = F.trim(raw)
-    out = F.lit(None).cast("string")
-    for venue, (form, mark, _) in CODECS.items():
+
+    def spell(form: str, mark: str, low: bool) -> Column | None:
         if form == "joined":
-            pair = joined(raw)
-        elif form == "parted":
-            pair = canonical(raw) if mark == "/" else _parted(raw, mark)
-        elif form == "reversed":
-            pair = _parted(raw, mark, turned=True)
-        elif form == "coin":
-            pair = bare_coin(raw)
-        else:
-            continue
-        out = F.when(exchange == venue, pair).otherwise(out)
-    return out
+            return joined(raw)
+        if form == "parted":
+            return canonical(raw) if mark == "/" else _parted(raw, mark)
+        if form == "reversed":
+            return _parted(raw, mark, turned=True)
+        return bare_coin(raw) if form == "coin" else None
+
+    return _by_spelling(exchange, spell)
 
 
 def base(pair: Column) -> Column:
@@ -107,16 +113,15 @@ def quote(pair: Column) -> Column:
 
 def encode_symbol(pair: Column, exchange: Column) -> Column:
     """BASE/QUOTE as the venue writes it."""
-    out = F.lit(None).cast("string")
-    for venue, (form, mark, low) in CODECS.items():
-        if form == "coin":
-            text = base(pair)
-        elif form == "address":
-            text = pair
+
+    def spell(form: str, mark: str, low: bool) -> Column:
+        if form in ("coin", "address"):
+            text = base(pair) if form == "coin" else pair
         else:
             text = F.concat_ws(mark, *((quote(pair), base(pair)) if form == "reversed" else (base(pair), quote(pair))))
-        out = F.when(exchange == venue, F.lower(text) if low else text).otherwise(out)
-    return out
+        return F.lower(text) if low else text
+
+    return _by_spelling(exchange, spell)
 
 
 def normalized(pair: Column) -> Column:

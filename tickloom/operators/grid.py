@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import div, row_of
+from tickloom.operators import blocked
 
 GAP_FILL = 10_000
 KEY = ("exchange", "symbol")
 
 
-def clock(driver: DataFrame, period_us: int, key: Sequence[str] = KEY, ts: str = "ts_us", arrival: str | None = None, hold_us: int = 0) -> DataFrame:
+def clock(driver: DataFrame, period_us: int, key: Sequence[str] = KEY, ts: str = "ts_us", arrival: Sequence[str] | None = None, hold_us: int = 0) -> DataFrame:
     """(key, period, previous): the driver's record periods in order; previous is null at the anchor.
 
     With time order the distinct periods are the records, and each key sends one
@@ -34,8 +35,7 @@ def clock(driver: DataFrame, period_us: int, key: Sequence[str] = KEY, ts: str =
     """
     period = div(F.greatest(F.col(ts) - hold_us, F.lit(0).cast("long")), period_us)
     if arrival:
-        before = Window.partitionBy(*key).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-        seen = driver.select(*key, period.alias("period"), F.max(period).over(before).alias("most"))
+        seen = blocked.with_highest(driver.select(*key, *arrival, period.alias("period")), F.col("period"), "most", key, arrival)
         records = seen.where("most is null or period > most").select(*key, "period")
     else:
         records = driver.select(*key, period.alias("period")).distinct()
@@ -63,12 +63,19 @@ def placed(events: DataFrame, periods: DataFrame, period_us: int, key: Sequence[
     return met.withColumn("row", row).withColumn("late", F.col("row") <= F.col("anchor")).drop("anchor", "terminal_row")
 
 
-def late_by_arrival(events: DataFrame, period_us: int, arrival: str, key: Sequence[str] = KEY, ts: str = "ts_us", hold_us: int = 0) -> DataFrame:
-    """Events with their row and whether the clock, driven by all of them in arrival order, had closed it before they came."""
-    before = Window.partitionBy(*key).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+def late_by_arrival(events: DataFrame, period_us: int, arrival: Sequence[str], key: Sequence[str] = KEY, ts: str = "ts_us", hold_us: int = 0, drives: Column | None = None) -> DataFrame:
+    """Events with their row and whether the clock had closed it before they came; all of them drive the clock in arrival order, or those for which ``drives`` holds."""
     period = div(F.greatest(F.col(ts) - hold_us, F.lit(0).cast("long")), period_us)
-    clock_period = F.max(period).over(before)
-    return events.withColumn("row", row_of(F.col(ts), period_us)).withColumn("late", F.coalesce(F.col("row") <= clock_period, F.lit(False)))
+    rows = blocked.with_highest(events, period if drives is None else F.when(drives, period), "_clock", key, arrival)
+    return rows.withColumn("row", row_of(F.col(ts), period_us)).withColumn("late", F.coalesce(F.col("row") <= F.col("_clock"), F.lit(False))).drop("_clock")
+
+
+def in_time(driver: DataFrame, events: DataFrame, period_us: int, arrival: Sequence[str], key: Sequence[str] = KEY, ts: str = "ts_us", hold_us: int = 0) -> DataFrame:
+    """The events that came before the clock of ``driver`` had closed their row, by the arrival order of both."""
+    ticks = driver.select(*key, *arrival, ts).withColumn("_ticks", F.lit(True))
+    both = events.withColumn("_ticks", F.lit(False)).unionByName(ticks, allowMissingColumns=True)
+    told = late_by_arrival(both, period_us, [*arrival, "_ticks"], key, ts, hold_us, F.col("_ticks"))
+    return told.where("not _ticks and not late").drop("_ticks", "row", "late")
 
 
 def as_of(rows: DataFrame, states: DataFrame, value: str, key: Sequence[str] = KEY, row: str = "row") -> DataFrame:
@@ -106,18 +113,24 @@ def market_aggregate(
     key: Sequence[str] = KEY,
     cap: int = GAP_FILL,
     hold_us: int = 0,
+    arrival: Sequence[str] | None = None,
 ) -> DataFrame:
     """The feature row of every grid row: 26 columns after the key, 0 where nothing is known.
 
+    With ``arrival`` (columns that order all streams as they came) the driver
+    closes rows in that order, and prints, liquidations, funding and open
+    interest that come after their row was closed are dropped; books are never
+    late, as the last one is carried.
+
     Inputs carry the key, ``ts_us`` and ``seq`` (arrival): books bid, ask,
     bid_volume, ask_volume; trades and liquidations side, price, amount
     (decimals); funding rate, interval_hours, next_funding_ts_us; open interest
     oi, oi_value, mark_px. All events meet in one aggregation by (key, row).
     """
-    periods = clock(driver, period_us, key, hold_us=hold_us)
+    periods = clock(driver, period_us, key, arrival=arrival, hold_us=hold_us)
 
     def part(frame: DataFrame, kind: str, **columns: Column) -> DataFrame:
-        return frame.select(*key, "ts_us", "seq", F.lit(kind).alias("kind"), *(c.alias(n) for n, c in columns.items()))
+        return frame.select(*key, "ts_us", "seq", *(c for c in arrival or () if c not in ("ts_us", "seq")), F.lit(kind).alias("kind"), *(c.alias(n) for n, c in columns.items()))
 
     col = F.col
     events = (
@@ -126,6 +139,8 @@ def market_aggregate(
         .unionByName(part(funding, "funding", rate=col("rate"), interval_hours=col("interval_hours"), next_ts=col("next_funding_ts_us")), allowMissingColumns=True)
         .unionByName(part(open_interest, "oi", oi=col("oi"), oi_value=col("oi_value"), mark_px=col("mark_px")), allowMissingColumns=True)
     )
+    if arrival:
+        events = in_time(driver, events, period_us, arrival, key, hold_us=hold_us)
     at = F.struct("ts_us", "seq")
 
     def when(kind: str, value: Column, side: str | None = None) -> Column:

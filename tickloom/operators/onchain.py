@@ -19,9 +19,6 @@ from tickloom.functions.scalars import blocks_lost, role_rank
 # The program that sets compute budgets, and its two instruction kinds.
 COMPUTE_BUDGET = "ComputeBudget111111111111111111111111111111"
 SET_LIMIT, SET_PRICE = 2, 3
-#: Watch lists below this many rows are broadcast.
-BROADCAST_ROWS = 100_000
-
 
 def account_keys() -> Column:
     return F.concat("static_keys", "loaded_writable", "loaded_readonly")
@@ -39,14 +36,21 @@ def version(config: Column, versioned: Column) -> Column:
     return F.when(config, "v1").when(versioned, "v0").otherwise("legacy")
 
 
+def _keys(rows: DataFrame) -> DataFrame:
+    """A row for each key of a transaction: its columns, address and rank (2 fee payer, 1 signer, 0 any other)."""
+    n = signer_count()
+    static = F.transform("static_keys", lambda x, k: F.struct(x.alias("address"), F.when((k == 0) & (n > 0), 2).when(k < n, 1).otherwise(0).alias("rank")))
+    loaded = F.transform(F.concat("loaded_writable", "loaded_readonly"), lambda x: F.struct(x.alias("address"), F.lit(0).alias("rank")))
+    return rows.withColumn("_key", F.explode(F.concat(static, loaded))).withColumns({"address": F.col("_key.address"), "rank": F.col("_key.rank")}).drop("_key")
+
+
+def _role() -> Column:
+    return F.when(F.col("rank") == 2, "fee_payer").when(F.col("rank") == 1, "signer").otherwise("account_key")
+
+
 def roles(transactions: DataFrame, key: Sequence[str] = ("signature",)) -> DataFrame:
     """(key, address, role): each address of a transaction with its strongest role."""
-    static = transactions.select(*key, signer_count().alias("_n"), F.posexplode("static_keys").alias("_at", "address"))
-    rank = F.when((F.col("_at") == 0) & (F.col("_n") > 0), 2).when(F.col("_at") < F.col("_n"), 1).otherwise(0)
-    loaded = transactions.select(*key, F.explode(F.concat("loaded_writable", "loaded_readonly")).alias("address")).withColumn("rank", F.lit(0))
-    ranked = static.select(*key, "address", rank.alias("rank")).unionByName(loaded)
-    named = F.when(F.col("rank") == 2, "fee_payer").when(F.col("rank") == 1, "signer").otherwise("account_key")
-    return ranked.groupBy(*key, "address").agg(F.max("rank").alias("rank")).select(*key, "address", named.alias("match_role"))
+    return _keys(transactions).groupBy(*key, "address").agg(F.max("rank").alias("rank")).select(*key, "address", _role().alias("match_role"))
 
 
 def matched(transactions: DataFrame, watch: DataFrame, key: Sequence[str] = ("signature",)) -> DataFrame:
@@ -54,19 +58,18 @@ def matched(transactions: DataFrame, watch: DataFrame, key: Sequence[str] = ("si
 
     ``watch``: address, required_role, include_failed, keep_logs. Votes never
     match; failed transactions only where asked for; the role must be at least
-    the required one. Only keys that a watched address names are exploded
-    further: the watch list is broadcast while it is small.
+    the required one. The keys meet the watch list before anything is
+    shuffled (Catalyst broadcasts the list while its size allows that), so only
+    matches are grouped; the transactions are read once.
     """
-    small = watch.count() <= BROADCAST_ROWS
-    own = transactions.where("not is_vote").select(*key, "success", "static_keys", "loaded_writable", "loaded_readonly", "num_required_signatures")
-    side = F.broadcast(watch) if small else watch
-    met = roles(own, key).join(side, "address").join(own.select(*key, "success"), list(key))
-    fits = (F.col("success") | F.col("include_failed")) & (role_rank(F.col("match_role")) >= role_rank(F.col("required_role")))
-    chosen = met.where(fits).select(*key, "address", "match_role", "keep_logs")
-    out = transactions.join(chosen, list(key))
+    asked = ("required_role", "include_failed", "keep_logs")
+    met = _keys(transactions.where("not is_vote")).join(watch.select("address", *asked), "address").where("success or include_failed")
+    rest = [c for c in transactions.columns if c not in (*key, "address")]
+    best = met.groupBy(*key, "address", *asked).agg(F.max("rank").alias("rank"), *(F.first(c).alias(c) for c in rest))
+    out = best.withColumn("match_role", _role()).where(role_rank(F.col("match_role")) >= role_rank(F.col("required_role")))
     if "log_messages" in transactions.columns:
         out = out.withColumn("log_messages", F.when(F.col("keep_logs"), F.col("log_messages")))
-    return out.drop("keep_logs")
+    return out.select(*transactions.columns, "address", "match_role")
 
 
 def _number(data: Column, size: int) -> Column:

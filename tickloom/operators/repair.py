@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import effective
 from tickloom.operators.trades import dedup
 
 PAIR = ("exchange", "symbol")
@@ -85,7 +84,3 @@ def has_data(snapshots: DataFrame) -> DataFrame:
     """Snapshots that hold anything at all."""
     lists = ("trades", "liquidations", "funding", "open_interest", "settlements", "transactions")
     return snapshots.where(F.col("book").isNotNull() | (F.greatest(*(F.coalesce(F.size(c), F.lit(0)) for c in lists)) > 0))
-
-
-def effective_times(frame: DataFrame, source: str, local: str) -> DataFrame:
-    return frame.withColumn("effective_us", effective(F.col(source), F.col(local)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import decimal, div, possible_dropped, trade_side
+from tickloom.operators import blocked
 
 PAIR = ("exchange", "symbol")
 
@@ -37,6 +38,11 @@ def drop_counts(raw: DataFrame, key: Sequence[str] = PAIR, **names: str) -> Data
     return judged(raw, **names).groupBy(*key).agg(F.count("*").alias("n"), *(F.count(F.when(F.col("reason") == k, 1)).alias(f"dropped_{k}") for k in kinds))
 
 
+def tracked(frame: DataFrame, wanted: DataFrame, key: Sequence[str] = PAIR) -> DataFrame:
+    """Rows of the instruments on a list; Catalyst broadcasts the list while its size allows that."""
+    return frame.join(wanted.select(*key), list(key), "left_semi")
+
+
 def ranked(frame: DataFrame, identity: Sequence[str], order: Sequence[str], content: Sequence[str]) -> DataFrame:
     """Rows numbered inside their identity, and whether their content differs from the first row's.
 
@@ -66,8 +72,7 @@ def drop_pushes(frame: DataFrame, key: Sequence[str] = (*PAIR, "conn_epoch_us",
 
 def continuity(frame: DataFrame, seq: str = "seq", arrival: Sequence[str] = ("ts_us",), key: Sequence[str] = PAIR) -> DataFrame:
     """Prints with ``missed`` (sequence numbers skipped before them) and ``duplicate``; the highest number so far carries over reconnects."""
-    before = Window.partitionBy(*key).orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1)
-    rows = frame.withColumn("highest", F.max(seq).over(before))
+    rows = blocked.with_highest(frame, F.col(seq), "highest", key, arrival)
     ahead = F.col(seq) - F.col("highest") - 1
     return rows.withColumn("missed", F.when(ahead > 0, ahead).otherwise(F.lit(0).cast("long"))).withColumn("duplicate", F.coalesce(F.col(seq) <= F.col("highest"), F.lit(False)))
 
@@ -85,9 +90,8 @@ def loss(frame: DataFrame, key: Sequence[str] = PAIR, **how) -> DataFrame:
 
 def silences(frame: DataFrame, threshold_us: int = 5_000_000, key: Sequence[str] = PAIR, ts: str = "ts_us", order: Sequence[str] = ("ts_us", "seq")) -> DataFrame:
     """(key, opened_us, closed_us, window_us): stretches without events longer than the threshold."""
-    before = F.lag(ts).over(Window.partitionBy(*key).orderBy(*order))
-    gaps = frame.select(*key, before.alias("opened_us"), F.col(ts).alias("closed_us")).withColumn("window_us", F.col("closed_us") - F.col("opened_us"))
-    return gaps.where(F.col("window_us") > threshold_us)
+    gaps = blocked.steps(frame, [ts], key, order).select(*key, F.col(f"before.{ts}").alias("opened_us"), F.col(f"now.{ts}").alias("closed_us"))
+    return gaps.withColumn("window_us", F.col("closed_us") - F.col("opened_us")).where(F.col("window_us") > threshold_us)
 
 
 def silence_stats(frame: DataFrame, threshold_us: int = 5_000_000, key: Sequence[str] = PAIR, **how) -> DataFrame:
@@ -96,23 +100,23 @@ def silence_stats(frame: DataFrame, threshold_us: int = 5_000_000, key: Sequence
 
 def trailing_count(frame: DataFrame, span_us: int = 60_000_000, cap: int = 4096, key: Sequence[str] = PAIR, ts: str = "ts_us") -> DataFrame:
     """Prints with how many fell into the span up to them, at most ``cap``."""
-    span = Window.partitionBy(*key).orderBy(ts).rangeBetween(-span_us, 0)
-    return frame.withColumn("trailing", F.least(F.count("*").over(span), F.lit(cap).cast("long")))
+    counted = blocked.count_within(frame, span_us, "trailing", key, ts)
+    return counted.withColumn("trailing", F.least("trailing", F.lit(cap).cast("long")))
 
 
 def incidents(frame: DataFrame, threshold_us: int, span_us: int, key: Sequence[str] = PAIR) -> DataFrame:
     """The gap ledger of a trade log: silences with the prints that they may have cost at the rate before them."""
     rated = trailing_count(frame, span_us, key=key)
-    order = Window.partitionBy(*key).orderBy("ts_us", "seq")
-    gaps = rated.select(*key, F.lag("ts_us").over(order).alias("opened_us"), F.col("ts_us").alias("closed_us"), F.lag("trailing").over(order).alias("before"))
+    each = blocked.steps(rated, ["ts_us", "trailing"], key, ["ts_us", "seq"])
+    gaps = each.select(*key, F.col("before.ts_us").alias("opened_us"), F.col("now.ts_us").alias("closed_us"), F.col("before.trailing").alias("before"))
     gaps = gaps.withColumn("window_us", F.col("closed_us") - F.col("opened_us")).where(F.col("window_us") > threshold_us)
     return gaps.withColumn("possible_dropped", possible_dropped(F.col("before") * (60_000_000 / span_us), F.col("window_us")))
 
 
 def regressions(frame: DataFrame, key: Sequence[str] = PAIR, arrival: Sequence[str] = ("seq",), ts: str = "ts_us") -> DataFrame:
     """(key, regressed): events whose wire time lies before an earlier arrival's."""
-    before = Window.partitionBy(*key).orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1)
-    return frame.select(*key, (F.col(ts) < F.max(ts).over(before)).alias("back")).groupBy(*key).agg(F.count(F.when(F.col("back"), 1)).alias("regressed"))
+    rows = blocked.with_highest(frame.select(*dict.fromkeys([*key, *arrival, ts])), F.col(ts), "_highest", key, arrival)
+    return rows.select(*key, (F.col(ts) < F.col("_highest")).alias("back")).groupBy(*key).agg(F.count(F.when(F.col("back"), 1)).alias("regressed"))
 
 
 RULES = "taker.v1"

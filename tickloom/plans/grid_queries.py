@@ -75,6 +75,24 @@ from full_rows""",
 )
 
 
+def market_aggregate_arrival(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows when events come out of time order: rows close as the quotes come, and what comes after is dropped."""
+    quotes = _shuffled(m.quotes(spark, d))
+    others = (_shuffled(f(spark, d)) for f in (m.trades, m.liquidations, m.funding, m.open_interest))
+    return rounded(grid.market_aggregate(quotes, quotes, *others, HOUR, arrival=["arrival", "seq"]))
+
+
+ARRIVAL = f"""
+raw_told as (
+  select *, max(case when event_type = 'view' then ts_us // {HOUR} end) over (partition by exchange, symbol order by seq + (seq * 7919) % 64, seq rows between unbounded preceding and 1 preceding) as clock from raw_ev),
+ev as (select exchange, symbol, ts_us, seq, event_type, value, k, user_id from raw_told where event_type = 'view' or clock is null or ts_us // {HOUR} + 1 > clock),
+records as (select exchange, symbol, ts_us, seq from raw_told where event_type = 'view' and (clock is null or ts_us // {HOUR} > clock))"""
+AGGREGATE_ARRIVAL_SQL = o.sql(
+    o.EVENTS.replace("ev as (", "raw_ev as (", 1), ARRIVAL, o.TRADES, o.LIQS, o.QUOTES, o.FUNDING, o.INTEREST, o.spine("records"), PLACED,
+    last=MARKET_AGGREGATE_SQL[MARKET_AGGREGATE_SQL.rindex("\nselect exchange, symbol, row * ") :],
+)
+
+
 def grid_spine_gapfill(spark: SparkSession, d: str) -> DataFrame:
     return grid.spine(grid.clock(m.trades(spark, d), HOUR))
 
@@ -106,15 +124,15 @@ def _shuffled(frame: DataFrame) -> DataFrame:
 
 
 def late_events_count(spark: SparkSession, d: str) -> DataFrame:
-    rows = grid.late_by_arrival(_shuffled(m.events(spark, d)).withColumn("place", F.struct("arrival", "seq")), HOUR, "place")
+    rows = grid.late_by_arrival(_shuffled(m.events(spark, d)), HOUR, ["arrival", "seq"])
     return rows.groupBy("exchange", "symbol").agg(F.count("*").alias("n"), F.count(F.when(F.col("late"), 1)).alias("late"))
 
 
 def holdback_membership(spark: SparkSession, d: str) -> DataFrame:
     """Late events without and with an hour of hold-back."""
-    events = _shuffled(m.events(spark, d)).withColumn("place", F.struct("arrival", "seq"))
-    plain = grid.late_by_arrival(events, HOUR, "place").groupBy("exchange", "symbol").agg(F.count(F.when(F.col("late"), 1)).alias("late"))
-    held = grid.late_by_arrival(events, HOUR, "place", hold_us=HOUR).groupBy("exchange", "symbol").agg(F.count(F.when(F.col("late"), 1)).alias("late_with_hold"))
+    events = _shuffled(m.events(spark, d))
+    plain = grid.late_by_arrival(events, HOUR, ["arrival", "seq"]).groupBy("exchange", "symbol").agg(F.count(F.when(F.col("late"), 1)).alias("late"))
+    held = grid.late_by_arrival(events, HOUR, ["arrival", "seq"], hold_us=HOUR).groupBy("exchange", "symbol").agg(F.count(F.when(F.col("late"), 1)).alias("late_with_hold"))
     return plain.join(held, ["exchange", "symbol"])
 
 
@@ -242,6 +260,7 @@ def oi_change(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "market_aggregate_1h": market_aggregate_1h,
+    "market_aggregate_arrival": market_aggregate_arrival,
     "grid_spine_gapfill": grid_spine_gapfill,
     "grid_asof_book": grid_asof_book,
     "grid_trade_bucket": grid_trade_bucket,
@@ -256,6 +275,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "market_aggregate_1h": MARKET_AGGREGATE_SQL,
+    "market_aggregate_arrival": AGGREGATE_ARRIVAL_SQL,
     "grid_spine_gapfill": o.sql(o.EVENTS, o.TRADES, o.spine("trades_ev"), last="select * from spine"),
     "grid_asof_book": ASOF_SQL,
     "grid_trade_bucket": o.sql(

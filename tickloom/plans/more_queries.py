@@ -17,7 +17,7 @@ HOUR = o.HOUR
 def tracked_instruments(spark: SparkSession, d: str) -> DataFrame:
     """Prints of the instruments on a list."""
     wanted = spark.createDataFrame([("binance", "U0/USD"), ("kraken", "U3/USD"), ("bybit", "none")], "exchange string, symbol string")
-    return m.trades(spark, d).join(F.broadcast(wanted), ["exchange", "symbol"], "left_semi").select("exchange", "symbol", "seq", "side")
+    return trades.tracked(m.trades(spark, d), wanted).select("exchange", "symbol", "seq", "side")
 
 
 def feed_staleness(spark: SparkSession, d: str) -> DataFrame:
@@ -150,6 +150,23 @@ def random_trades(spark: SparkSession, d: str) -> DataFrame:
     return trades.accepted(t, ts="source_trade_ts_us").groupBy("side").agg(F.count("*").alias("n"))
 
 
+def chain_ticks(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as block metas, four to a slot, some without a time: the chain's own clock."""
+    k = F.col("o_orderkey")
+    metas = m.read(spark, d, "orders").select(F.expr("o_orderkey div 4").alias("slot"), F.when(k % 7 != 0, k).alias("block_time_secs"))
+    return onchain.slot_ticks(metas)
+
+
+def snapshot_presence(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as snapshots; those that hold nothing at all are left out."""
+    k = F.col("o_orderkey")
+    lists = ("trades", "liquidations", "funding", "open_interest", "settlements", "transactions")
+    rows = m.read(spark, d, "orders").select(
+        "o_orderkey", F.when(k % 5 == 0, "book").alias("book"), *(F.when(k % (n + 2) == 0, F.array(F.lit(1))).when(k % 3 == 1, F.array().cast("array<int>")).alias(c) for n, c in enumerate(lists))
+    )
+    return repair.has_data(rows).select("o_orderkey")
+
+
 def instrument_tags(spark: SparkSession, d: str) -> DataFrame:
     name = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("C"), "c_custkey", F.lit("/USD"))).otherwise(F.concat(F.lit("Addr"), "c_custkey"))
     n = (F.col("c_custkey") * 1000).cast("long")
@@ -163,7 +180,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         tracked_instruments, feed_staleness, expected_files, leaf_paths, pending_files, connection_gaps, book_snapshot, book_since_snapshot, recovered_prints, slot_verdicts, random_books,
-        random_trades, instrument_tags,
+        random_trades, instrument_tags, chain_ticks, snapshot_presence,
     )
 }
 ORACLE_SQL = {
@@ -180,4 +197,6 @@ ORACLE_SQL = {
     "recovered_prints": o.sql(o.EVENTS, o.TRADES, last="select exchange, symbol, seq as id, side from trades_ev where side = 'sell'"),
     "slot_verdicts": VERDICTS_SQL,
     "instrument_tags": TAGS_SQL,
+    "chain_ticks": "select o_orderkey // 4 as slot, min(o_orderkey) * 1000000 as ts_us from orders where o_orderkey % 7 <> 0 group by 1",
+    "snapshot_presence": "select o_orderkey from orders where o_orderkey % 2 = 0 or o_orderkey % 3 = 0 or o_orderkey % 5 = 0 or o_orderkey % 7 = 0",
 }

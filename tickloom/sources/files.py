@@ -95,13 +95,6 @@ def file_name(exchange: Column, pair: Column, kind: str, mode: Column, stamp_us:
     return F.concat_ws("_", exchange, file_symbol(pair), F.lit(kind), mode, F.concat(stamp, F.lit(".parquet")))
 
 
-def stamp(frame: DataFrame, datatype: str, by: Sequence[str] = ("exchange", "symbol")) -> DataFrame:
-    """The least positive effective time of each batch."""
-    first, other = schemas.TIMES[datatype]
-    time = effective(*(F.col(c) for c in (first, other) if c))
-    return frame.groupBy(*by).agg(F.min(F.when(time > 0, time)).alias("stamp_us"))
-
-
 LEAF = r"([^/]+)/(?:([^/]+)/)?(orderbooks|trades|transactions|liquidations|funding_rates|funding_settlements|open_interests)/(?:([^/]+)/(\d{4}-\d{2}-\d{2})/)?[^/]+$"
 
 
@@ -111,11 +104,6 @@ def leaf(path: Column) -> Column:
     return F.when(path.rlike(LEAF), F.struct(*(F.nullif(F.regexp_extract(path, LEAF, k + 1), F.lit("")).alias(n) for k, n in enumerate(names))))
 
 
-def grouped_by_prefix(names: DataFrame, name: str = "name") -> DataFrame:
-    """Files by what stands before the first mark of their name."""
-    return names.groupBy(F.split(name, "_")[0].alias("prefix")).agg(F.count("*").alias("files"))
-
-
 # ---- manifests
 
 
@@ -169,24 +157,30 @@ def write_book(levels: DataFrame, path: str, format: str | None = None, mode: st
     (writer.option("header", "true") if format == "csv" else writer).format(format).save(path)
 
 
-def append_manifest(frame: DataFrame, path: str, datatype: str, symbol: str | None = None) -> None:
-    """A manifest line for each written file (or a heartbeat for an empty window) to a JSON-lines folder."""
+def append_manifest(spark: SparkSession, files: str, path: str, datatype: str, beats: DataFrame | None = None) -> None:
+    """A manifest line with the SHA-256 of each written file, and the lines of ``beats`` (see ``heartbeats``), to a JSON-lines folder."""
     time, _ = schemas.TIMES[datatype]
-    rows = frame.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("rows"), F.min(time).alias("t_min_us"), F.max(time).alias("t_max_us"))
-    named = rows.select(F.substring_index("file", "/", -1).alias("filename"), "rows", "t_min_us", "t_max_us", F.lit(schemas.schema_id(datatype)).alias("schema_id"))
-    named.write.mode("append").json(path)
+    rows = spark.read.parquet(files).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("rows"), F.min(time).alias("t_min_us"), F.max(time).alias("t_max_us"))
+    named = rows.select(F.url_decode(F.substring_index("file", "/", -1)).alias("filename"), "rows", "t_min_us", "t_max_us", F.lit(schemas.schema_id(datatype)).alias("schema_id"))
+    lines = named.join(digests(spark, files).select("filename", "sha256"), "filename")
+    if beats is not None:
+        lines = lines.unionByName(beats, allowMissingColumns=True)
+    lines.write.mode("append").json(path)
 
 
 def heartbeats(windows: DataFrame, rows: DataFrame, ts: str, datatype: str, by: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Heartbeat lines for windows (by, t_min_us, t_max_us, width of a grid) that hold no row.
+    """Heartbeat lines for windows (by, t_min_us, t_max_us) that hold no row.
 
-    Windows are a grid: a window's width tells its number, so the match is an
-    equality join, not a range join.
+    Windows are cells of grids: a width and a phase (where the grid's cells
+    begin) give a window its number, so the match is an equality join, not a
+    range join.
     """
-    numbered = windows.withColumn("_w", F.expr("t_min_us div (t_max_us - t_min_us)"))
-    width = windows.select((F.col("t_max_us") - F.col("t_min_us")).alias("_width"), *by).distinct()
-    seen = rows.join(width, list(by)).select(*by, F.expr(f"{ts} div _width").alias("_w")).distinct()
-    quiet = numbered.join(seen, [*by, "_w"], "left_anti").drop("_w")
+    numbered = windows.withColumn("_width", F.col("t_max_us") - F.col("t_min_us")).withColumn("_phase", F.pmod("t_min_us", "_width"))
+    cell = lambda at: F.expr(f"({at} - _phase - pmod({at} - _phase, _width)) div _width")
+    numbered = numbered.withColumn("_w", cell("t_min_us"))
+    grids = numbered.select(*by, "_width", "_phase").distinct()
+    seen = rows.join(grids, list(by)).select(*by, "_width", "_phase", cell(ts).alias("_w")).distinct()
+    quiet = numbered.join(seen, [*by, "_width", "_phase", "_w"], "left_anti")
     return quiet.select(F.lit(True).alias("heartbeat"), *by, F.lit(0).cast("long").alias("rows"), "t_min_us", "t_max_us", F.lit(schemas.schema_id(datatype)).alias("schema_id"))
 
 

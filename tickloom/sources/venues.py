@@ -8,6 +8,7 @@ Rows that cannot be taken keep a reason and no made-up values.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -57,6 +58,7 @@ class Updates:
 
 TIME_US = "unix_micros(try_to_timestamp({}))"
 
+# The venues' frames and field names.
 PRINTS: dict[str, Prints] = {
     "binance": Prints("e string, s string, t long, p string, q string, uT long, m boolean", "f.e = 'trade'", "x.s", "if(x.m, 'sell', 'buy')", "x.p", "x.q", "x.uT", "cast(x.t as string)", counted=True),
     "bitget": Prints("arg struct<channel:string,instId:string>, data array<struct<ts:string,price:string,size:string,side:string,tradeId:string>>", "f.arg.channel = 'trade'", "f.arg.instId", "x.side", "x.price", "x.size", "try_cast(x.ts as long)", "x.tradeId", items="f.data"),
@@ -99,11 +101,12 @@ BOOK_MODELS = {
 def frame(schema: str):
     """A line's JSON as the schema has it.
 
-    Keys of one capital letter get a ``u`` before it, as Spark's fields don't
-    know case; fractions are quoted, so that their digits stay as sent.
+    Numbers read as text keep their digits as sent. Spark's fields don't know
+    case; where a schema has a key of one capital letter, which has a ``u``
+    before it there, the line's own are renamed likewise.
     """
-    quoted = F.regexp_replace("value", r"([:\[,])\s*(-?[0-9]+\.[0-9]+(?:[eE][+-]?[0-9]+)?)(?=\s*[,}\]])", '$1"$2"')
-    return F.from_json(F.regexp_replace(quoted, '"([A-Z])" *:', '"u$1":'), schema)
+    line = F.regexp_replace("value", '"([A-Z])" *:', '"u$1":') if re.search(r"\bu[A-Z]\b", schema) else F.col("value")
+    return F.from_json(line, schema)
 
 
 def _items(lines: DataFrame, schema: str, when: str, items: str | None, newest_first: bool = False) -> DataFrame:
