@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators import books, onchain
+from tickloom.sources import files
 
 EXPECTED = ("orderbooks", "trades")
 
@@ -55,14 +56,16 @@ def overlaps(files: DataFrame, scope: Sequence[str]) -> DataFrame:
     return rows.where("first_ts <= prev_last").select(*scope, "prev_file", "prev_last", "file", "first_ts")
 
 
-def check_books(levels: DataFrame, threshold: int, period_us: int, by: Sequence[str] = ("file",), book: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+def check_books(levels: DataFrame, threshold: int, period_us: int, by: Sequence[str] = ("file",), book: Sequence[str] | None = None, order: Sequence[str] = (), listing: DataFrame | None = None) -> DataFrame:
     """Report rows (by, check, failures) of book files: levels with orderbook_ts_us, side, price, size.
 
-    ``book``: columns that tell the books of a file apart beside their time (a
-    symbol, a number); ``order``: the place of a book's rows in its file. Time
-    alone cannot tell two books of one time, nor their order, so T06 comes with
-    ``book`` and T04 with ``order``.
+    ``book``: columns that tell the books of a file apart beside their time, by
+    default the symbol if there is one; ``order``: the place of a book's rows
+    in its file. Time alone cannot tell two books of one time, nor their order,
+    so T06 comes with ``book`` and T04 with ``order``. ``listing``: see
+    ``_report``.
     """
+    book = [c for c in ("symbol",) if c in levels.columns and c not in by] if book is None else book
     ts = "orderbook_ts_us"
     place = F.min(F.struct(*order)) if order else F.lit(0)
     heads = levels.groupBy(*by, *book, ts).agg(place.alias("_place"))
@@ -71,7 +74,6 @@ def check_books(levels: DataFrame, threshold: int, period_us: int, by: Sequence[
     bad = levels.groupBy(*by).agg(F.count(F.when((F.col("price") <= 0) | (F.col("size") <= 0), 1)).alias("bad"))
     met = span.join(found, list(by)).join(bad, list(by))
     checks = {
-        "T02": F.col("rows") == 0,
         "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us),
         "T08": F.col("crossed"),
         "T09": F.col("bad"),
@@ -82,11 +84,11 @@ def check_books(levels: DataFrame, threshold: int, period_us: int, by: Sequence[
     if book:
         met = met.join(repeated(heads, [ts], by), list(by))
         checks["T06"] = F.col("repeated")
-    return _report(met, by, checks)
+    return _report(met, by, checks, listing)
 
 
-def check_trades(rows: DataFrame, threshold: int, period_us: int, order: Sequence[str], by: Sequence[str] = ("file",), ts: str = "ts_us", key: str = "id") -> DataFrame:
-    """Report rows of trade files."""
+def check_trades(rows: DataFrame, threshold: int, period_us: int, order: Sequence[str], by: Sequence[str] = ("file",), ts: str = "ts_us", key: str = "id", listing: DataFrame | None = None) -> DataFrame:
+    """Report rows of trade files. ``listing``: see ``_report``."""
     met = (
         spans(rows, ts, by)
         .join(backward_steps(rows, ts, order, by), list(by))
@@ -97,17 +99,17 @@ def check_trades(rows: DataFrame, threshold: int, period_us: int, order: Sequenc
         met,
         by,
         {
-            "T02": F.col("rows") == 0,
             "T04": F.col("backward"),
             "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us, upper_only=True),
             "T07": F.col("repeated"),
             "T09": F.col("bad"),
         },
+        listing,
     )
 
 
-def check_transactions(rows: DataFrame, threshold: int, period_us: int, order: Sequence[str], by: Sequence[str] = ("file",), ts: str = "source_tx_ts_us", expected: str | None = None) -> DataFrame:
-    """Report rows of transaction files: times, span, repeated keys, order, invariants. ``expected``: a column with the address of the file's name; T11 counts the rows of others too."""
+def check_transactions(rows: DataFrame, threshold: int, period_us: int, order: Sequence[str], by: Sequence[str] = ("file",), ts: str = "source_tx_ts_us", expected: str | None = None, listing: DataFrame | None = None) -> DataFrame:
+    """Report rows of transaction files: times, span, repeated keys, order, invariants. ``expected``: a column with the address of the file's name; T11 counts the rows of others too. ``listing``: see ``_report``."""
     foreign = F.col("address") != F.col(expected) if expected else F.lit(False)
     met = (
         spans(rows, ts, by)
@@ -120,18 +122,37 @@ def check_transactions(rows: DataFrame, threshold: int, period_us: int, order: S
         met,
         by,
         {
-            "T02": F.col("rows") == 0,
             "T04": F.col("backward"),
             "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us, upper_only=True),
             "T11": F.col("repeated") + F.col("foreign"),
             "T12": F.col("unordered"),
             "T13": F.col("bad"),
         },
+        listing,
     )
 
 
-def _report(met: DataFrame, by: Sequence[str], checks: dict) -> DataFrame:
-    """Wide findings as rows: one stack, no scan for each check."""
+def check_across(rows: DataFrame, scope: Sequence[str], key: Sequence[str], file: str = "file") -> DataFrame:
+    """T11 over files: (file, check, failures), a failure for each key of a file that another file of its scope holds too."""
+    seen = rows.select(*scope, *key, file).distinct()
+    several = seen.groupBy(*scope, *key).agg(F.count("*").alias("_files")).where("_files > 1")
+    return seen.join(several, [*scope, *key], "left_semi").groupBy(file).agg(F.lit("T11").alias("check"), F.count("*").alias("failures")).select(file, "check", "failures")
+
+
+def _report(met: DataFrame, by: Sequence[str], checks: dict, listing: DataFrame | None = None) -> DataFrame:
+    """Wide findings as rows: one stack, no scan for each check.
+
+    ``listing`` (by, size) holds every file that there is, whatever its rows:
+    only from there can T02 tell a file without bytes or rows, which passes the
+    other checks. T03, where ``by`` is the file alone, holds its name against
+    the convention.
+    """
+    if listing is not None:
+        met = listing.join(met, list(by), "left")
+        checks = {k: F.coalesce(found.cast("long"), F.lit(0).cast("long")) for k, found in checks.items()}
+        checks["T02"] = F.col("rows").isNull() | (F.col("size") == 0)
+        if list(by) == ["file"]:
+            checks["T03"] = files.parsed_name(F.col("file")).isNull()
     entries = F.array(*(F.struct(F.lit(name).alias("check"), found.cast("long").alias("failures")) for name, found in checks.items()))
     return met.select(*by, F.explode(entries).alias("e")).select(*by, "e.*")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import codecs, scalars
@@ -160,85 +160,134 @@ select o_orderkey, case when o_orderkey % 7 <> 0 then o_orderkey end as compute_
 # ---- validation: prints of an event table dealt to files by day
 
 
+def _named(venue: Column, kind: str, day: Column, mark: Column) -> Column:
+    """A file's name by the convention."""
+    return F.concat(F.concat_ws("_", venue, F.lit("ALL"), F.lit(kind), F.lit("sync"), day, F.lit("000000.000000")), mark, F.lit(".parquet"))
+
+
 def _filed(spark: SparkSession, d: str) -> DataFrame:
+    """Prints in a file for each venue and day; one venue's names break the convention."""
     t = m.trades(spark, d)
     day = F.date_format(F.timestamp_micros("ts_us"), "yyyyMMdd")
-    return t.withColumn("file", F.concat_ws("_", "exchange", day)).withColumn("id", (F.col("seq") / 2).cast("long"))
+    name = _named(F.col("exchange"), "trades", day, F.when(F.col("exchange") == "kraken", ".x").otherwise(""))
+    return t.withColumn("file", name).withColumn("id", (F.col("seq") / 2).cast("long"))
+
+
+def _listing(spark: SparkSession, d: str) -> DataFrame:
+    """What a folder of trade files lists: a file for each venue and day of any event, and for each venue one without rows and one without bytes."""
+    days = m.events(spark, d).select("exchange", F.date_format(F.timestamp_micros("ts_us"), "yyyyMMdd").alias("day"), F.lit(100).alias("size")).distinct()
+    extra = F.explode(F.expr("array(named_struct('day', '20991230', 'size', 100), named_struct('day', '20991231', 'size', 0))")).alias("x")
+    more = m.events(spark, d).select("exchange").distinct().select("exchange", extra).select("exchange", "x.*")
+    return days.unionByName(more).select(_named(F.col("exchange"), "trades", F.col("day"), F.when(F.col("exchange") == "kraken", ".x").otherwise("")).alias("file"), "size")
 
 
 def validate_report(spark: SparkSession, d: str) -> DataFrame:
     rows = _filed(spark, d)
-    report = validation.check_trades(rows, threshold=12, period_us=HOUR, order=["seq"])
+    report = validation.check_trades(rows, threshold=12, period_us=HOUR, order=["seq"], listing=_listing(spark, d))
     levels = m.levels(spark, d).select(F.concat(F.lit("b"), F.col("book") % 40).alias("file"), (F.col("book") * HOUR).alias("orderbook_ts_us"), "side", "price", "size")
     return report.unionByName(validation.check_books(levels, threshold=5000, period_us=HOUR))
 
 
+TRADE_FILES = """
+exchange || '_ALL_trades_sync_' || {day} || '_000000.000000' || case when exchange = 'kraken' then '.x' else '' end || '.parquet'"""
 VALIDATE_SQL = o.sql(
     o.EVENTS, o.TRADES, o.LEVELS,
     f"""
-filed as (select *, exchange || '_' || strftime(make_timestamp(ts_us), '%Y%m%d') as file, seq // 2 as id from trades_ev),
+filed as (select *, {TRADE_FILES.format(day="strftime(make_timestamp(ts_us), '%Y%m%d')")} as file, seq // 2 as id from trades_ev),
+listed as (
+  select distinct {TRADE_FILES.format(day="strftime(make_timestamp(ts_us), '%Y%m%d')")} as file, exchange, 100 as size from ev
+  union all select {TRADE_FILES.format(day="'20991230'")}, exchange, 100 from (select distinct exchange from ev)
+  union all select {TRADE_FILES.format(day="'20991231'")}, exchange, 0 from (select distinct exchange from ev)),
 steps as (select *, ts_us < lag(ts_us) over (partition by file order by seq) as back from filed),
 ids as (select file, sum(n - 1) as repeated from (select file, id, count(*) as n from filed group by all) group by file),
 t as (
   select file, count(*) as n, count(*) filter (back) as backward, min(ts_us) as a, max(ts_us) as b, count(*) filter (price <= 0 or amount <= 0) as bad from steps group by file),
 tr as (
-  select file, unnest([{{'c': 'T02', 'f': cast(n = 0 as bigint)}}, {{'c': 'T04', 'f': backward}}, {{'c': 'T05', 'f': cast(b - a > {11 * HOUR} * 1.2 as bigint)}},
-    {{'c': 'T07', 'f': cast(repeated as bigint)}}, {{'c': 'T09', 'f': bad}}]) as x from t join ids using (file)),
+  select listed.file, unnest([{{'c': 'T02', 'f': cast(n is null or size = 0 as bigint)}}, {{'c': 'T03', 'f': cast(exchange = 'kraken' as bigint)}}, {{'c': 'T04', 'f': coalesce(backward, 0)}},
+    {{'c': 'T05', 'f': coalesce(cast(b - a > {11 * HOUR} * 1.2 as bigint), 0)}}, {{'c': 'T07', 'f': coalesce(cast(repeated as bigint), 0)}}, {{'c': 'T09', 'f': coalesce(bad, 0)}}]) as x
+  from listed left join t on listed.file = t.file left join ids on listed.file = ids.file),
 lv as (select 'b' || cast(book % 40 as varchar) as file, book * {HOUR} as ts, side, price, size from levels),
 bk as (select file, ts, max(price) filter (side = 'bid') >= min(price) filter (side = 'ask') as crossed from lv group by all),
 bs as (select file, count(*) as n, count(*) filter (crossed) as crossed, min(ts) as a, max(ts) as b from bk group by file),
 bad as (select file, count(*) filter (price <= 0 or size <= 0) as bad from lv group by file),
 br as (
-  select file, unnest([{{'c': 'T02', 'f': cast(n = 0 as bigint)}}, {{'c': 'T05', 'f': cast(b - a > {4999 * HOUR} * 1.2 or b - a < {4999 * HOUR} * 0.8 as bigint)}}, {{'c': 'T08', 'f': crossed}}, {{'c': 'T09', 'f': bad}}]) as x
+  select file, unnest([{{'c': 'T05', 'f': cast(b - a > {4999 * HOUR} * 1.2 or b - a < {4999 * HOUR} * 0.8 as bigint)}}, {{'c': 'T08', 'f': crossed}}, {{'c': 'T09', 'f': bad}}]) as x
   from bs join bad using (file))""",
     last='select file, x.c as "check", x.f as failures from tr union all select file, x.c, x.f from br',
 )
 
 
 def validate_files(spark: SparkSession, d: str) -> DataFrame:
-    """The report over trade, book and transaction files, with the books' times held against their order and each other."""
-    report = validation.check_trades(_filed(spark, d), threshold=12, period_us=HOUR, order=["seq"])
+    """The whole battery, T01 to T13, over trade, book and transaction files with planted faults of every kind.
+
+    Books of two symbols share files and times; transactions repeat inside and
+    across files, and some are of another address than their file's name says.
+    """
+    report = validation.check_trades(_filed(spark, d), threshold=12, period_us=HOUR, order=["seq"], listing=_listing(spark, d))
     k = F.col("book")
+    price = F.when(k % 41 == 0, 0).otherwise(F.col("price"))
     levels = m.levels(spark, d).select(
         F.concat(F.lit("b"), k % 40).alias("file"), F.concat(F.lit("U"), F.expr("book div 40 % 2")).alias("symbol"), F.expr(f"book div 80 * {HOUR}").alias("orderbook_ts_us"),
-        F.when(k % 13 == 0, k * 2 + 2001).otherwise(k * 2).alias("place"), "side", "price", "size",
+        F.when(k % 13 == 0, k * 2 + 2001).otherwise(k * 2).alias("place"), "side", price.alias("price"), "size",
     )
     at = F.col("arrival")
     txs = _tx_rows(spark, d).withColumn("source_tx_ts_us", F.when(at % 97 == 0, 5).otherwise(at * 10)).withColumn("signature", F.when(at % 101 == 0, "").otherwise(F.concat(F.lit("s"), F.expr("arrival div 8"))))
-    report = report.unionByName(validation.check_books(levels, threshold=5000, period_us=HOUR, book=["symbol"], order=["place"]))
-    return report.unionByName(validation.check_transactions(txs, threshold=12, period_us=10_000, order=["arrival"]))
+    txs = txs.withColumn("named", F.when(at % 89 == 0, "other").otherwise(F.col("address")))
+    report = report.unionByName(validation.check_books(levels, threshold=5000, period_us=HOUR, order=["place"]))
+    report = report.unionByName(validation.check_transactions(txs, threshold=12, period_us=10_000, order=["arrival"], expected="named"))
+    report = report.unionByName(validation.check_across(txs, ["day"], ["address", "signature"]).select(F.concat("file", F.lit(" across")).alias("file"), "check", "failures"))
+    spans = validation.spans(_filed(spark, d).withColumn("file", F.concat(F.lit("h"), F.expr(f"(ts_us + seq % 2 * {6 * HOUR}) div {12 * HOUR}"))), "ts_us", ["exchange", "file"])
+    over = validation.overlaps(spans, ["exchange"]).groupBy(F.concat_ws(" ", "exchange", "file").alias("file")).agg(F.lit("T10").alias("check"), F.count("*").alias("failures"))
+    none = expected_kinds(spark, d).groupBy(F.col("exchange").alias("file")).agg(F.lit("T01").alias("check"), F.count("*").alias("failures"))
+    return report.unionByName(over.select("file", "check", "failures")).unionByName(none.select("file", "check", "failures"))
+
+
+def expected_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """(exchange, kind) that have no file: each venue and one more should have books and trades."""
+    venue = F.explode(F.array(*(F.lit(v) for v in (*m.VENUES, "okx")))).alias("exchange")
+    expected = spark.range(1).select(venue).select("exchange", F.explode(F.array(*(F.lit(k) for k in validation.EXPECTED))).alias("kind"))
+    return validation.absent(expected, m.trades(spark, d).groupBy("exchange").agg(F.count("*").alias("n")).withColumn("kind", F.lit("trades")))
 
 
 FILES_SQL = o.sql(
-    TX_ROWS, o.LEVELS,
+    TX_ROWS, o.LEVELS, o.EVENTS, o.TRADES,
     f"""
 lv as (
-  select 'b' || cast(book % 40 as varchar) as file, book // 40 % 2 as symbol, book // 80 * {HOUR} as ts, case when book % 13 = 0 then book * 2 + 2001 else book * 2 end as place, side, price, size from levels),
+  select 'b' || cast(book % 40 as varchar) as file, book // 40 % 2 as symbol, book // 80 * {HOUR} as ts, case when book % 13 = 0 then book * 2 + 2001 else book * 2 end as place, side,
+    case when book % 41 = 0 then 0 else price end as price, size from levels),
 bk as (select file, symbol, ts, min(place) as place, max(price) filter (side = 'bid') >= min(price) filter (side = 'ask') as crossed from lv group by file, symbol, ts),
 bo as (select *, ts < lag(ts) over (partition by file order by place) as back from bk),
 bs as (
   select file, count(*) as n, count(*) filter (crossed) as crossed, min(ts) as a, max(ts) as b, count(*) filter (back) as backward, count(*) - count(distinct ts) as repeated from bo group by file),
 bad as (select file, count(*) filter (price <= 0 or size <= 0) as bad from lv group by file),
 br as (
-  select file, unnest([{{'c': 'T02', 'f': cast(n = 0 as bigint)}}, {{'c': 'T04', 'f': backward}}, {{'c': 'T05', 'f': cast(b - a > {4999 * HOUR} * 1.2 or b - a < {4999 * HOUR} * 0.8 as bigint)}},
+  select file, unnest([{{'c': 'T04', 'f': backward}}, {{'c': 'T05', 'f': cast(b - a > {4999 * HOUR} * 1.2 or b - a < {4999 * HOUR} * 0.8 as bigint)}},
     {{'c': 'T06', 'f': repeated}}, {{'c': 'T08', 'f': crossed}}, {{'c': 'T09', 'f': bad}}]) as x from bs join bad using (file)),
 tx as (
   select * replace (case when tx_index % 97 = 0 then 5 else source_tx_ts_us end as source_tx_ts_us, case when signature <> '' then 's' || cast(tx_index // 8 as varchar) else '' end as signature) from rows),
 tl as (
   select *, source_tx_ts_us < lag(source_tx_ts_us) over (partition by file order by tx_index) as back,
     (slot, tx_index) <= lag((slot, tx_index)) over (partition by file, address order by tx_index) as unordered,
-    row_number() over (partition by file, address, signature) > 1 as again,
+    row_number() over (partition by file, address, signature) > 1 as again, tx_index % 89 = 0 as foreign_row,
     signature = '' or source_tx_ts_us = 0 or blockhash = '' or block_height = 0 or success = (failure_error is not null) or coalesce(failure_error = '', false)
       or (version = 'v1' and cu_price is not null) or (version <> 'v1' and priority_fee is not null) as bad
   from tx),
 ts as (
-  select file, count(*) as n, count(*) filter (back) as backward, max(source_tx_ts_us) - min(source_tx_ts_us) as span, count(*) filter (again) as repeated, count(*) filter (unordered) as unordered,
-    count(*) filter (bad) as bad from tl group by file),
+  select file, count(*) as n, count(*) filter (back) as backward, max(source_tx_ts_us) - min(source_tx_ts_us) as span, count(*) filter (again) + count(*) filter (foreign_row) as repeated,
+    count(*) filter (unordered) as unordered, count(*) filter (bad) as bad from tl group by file),
 tr as (
-  select file, unnest([{{'c': 'T02', 'f': cast(n = 0 as bigint)}}, {{'c': 'T04', 'f': backward}}, {{'c': 'T05', 'f': cast(span > 110000 * 1.2 as bigint)}}, {{'c': 'T11', 'f': repeated}},
-    {{'c': 'T12', 'f': unordered}}, {{'c': 'T13', 'f': bad}}]) as x from ts)""",
-    last=f'''
-select file, x.c as "check", x.f as failures from br union all select file, x.c, x.f from tr union all select * from ({VALIDATE_SQL}) where contains(file, '_')''',
+  select file, unnest([{{'c': 'T04', 'f': backward}}, {{'c': 'T05', 'f': cast(span > 110000 * 1.2 as bigint)}}, {{'c': 'T11', 'f': repeated}},
+    {{'c': 'T12', 'f': unordered}}, {{'c': 'T13', 'f': bad}}]) as x from ts),
+keys as (select distinct day, address, signature, file from tx),
+across_files as (select file, count(*) as n from (select *, count(*) over (partition by day, address, signature) as files from keys) where files > 1 group by file),
+halves as (select exchange, 'h' || cast((ts_us + seq % 2 * {6 * HOUR}) // {12 * HOUR} as varchar) as half, min(ts_us) as a, max(ts_us) as b from trades_ev group by all),
+over_rows as (select exchange, half, a <= lag(b) over (partition by exchange order by a, b, half) as bad from halves)""",
+    last=f"""
+select file, x.c as "check", x.f as failures from br union all select file, x.c, x.f from tr
+union all select file || ' across', 'T11', n from across_files
+union all select exchange || ' ' || half, 'T10', count(*) from over_rows where bad group by exchange, half
+union all select exchange, 'T01', count(*) from (select unnest(['binance', 'bybit', 'coinbase', 'kraken', 'okx', 'okx']) as exchange) group by exchange
+union all select * from ({VALIDATE_SQL}) where contains(file, '_')""",
 )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import scalars
 from tickloom.operators import books, onchain, repair, trades, validation
 from tickloom.plans import oracle as o
+from tickloom.plans.data_queries import expected_kinds
 from tickloom.sources import files, generators
 from tickloom.sources import mapping as m
 
@@ -33,10 +34,7 @@ STALE_SQL = o.sql(
 
 def expected_files(spark: SparkSession, d: str) -> DataFrame:
     """Venues and kinds without any file."""
-    venue = F.explode(F.array(*(F.lit(v) for v in (*m.VENUES, "okx")))).alias("exchange")
-    expected = spark.range(1).select(venue).select("exchange", F.explode(F.array(*(F.lit(k) for k in validation.EXPECTED))).alias("kind"))
-    listing = m.trades(spark, d).groupBy("exchange").agg(F.count("*").alias("n")).withColumn("kind", F.lit("trades"))
-    return validation.absent(expected, listing)
+    return expected_kinds(spark, d)
 
 
 EXPECTED_SQL = """
