@@ -204,6 +204,12 @@ def test_wire_text_keeps_trailing_zeros_and_capital_keys(spark):
     assert bad.reason == "decimal"
 
 
+def test_fractions_inside_texts_stay(spark):
+    line = '{"channel":"book","type":"x,1.5,y","data":[{"symbol":"BTC/USD","bids":[{"price":1.50,"qty":2}],"asks":[],"checksum":7,"timestamp":"a: 1.5, b"}]}'
+    got = venues.updates(rows(spark, [(line,)], "value string"), "kraken").first()
+    assert got.bids[0].price == "1.50" and got.checksum == 7
+
+
 def test_newest_first_frames_are_turned(spark):
     item = '{{"ts":1,"tradeId":{},"amount":0.1,"price":2.5,"direction":"sell"}}'
     lines = rows(spark, [('{"ch":"market.btcusdt.trade.detail","tick":{"data":[' + item.format(9) + "," + item.format(8) + "]}}",)], "value string")

@@ -74,6 +74,7 @@ def check_books(levels: DataFrame, threshold: int, period_us: int, by: Sequence[
     bad = levels.groupBy(*by).agg(F.count(F.when((F.col("price") <= 0) | (F.col("size") <= 0), 1)).alias("bad"))
     met = span.join(found, list(by)).join(bad, list(by))
     checks = {
+        "T02": F.col("rows") == 0,
         "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us),
         "T08": F.col("crossed"),
         "T09": F.col("bad"),
@@ -99,6 +100,7 @@ def check_trades(rows: DataFrame, threshold: int, period_us: int, order: Sequenc
         met,
         by,
         {
+            "T02": F.col("rows") == 0,
             "T04": F.col("backward"),
             "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us, upper_only=True),
             "T07": F.col("repeated"),
@@ -122,6 +124,7 @@ def check_transactions(rows: DataFrame, threshold: int, period_us: int, order: S
         met,
         by,
         {
+            "T02": F.col("rows") == 0,
             "T04": F.col("backward"),
             "T05": span_fault(F.col("first_ts"), F.col("last_ts"), threshold, period_us, upper_only=True),
             "T11": F.col("repeated") + F.col("foreign"),
@@ -144,7 +147,7 @@ def _report(met: DataFrame, by: Sequence[str], checks: dict, listing: DataFrame
 
     ``listing`` (by, size) holds every file that there is, whatever its rows:
     only from there can T02 tell a file without bytes or rows, which passes the
-    other checks. T03, where ``by`` is the file alone, holds its name against
+    other checks (without a listing all files have rows). T03, where ``by`` is the file alone, holds its name against
     the convention.
     """
     if listing is not None:

@@ -98,21 +98,30 @@ BOOK_MODELS = {
 }
 
 
-def frame(schema: str):
+#: Venues that send prices as JSON numbers, whose digits must stay as sent.
+NUMERIC = ("htx", "kraken", "upbit")
+#: A fraction after a key, at the begin of an array, or after another number of it; texts are left alone.
+FRACTION = r'((?:":|\[|[0-9],)\s*)(-?[0-9]+\.[0-9]+(?:[eE][+-]?[0-9]+)?)(?=\s*[,}\]])'
+
+
+def frame(schema: str, numeric: bool = False):
     """A line's JSON as the schema has it.
 
-    Numbers read as text keep their digits as sent. Spark's fields don't know
-    case; where a schema has a key of one capital letter, which has a ``u``
-    before it there, the line's own are renamed likewise.
+    Where prices come as numbers (``numeric``) fractions are quoted, so that
+    their digits stay as sent. Spark's fields don't know case; where a schema
+    has a key of one capital letter, which has a ``u`` before it there, the
+    line's own are renamed likewise.
     """
-    line = F.regexp_replace("value", '"([A-Z])" *:', '"u$1":') if re.search(r"\bu[A-Z]\b", schema) else F.col("value")
+    line = F.regexp_replace("value", FRACTION, '$1"$2"') if numeric else F.col("value")
+    if re.search(r"\bu[A-Z]\b", schema):
+        line = F.regexp_replace(line, '"([A-Z])" *:', '"u$1":')
     return F.from_json(line, schema)
 
 
-def _items(lines: DataFrame, schema: str, when: str, items: str | None, newest_first: bool = False) -> DataFrame:
+def _items(lines: DataFrame, schema: str, when: str, items: str | None, newest_first: bool = False, numeric: bool = False) -> DataFrame:
     """Frames (column ``value``, any further ones are kept) as one row for each item: f, x, item_no."""
     kept = [c for c in lines.columns if c != "value"]
-    frames = lines.select(*kept, "value", frame(schema).alias("f")).where(F.expr(f"f is not null and ({when})"))
+    frames = lines.select(*kept, "value", frame(schema, numeric).alias("f")).where(F.expr(f"f is not null and ({when})"))
     if items is None:
         return frames.select(*kept, "f", F.col("f").alias("x"), F.lit(0).alias("item_no"))
     each = F.expr(f"reverse({items})" if newest_first else items)
@@ -124,7 +133,7 @@ def prints(lines: DataFrame, venue: str) -> DataFrame:
     p = PRINTS[venue]
     kept = [c for c in lines.columns if c != "value"]
     x = F.expr
-    rows = _items(lines, p.schema, p.when, p.items, p.newest_first).select(
+    rows = _items(lines, p.schema, p.when, p.items, p.newest_first, venue in NUMERIC).select(
         *kept,
         "item_no",
         F.lit(venue).alias("exchange"),
@@ -145,7 +154,7 @@ def updates(lines: DataFrame, venue: str) -> DataFrame:
     u = UPDATES[venue]
     kept = [c for c in lines.columns if c != "value"]
     x = F.expr
-    return _items(lines, u.schema, u.when, u.items).select(
+    return _items(lines, u.schema, u.when, u.items, numeric=venue in NUMERIC).select(
         *kept,
         "item_no",
         F.lit(venue).alias("exchange"),
