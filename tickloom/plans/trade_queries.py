@@ -172,7 +172,18 @@ select exchange, symbol, count(*) filter (back) as regressed from (
 
 
 def ewma_latency(spark: SparkSession, d: str) -> DataFrame:
-    return trades.ewma(m.events(spark, d), "value")
+    return rounded(trades.ewma(m.events(spark, d), "value"))
+
+
+EWMA_SQL = o.sql(
+    o.EVENTS,
+    """
+numbered as (select exchange, symbol, ts_us, seq, value, row_number() over (partition by exchange, symbol order by ts_us, seq) as n from ev),
+smooth as (
+  select exchange, symbol, ts_us, seq, n, value as s from numbered where n = 1
+  union all select x.exchange, x.symbol, x.ts_us, x.seq, x.n, 0.2::double * x.value + 0.8::double * smooth.s from smooth join numbered x on x.exchange = smooth.exchange and x.symbol = smooth.symbol and x.n = smooth.n + 1)""",
+    last="select exchange, symbol, ts_us, seq, round(s, 6) as smoothed from smooth",
+).replace("with", "with recursive", 1)
 
 
 def fnv1a_fingerprint(spark: SparkSession, d: str) -> DataFrame:
@@ -180,6 +191,17 @@ def fnv1a_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return t.select("seq", codecs.fingerprint("ts_us", "side", "price", "amount").alias("fingerprint"))
 
 
+FNV_SQL = o.sql(
+    o.EVENTS, o.TRADES,
+    """
+texts as (
+  select seq, ts_us, side || regexp_replace(regexp_replace(cast(price as varchar), '0+$', ''), '[.]$', '') || cast(amount as varchar) as t from trades_ev),
+bytes as (
+  select seq, list_concat([14695981039346656037::uhugeint], list_transform(range(8), lambda k: cast((ts_us >> (8 * k)) & 255 as uhugeint)), list_transform(range(1, length(t) + 1), lambda k: cast(ascii(t[k]) as uhugeint))) as b from texts)""",
+    last="select seq, lpad(lower(to_hex(cast(list_reduce(b, lambda h, x: (xor(h, x) * 1099511628211::uhugeint) % 18446744073709551616::uhugeint) as ubigint))), 16, '0') as fingerprint from bytes",
+)
+
+
 def push_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Funding pushes seen twice: the ones with a receipt number once, the others as they are."""
     f = m.funding(spark, d).select("exchange", "symbol", F.lit(1).alias("conn_epoch_us"), (F.col("seq") % 5 * F.col("seq")).alias("recv_seq"), "seq")
@@ -280,6 +302,8 @@ from ({FLOW.format(by=f"exchange, symbol, ts_us // {HOUR} * {HOUR} as hour_us")}
 select exchange, symbol, n_trades, notional, round(coalesce(notional / nullif(buy_volume + sell_volume, 0), 0), 6) as vwap from ({FLOW.format(by="exchange, symbol")})""",
     ),
     "wire_regressions": REGRESSED_SQL,
+    "ewma_latency": EWMA_SQL,
+    "fnv1a_fingerprint": FNV_SQL,
     "push_dedup": PUSH_SQL,
     "rehydrate_merge": REHYDRATE_SQL,
     "rehydrate_report": REPORT_SQL,
