@@ -833,3 +833,19 @@ def test_all_significant_tokens_are_kept(spark):
     marks = spark.createDataFrame([(k, int(y)) for k, _, y in rows], "doc_id long, toxic int")
     model = toxicity.train(docs, marks)
     assert len(model.words) == len(model.stems) == len(words)
+
+
+def test_counts_equal_sql(spark, docs, duck):
+    """What SQL can say of op7, op8 and op10: counts of the strict kinds without context, words and sizes."""
+    words = r"translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    sql = rf"""
+with sized as (select doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents)
+select doc_id, size, sum(size) over (partition by source) as source_size, len(regexp_extract_all({words})) as n_words,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20)) as n_access,
+  len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24)) as n_hex
+from sized"""
+    want = {r[0]: tuple(int(x) for x in r[1:]) for r in duck.sql(sql).fetchall()}
+    mixed = {r.doc_id: (r.size, r.source_size) for r in mixing.mix(docs).collect()}
+    scanned = {r.doc_id: r.n_words for r in licenses.scan(docs).collect()}
+    found = {r.doc_id: (r.n_access, r.n_hex) for r in credentials.scan(docs).collect()}
+    assert {i: (*mixed[i], scanned[i], *found[i]) for i in mixed} == want
