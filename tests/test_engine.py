@@ -454,3 +454,57 @@ def test_admission_and_durations():
     assert config.mode_label("clock", "100ms") == "ON_CLOCK(100MS)"
     assert config.delay_ceiling(3) == 2.0 and config.delay_ceiling(50) == 30.0
     assert 1.0 <= config.delay(3, 5) <= 2.0 and config.delay(3, 5) == config.delay(3, 5)
+
+
+# ---- feeds, ledgers, book lifecycle
+
+
+def test_feed_lifecycle(spark):
+    from tickloom.operators import feeds
+
+    walk = ["subscribing", "live", "live", "stale", "live", "closed", "draining"]
+    got = feeds.judged(rows(spark, [("a", n, s) for n, s in enumerate(walk)], "feed string, at int, state string"), ["feed"], ["at"]).orderBy("at")
+    assert [r.verdict for r in got.collect()] == ["legal", "legal", "repeat", "legal", "legal", "illegal", "absorbed"]
+    now = feeds.status(got.select("feed", "at", "state"), ["feed"], ["at"]).first()
+    assert (now.state, now.terminal, now.changes, now.illegal) == ("closed", True, 5, 1)
+    assert all(set(following) <= set(feeds.EDGES) for following in feeds.EDGES.values()) and feeds.TERMINAL == ("closed", "rejected", "failed")
+    empty = rows(spark, [], "feed string, at int, state string")
+    assert feeds.status(empty, ["feed"], ["at"]).count() == 0
+    odd = feeds.judged(rows(spark, [("a", 1, None), ("a", 2, "flying")], "feed string, at int, state string"), ["feed"], ["at"])
+    assert {r.verdict for r in odd.collect()} == {"illegal"}
+
+
+def test_gap_ledger_is_appended(spark, tmp_path):
+    from tickloom.operators import trades
+    from tickloom.sources import files
+
+    gaps = rows(spark, [("bitso", "BTC/MXN", 10, 30, 20, 2)], "exchange string, symbol string, opened_us long, closed_us long, window_us long, possible_dropped long")
+    path = str(tmp_path / "gaps.jsonl")
+    files.append_ledger(trades.ledger_rows(gaps, "resync"), path)
+    files.append_ledger(trades.ledger_rows(gaps).drop("possible_dropped_trades"), path)
+    got = sorted(files.ledger(spark, path).collect(), key=lambda r: r.cause)
+    assert [(r.cause, r.window_us, r.possible_dropped_trades, r.blocks_lost) for r in got] == [("disconnect", 20, None, None), ("resync", 20, 2, None)]
+    with pytest.raises(ValueError):
+        trades.ledger_rows(gaps, "bored")
+
+
+def test_forced_gap_and_close():
+    book = books.Fold(predicate="exact_prev")
+    assert book.apply([("bid", 10, 1)], 5, 4, True) and book.state == "synced"
+    book.gap()
+    assert (book.state, book.last, book.levels()) == ("gapped", None, []) and not book.apply([("bid", 10, 1)], 6, 5)
+    assert book.apply([("bid", 9, 1)], 8, 7, True)
+    book.close()
+    assert not book.apply([("bid", 8, 1)], 9, 8, True) and len(book.levels()) == 1
+    book.gap()
+    assert (book.state, book.gaps) == ("closed", 1)
+
+
+def test_a_named_dex_is_read_from_the_live_feed(spark):
+    from tickloom.functions import scalars
+    from tickloom.sources import venues
+
+    got = rows(spark, [("XYZ:tsla",), ("@107",), ("a:b:c",), (":x",), ("btc",)], "raw string").select(scalars.wire_pair(F.col("raw"), F.lit("hyperliquid")).alias("p"))
+    assert [r.p for r in got.collect()] == ["xyz:TSLA/USDC", None, None, None, "BTC/USDC"]
+    frame = '{"channel":"trades","data":[{"coin":"xyz:TSLA","side":"B","px":"1.5","sz":"2","time":3,"tid":4}]}'
+    assert venues.prints(rows(spark, [(frame,)], "value string"), "hyperliquid").first().symbol == "xyz:TSLA/USDC"

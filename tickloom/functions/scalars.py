@@ -124,6 +124,19 @@ def encode_symbol(pair: Column, exchange: Column) -> Column:
     return _by_spelling(exchange, spell)
 
 
+def wire_symbol(pair: Column, exchange: Column) -> Column:
+    """BASE/QUOTE as a venue's live feed writes it: as ``encode_symbol``, but binance's is upper case."""
+    text = encode_symbol(pair, exchange)
+    return F.when(exchange == "binance", F.upper(text)).otherwise(text)
+
+
+def wire_pair(raw: Column, exchange: Column) -> Column:
+    """A live feed's symbol as BASE/QUOTE: as ``decode_symbol``, but a coin of a named dex (``dex:ticker``) is one too."""
+    coin = F.trim(raw)
+    named = coin.rlike("^[0-9A-Za-z]+:[0-9A-Za-z]+$")
+    return F.when((exchange == "hyperliquid") & named, F.concat(asset(coin), F.lit("/USDC"))).otherwise(decode_symbol(raw, exchange))
+
+
 def normalized(pair: Column) -> Column:
     return F.lower(F.concat(base(pair), quote(pair)))
 

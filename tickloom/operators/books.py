@@ -190,9 +190,15 @@ class Fold:
         return {"range_inclusive": sequence <= self.last + 1 and update_id > self.last, "exact_prev": sequence == self.last, "monotonic": update_id > self.last}[self.predicate]
 
     def gap(self) -> None:
-        self.sides = {"bid": {}, "ask": {}}
-        self.state = "gapped"
-        self.gaps += 1
+        """Also from outside, when the connection itself proves a loss: the levels go at once, and what follows needs a snapshot."""
+        if self.state != "closed":
+            self.sides = {"bid": {}, "ask": {}}
+            self.state, self.last = "gapped", None
+            self.gaps += 1
+
+    def close(self) -> None:
+        """No update is applied any more; the levels stay."""
+        self.state = "closed"
 
     def apply_level(self, side: str, price, size) -> None:
         """Set or (size 0) delete a level."""
@@ -260,7 +266,8 @@ class OrderFold(Fold):
 
     def gap(self) -> None:
         super().gap()
-        self.orders, self.totals = {}, {}
+        if self.state != "closed":
+            self.orders, self.totals = {}, {}
 
     def place(self, order_id: str, side: str, price: Decimal, size: Decimal) -> None:
         self.orders[order_id] = (side, price, size)

@@ -113,6 +113,13 @@ def incidents(frame: DataFrame, threshold_us: int, span_us: int, key: Sequence[s
     return gaps.withColumn("possible_dropped", possible_dropped(F.col("before") * (60_000_000 / span_us), F.col("window_us")))
 
 
+def ledger_rows(gaps: DataFrame, cause: str = "disconnect") -> DataFrame:
+    """Incidents as the rows of a gap ledger; causes are resync, disconnect and slot_gap."""
+    if cause not in ("resync", "disconnect", "slot_gap"):
+        raise ValueError(f"unknown cause: {cause}")
+    return gaps.select(F.col("opened_us").alias("opened_epoch_us"), F.col("closed_us").alias("closed_epoch_us"), "window_us", F.lit(cause).alias("cause"), "exchange", "symbol", F.col("possible_dropped").alias("possible_dropped_trades"))
+
+
 def regressions(frame: DataFrame, key: Sequence[str] = PAIR, arrival: Sequence[str] = ("seq",), ts: str = "ts_us") -> DataFrame:
     """(key, regressed): events whose wire time lies before an earlier arrival's."""
     rows = blocked.with_highest(frame.select(*dict.fromkeys([*key, *arrival, ts])), F.col(ts), "_highest", key, arrival)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars
-from tickloom.operators import books, onchain, repair, trades, validation
+from tickloom.operators import books, feeds, onchain, repair, trades, validation
 from tickloom.plans import oracle as o
 from tickloom.plans.data_queries import expected_kinds
 from tickloom.sources import files, generators
@@ -165,6 +165,91 @@ def snapshot_presence(spark: SparkSession, d: str) -> DataFrame:
     return repair.has_data(rows).select("o_orderkey")
 
 
+def _feed_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as state changes of their customer's feed; most of them run through the states in turn."""
+    k = F.col("o_orderkey")
+    return m.read(spark, d, "orders").select((F.col("o_custkey") % 500).alias("feed"), k.alias("step"), F.element_at(F.array(*(F.lit(s) for s in feeds.EDGES)), (k % 41 % 10 + 1).cast("int")).alias("state"))
+
+
+def feed_changes(spark: SparkSession, d: str) -> DataFrame:
+    """State changes of feeds with their verdicts."""
+    return feeds.judged(_feed_changes(spark, d), ["feed"], ["step"])
+
+
+def feed_status(spark: SparkSession, d: str) -> DataFrame:
+    """Where each feed stands."""
+    return feeds.status(_feed_changes(spark, d), ["feed"], ["step"])
+
+
+CHANGES = [
+    f"edges as (select unnest({sorted(f'{a}>{b}' for a, following in feeds.EDGES.items() for b in following)}) as edge)",
+    f"changes as (select o_custkey % 500 as feed, o_orderkey as step, {list(feeds.EDGES)}[o_orderkey % 41 % 10 + 1] as state from orders)",
+    """told as (
+  select *, coalesce(lag(state) over w, 'requested') as before, coalesce(max(case when state in ('closed', 'rejected', 'failed') then 1 else 0 end) over (w rows between unbounded preceding and 1 preceding), 0) as ended
+  from changes window w as (partition by feed order by step))""",
+    """judged as (
+  select feed, step, state, before, case when ended = 1 then 'absorbed' when before = state then 'repeat' when before || '>' || state in (select edge from edges) then 'legal' else 'illegal' end as verdict from told)""",
+]
+
+
+def ledger_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Places of gap ledgers in both layouts."""
+    p = F.col("p_partkey")
+    folder = F.when(p % 2 == 0, F.concat(F.lit("/data/recorded/x/spot/{data_type}/b"), p)).otherwise(F.concat(F.lit("/out/"), p))
+    return m.read(spark, d, "part").select("p_partkey", files.ledger_path(folder, F.lit("bitso"), F.concat(F.lit("x:T"), p, F.lit("/USD"))).alias("path"))
+
+
+def wire_symbols(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs as live feeds spell them, read back; every third coin is one of a named dex."""
+    rows = m.read(spark, d, "part").select("p_partkey", F.concat(F.when(F.col("p_partkey") % 3 == 0, "xyz:").otherwise(""), F.lit("T"), "p_partkey", F.lit("/USDC")).alias("pair"))
+    each = rows.select("*", F.explode(F.array(*(F.lit(v) for v in ("binance", "htx", "gateio", "hyperliquid")))).alias("exchange"))
+    each = each.withColumn("raw", scalars.wire_symbol(F.col("pair"), F.col("exchange")))
+    return each.withColumn("decoded", scalars.wire_pair(F.col("raw"), F.col("exchange"))).where("exchange = 'hyperliquid' or p_partkey % 3 <> 0")
+
+
+WIRE_SQL = """
+select p_partkey, pair, exchange, decoded, case exchange when 'binance' then replace(pair, '/', '') when 'htx' then lower(replace(pair, '/', '')) when 'gateio' then replace(pair, '/', '_') else split_part(pair, '/', 1) end as raw
+from (select p_partkey, case when p_partkey % 3 = 0 then 'xyz:' else '' end || 'T' || cast(p_partkey as varchar) || '/USDC' as pair, unnest(['binance', 'htx', 'gateio', 'hyperliquid']) as exchange, pair as decoded from part)
+where exchange = 'hyperliquid' or p_partkey % 3 <> 0"""
+
+
+SNAPSHOT_LISTS = {
+    "trades": "transform(sequence(0, k % 3), i -> named_struct('id', k * 10 + i))",
+    "liquidations": "if(k % 5 = 0, array(named_struct('id', k)), cast(array() as array<struct<id:long>>))",
+    "funding": "array(named_struct('exchange', 'x', 'symbol', 'A/B', 'conn_epoch_us', k % 11, 'recv_seq', k % 13))",
+    "open_interest": "array(named_struct('exchange', 'x', 'symbol', 'A/B', 'conn_epoch_us', k % 7, 'recv_seq', k % 5))",
+    "settlements": "array(named_struct('exchange', 'x', 'symbol', 'A/B', 'funding_time_us', k % 97))",
+    "transactions": "array(named_struct('address', k % 10, 'signature', k % 1000))",
+}
+
+
+def decompose_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as grid snapshots, taken apart into the seven tables: rows of each and the sum of a number that tells them apart."""
+    book = F.expr("if(k % 3 = 0, named_struct('exchange', 'x', 'symbol', 'A/B', 'orderbook_ts_us', k + k % 7 - 3, 'source_orderbook_ts_us', if(k % 2 = 1, 0L, k), 'local_orderbook_ts_us', 0L), null)")
+    snapshots = m.read(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("k")).select(F.col("k").alias("ts_us"), book.alias("book"), *(F.expr(e).alias(c) for c, e in SNAPSHOT_LISTS.items()))
+    told = {"orderbooks": "orderbook_ts_us + 2 * source_orderbook_ts_us", "trades": "id", "liquidations": "id", "funding_rates": "conn_epoch_us * 100 + recv_seq", "open_interests": "conn_epoch_us * 100 + recv_seq", "funding_settlements": "funding_time_us", "transactions": "address * 10000 + signature"}
+    parts = [rows.agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(F.expr(told[name]).cast("long")).alias("total")) for name, rows in repair.decompose(snapshots).items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _pushes_sql(connections: int, sequences: int) -> str:
+    pushes = f"select o_orderkey % {connections} as c, o_orderkey % {sequences} as s from orders"
+    return f"(select distinct c, s from ({pushes}) where s > 0) union all (select c, s from ({pushes}) where s = 0)"
+
+
+DECOMPOSE_SQL = f"""
+select 'orderbooks' as name, count(*) as n, cast(sum(greatest(k, b) + 2 * case when k % 2 = 1 or k = 0 then b else k end) as bigint) as total from (select o_orderkey as k, o_orderkey + o_orderkey % 7 - 3 as b from orders where o_orderkey % 3 = 0)
+union all select 'trades', count(*), cast(sum(k * 10 + i) as bigint) from (select o_orderkey as k, unnest(range(0, o_orderkey % 3 + 1)) as i from orders)
+union all select 'liquidations', count(*), cast(sum(o_orderkey) as bigint) from orders where o_orderkey % 5 = 0
+union all select 'funding_rates', count(*), cast(sum(c * 100 + s) as bigint) from ({_pushes_sql(11, 13)})
+union all select 'open_interests', count(*), cast(sum(c * 100 + s) as bigint) from ({_pushes_sql(7, 5)})
+union all select 'funding_settlements', count(*), cast(sum(t) as bigint) from (select distinct o_orderkey % 97 as t from orders)
+union all select 'transactions', count(*), cast(sum(a * 10000 + s) as bigint) from (select distinct o_orderkey % 10 as a, o_orderkey % 1000 as s from orders)"""
+
+
 def instrument_tags(spark: SparkSession, d: str) -> DataFrame:
     name = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("C"), "c_custkey", F.lit("/USD"))).otherwise(F.concat(F.lit("Addr"), "c_custkey"))
     n = (F.col("c_custkey") * 1000).cast("long")
@@ -178,7 +263,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         tracked_instruments, feed_staleness, expected_files, leaf_paths, pending_files, connection_gaps, book_snapshot, book_since_snapshot, recovered_prints, slot_verdicts, random_books,
-        random_trades, instrument_tags, chain_ticks, snapshot_presence,
+        random_trades, instrument_tags, chain_ticks, snapshot_presence, feed_changes, feed_status, ledger_paths, wire_symbols, decompose_tables,
     )
 }
 ORACLE_SQL = {
@@ -195,6 +280,15 @@ ORACLE_SQL = {
     "recovered_prints": o.sql(o.EVENTS, o.TRADES, last="select exchange, symbol, seq as id, side from trades_ev where side = 'sell'"),
     "slot_verdicts": VERDICTS_SQL,
     "instrument_tags": TAGS_SQL,
+    "feed_changes": o.sql(*CHANGES, last="select * from judged"),
+    "feed_status": o.sql(
+        *CHANGES,
+        last="""select feed, arg_max(state, step) as state, arg_max(state, step) in ('closed', 'rejected', 'failed') as terminal, count(*) filter (verdict <> 'repeat') as changes, count(*) filter (verdict = 'illegal') as illegal
+from judged where verdict <> 'absorbed' group by feed""",
+    ),
+    "ledger_paths": "select p_partkey, case when p_partkey % 2 = 0 then '/data/gaps/b' || p_partkey || '_gap_ledger.jsonl' else '/out/' || p_partkey || '/gaps/bitso_x-T' || p_partkey || '-USD_gap_ledger.jsonl' end as path from part",
+    "wire_symbols": WIRE_SQL,
+    "decompose_tables": DECOMPOSE_SQL,
     "chain_ticks": "select o_orderkey // 4 as slot, min(o_orderkey) * 1000000 as ts_us from orders where o_orderkey % 7 <> 0 group by 1",
     "snapshot_presence": "select o_orderkey from orders where o_orderkey % 2 = 0 or o_orderkey % 3 = 0 or o_orderkey % 5 = 0 or o_orderkey % 7 = 0",
 }

@@ -184,6 +184,29 @@ def heartbeats(windows: DataFrame, rows: DataFrame, ts: str, datatype: str, by:
     return quiet.select(F.lit(True).alias("heartbeat"), *by, F.lit(0).cast("long").alias("rows"), "t_min_us", "t_max_us", F.lit(schemas.schema_id(datatype)).alias("schema_id"))
 
 
+LEDGER = "opened_epoch_us long, closed_epoch_us long, window_us long, cause string, exchange string, symbol string, possible_dropped_trades long, prev_slot long, prev_height long, next_slot long, next_height long, blocks_lost long"
+
+
+def ledger_path(folder: Column, exchange: Column, symbol: Column) -> Column:
+    """Where a worker's gap ledger lies: beside the recorded tree, named by its binding, if the folder is of that layout, else below the folder."""
+    recorded = folder.contains("/recorded/") & folder.contains("{data_type}")
+    root, binding = F.substring_index(folder, "/recorded/", 1), F.element_at(F.split(F.rtrim(folder, F.lit("/")), "/"), -1)
+    plain = F.concat_ws("_", exchange, F.translate(symbol, "/:", "--"), F.lit("gap_ledger.jsonl"))
+    return F.when(recorded, F.concat(root, F.lit("/gaps/"), binding, F.lit("_gap_ledger.jsonl"))).otherwise(F.concat(F.rtrim(folder, F.lit("/")), F.lit("/gaps/"), plain))
+
+
+def append_ledger(incidents: DataFrame, path: str) -> None:
+    """Incidents as JSON lines, after those that are there; columns of LEDGER that they lack are null."""
+    given = set(incidents.columns)
+    fields = schemas.struct(LEDGER).fields
+    rows = incidents.select(*((F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields))
+    rows.write.mode("append").json(path)
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LEDGER).json(path)
+
+
 # ---- archives
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import decimal, decode_symbol, epoch_to_us, trade_side
+from tickloom.functions.scalars import decimal, wire_pair, epoch_to_us, trade_side
 
 PAIRS = "array<array<string>>"
 #: [price, size, ...] lists as levels.
@@ -137,7 +137,7 @@ def prints(lines: DataFrame, venue: str) -> DataFrame:
         *kept,
         "item_no",
         F.lit(venue).alias("exchange"),
-        decode_symbol(x(p.symbol), F.lit(venue)).alias("symbol"),
+        wire_pair(x(p.symbol), F.lit(venue)).alias("symbol"),
         trade_side(x(p.side)).alias("side"),
         decimal(x(p.price)).alias("price"),
         decimal(x(p.amount)).alias("amount"),
@@ -158,7 +158,7 @@ def updates(lines: DataFrame, venue: str) -> DataFrame:
         *kept,
         "item_no",
         F.lit(venue).alias("exchange"),
-        decode_symbol(x(u.symbol), F.lit(venue)).alias("symbol"),
+        wire_pair(x(u.symbol), F.lit(venue)).alias("symbol"),
         x(u.bids).alias("bids"),
         x(u.asks).alias("asks"),
         x(f"cast({u.update_id} as long)").alias("update_id"),
@@ -175,7 +175,7 @@ def l3_updates(lines: DataFrame) -> DataFrame:
     rows = lines.select("value", frame(schema).alias("f")).where("f.type = 'diff-orders'")
     each = rows.select("f", F.expr("array_max(transform(f.payload, o -> o.d))").alias("update_id"), F.posexplode("f.payload").alias("item_no", "x"))
     return each.select(
-        F.lit("bitso").alias("exchange"), decode_symbol(F.col("f.book"), F.lit("bitso")).alias("symbol"), F.col("f.sequence").alias("sequence"), "update_id", "item_no",
+        F.lit("bitso").alias("exchange"), wire_pair(F.col("f.book"), F.lit("bitso")).alias("symbol"), F.col("f.sequence").alias("sequence"), "update_id", "item_no",
         F.col("x.o").alias("order_id"), (F.col("x.t") != 0).alias("is_ask"), F.coalesce("x.r", F.lit("")).alias("price"), F.coalesce("x.a", F.lit("")).alias("size"),
         F.coalesce(F.col("x.s").isin("cancelled", "completed"), F.lit(False)).alias("removed"),
     )
@@ -186,7 +186,7 @@ def contexts(lines: DataFrame) -> DataFrame:
     schema = "channel string, data struct<coin:string,ctx:struct<funding:string,openInterest:string,markPx:string,premium:string>>"
     rows = lines.select(frame(schema).alias("f")).where("f.channel in ('activeAssetCtx', 'activeSpotAssetCtx')")
     return rows.select(
-        F.lit("hyperliquid").alias("exchange"), decode_symbol(F.col("f.data.coin"), F.lit("hyperliquid")).alias("symbol"), decimal(F.col("f.data.ctx.funding")).alias("funding_rate"),
+        F.lit("hyperliquid").alias("exchange"), wire_pair(F.col("f.data.coin"), F.lit("hyperliquid")).alias("symbol"), decimal(F.col("f.data.ctx.funding")).alias("funding_rate"),
         decimal(F.col("f.data.ctx.premium")).alias("premium"), F.lit(1).alias("interval_hours"), decimal(F.col("f.data.ctx.openInterest")).alias("open_interest"), decimal(F.col("f.data.ctx.markPx")).alias("mark_px"),
     ).where("symbol is not null")
 
@@ -194,7 +194,7 @@ def contexts(lines: DataFrame) -> DataFrame:
 def settlements(lines: DataFrame, coin_column: str = "coin") -> DataFrame:
     """Rows of hyperliquid's funding history ({coin, fundingRate, premium, time})."""
     rows = lines.select(F.explode(F.from_json("value", "array<struct<coin:string,fundingRate:string,premium:string,time:long>>")).alias("x"))
-    return rows.select(F.lit("hyperliquid").alias("exchange"), decode_symbol(F.col("x.coin"), F.lit("hyperliquid")).alias("symbol"), decimal(F.col("x.fundingRate")).alias("funding_rate"), decimal(F.col("x.premium")).alias("premium"), epoch_to_us(F.col("x.time")).alias("funding_time_us"))
+    return rows.select(F.lit("hyperliquid").alias("exchange"), wire_pair(F.col("x.coin"), F.lit("hyperliquid")).alias("symbol"), decimal(F.col("x.fundingRate")).alias("funding_rate"), decimal(F.col("x.premium")).alias("premium"), epoch_to_us(F.col("x.time")).alias("funding_time_us"))
 
 
 def liquidations(lines: DataFrame) -> DataFrame:
@@ -203,7 +203,7 @@ def liquidations(lines: DataFrame) -> DataFrame:
     rows = lines.select(frame(schema).alias("f")).where("f.topic like 'allLiquidation.%' or f.topic like 'liquidation.%'").select(F.explode("f.data").alias("x"))
     zero = F.lit(0).cast("decimal(38,18)")
     return rows.select(
-        (F.col("x.uT") * 1000).alias("liquidation_ts_us"), decode_symbol(F.col("x.s"), F.lit("bybit")).alias("symbol"), F.coalesce(trade_side(F.col("x.uS")), F.lit("sell")).alias("side"),
+        (F.col("x.uT") * 1000).alias("liquidation_ts_us"), wire_pair(F.col("x.s"), F.lit("bybit")).alias("symbol"), F.coalesce(trade_side(F.col("x.uS")), F.lit("sell")).alias("side"),
         F.coalesce(decimal(F.col("x.p")), zero).alias("price"), F.coalesce(decimal(F.col("x.v")), zero).alias("amount"), F.lit("bybit").alias("exchange"),
     )
 
@@ -213,7 +213,7 @@ def tickers(lines: DataFrame) -> DataFrame:
     schema = "topic string, ts long, data struct<symbol:string,fundingRate:string,nextFundingTime:string,fundingIntervalHour:string,openInterest:string,openInterestValue:string,markPrice:string>"
     rows = lines.select(frame(schema).alias("f")).where("f.topic like 'tickers.%'")
     return rows.select(
-        F.lit("bybit").alias("exchange"), decode_symbol(F.col("f.data.symbol"), F.lit("bybit")).alias("symbol"), epoch_to_us(F.coalesce("f.ts", F.lit(0))).alias("ts_us"),
+        F.lit("bybit").alias("exchange"), wire_pair(F.col("f.data.symbol"), F.lit("bybit")).alias("symbol"), epoch_to_us(F.coalesce("f.ts", F.lit(0))).alias("ts_us"),
         decimal(F.col("f.data.fundingRate")).alias("funding_rate"), epoch_to_us(F.coalesce(F.expr("try_cast(f.data.nextFundingTime as long)"), F.lit(0))).alias("next_funding_ts_us"),
         F.coalesce(F.expr("try_cast(f.data.fundingIntervalHour as int)"), F.lit(8)).alias("interval_hours"), decimal(F.col("f.data.openInterest")).alias("open_interest"),
         decimal(F.col("f.data.openInterestValue")).alias("open_interest_value"), decimal(F.col("f.data.markPrice")).alias("mark_px"),
