@@ -508,3 +508,33 @@ def test_a_named_dex_is_read_from_the_live_feed(spark):
     assert [r.p for r in got.collect()] == ["xyz:TSLA/USDC", None, None, None, "BTC/USDC"]
     frame = '{"channel":"trades","data":[{"coin":"xyz:TSLA","side":"B","px":"1.5","sz":"2","time":3,"tid":4}]}'
     assert venues.prints(rows(spark, [(frame,)], "value string"), "hyperliquid").first().symbol == "xyz:TSLA/USDC"
+
+
+def _seeded(**bounds):
+    return books.Seeded(books.Fold(predicate="range_inclusive"), **bounds)
+
+
+def test_updates_wait_for_a_seed_and_are_replayed():
+    book = _seeded()
+    assert [book.update([("bid", 10 + n, 1)], n, n) for n in (4, 5, 6)] == ["waiting"] * 3
+    assert book.seed([("ask", 100, 1)], 4) == 2 and not book.waiting and book.book.last == 6
+    assert sorted(p for _, _, p, _ in book.book.levels()) == [15, 16, 100]
+    assert book.update([], 6, 6) == "stale" and book.update([("bid", 9, 1)], 7, 7) == "applied"
+    assert book.update([("bid", 8, 1)], 12, 12) == "gapped" and book.seeding and not book.book.levels()
+    assert book.update([("bid", 7, 1)], 13, 13) == "waiting"
+    assert book.seed([], 9) == 0 and book.seeding and len(book.waiting) == 2
+    assert book.seed([], 11) == 2 and not book.seeding and book.asked == 0
+
+
+def test_seeds_and_waiting_updates_are_bounded():
+    book = _seeded(most=3, seeds=2)
+    for n in range(10):
+        book.update([("bid", n + 1, 1)], n, n)
+    assert (len(book.waiting), book.lost) == (3, 7)
+    assert book.seed([], 2) == 0 and book.seeding
+    assert book.seed([], 6) == 3 and not book.seeding
+    book.update([], 20, 20)
+    assert [book.seed([], 1), book.exhausted, book.seed([], 1), book.exhausted] == [0, False, 0, True]
+    late = _seeded(seeds=2)
+    assert [late.failed() for _ in range(3)] == [250_000, 500_000, None]
+    assert books.seed_delay_us(20) == 2_000_000

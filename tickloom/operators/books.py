@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Sequence
 from decimal import Decimal, InvalidOperation
 
@@ -298,6 +299,82 @@ class OrderFold(Fold):
         return self.apply([(side, price, self.totals.get((side, price), Decimal(0))) for side, price in touched], update_id, None, is_snapshot)
 
 
+#: Updates that wait for a seed at most, seeds asked for in a row, and the wait before another seed (step and longest, in microseconds).
+MOST_WAITING, MOST_SEEDS, SEED_STEP_US, SEED_WAIT_US = 100_000, 8, 250_000, 2_000_000
+
+
+def seed_delay_us(attempt: int) -> int:
+    """The wait before a seed is asked for again after ``attempt`` failures."""
+    return min(attempt * SEED_STEP_US, SEED_WAIT_US)
+
+
+class Seeded:
+    """A book whose first state comes from outside its stream.
+
+    Updates wait until a seed is there; those that the seed covers are
+    discarded, the others replayed on it. A break makes the rest wait for
+    another seed; when ``seeds`` were asked for in a row without a book, it is
+    ``exhausted`` and its connection must begin anew. Beyond ``most`` waiting
+    updates the oldest go (``lost``); the replay then shows a break unless the
+    seed covers them.
+    """
+
+    def __init__(self, book: Fold, most: int = MOST_WAITING, seeds: int = MOST_SEEDS):
+        self.book, self.most, self.seeds = book, most, seeds
+        self.waiting: deque[tuple] = deque()
+        self.asked = self.lost = 0
+        self.seeding, self.exhausted = True, False
+
+    def wait(self, update: tuple) -> None:
+        self.waiting.append(update)
+        if len(self.waiting) > self.most:
+            self.waiting.popleft()
+            self.lost += 1
+
+    def ask(self) -> None:
+        """Another seed is wanted."""
+        self.seeding = True
+        self.exhausted = self.asked >= self.seeds
+        self.asked += not self.exhausted
+
+    def update(self, changes: list[tuple], update_id: int, sequence: int | None = None) -> str:
+        """What became of an update: waiting, applied, stale (not beyond the book) or gapped."""
+        if self.seeding:
+            self.wait((changes, update_id, sequence))
+            return "waiting"
+        if self.book.last is not None and update_id <= self.book.last:
+            return "stale"
+        if self.book.apply(changes, update_id, sequence):
+            self.asked = 0
+            return "applied"
+        self.wait((changes, update_id, sequence))
+        self.ask()
+        return "gapped"
+
+    def seed(self, levels: list[tuple], update_id: int) -> int:
+        """Take a seed; how many waiting updates were replayed on it."""
+        if not self.book.apply(levels, update_id, is_snapshot=True):
+            self.ask()
+            return 0
+        self.seeding, replayed = False, 0
+        while self.waiting:
+            changes, own_id, sequence = self.waiting[0]
+            if own_id > update_id:
+                if not self.book.apply(changes, own_id, sequence):
+                    self.ask()
+                    break
+                replayed += 1
+            self.waiting.popleft()
+        else:
+            self.asked = 0
+        return replayed
+
+    def failed(self) -> int | None:
+        """A seed could not be fetched: the wait before the next in microseconds, or None when no further one is asked for."""
+        self.ask()
+        return None if self.exhausted else seed_delay_us(self.asked)
+
+
 def _number(text) -> Decimal | None:
     try:
         found = Decimal(str(text))
