@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity
+from tickloom.llm import codes, credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity, yinyang
 from tickloom.llm._common import table
 
 
@@ -51,6 +51,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_yinyang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return yinyang.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -62,8 +70,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
+    "op11_codes": op11_codes,
+    "op13_yinyang": op13_yinyang,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
+    "op11_codes": codes.ORACLE_SQL,
+    "op13_yinyang": yinyang.ORACLE_SQL,
 }
