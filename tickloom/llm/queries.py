@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import codes, credentials, decontaminate, fingerprint, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity, yinyang
+from tickloom.llm import codes, credentials, decontaminate, fingerprint, hmm, licenses, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity, yinyang
 from tickloom.llm._common import table
 
 
@@ -55,6 +55,10 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op12_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scores(table(spark, sf_dir, "documents"))
+
+
 def op13_yinyang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yinyang.clusters(table(spark, sf_dir, "embeddings"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
     "op11_codes": op11_codes,
+    "op12_markov": op12_markov,
     "op13_yinyang": op13_yinyang,
 }
 
