@@ -72,7 +72,7 @@ def labels(spark, rows):
 def test_registered_queries_and_oracles(spark, duck):
     from tickloom.llm import queries
 
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
     for name, sql in queries.ORACLE_SQL.items():
         got, want = queries.QUERIES[name](spark, SF).toPandas(), duck.sql(sql).df()
         key = sorted(got.columns)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -89,8 +90,8 @@ class Store:
             root = f"file://{tempfile.mkdtemp(prefix='tickloom-')}"
         self.root = f"{root.rstrip('/')}/tickloom-{uuid.uuid4().hex}"
         self.count = 0
-        if _open:
-            _open[-1].append(self)
+        if blocks := _open.get():
+            blocks[-1].append(self)
 
     def keep(self, frame: DataFrame) -> DataFrame:
         """Write a frame, read it back."""
@@ -115,8 +116,8 @@ class Store:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: The stores of the innermost ``cleaned`` block that is open.
-_open: list[list[Store]] = []
+#: The stores of the ``cleaned`` blocks that are open in this thread, innermost last.
+_open: ContextVar[tuple[list[Store], ...]] = ContextVar("_open", default=())
 
 
 @contextmanager
@@ -124,14 +125,14 @@ def cleaned() -> Iterator[None]:
     """Removes the intermediates of all operators called inside once the block ends; write or collect their results before that.
 
     Operators return frames that read their intermediates, so these stay until
-    then, or until the folder is emptied.
+    then, or until the folder is emptied. Blocks of other threads are their own.
     """
     own: list[Store] = []
-    _open.append(own)
+    outer = _open.set((*_open.get(), own))
     try:
         yield
     finally:
-        _open.remove(own)
+        _open.reset(outer)
         for store in own:
             store.close()
 

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm._common import KEY, Store, byte_texts, keyed, slices
@@ -150,15 +150,24 @@ def scan(docs: DataFrame, texts=TEMPLATES) -> DataFrame:
 def _merged(diagonals: DataFrame) -> DataFrame:
     """Runs of neighbouring diagonals of one document and template, with the distinct template words they match.
 
-    A run goes on while the next diagonal is within DRIFT and starts before or
-    soon after the end of the diagonal before. A document has few diagonals of one template: at
-    most one for each of its words.
+    Diagonals are neighbours within DRIFT; among neighbours a run goes on while
+    the next stretch starts before or soon after the furthest end so far; what
+    then isn't a neighbour any more goes apart. A document has few diagonals of
+    one template: at most one for each of its words.
     """
     from pyspark.sql import Window
 
-    order = Window.partitionBy(*KEY, "template").orderBy("diagonal", "first")
-    apart = (F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT) | (F.col("first") - F.lag("end").over(order) > 2 * DRIFT) | (F.lag("first").over(order) - F.col("end") > 2 * DRIFT)
-    numbered = diagonals.withColumn("new", F.coalesce(apart.cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(order))
-    merged = numbered.groupBy(*KEY, "template", "label", "size", "run").agg(F.min("first").alias("first"), F.max("end").alias("end"), F.flatten(F.collect_list("hits")).alias("hits"))
+    def parted(rows: DataFrame, name: str, within: list[str], apart: Column, order: list[str]) -> DataFrame:
+        rows = rows.withColumn("new", F.coalesce(apart.cast("int"), F.lit(0)))
+        return rows.withColumn(name, F.sum("new").over(Window.partitionBy(*KEY, "template", *within).orderBy(*order))).drop("new")
+
+    def far(*within: str) -> Column:
+        return F.col("diagonal") - F.lag("diagonal").over(Window.partitionBy(*KEY, "template", *within).orderBy("diagonal", "first")) > DRIFT
+
+    numbered = parted(diagonals, "near", [], far(), ["diagonal", "first"])
+    furthest = F.max("end").over(Window.partitionBy(*KEY, "template", "near").orderBy("first", "diagonal").rowsBetween(Window.unboundedPreceding, -1))
+    numbered = parted(numbered, "stretch", ["near"], F.col("first") - furthest > 2 * DRIFT, ["first", "diagonal"])
+    numbered = parted(numbered, "rest", ["near", "stretch"], far("near", "stretch"), ["diagonal", "first"])
+    merged = numbered.groupBy(*KEY, "template", "label", "size", "near", "stretch", "rest").agg(F.min("first").alias("first"), F.max("end").alias("end"), F.flatten(F.collect_list("hits")).alias("hits"))
     words = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["span"] - 1)))))
     return merged.withColumn("words", words)

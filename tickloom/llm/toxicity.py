@@ -191,11 +191,11 @@ def _scan(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, size, most (best segment), excess, and the significant passages (start word, end word, excess)."""
     passages = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()), ("excess", pa.float64())]))
     schema = "doc_id long, size long, most double, excess double, passages array<struct<first_word:long,end_word:long,excess:double>>"
-    # As large as the tokens of the bounded training sample.
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # As large as the tokens of the bounded training sample. Plain values: a broadcast names classes by their module, which workers may lack.
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(**shared.value)
         for batch in slices(batches):
             size, most, excess, spans = [], [], [], []
             for text in batch.column("text").to_pylist():
