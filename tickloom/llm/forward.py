@@ -12,9 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1024
+CHUNK = 2048
 #: Tokens that are worked on at once.
-AT_ONCE = 1 << 18
+AT_ONCE = 1 << 19
 #: Steps of a product before it is scaled again; chances of 1e-15 stay far above the least double.
 RESCALE = 16
 

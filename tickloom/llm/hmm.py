@@ -39,6 +39,8 @@ LEAST = 50
 MIX = 0.1
 #: Bytes of emissions that are broadcast at most.
 BROADCAST = 32 << 20
+#: Bytes of texts in a block.
+BLOCK = 8 << 20
 #: Bytes of a text that are split at once.
 PIECE = 1 << 20
 #: The chance to stay in a state before the first round.
@@ -80,13 +82,17 @@ def numbered(text: str | None, numbers: Numbers) -> np.ndarray:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32 by falling bytes, compressed: small ones take little."""
-    return zlib.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    """Numbers below 2**32 by falling bytes as far as any needs them, compressed; the first byte is their width."""
+    wide = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T[:wide])
+    return bytes([wide]) + zlib.compress(planes.tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    numbers = np.zeros((planes.shape[1], 4), np.uint8)
+    numbers[:, : len(planes)] = planes.T
+    return numbers.view("<u4").ravel().astype(np.int64)
 
 
 def trained() -> Column:
@@ -101,7 +107,7 @@ def encode(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         blocks = itertools.count(TaskContext.get().partitionId() << 32)
-        for batch in slices(batches):
+        for batch in slices(batches, most=BLOCK):
             numbers = Numbers()
             texts = [numbered(t, numbers) for t in batch.column("text").to_pylist()]
             lengths, tokens = np.array([len(t) for t in texts]), np.concatenate(texts)
