@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import random
 from decimal import Decimal
 from numbers import Number
 
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import codecs, scalars
-from tickloom.operators import books, grid, onchain, repair, trades, validation
+from tickloom.operators import blocked, books, grid, onchain, repair, trades, validation
 from tickloom.plans import catalogue
 from tickloom.sources import files, venues
 
@@ -160,13 +161,64 @@ def test_continuity_carries_over(spark):
     assert (got.trades, got.gap_events, got.trades_lost, got.duplicates) == (4, 1, 2, 1)
 
 
-def test_ewma_equals_fold(spark):
-    data = [(*K, n, n, float((n * 37) % 11)) for n in range(1500)]
-    got = [r.smoothed for r in trades.ewma(rows(spark, data, "exchange string, symbol string, ts_us long, seq long, v double"), "v").orderBy("seq").collect()]
-    value = data[0][4]
-    for r, d in zip(got, data, strict=True):
-        value = value if d[2] == 0 else 0.2 * d[4] + 0.8 * value
-        assert r == pytest.approx(value)
+@pytest.mark.parametrize("alpha", [0.001, 0.2, 0.9, 1.0])
+def test_ewma_equals_fold(spark, alpha):
+    """Over blocks of a day, with null samples, null times and a null key."""
+    data = [(*k, None if n % 601 == 5 else n * 100_000_000, n, None if n < 2 or n % 37 == 9 else float((n * 37) % 11)) for k in (K, ("kraken", None)) for n in range(3000)]
+    out = trades.ewma(rows(spark, data, "exchange string, symbol string, ts_us long, seq long, v double").repartition(5), "v", alpha).collect()
+    assert len(out) == len(data)
+    for k in (K, ("kraken", None)):
+        got = {r.seq: r.smoothed for r in out if (r.exchange, r.symbol) == k}
+        value = None
+        for d in sorted((d for d in data if d[:2] == k), key=lambda d: (d[2] is not None, d[2] or 0, d[3])):
+            value = value if d[4] is None else d[4] if value is None else alpha * d[4] + (1 - alpha) * value
+            assert got[d[3]] is value is None or got[d[3]] == pytest.approx(value, rel=1e-9)
+
+
+def test_round_trips_equal_fold(spark):
+    """Rounded down at every step, from batch to batch."""
+    data = [(c, n, None if n % 11 == 4 else (n * 7919 + c) % 250_000) for c in (1, 2, 3) for n in range(30)] + [(None, 1, 7), (None, 2, 1)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = trades.round_trips(rows(spark, data, "conn long, ts_us long, rtt_us long").repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    state, want = {}, []
+    for c, n, x in sorted(data, key=lambda d: (d[0] or 0, d[1])):
+        state[c] = state.get(c) if x is None else x if state.get(c) is None else (x + 4 * state[c]) // 5
+        want.append((c, n, x, state[c]))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_scans_in_blocks_equal_one_window(spark):
+    """Every kind, over rows with null keys, null orders, negative orders and null values."""
+    draw = random.Random(4)
+    data = [(draw.choice(["a", "b", None]), None if draw.random() < 0.05 else draw.randint(-300, 900), n, None if draw.random() < 0.4 else draw.randint(0, 50)) for n in range(1500)]
+    frame = rows(spark, data, "k string, o long, seq long, v long").repartition(6)
+    parts = {f"{kind}_{where}": (kind, F.col("v")) for kind in ("max", "sum", "last", "lag") for where in ("before", "upto")}
+    before, upto = ({n: p for n, p in parts.items() if n.endswith(w)} for w in ("before", "upto"))
+    told = {r.seq: r for r in blocked.scanned(frame, ["k"], ["o", "seq"], before, upto, width=100).collect()}
+    plain = {r.seq: r for r in blocked.scanned(frame, ["k"], ["o", "seq"], before, upto, blocks=False).collect()}
+    assert len(told) == len(data) and told == plain
+    for k in ("a", "b", None):
+        top, total, last, previous = None, None, None, None
+        for _, o, seq, v in sorted((d for d in data if d[0] == k), key=lambda d: (d[1] is not None, d[1] or 0, d[2])):
+            r = told[seq]
+            assert (r.max_before, r.sum_before, r.last_before, r.lag_before) == (top, total, last, previous)
+            if v is not None:
+                top, total, last = max(v, v if top is None else top), (total or 0) + v, v
+            previous = v
+            assert (r.max_upto, r.sum_upto, r.last_upto, r.lag_upto) == (top, total, last, previous)
+
+
+def test_null_keys_and_times_keep_their_rows(spark):
+    ddl = "exchange string, symbol string, ts_us long, seq long, amount double"
+    data = [(*K, 1, 1, 1.0), (*K, None, 2, 1.0), (None, "X/USD", 3, 3, 1.0), (None, None, None, None, None)]
+    frame = rows(spark, data, ddl)
+    assert trades.continuity(frame).count() == grid.late_by_arrival(frame, 10, ["seq"]).count() == len(data)
+    assert sum(r.regressed for r in trades.regressions(frame).collect()) == 0 and trades.regressions(frame).count() == 3
+    assert books.dense_breaks(frame, ["ts_us"], trades.PAIR, "seq").count() == books.attributed_gaps(frame, ["ts_us"], trades.PAIR, "seq", "seq").count() == len(data)
+    assert books.sequence_breaks(frame, "monotonic", ["seq"], trades.PAIR, "seq", "seq").count() == len(data)
 
 
 def test_rehydrate_fills_exactly_the_holes(spark):

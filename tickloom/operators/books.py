@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.codecs import RECIPES
+from tickloom.operators import blocked
 
 BOOK = ("book",)
 
@@ -136,24 +137,31 @@ def sequence_breaks(deltas: DataFrame, predicate: str, order: Sequence[str], key
     Each update is held against the one before it; from a break on, a segment
     is only good once the book is seeded again.
     """
-    own = Window.partitionBy(*key).orderBy(*order)
-    last = F.lag(update_id).over(own)
-    follows = F.coalesce(PREDICATES[predicate](F.col(sequence), F.col(update_id), last), F.lit(True))
-    rows = deltas.withColumn("follows", follows)
-    return rows.withColumn("segment", F.sum((~F.col("follows")).cast("long")).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = blocked.scanned(deltas, key, order, {"_last": ("lag", F.col(update_id))})
+    follows = F.coalesce(PREDICATES[predicate](F.col(sequence), F.col(update_id), F.col("_last")), F.lit(True))
+    return blocked.scanned(rows.withColumn("follows", follows).drop("_last"), key, order, upto={"segment": ("sum", (~F.col("follows")).cast("long"))})
+
+
+def break_counts(deltas: DataFrame, predicates: Sequence[str], order: Sequence[str], key: Sequence[str] = BOOK, update_id: str = "update_id", sequence: str = "sequence") -> DataFrame:
+    """(key, n, breaks, predicate): updates and breaks of each book under several predicates, from one scan."""
+    rows = blocked.scanned(deltas, key, order, {"_last": ("lag", F.col(update_id))})
+    broken = {p: ~F.coalesce(PREDICATES[p](F.col(sequence), F.col(update_id), F.col("_last")), F.lit(True)) for p in predicates}
+    sums = rows.groupBy(*key).agg(F.count("*").alias("n"), *(F.count(F.when(test, 1)).alias(p) for p, test in broken.items()))
+    return sums.unpivot([*key, "n"], list(predicates), "predicate", "breaks").select(*key, "n", "breaks", "predicate")
 
 
 def dense_breaks(frame: DataFrame, order: Sequence[str], key: Sequence[str] = BOOK, sequence: str = "sequence") -> DataFrame:
     """Numbers skipped before each update of a dense sequence."""
-    return frame.withColumn("skipped", F.greatest(F.col(sequence) - F.lag(sequence).over(Window.partitionBy(*key).orderBy(*order)) - 1, F.lit(0).cast("long")))
+    rows = blocked.scanned(frame, key, order, {"_last": ("lag", F.col(sequence))})
+    return rows.withColumn("skipped", F.greatest(F.col(sequence) - F.col("_last") - 1, F.lit(0).cast("long"))).drop("_last")
 
 
 def attributed_gaps(frame: DataFrame, order: Sequence[str], key: Sequence[str], sequence: str, heartbeat: str) -> DataFrame:
     """Connection sequence gaps minus those that lost heartbeats explain."""
-    own = Window.partitionBy(*key).orderBy(*order)
-    gap = F.col(sequence) - F.lag(sequence).over(own) - 1
-    beats = F.col(heartbeat) - F.lag(heartbeat).over(own) - 1
-    return frame.withColumn("unexplained", F.greatest(F.coalesce(gap, F.lit(0)) - F.greatest(F.coalesce(beats, F.lit(0)), F.lit(0)), F.lit(0)).cast("long"))
+    rows = blocked.scanned(frame, key, order, {"_last": ("lag", F.struct(F.col(sequence).alias("s"), F.col(heartbeat).alias("h")))})
+    gap, beats = F.col(sequence) - F.col("_last.s") - 1, F.col(heartbeat) - F.col("_last.h") - 1
+    unexplained = F.greatest(F.coalesce(gap, F.lit(0)) - F.greatest(F.coalesce(beats, F.lit(0)), F.lit(0)), F.lit(0)).cast("long")
+    return rows.withColumn("unexplained", unexplained).drop("_last")
 
 
 def seed_reconcile(seeds: DataFrame, deltas: DataFrame, key: Sequence[str] = BOOK) -> DataFrame:

@@ -16,13 +16,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import div, row_of
 from tickloom.operators import blocked
 
 GAP_FILL = 10_000
+#: From this period on a key has half a million rows a year at most, which one window orders; shorter ones go in blocks.
+ONE_WINDOW_US = 60_000_000
 KEY = ("exchange", "symbol")
 
 
@@ -39,7 +41,7 @@ def clock(driver: DataFrame, period_us: int, key: Sequence[str] = KEY, ts: str =
         records = seen.where("most is null or period > most").select(*key, "period")
     else:
         records = driver.select(*key, period.alias("period")).distinct()
-    return records.withColumn("previous", F.lag("period").over(Window.partitionBy(*key).orderBy("period")))
+    return blocked.scanned(records, key, ["period"], {"previous": ("max", F.col("period"))}, blocks=period_us < ONE_WINDOW_US)
 
 
 def spine(periods: DataFrame, key: Sequence[str] = KEY, cap: int = GAP_FILL, final: bool = True) -> DataFrame:
@@ -78,12 +80,12 @@ def in_time(driver: DataFrame, events: DataFrame, period_us: int, arrival: Seque
     return told.where("not _ticks and not late").drop("_ticks", "row", "late")
 
 
-def as_of(rows: DataFrame, states: DataFrame, value: str, key: Sequence[str] = KEY, row: str = "row") -> DataFrame:
-    """Each row with the last ``value`` of a state whose row is not later: one union and one window, no range join."""
+def as_of(rows: DataFrame, states: DataFrame, value: str, key: Sequence[str] = KEY, row: str = "row", blocks: bool = True) -> DataFrame:
+    """Each row with the last ``value`` of a state whose row is not later: one union and one scan, no range join."""
     kind = states.schema[value].dataType
-    both = rows.withColumn("_own", F.lit(True)).withColumn(value, F.lit(None).cast(kind)).unionByName(states.select(*key, row, value).withColumn("_own", F.lit(False)), allowMissingColumns=True)
-    order = Window.partitionBy(*key).orderBy(row, F.col("_own")).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.last(value, ignorenulls=True).over(order)).where("_own").drop("_own")
+    both = rows.withColumn("_own", F.lit(True)).withColumn("_state", F.lit(None).cast(kind)).unionByName(states.select(*key, row, F.col(value).alias("_state")).withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    told = blocked.scanned(both, key, [row, "_own"], upto={value: ("last", F.col("_state"))}, blocks=blocks)
+    return told.where("_own").drop("_own", "_state")
 
 
 def book_states(books: DataFrame, period_us: int, key: Sequence[str] = KEY, ts: str = "ts_us", order: Sequence[str] = ("ts_us", "seq")) -> DataFrame:
@@ -170,7 +172,8 @@ def market_aggregate(
     last = ends(periods, key).select(*key, "terminal_row")
     states = book_states(books, period_us, key).join(last, list(key)).withColumn("row", F.least("row", "terminal_row")).drop("terminal_row")
     states = states.groupBy(*key, "row").agg(F.max_by("book", "book.book_ts_us").alias("book"))
-    full = as_of(rows, states, "book", key).join(facts, [*key, "row"], "left")
+    blocks = period_us < ONE_WINDOW_US
+    full = as_of(rows, states, "book", key, blocks=blocks).join(facts, [*key, "row"], "left")
 
     bid, ask = col("book.bid"), col("book.ask")
     both = (bid > 0) & (ask > 0)
@@ -207,8 +210,8 @@ def market_aggregate(
         _zero(col("px_first")).alias("trade_px_first"),
         _zero(col("px_last")).alias("trade_px_last"),
     )
-    change = col("oi_contracts") - F.lag("oi_contracts", 1, 0.0).over(Window.partitionBy(*key).orderBy("ts_us"))
-    return shown.withColumn("oi_change", change)
+    told = blocked.scanned(shown, key, ["ts_us"], {"_oi": ("lag", col("oi_contracts"))}, blocks=blocks)
+    return told.withColumn("oi_change", col("oi_contracts") - F.coalesce("_oi", F.lit(0.0))).drop("_oi")
 
 
 def sampled_books(books: DataFrame, period_us: int, key: Sequence[str] = KEY, cap: int = GAP_FILL) -> DataFrame:
@@ -216,7 +219,7 @@ def sampled_books(books: DataFrame, period_us: int, key: Sequence[str] = KEY, ca
     periods = clock(books, period_us, key)
     # A boundary row shows what was stored when the crossing update came: the last book of the period before.
     states = book_states(books, period_us, key)
-    sampled = as_of(spine(periods, key, cap), states, "book", key)
+    sampled = as_of(spine(periods, key, cap), states, "book", key, blocks=period_us < ONE_WINDOW_US)
     return sampled.select(*key, (F.col("row") * period_us).alias("ts_us"), "book.*")
 
 
@@ -228,18 +231,20 @@ def event_samples(events: DataFrame, triggers: Sequence[str], key: Sequence[str]
     came before it waits for the first trigger after. Left-over prints make a
     closing row with the last book's time.
     """
-    so_far = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     kind = F.col("kind")
     # A book that triggers shows itself, so its own row counts as begun.
-    begun = F.max((kind == "book").cast("int")).over(so_far) == 1
-    state = events.withColumn("fires", kind.isin(*triggers) & begun)
-    state = (
-        state.withColumn("span", F.coalesce(F.sum(F.col("fires").cast("long")).over(before), F.lit(0).cast("long")))
-        .withColumn("book_now", F.last(F.when(kind == "book", F.struct("bid", "ask", "ts_us")), ignorenulls=True).over(so_far))
-        .withColumn("rate_now", F.last(F.when(kind == "funding", F.col("rate")), ignorenulls=True).over(so_far))
-        .withColumn("oi_now", F.last(F.when(kind == "oi", F.col("oi")), ignorenulls=True).over(so_far))
-    )
+    state = blocked.scanned(
+        events,
+        key,
+        order,
+        upto={
+            "_begun": ("max", kind == "book"),
+            "book_now": ("last", F.when(kind == "book", F.struct("bid", "ask", "ts_us"))),
+            "rate_now": ("last", F.when(kind == "funding", F.col("rate"))),
+            "oi_now": ("last", F.when(kind == "oi", F.col("oi"))),
+        },
+    ).withColumn("fires", kind.isin(*triggers) & F.col("_begun"))
+    state = blocked.scanned(state, key, order, {"span": ("sum", F.col("fires").cast("long"))}).withColumn("span", F.coalesce("span", F.lit(0).cast("long")))
     at = F.struct(*order)
     spans = state.groupBy(*key, "span").agg(
         F.max("fires").alias("fired"),

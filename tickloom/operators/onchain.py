@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import blocks_lost, role_rank
+from tickloom.operators import blocked
 
 # The program that sets compute budgets, and its two instruction kinds.
 COMPUTE_BUDGET = "ComputeBudget111111111111111111111111111111"
@@ -131,8 +132,8 @@ def invariants(rows: DataFrame) -> DataFrame:
 def out_of_order(rows: DataFrame, order: Sequence[str], by: Sequence[str] = ("address",)) -> DataFrame:
     """(by, out_of_order): rows whose (slot, tx_index) doesn't lie beyond the row before."""
     at = F.struct("slot", "tx_index")
-    last = F.lag(at).over(Window.partitionBy(*by).orderBy(*order))
-    return rows.select(*by, F.coalesce(at <= last, F.lit(False)).alias("bad")).groupBy(*by).agg(F.count(F.when(F.col("bad"), 1)).alias("out_of_order"))
+    told = blocked.scanned(rows.select(*dict.fromkeys([*by, *order, "slot", "tx_index"])), by, order, {"_last": ("lag", at)})
+    return told.select(*by, F.coalesce(at <= F.col("_last"), F.lit(False)).alias("bad")).groupBy(*by).agg(F.count(F.when(F.col("bad"), 1)).alias("out_of_order"))
 
 
 def repeated_across(rows: DataFrame, file: str = "file", key: Sequence[str] = ("day", "address", "signature")) -> DataFrame:
@@ -212,14 +213,9 @@ def verdicts(metas: DataFrame, reorder: int = 4, abandon: int = 32, order: str =
     if covered_from == "first":
         first = rows.agg(F.min_by("slot", order)).first()[0]
         covered_from = None if first is None else first + COVERAGE_MARGIN
-    rows = rows.withColumn("_part", F.expr(f"{order} div {1 << 16}"))
-    # The highest slot so far: inside a range of arrivals, and of all ranges before, so that no task orders the whole chain.
-    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    tops = rows.groupBy("_part").agg(F.max("slot").alias("_own"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    tops = tops.select("_part", F.max("_own").over(before).alias("_before"))
-    rows = rows.withColumn("_in", F.max("slot").over(inside)).join(tops, "_part")
-    behind = F.coalesce(F.greatest("_in", "_before") - F.col("slot"), F.lit(0))
+    # The highest slot so far, in blocks of arrivals, so that no task orders the whole chain.
+    rows = blocked.scanned(rows, (), [order], {"_top": ("max", F.col("slot"))}, width=blocked.NUMBERS)
+    behind = F.coalesce(F.col("_top") - F.col("slot"), F.lit(0))
     covered = F.lit(True) if covered_from is None else F.col("slot") >= covered_from
     bank = Window.partitionBy("slot", "bank_id")
     at = F.col(order)

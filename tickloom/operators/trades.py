@@ -88,9 +88,11 @@ def loss(frame: DataFrame, key: Sequence[str] = PAIR, **how) -> DataFrame:
     )
 
 
-def silences(frame: DataFrame, threshold_us: int = 5_000_000, key: Sequence[str] = PAIR, ts: str = "ts_us", order: Sequence[str] = ("ts_us", "seq")) -> DataFrame:
+def silences(frame: DataFrame, threshold_us: int = 5_000_000, key: Sequence[str] = PAIR, ts: str = "ts_us") -> DataFrame:
     """(key, opened_us, closed_us, window_us): stretches without events longer than the threshold."""
-    gaps = blocked.steps(frame, [ts], key, order).select(*key, F.col(f"before.{ts}").alias("opened_us"), F.col(f"now.{ts}").alias("closed_us"))
+    # In time order the time of the row before is the greatest so far.
+    rows = blocked.scanned(frame.select(*key, ts), key, [ts], {"opened_us": ("max", F.col(ts))})
+    gaps = rows.select(*key, "opened_us", F.col(ts).alias("closed_us"))
     return gaps.withColumn("window_us", F.col("closed_us") - F.col("opened_us")).where(F.col("window_us") > threshold_us)
 
 
@@ -107,8 +109,9 @@ def trailing_count(frame: DataFrame, span_us: int = 60_000_000, cap: int = 4096,
 def incidents(frame: DataFrame, threshold_us: int, span_us: int, key: Sequence[str] = PAIR) -> DataFrame:
     """The gap ledger of a trade log: silences with the prints that they may have cost at the rate before them."""
     rated = trailing_count(frame, span_us, key=key)
-    each = blocked.steps(rated, ["ts_us", "trailing"], key, ["ts_us", "seq"])
-    gaps = each.select(*key, F.col("before.ts_us").alias("opened_us"), F.col("now.ts_us").alias("closed_us"), F.col("before.trailing").alias("before"))
+    # Rows of one time have one trailing count, so time alone orders them.
+    each = blocked.scanned(rated.select(*key, "ts_us", "trailing"), key, ["ts_us"], {"opened_us": ("max", F.col("ts_us")), "before": ("lag", F.col("trailing"))})
+    gaps = each.select(*key, "opened_us", F.col("ts_us").alias("closed_us"), "before")
     gaps = gaps.withColumn("window_us", F.col("closed_us") - F.col("opened_us")).where(F.col("window_us") > threshold_us)
     return gaps.withColumn("possible_dropped", possible_dropped(F.col("before") * (60_000_000 / span_us), F.col("window_us")))
 
@@ -203,25 +206,21 @@ def flow(frame: DataFrame, by: Sequence) -> DataFrame:
 
 
 def ewma(frame: DataFrame, value: str, alpha: float = 0.2, key: Sequence[str] = PAIR, order: Sequence[str] = ("ts_us", "seq")) -> DataFrame:
-    """(key, seq, smoothed): exponential average seeded by the first sample.
+    """(key, order, smoothed): exponential average seeded by the first sample, in blocks of a day."""
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha must lie in (0, 1]")
+    return blocked.averaged(frame, value, alpha, key, order)
 
-    A weighted window would need powers beyond a double's range, and a fold
-    over a collected array would hold a whole key in one row; so each key is
-    cut into blocks of rows, each block is reduced to (weight, sum), blocks are
-    chained by a window over the blocks, and rows add their block's start.
+
+def round_trips(pings: DataFrame, key: Sequence[str] = ("conn",), order: Sequence[str] = ("ts_us",), sample: str = "rtt_us") -> DataFrame:
+    """``pings`` with ``srtt_us``: the whole-number average (sample + 4 * before) div 5, seeded by the first sample.
+
+    Rounding down at each step doesn't compose over blocks, so a connection's
+    pings, a few a minute, are folded in order. A null sample (a ping without an
+    answer) leaves the average as it is.
     """
-    size = 512
-    own = Window.partitionBy(*key).orderBy(*order)
-    rows = frame.select(*key, *order, F.col(value).alias("x")).withColumn("n", F.row_number().over(own) - 1)
-    rows = rows.withColumn("block", div(F.col("n").cast("long"), size)).withColumn("k", F.col("n") % size)
-    # Inside a block: s_k = (1-a)^(k+1) * start + sum of a * (1-a)^(k-j) * x_j; 512 steps keep the powers finite.
-    keep = F.lit(1 - alpha)
-    weight = F.when(F.col("n") == 0, 1.0).otherwise(alpha)
-    inside = Window.partitionBy(*key, "block").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("own", F.sum(weight * F.col("x") * F.pow(keep, -F.col("k"))).over(inside) * F.pow(keep, F.col("k")))
-    blocks = rows.groupBy(*key, "block").agg(F.max_by("own", "k").alias("gain"), F.max("k").alias("last"))
-    # start of block b: the value at the end of block b-1; earlier blocks fade by (1-a)^512, below a double's precision.
-    chained = Window.partitionBy(*key).orderBy("block")
-    starts = blocks.withColumn("start", F.coalesce(F.lag("gain").over(chained), F.lit(0.0)))
-    out = rows.join(starts.select(*key, "block", "start"), [*key, "block"])
-    return out.select(*key, *order, (F.col("own") + F.col("start") * F.pow(keep, F.col("k") + 1)).alias("smoothed"))
+
+    def step(now: int | None, x: int | None) -> int | None:
+        return now if x is None else x if now is None else (x + 4 * now) // 5
+
+    return blocked.folded(pings, sample, key, order, "long", step, "srtt_us")

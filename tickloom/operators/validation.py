@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators import books, onchain
+from tickloom.operators import blocked, books, onchain
 from tickloom.sources import files
 
 EXPECTED = ("orderbooks", "trades")
@@ -175,8 +175,8 @@ def numbers(rows: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 def spacing(rows: DataFrame, ts: str, by: Sequence[str]) -> DataFrame:
     """Distances between consecutive distinct times."""
     times = rows.select(*by, ts).distinct()
-    step = F.col(ts) - F.lag(ts).over(Window.partitionBy(*by).orderBy(ts))
-    return times.select(*by, step.alias("step")).where("step is not null").groupBy(*by).agg(F.count("*").alias("steps"), F.min("step").alias("step_min"), F.max("step").alias("step_max"))
+    told = blocked.scanned(times, by, [ts], {"_last": ("max", F.col(ts))}, width=blocked.DAY_US)
+    return told.select(*by, (F.col(ts) - F.col("_last")).alias("step")).where("step is not null").groupBy(*by).agg(F.count("*").alias("steps"), F.min("step").alias("step_min"), F.max("step").alias("step_max"))
 
 
 def stale(rows: DataFrame, ts: str, by: Sequence[str], now_us: int, cadence_us: int) -> DataFrame:

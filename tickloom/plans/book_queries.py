@@ -138,12 +138,7 @@ held as (select *, lag(update_id) over (partition by book order by update_id) as
 
 def book_seq_gaps(spark: SparkSession, d: str) -> DataFrame:
     """Breaks of each book under the three predicates."""
-    rows = _sequenced(spark, d)
-    parts = []
-    for name in books.PREDICATES:
-        broken = books.sequence_breaks(rows, name, ["update_id"])
-        parts.append(broken.groupBy("book").agg(F.count("*").alias("n"), F.count(F.when(~F.col("follows"), 1)).alias("breaks")).withColumn("predicate", F.lit(name)))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return books.break_counts(_sequenced(spark, d), list(books.PREDICATES), ["update_id"])
 
 
 SEQ_SQL = o.sql(

@@ -186,6 +186,23 @@ smooth as (
 ).replace("with", "with recursive", 1)
 
 
+def rtt_average(spark: SparkSession, d: str) -> DataFrame:
+    """The round-trip average of each connection, with pings that got no answer."""
+    e = m.read(spark, d, "events")
+    pings = e.select((F.col("user_id") % 40).alias("conn"), F.col("event_id").alias("ping"), F.when(F.col("event_id") % 29 != 3, F.round(F.col("value") * 1000).cast("long")).alias("rtt_us"))
+    return trades.round_trips(pings, order=["ping"])
+
+
+RTT_SQL = """
+with recursive pings as (select user_id % 40 as conn, event_id as ping, case when event_id % 29 <> 3 then cast(round(value * 1000) as bigint) end as rtt_us from events),
+numbered as (select *, row_number() over (partition by conn order by ping) as n from pings),
+told as (
+  select conn, ping, rtt_us, n, rtt_us as srtt_us from numbered where n = 1
+  union all select x.conn, x.ping, x.rtt_us, x.n, case when x.rtt_us is null then told.srtt_us when told.srtt_us is null then x.rtt_us else (x.rtt_us + 4 * told.srtt_us) // 5 end
+  from told join numbered x on x.conn = told.conn and x.n = told.n + 1)
+select conn, ping, rtt_us, srtt_us from told"""
+
+
 def fnv1a_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     t = m.trades(spark, d)
     return t.select("seq", codecs.fingerprint("ts_us", "side", "price", "amount").alias("fingerprint"))
@@ -260,6 +277,7 @@ QUERIES = {
     "vwap_by_symbol": vwap_by_symbol,
     "wire_regressions": wire_regressions,
     "ewma_latency": ewma_latency,
+    "rtt_average": rtt_average,
     "fnv1a_fingerprint": fnv1a_fingerprint,
     "push_dedup": push_dedup,
     "rehydrate_merge": rehydrate_merge,
@@ -303,6 +321,7 @@ select exchange, symbol, n_trades, notional, round(coalesce(notional / nullif(bu
     ),
     "wire_regressions": REGRESSED_SQL,
     "ewma_latency": EWMA_SQL,
+    "rtt_average": RTT_SQL,
     "fnv1a_fingerprint": FNV_SQL,
     "push_dedup": PUSH_SQL,
     "rehydrate_merge": REHYDRATE_SQL,
