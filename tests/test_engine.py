@@ -3,6 +3,7 @@
 import datetime
 import os
 import random
+from collections import Counter
 from decimal import Decimal
 from numbers import Number
 
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import codecs, scalars
-from tickloom.operators import blocked, books, grid, onchain, repair, trades, validation
+from tickloom.operators import blocked, books, folds, grid, onchain, repair, trades, validation
 from tickloom.plans import catalogue
 from tickloom.sources import files, venues
 
@@ -540,6 +541,65 @@ def test_gap_ledger_is_appended(spark, tmp_path):
         trades.ledger_rows(gaps, "bored")
 
 
+def test_segments_equal_one_long_fold(spark):
+    """Books cut at snapshots against a plain fold over sorted dicts, with depth, sequence breaks, crossings and null keys; small batches."""
+    draw = random.Random(11)
+    data = []
+    for book in (1, 2, None):
+        last = 0
+        for n in range(300):
+            whole, uid = draw.random() < 0.05, last + draw.randint(1, 2)
+            side = [(str(draw.randint(1, 30)), str(draw.randint(0, 2))) for _ in range(draw.randint(0, 3))]
+            other = [(str(draw.randint(28, 60)), str(draw.randint(0, 2))) for _ in range(draw.randint(0, 3))]
+            data.append((book, n, side, other, uid, last if draw.random() < 0.97 else last - 1, whole if draw.random() < 0.98 else None))
+            last = uid
+    level = "array<struct<price:string,size:string>>"
+    frame = rows(spark, data, f"book long, n long, bids {level}, asks {level}, update_id long, sequence long, is_snapshot boolean").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        got = {(r.book, r.segment): r for r in folds.replayed(frame, ["n"], predicate="exact_prev", depth=5).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for book in (1, 2, None):
+        segment, at, own, state, seen = 0, None, {}, "empty", Counter()
+        want = {}
+        for _, _, bids, asks, uid, sequence, whole in (d for d in data if d[0] == book):
+            if whole:
+                segment, own, state, at, seen = segment + 1, {}, "empty", None, Counter()
+            if state == "gapped":
+                seen["rejected"] += 1
+            else:
+                good = whole or at is None or sequence == at
+                for side, changes in (("bid", bids), ("ask", asks)) if good else ():
+                    for p, z in changes:
+                        own.pop((side, int(p)), None)
+                        if z != "0":
+                            own[side, int(p)] = z
+                    best = sorted((p for s, p in own if s == side), reverse=side == "bid")
+                    for p in best[5:]:
+                        del own[side, p]
+                sides = [[p for s, p in own if s == side] for side in ("bid", "ask")]
+                if not good or (all(sides) and max(sides[0]) >= min(sides[1])):
+                    own, state, at = {}, "gapped", None
+                    seen["gaps"] += 1
+                else:
+                    state, at = "synced", uid
+                    seen["applied"] += 1
+            levels = [(side, k, str(p), own[side, p]) for side in ("bid", "ask") for k, p in enumerate(sorted((p for s, p in own if s == side), reverse=side == "bid"))]
+            want[segment] = (seen["applied"], seen["rejected"], seen["gaps"], state, levels)
+        for k, w in want.items():
+            r = got.pop((book, k))
+            assert (r.applied, r.rejected, r.gaps, r.state, [tuple(x) for x in r.levels]) == w
+    assert not got
+
+
+def test_pruned_state_counts_from_the_last_snapshot(spark):
+    data = [(b, n, "bid", n, 1.0, n == 3 and b == 1) for b in (1, 2, None) for n in range(6)]
+    frame = rows(spark, data, "book long, n long, side string, price long, size double, whole boolean")
+    got = {(r.book, r.level): r.price for r in folds.pruned_state(frame, 4, ["n"], snapshot="whole").collect()}
+    assert got == {(1, k): 5 - k for k in range(3)} | {(b, k): 5 - k for b in (2, None) for k in range(4)}
+
+
 def test_forced_gap_and_close():
     book = books.Fold(predicate="exact_prev")
     assert book.apply([("bid", 10, 1)], 5, 4, True) and book.state == "synced"

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Callable, Sequence
 from decimal import Decimal, InvalidOperation
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,10 +99,16 @@ def final_state(deltas: DataFrame, order: Sequence[str], key: Sequence[str] = BO
 
 def state_after_snapshots(deltas: DataFrame, order: Sequence[str], key: Sequence[str] = BOOK, snapshot: str = "is_snapshot") -> DataFrame:
     """As ``final_state``, for streams in which a snapshot update resets the book: only updates since the last one count."""
+    return final_state(since_snapshot(deltas, order, key, snapshot), order, key)
+
+
+def since_snapshot(deltas: DataFrame, order: Sequence[str], key: Sequence[str] = BOOK, snapshot: str = "is_snapshot") -> DataFrame:
+    """Each book's updates from its last snapshot on; all of a book without one."""
     at = F.struct(*order)
-    resets = deltas.where(F.col(snapshot)).groupBy(*key).agg(F.max(at).alias("reset"))
-    since = deltas.join(resets, list(key), "left").where(F.col("reset").isNull() | (at >= F.col("reset")))
-    return final_state(since.drop("reset"), order, key)
+    resets = deltas.where(F.col(snapshot)).groupBy(*key).agg(F.max(at).alias("_reset"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    met = deltas.withColumn("_at", at).alias("d").join(resets.alias("r"), same, "left")
+    return met.where(F.col("_reset").isNull() | (F.col("_at") >= F.col("_reset"))).select("d.*").drop("_at")
 
 
 def update_stats(deltas: DataFrame, order: Sequence[str], key: Sequence[str] = BOOK) -> DataFrame:
@@ -176,6 +182,46 @@ def conformance(levels: DataFrame, key: Sequence[str] = BOOK) -> DataFrame:
     return m.select(*key, F.coalesce(F.col("bid") > F.col("ask"), F.lit(False)).alias("crossed"), ((F.col("n_bids") == 0) | (F.col("n_asks") == 0)).alias("one_sided")).join(bad, list(key))
 
 
+class Ladder(dict):
+    """One side of a book: price to (price, size) as sent, with the prices in rising order beside it."""
+
+    def __init__(self, bids: bool):
+        super().__init__()
+        self.bids, self.prices = bids, []
+
+    def put(self, price, size) -> None:
+        """Set or (size 0) delete a level."""
+        at = _exact(price)
+        if _exact(size) == 0:
+            if self.pop(at, None) is not None:
+                del self.prices[bisect_left(self.prices, at)]
+        else:
+            if at not in self:
+                insort(self.prices, at)
+            self[at] = (price, size)
+
+    def cut(self, depth: int) -> None:
+        """Drop what lies beyond the best ``depth`` levels."""
+        over = len(self.prices) - depth
+        if over > 0:
+            gone = slice(0, over) if self.bids else slice(depth, None)
+            for at in self.prices[gone]:
+                del self[at]
+            del self.prices[gone]
+
+    def best(self):
+        return None if not self.prices else self.prices[-1 if self.bids else 0]
+
+    def ranked(self) -> list[tuple]:
+        """(price, size), best first."""
+        return [self[p] for p in (reversed(self.prices) if self.bids else self.prices)]
+
+
+def _exact(number):
+    """Numbers compare as they are; text as decimals."""
+    return Decimal(number) if isinstance(number, str) else number
+
+
 class Fold:
     """One book as updates arrive: levels, depth bound, state machine.
 
@@ -186,13 +232,16 @@ class Fold:
     """
 
     def __init__(self, depth: int | None = None, predicate: str | None = None):
-        self.sides: dict[str, dict] = {"bid": {}, "ask": {}}
+        self.clear()
         self.depth, self.predicate = depth, predicate
         self.state, self.last = "empty", None
         self.gaps = self.rejected = 0
         #: Whether a crossed book is a gap.
         self.gated = predicate is not None
 
+    def clear(self) -> None:
+        self.sides = {"bid": Ladder(True), "ask": Ladder(False)}
+
     def follows(self, sequence, update_id) -> bool:
         if self.predicate is None or self.last is None:
             return True
@@ -201,7 +250,7 @@ class Fold:
     def gap(self) -> None:
         """Also from outside, when the connection itself proves a loss: the levels go at once, and what follows needs a snapshot."""
         if self.state != "closed":
-            self.sides = {"bid": {}, "ask": {}}
+            self.clear()
             self.state, self.last = "gapped", None
             self.gaps += 1
 
@@ -211,17 +260,14 @@ class Fold:
 
     def apply_level(self, side: str, price, size) -> None:
         """Set or (size 0) delete a level."""
-        if Decimal(str(size)) == 0:
-            self.sides[side].pop(Decimal(str(price)), None)
-        else:
-            self.sides[side][Decimal(str(price))] = (price, size)
+        self.sides[side].put(price, size)
 
     def apply(self, changes: list[tuple], update_id=None, sequence=None, is_snapshot: bool = False, checksum: Callable[[dict], bool] | None = None) -> bool:
         """Apply one update: (side, price, size) changes. False if it was not applied. With ``checksum``, a book that it refuses or that is crossed is gapped."""
         if self.state == "closed":
             return False
         if is_snapshot:
-            self.sides = {"bid": {}, "ask": {}}
+            self.clear()
         elif self.state == "gapped":
             self.rejected += 1
             return False
@@ -231,12 +277,10 @@ class Fold:
         for side, price, size in changes:
             self.apply_level(side, price, size)
         if self.depth:
-            for side, own in self.sides.items():
-                if len(own) > self.depth:
-                    keep = sorted(own, reverse=side == "bid")[: self.depth]
-                    self.sides[side] = {p: own[p] for p in keep}
+            for own in self.sides.values():
+                own.cut(self.depth)
         bids, asks = self.sides["bid"], self.sides["ask"]
-        if (bids and asks and max(bids) >= min(asks) and (self.gated or checksum)) or (checksum and not checksum(self.sides)):
+        if (bids and asks and bids.best() >= asks.best() and (self.gated or checksum)) or (checksum and not checksum(self.sides)):
             self.gap()
             return False
         self.last = update_id if update_id is not None else self.last
@@ -245,7 +289,7 @@ class Fold:
 
     def levels(self) -> list[tuple]:
         """(side, rank, price, size), best first."""
-        return [(side, n, *own[p]) for side, own in self.sides.items() for n, p in enumerate(sorted(own, reverse=side == "bid"))]
+        return [(side, n, *level) for side, own in self.sides.items() for n, level in enumerate(own.ranked())]
 
 
 def checked(recipe: str, expected: int | None, is_snapshot: bool) -> Callable[[dict], bool]:
@@ -254,7 +298,7 @@ def checked(recipe: str, expected: int | None, is_snapshot: bool) -> Callable[[d
     def holds(sides: dict) -> bool:
         if expected is None:
             return is_snapshot
-        bids, asks = ([tuple(map(str, own[p])) for p in sorted(own, reverse=side == "bid")] for side, own in sides.items())
+        bids, asks = ([tuple(map(str, level)) for level in own.ranked()] for own in sides.values())
         return RECIPES[recipe](bids, asks) == expected
 
     return holds
@@ -389,25 +433,3 @@ def _number(text) -> Decimal | None:
     except InvalidOperation:
         return None
     return found if found.is_finite() else None
-
-
-def pruned_state(deltas: DataFrame, depth: int, order: Sequence[str], key: str = "book") -> DataFrame:
-    """Levels of each book when its depth is cut after every update.
-
-    The outcome depends on the path, so every book is folded in order, in one
-    task; books are many, and each fold holds ``depth`` levels only.
-    """
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        book = Fold(depth)
-        for side, price, size in zip(rows["side"], rows["price"], rows["size"], strict=True):
-            book.apply([(side, price, size)])
-        return pd.DataFrame([(rows[key].iloc[0], s, n, float(p), float(z)) for s, n, p, z in book.levels()], columns=[key, "side", "level", "price", "size"])
-
-    kind = deltas.schema[key].dataType.simpleString()
-    needed = deltas.select(key, "side", "price", "size", *(c for c in order if c not in (key, "side", "price", "size")))
-
-    def sorted_fold(rows: pd.DataFrame) -> pd.DataFrame:
-        return fold(rows.sort_values(list(order), kind="stable"))
-
-    return needed.groupBy(key).applyInPandas(sorted_fold, f"{key} {kind}, side string, level long, price double, size double")

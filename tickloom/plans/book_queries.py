@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import codecs
-from tickloom.operators import books, repair
+from tickloom.operators import books, folds, repair
 from tickloom.plans import oracle as o
 from tickloom.plans.grid_queries import rounded
 from tickloom.sources import mapping as m
@@ -90,7 +90,120 @@ from seen group by book""",
 
 def book_state_pruned(spark: SparkSession, d: str) -> DataFrame:
     """Ten levels a side, cut after every update."""
-    return books.pruned_state(m.deltas(spark, d), 10, m.DELTA_ORDER)
+    return folds.pruned_state(m.deltas(spark, d), 10, m.DELTA_ORDER)
+
+
+PRUNED_SQL = o.sql(
+    o.DELTAS,
+    "numbered as materialized (select *, row_number() over (partition by book order by update_id, l_linenumber, ts_us, l_extendedprice, l_discount, l_tax, price, size) as n from deltas)",
+    # A list is one side's levels, best first: ten prices and their sizes.
+    """
+folded as (
+  select book, 0::bigint as n, []::struct(p bigint, s double)[] as bids, []::struct(p bigint, s double)[] as asks from (select distinct book from deltas)
+  union all select u.book, u.n,
+    case when u.side = 'bid' then list_reverse_sort(list_concat(list_filter(f.bids, lambda x: x.p <> u.price), case when u.size > 0 then [{'p': u.price, 's': u.size::double}] else [] end))[1:10] else f.bids end,
+    case when u.side = 'ask' then list_sort(list_concat(list_filter(f.asks, lambda x: x.p <> u.price), case when u.size > 0 then [{'p': u.price, 's': u.size::double}] else [] end))[1:10] else f.asks end
+  from folded f join numbered u on u.book = f.book and u.n = f.n + 1)""",
+    "last as (select book, bids, asks from folded join (select book, max(n) as n from numbered group by book) using (book, n))",
+    last="""
+select book, 'bid' as side, k - 1 as level, bids[k].p::double as price, bids[k].s as size from last, range(1, 11) r(k) where k <= len(bids)
+union all select book, 'ask', k - 1, asks[k].p::double, asks[k].s from last, range(1, 11) r(k) where k <= len(asks)""",
+).replace("with", "with recursive", 1)
+
+
+#: A total order of an order's lines, up to lines that are alike.
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def book_replay_checksum(spark: SparkSession, d: str) -> DataFrame:
+    """An order's lines as messages of a book with checksums; the first and each fourth after it are snapshots, some checksums are wrong or missing."""
+    numbered = m.read(spark, d, "lineitem").withColumn("n", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)))
+    line = F.col("n")
+    rows = numbered.select(
+        F.col("l_orderkey").alias("book"),
+        line.cast("long").alias("update_id"),
+        (line % 4 == 1).alias("is_snapshot"),
+        F.expr("(n - 1) div 4").alias("part"),
+        F.struct(
+            (F.col("l_linestatus") == "O").alias("bid"),
+            (F.col("l_partkey") + F.when(F.col("l_linestatus") == "O", 0).otherwise(10_000_000)).alias("at"),
+            F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_quantity").cast("long")).alias("size"),
+            line.alias("n"),
+        ).alias("l"),
+    )
+    # The state that a message leads to: the last line of each price since the snapshot.
+    so_far = F.collect_list("l").over(Window.partitionBy("book", "part").orderBy("update_id"))
+    left = F.filter(so_far, lambda x: ~F.exists(so_far, lambda y: (y["at"] == x["at"]) & (y["n"] > x["n"])) & (x["size"] > 0))
+
+    def text(x):
+        return F.struct(x["at"].cast("string").alias("price"), x["size"].cast("string").alias("size"))
+
+    def side(levels, bid: bool):
+        own = F.filter(levels, lambda x: x["bid"] if bid else ~x["bid"])
+        sign = -1 if bid else 1
+        ranked = F.array_sort(F.transform(own, lambda x: F.struct((x["at"] * sign).alias("k"), x["at"], x["size"])))
+        return F.transform(ranked, text)
+
+    mark = F.col("book") + F.col("update_id")
+    right = codecs.okx_checksum(F.col("all_bids"), F.col("all_asks"))
+    states = rows.withColumn("left", left).withColumns({"all_bids": side(F.col("left"), True), "all_asks": side(F.col("left"), False)})
+    messages = states.select(
+        "book",
+        "update_id",
+        F.lit(None).cast("long").alias("sequence"),
+        "is_snapshot",
+        side(F.array("l"), True).alias("bids"),
+        side(F.array("l"), False).alias("asks"),
+        F.when(mark % 29 != 0, right + F.when(mark % 23 == 0, 1).otherwise(0)).alias("checksum"),
+    )
+    told = folds.replayed(messages, ["update_id"], recipe="okx")
+    return told.select("book", "segment", "applied", "rejected", "gaps", "state", F.size("levels").cast("long").alias("n_levels"))
+
+
+REPLAY_SQL = """
+with ranked as (select *, row_number() over (partition by l_orderkey order by """ + ", ".join(LINE_ORDER) + """) as n from lineitem),
+lines as (
+  select l_orderkey as book, n, (n - 1) // 4 as part, n % 4 = 1 as whole,
+    l_partkey + case when l_linestatus = 'O' then 0 else 10000000 end as spot, case when l_returnflag = 'R' then 0 else l_quantity end as size, l_orderkey + n as mark from ranked),
+told as (select *, (mark % 29 = 0 and not whole) or (mark % 29 <> 0 and mark % 23 = 0) as bad from lines),
+firsts as (select *, min(n) filter (bad) over (partition by book, part) as first, row_number() over (partition by book, part, spot order by n desc) as latest from told)
+select book, sum(count(*) filter (whole)) over (partition by book order by part) as segment, count(*) filter (first is null or n < first) as applied, count(*) filter (n > first) as rejected,
+  count(*) filter (n = first) as gaps, case when max(first) is null then 'synced' else 'gapped' end as state, case when max(first) is null then count(*) filter (latest = 1 and size > 0) else 0 end as n_levels
+from firsts group by book, part"""
+
+
+def book_replay_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as single orders of one book for each supplier, with snapshots; a book of more than 15 orders is gapped."""
+    e = m.read(spark, d, "lineitem")
+    one = F.struct(
+        (F.col("l_partkey") % 40).cast("string").alias("order_id"),
+        (F.col("l_linestatus") == "F").alias("is_ask"),
+        (F.col("l_partkey") % 50 + F.when(F.col("l_linestatus") == "F", 1000).otherwise(0)).cast("string").alias("price"),
+        F.col("l_quantity").cast("long").cast("string").alias("size"),
+        (F.col("l_returnflag") == "R").alias("removed"),
+    )
+    messages = e.select(F.col("l_suppkey").alias("book"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("update_id"), (F.col("l_orderkey") % 23 == 0).alias("is_snapshot"), F.array(one).alias("orders"), F.col("l_partkey").alias("part"))
+    told = folds.orders_replayed(messages, ["update_id", "part"], most=15)
+    volume = F.aggregate("levels", F.lit(0).cast("long"), lambda a, x: a + x["size"].cast("decimal(18,0)").cast("long"))
+    return told.select("book", "segment", "applied", "rejected", "gaps", "state", "n_orders", F.size("levels").cast("long").alias("n_levels"), volume.alias("volume"))
+
+
+ORDERS_SQL = """
+with recursive messages as (
+  select l_suppkey as book, l_orderkey * 8 + l_linenumber as update_id, l_partkey as part, (l_orderkey % 23 = 0) as whole, l_partkey % 40 as id,
+    l_partkey % 50 + case when l_linestatus = 'F' then 1000 else 0 end as price, cast(l_quantity as bigint) as size, l_returnflag = 'R' as removed from lineitem),
+parted as (select *, sum(whole::int) over (partition by book order by update_id, part) as segment from messages),
+numbered as materialized (select *, row_number() over (partition by book, segment order by update_id, part) as n from parted),
+folded as (
+  select book, segment, 0::bigint as n, []::struct(id bigint, price bigint, size bigint)[] as own, false as gapped, 0::bigint as applied, 0::bigint as rejected, 0::bigint as gaps from (select distinct book, segment from numbered)
+  union all select book, segment, n, case when gapped or len(next) > 15 then [] else next end, gapped or len(next) > 15, applied + (not gapped and len(next) <= 15)::int, rejected + gapped::int, gaps + (not gapped and len(next) > 15)::int
+  from (
+    select u.book, u.segment, u.n, f.gapped, f.applied, f.rejected, f.gaps,
+      list_concat(list_filter(f.own, lambda x: x.id <> u.id), case when u.removed then [] else [{'id': u.id, 'price': u.price, 'size': u.size}] end) as next
+    from folded f join numbered u on u.book = f.book and u.segment = f.segment and u.n = f.n + 1)),
+last as (select * from folded join (select book, segment, max(n) as n from numbered group by all) using (book, segment, n))
+select book, cast(segment as bigint) as segment, applied, rejected, gaps, case when gapped then 'gapped' else 'synced' end as state, len(own) as n_orders, len(list_distinct(list_transform(own, lambda x: x.price))) as n_levels,
+  cast(coalesce(list_sum(list_transform(own, lambda x: x.size)), 0) as bigint) as volume from last"""
 
 
 def l3_to_l2(spark: SparkSession, d: str) -> DataFrame:
@@ -172,6 +285,24 @@ def book_checksum(spark: SparkSession, d: str) -> DataFrame:
     return sides.select("book", codecs.okx_checksum(F.col("bids"), F.col("asks")).alias("okx"), codecs.kraken_checksum(F.col("bids"), F.col("asks")).alias("kraken"))
 
 
+# CRC-32 bit by bit: the reflected polynomial over the text's bytes (all ASCII).
+CRC = """(select xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({text}, ''), lambda c: ord(c)::bigint)),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), [1, 2, 3, 4, 5, 6, 7, 8]), lambda r, i: xor(r >> 1, case when r & 1 = 1 then 3988292384 else 0 end)))))"""
+CHECKSUM_SQL = o.sql(
+    o.LEVELS,
+    "ranked as (select *, row_number() over (partition by book, side order by case side when 'bid' then -price else price end) as k from levels)",
+    "texts as (select book, side, k, cast(cast(price as decimal(18,2)) as varchar) as p, cast(cast(size as decimal(18,1)) as varchar) as s from ranked where k <= 25)",
+    """
+joined as (
+  select book, coalesce(string_agg(p || ':' || s, ':' order by k, side desc), '') as okx,
+    coalesce(string_agg(ltrim(replace(p, '.', ''), '0') || ltrim(replace(s, '.', ''), '0'), '' order by k) filter (side = 'ask' and k <= 10), '')
+    || coalesce(string_agg(ltrim(replace(p, '.', ''), '0') || ltrim(replace(s, '.', ''), '0'), '' order by k) filter (side = 'bid' and k <= 10), '') as kraken
+  from texts group by book)""",
+    f"sums as (select book, {CRC.format(text='okx')} as okx, {CRC.format(text='kraken')} as kraken from joined)",
+    last="select book, case when okx > 2147483647 then okx - 4294967296 else okx end as okx, kraken from sums",
+)
+
+
 def seed_reconcile(spark: SparkSession, d: str) -> DataFrame:
     """A seed per supplier at its median order; updates it covers and updates replayed on it."""
     deltas = m.deltas(spark, d)
@@ -230,6 +361,8 @@ QUERIES = {
     "book_final_state": book_final_state,
     "book_update_stats": book_update_stats,
     "book_state_pruned": book_state_pruned,
+    "book_replay_checksum": book_replay_checksum,
+    "book_replay_orders": book_replay_orders,
     "l3_to_l2": l3_to_l2,
     "book_seq_gaps": book_seq_gaps,
     "book_dense_gaps": book_dense_gaps,
@@ -240,6 +373,10 @@ QUERIES = {
     "decompose_restamp": decompose_restamp,
 }
 ORACLE_SQL = {
+    "book_state_pruned": PRUNED_SQL,
+    "book_replay_checksum": REPLAY_SQL,
+    "book_replay_orders": ORDERS_SQL,
+    "book_checksum": CHECKSUM_SQL,
     "book_bbo": o.sql(
         o.LEVELS,
         last="""
