@@ -318,10 +318,14 @@ def test_lz4_and_gzip():
     body = b"hello hello hello hello"
     frame = b"\x04\x22\x4d\x18\x60\x40\x82" + (len(body) | 1 << 31).to_bytes(4, "little") + body + b"\0\0\0\0"
     assert codecs.decode_lz4_frame(frame) == body
-    # A match that overlaps itself: five letters, then eleven copied from one back.
-    packed = bytes([0x17]) + b"a" + b"\x01\x00" + bytes([0x10]) + b"b"
-    frame = b"\x04\x22\x4d\x18\x60\x40\x82" + len(packed).to_bytes(4, "little") + packed + b"\0\0\0\0"
-    assert codecs.decode_lz4_frame(frame) == b"a" * 12 + b"b"
+    # A match that overlaps itself: a letter, then eleven copied from one back; a block ends with literals.
+    tail = b"bcdefghijklmn"
+    packed = bytes([0x17]) + b"a" + b"\x01\x00" + bytes([0xD0]) + tail
+    second = b"\x04\x22\x4d\x18\x60\x40\x82" + len(packed).to_bytes(4, "little") + packed + b"\0\0\0\0"
+    assert codecs.decode_lz4_frame(second) == b"a" * 12 + tail
+    # Frames one after the other, one of them to be skipped.
+    skipped = b"\x53\x2a\x4d\x18" + (3).to_bytes(4, "little") + b"xyz"
+    assert codecs.decode_lz4_frame(frame + skipped + second) == body + b"a" * 12 + tail
     with pytest.raises(ValueError):
         codecs.decode_lz4_frame(frame, cap=5)
     with pytest.raises(ValueError):

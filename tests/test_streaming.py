@@ -1,10 +1,14 @@
 """Streaming operators against the batch operators over the same input."""
 
+import datetime
+import random
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import codecs
-from tickloom.operators import books, grid, trades
+from tickloom.operators import books, chain, grid, trades
 from tickloom.sources import mapping as m
 from tickloom.streaming import stateful
 
@@ -96,7 +100,8 @@ def test_books_and_slots(spark, replay):
     frame = spark.createDataFrame([("c", *x) for x in chain], "chain string, seq long, kind string, slot long, block_height long")
     got = replay(frame, stateful.slots, name="slots")
     sealed = got[got.verdict == "sealed"]
-    assert sealed.slot.tolist() == [10, 11, 14, 20] and sealed.blocks_lost.tolist() == [0, 0, 2, 0]
+    # 105 and 106 leave at once: their heights follow.
+    assert sealed.slot.tolist() == [10, 11, 14, 20, 60] and sealed.blocks_lost.tolist() == [0, 0, 2, 0, 0]
     assert sealed.n_transactions.tolist()[0] == 2
     assert sorted(got[got.verdict != "sealed"].verdict) == ["abandoned", "duplicate", "late"]
 
@@ -162,10 +167,175 @@ def test_slots_partial_uncovered_abandoned_and_coverage(spark, replay):
     assert told == [
         (90, 0, "uncovered", 0, 0), (99, 0, "uncovered", 0, 0), (101, 0, "partial", 1, 0), (102, 0, "partial", 0, 0), (103, 0, "partial", 0, 0), (104, 0, "partial", 1, 0), (100, 0, "sealed", 0, 0),
         (105, 1, "duplicate", 1, 0), (106, 0, "abandoned", 1, 0), (106, 0, "abandoned", 0, 0), (105, 2, "sealed", 1, 4), (140, 0, "abandoned", 1, 0), (139, 0, "sealed", 1, 1),
-        (201, 0, "uncovered", 0, 0), (202, 0, "sealed", 0, 23),
+        (201, 0, "uncovered", 0, 0), (202, 0, "sealed", 0, 23), (206, 0, "sealed", 0, 0),
     ]
 
 
+class Map(dict):
+    """A map state that counts what is written."""
+
+    writes = 0
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.writes += 1
+        del self[key]
+
+
+class Value:
+    def __init__(self):
+        self.now, self.writes = None, 0
+
+    def exists(self):
+        return self.now is not None
+
+    def get(self):
+        return self.now
+
+    def update(self, value):
+        self.now, self.writes = value, self.writes + 1
+
+
+class Handle:
+    """The states and timers of one key."""
+
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def getValueState(self, name, schema):
+        return self.states.setdefault(name, Value())
+
+    def getMapState(self, name, keys, values):
+        return self.states.setdefault(name, Map())
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class Expired:
+    def __init__(self, at):
+        self.at = at
+
+    def get_expiry_time_in_ms(self):
+        return self.at
+
+
+def played(processor, batches, key=("c",)):
+    """The processor's rows over micro-batches, and its handle."""
+    handle, out = Handle(), []
+    processor.init(handle)
+    for rows in batches:
+        out += [tuple(r) for f in processor.handleInputRows(key, iter([pd.DataFrame(rows)]), None) for r in f.itertuples(index=False)]
+    return out, handle
+
+
+def test_one_level_update_writes_one_entry():
+    level = lambda p, z: {"price": str(p), "size": str(z)}
+    whole = {"seq": 1, "update_id": 1, "sequence": 0, "is_snapshot": True, "bids": [level(p, 1) for p in range(100)], "asks": [level(p, 1) for p in range(200, 300)]}
+    keeper = stateful.BookKeeper("exact_prev")
+    _, handle = played(keeper, [[whole]], ("e", "s"))
+    levels, values = handle.states["levels"], handle.states["values"]
+    assert (levels.writes, values.writes, len(levels)) == (200, 1, 200)
+    for n, change, writes in ((2, level(50, 7), 1), (3, level(50, 7), 0), (4, level(50, 0), 1)):
+        before = levels.writes
+        list(keeper.handleInputRows(("e", "s"), iter([pd.DataFrame([{"seq": n, "update_id": n, "sequence": n - 1, "is_snapshot": False, "bids": [change], "asks": []}])]), None))
+        assert levels.writes - before == writes
+    assert len(levels) == 199
+
+
+def chain_of(draw, n):
+    """Rows of a chain: banks in rough order, rivals, repeats, stragglers, coverage that closes and opens."""
+    rows, slot, height = [], 100, 50
+    for _ in range(n):
+        x = draw.random()
+        slot += draw.choice([0, 0, 0, 1, 1, 2, 9]) if x < 0.95 else 40
+        height += draw.choice([0, 1, 1, 1, 2])
+        own = slot - draw.choice([0, 0, 0, 1, 2, 5, 40, 70])
+        kind = draw.choices(["tx", "meta", "undecodable", "open", "close"], [10, 6, 0.4, 0.15, 0.1])[0]
+        whole = draw.random() < 0.93
+        rows.append((kind, None if kind == "close" or (kind == "open" and draw.random() < 0.5) else own, draw.choice([0, 0, 0, 1]), draw.randint(0, 3), own - draw.randint(1, 3) if draw.random() < 0.8 else None, height - (slot - own) if whole else None, 1 if draw.random() < 0.97 else None, "h" if draw.random() < 0.97 else ""))
+    return rows
+
+
+SLOTS = "chain string, seq long, kind string, slot long, bank_id long, tx_index long, parent_slot long, block_height long, block_time_secs long, blockhash string"
+
+
+@pytest.mark.parametrize("coverage", [False, True])
+def test_blocks_in_batch_equal_the_stream(spark, coverage):
+    """Random chains: the set version counts what the fold over every row takes, whatever the micro-batches."""
+    draw, want, data = random.Random(3 + coverage), {}, []
+    for own in ("a", "b", None, *range(12)):
+        name = own if own is None else str(own)
+        rows = [(name, n, *r) for n, r in enumerate(chain_of(draw, 250))]
+        if coverage:
+            rows[3] = (*rows[3][:2], "open", 100, *rows[3][4:])
+        data += rows
+        names = [x.split()[0] for x in SLOTS.split(", ")]
+        cuts = sorted(draw.sample(range(1, 250), 5))
+        batches = [[dict(zip(names, r, strict=True)) for r in rows[a:b]] for a, b in zip([0, *cuts], [*cuts, 250], strict=True)]
+        out, _ = played(stateful.SlotAssembler(coverage=coverage), batches, (name,))
+        want[name] = [(int(r[1]), int(r[2]), None if pd.isna(r[3]) else int(r[3]), int(r[4]), int(r[5]), r[6]) for r in out]
+    frame = spark.createDataFrame(data, SLOTS).repartition(5)
+    got = {}
+    for r in chain.assembled(frame, coverage=coverage).orderBy("seq", "place").collect():
+        got.setdefault(r.chain, []).append((r.slot, r.bank_id, r.block_height, r.n_transactions, r.blocks_lost, r.verdict))
+    assert got == {k: v for k, v in want.items() if v}
+    kinds = {x[5] for v in want.values() for x in v}
+    assert {"sealed", "late", "duplicate", "partial", "abandoned"} <= kinds and (not coverage or "uncovered" in kinds)
+    assert sum(x[3] for v in want.values() for x in v if x[5] == "sealed") > 100
+
+
+def seeded_rows(rows):
+    """(seq, ts in seconds, is_seed, update_id, sequence, price) as rows of one book."""
+    return [{"seq": n, "ts": pd.Timestamp(t, unit="s"), "is_seed": seed, "update_id": uid, "sequence": q, "bids": [{"price": str(p), "size": "1"}], "asks": []} for n, t, seed, uid, q, p in rows]
+
+
+def test_seeds_late_missing_and_repeated():
+    keeper = stateful.SeedKeeper("exact_prev", wait_us=5_000_000, seeds=2)
+    out, handle = played(keeper, [seeded_rows([(1, 10, False, 5, 4, 1), (2, 11, False, 6, 5, 2)])], ("e", "s"))
+    assert [r[-4] for r in out] == ["waiting", "waiting"] and handle.timers == {16_000} and handle.states["waiting"].writes == 2
+
+    def expire():
+        at = min(handle.timers)
+        handle.timers.remove(at)
+        return [tuple(r) for f in keeper.handleExpiredTimer(("e", "s"), None, Expired(at)) for r in f.itertuples(index=False)]
+
+    def play(*rows):
+        return [r[-4] for f in keeper.handleInputRows(("e", "s"), iter([pd.DataFrame(seeded_rows(rows))]), None) for r in f.itertuples(index=False)]
+
+    # No seed came: the next is asked for, after the wait before it.
+    assert [r[-4:-1] for r in expire()] == [("reseed", 2, 1)] and handle.timers == {16_000 + 250 + 5_000}
+    # A late one covers the first update; the second is replayed; the deadline is gone, a repeated seed changes nothing.
+    assert play((3, 12, True, 5, None, 9), (4, 13, True, 5, None, 9), (5, 14, False, 7, 6, 3)) == ["seeded", "stale", "applied"]
+    assert not handle.timers and not handle.states["waiting"] and sorted(p for _, p in handle.states["levels"]) == ["2", "3", "9"]
+    # A break: what follows waits, and without seeds the connection must begin anew.
+    assert play((6, 20, False, 9, 8, 4)) == ["gapped"] and handle.timers == {25_000}
+    assert [r[-4] for r in expire()] == ["reseed"] and [r[-4] for r in expire()] == ["exhausted"] and not handle.timers
+    assert play((7, 40, False, 10, 9, 4)) == ["waiting"] and not handle.timers
+
+
+def test_seed_deadlines_run_by_the_watermark(spark, replay):
+    """Of two books one gets its seed in time; the other is asked for again when the watermark passes its deadline."""
+    level = "array<struct<price:string,size:string>>"
+    rows = [(s, n, t, False, n, n - 1) for n, t in enumerate((1, 2, 30, 31, 60, 61), 1) for s in ("A/B", "C/D")]
+    rows = sorted(rows + [("A/B", 2.5, 3, True, 2, None)], key=lambda r: (r[1], r[0]))
+    data = [("e", s, k, datetime.datetime.fromtimestamp(t, datetime.UTC), seed, int(n), q, [(str(n), "1")], []) for k, (s, n, t, seed, _, q) in enumerate(rows)]
+    frame = spark.createDataFrame(data, f"exchange string, symbol string, seq long, ts timestamp, is_seed boolean, update_id long, sequence long, bids {level}, asks {level}")
+    got = replay(frame, lambda s: stateful.seeded_books(s, "exact_prev", wait_us=10_000_000), name="seeds")
+    one, other = got[got.symbol == "A/B"].outcome.tolist(), got[got.symbol == "C/D"].outcome.tolist()
+    assert one.count("seeded") == 1 and one.count("applied") == 4 and "reseed" not in one
+    assert other.count("waiting") == 6 and other.count("reseed") >= 1
+
+
 def test_watermark_versions(spark, tmp_path):
     t = m.trades(spark, SF).select("exchange", "symbol", "side", F.col("amount").cast("double").alias("amount"), F.timestamp_micros("ts_us").alias("ts"), F.col("seq").alias("id"))
     t.unionByName(t).coalesce(1).write.parquet(str(tmp_path / "w"))

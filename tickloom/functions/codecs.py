@@ -8,6 +8,7 @@ import zlib
 from decimal import Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -120,80 +121,35 @@ def content_hash(*columns: Column) -> Column:
     return F.xxhash64(*columns)
 
 
+def unpacked(data: bytes, codec: str, cap: int) -> bytes:
+    """Unpack frames of ``codec`` (any number, concatenated), refusing more than ``cap`` bytes; ValueError where they can't be read."""
+    parts, size = [], 0
+    try:
+        with pa.CompressedInputStream(pa.BufferReader(data), codec) as stream:
+            while part := stream.read(min(1 << 20, cap + 1 - size)):
+                parts.append(part)
+                size += len(part)
+                if size > cap:
+                    raise ValueError("unpacked data is larger than the cap")
+    except OSError as broken:
+        raise ValueError(str(broken)) from broken
+    return b"".join(parts)
+
+
 def decode_lz4_frame(data: bytes, cap: int = OBJECT_CAP) -> bytes:
-    """Decode LZ4 frames (any number, concatenated), refusing more than ``cap`` bytes."""
-    out, at = bytearray(), 0
-    while at < len(data):
-        (magic,) = struct.unpack_from("<I", data, at)
-        at += 4
-        if magic & 0xFFFFFFF0 == 0x184D2A50:
-            at += 4 + struct.unpack_from("<I", data, at)[0]
-            continue
-        if magic != 0x184D2204:
-            raise ValueError("not an LZ4 frame")
-        flags = data[at]
-        at += 2 + (8 if flags & 8 else 0) + (4 if flags & 1 else 0) + 1
-        while size := struct.unpack_from("<I", data, at)[0]:
-            at += 4
-            block, raw = data[at : at + (size & 0x7FFFFFFF)], size >> 31
-            at += size & 0x7FFFFFFF
-            if raw:
-                out += block
-            else:
-                _lz4_block(block, out, cap)
-            if len(out) > cap:
-                raise ValueError("decoded object is larger than the cap")
-            if flags & 16:
-                at += 4
-        at += 4 + (4 if flags & 4 else 0)
-    return bytes(out)
-
-
-def _lz4_block(block: bytes, out: bytearray, cap: int) -> None:
-    at = 0
-
-    def length(first: int) -> int:
-        nonlocal at
-        total = first
-        if first == 15:
-            while True:
-                b = block[at]
-                at += 1
-                total += b
-                if b != 255:
-                    break
-        return total
-
-    while at < len(block):
-        token = block[at]
-        at += 1
-        run = length(token >> 4)
-        out += block[at : at + run]
-        at += run
-        if at >= len(block):
-            return
-        back = block[at] | block[at + 1] << 8
-        at += 2
-        if not 0 < back <= len(out):
-            raise ValueError("LZ4 match before the start")
-        run = length(token & 15) + 4
-        if len(out) + run > cap:
-            raise ValueError("decoded object is larger than the cap")
-        start = len(out) - back
-        while run:
-            part = bytes(out[start : start + run])
-            out += part
-            start += len(part)
-            run -= len(part)
+    """Decode LZ4 frames, refusing more than ``cap`` bytes."""
+    return unpacked(data, "lz4", cap) if data else b""
 
 
 def inflate(data: bytes, cap: int = FRAME_CAP) -> bytes:
     """Gunzip a frame, refusing more than ``cap`` bytes."""
-    machine = zlib.decompressobj(16 + zlib.MAX_WBITS)
-    out = machine.decompress(data, cap + 1)
-    if len(out) > cap:
-        raise ValueError("inflated frame is larger than the cap")
-    return out
+    return unpacked(data, "gzip", cap)
+
+
+def unpacked_object(key: str, data: bytes, cap: int = OBJECT_CAP) -> bytes:
+    """An archive object's bytes, by the ending of its key."""
+    codec = {"gz": "gzip", "lz4": "lz4"}.get(key.rsplit(".", 1)[-1])
+    return unpacked(data, codec, cap) if codec and data else data
 
 
 def deflate(data: bytes) -> bytes:
@@ -207,7 +163,7 @@ def lz4_text(data: pd.Series) -> pd.Series:
     def one(x: bytes | None) -> str | None:
         try:
             return None if x is None else decode_lz4_frame(bytes(x)).decode()
-        except (ValueError, IndexError, struct.error):
+        except ValueError:
             return None
 
     return data.map(one)

@@ -74,10 +74,10 @@ def scanned(frame: DataFrame, key: Sequence[str], order: Sequence[str], before:
     rows = in_blocks(frame, order, width).withColumns(values)
     ends = rows.groupBy(*key, "_block").agg(*(_end(kind, f"_v{i}", _place(frame, order)).alias(f"_v{i}") for i, (_, kind, _, _) in enumerate(parts)))
     earlier = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    enters = ends.select(*key, "_block", F.lit(False).alias("_row"), *(_folded(kind, f"_v{i}").over(earlier).alias(f"_v{i}") for i, (_, kind, _, _) in enumerate(parts)))
-    both = rows.withColumn("_row", F.lit(True)).unionByName(enters, allowMissingColumns=True)
-    told = _over(both, parts, Window.partitionBy(*key, "_block").orderBy("_row", *order))
-    return told.where("_row").select(*frame.columns, *(p[0] for p in parts))
+    enters = ends.select(*key, "_block", F.lit(False).alias("_in_block"), *(_folded(kind, f"_v{i}").over(earlier).alias(f"_v{i}") for i, (_, kind, _, _) in enumerate(parts)))
+    both = rows.withColumn("_in_block", F.lit(True)).unionByName(enters, allowMissingColumns=True)
+    told = _over(both, parts, Window.partitionBy(*key, "_block").orderBy("_in_block", *order))
+    return told.where("_in_block").select(*frame.columns, *(p[0] for p in parts))
 
 
 def _over(rows: DataFrame, parts: Sequence[tuple], order) -> DataFrame:

@@ -375,6 +375,8 @@ class Seeded:
         self.book, self.most, self.seeds = book, most, seeds
         self.waiting: deque[tuple] = deque()
         self.asked = self.lost = 0
+        #: Updates that left the queue.
+        self.left = 0
         self.seeding, self.exhausted = True, False
 
     def wait(self, update: tuple) -> None:
@@ -382,6 +384,7 @@ class Seeded:
         if len(self.waiting) > self.most:
             self.waiting.popleft()
             self.lost += 1
+            self.left += 1
 
     def ask(self) -> None:
         """Another seed is wanted."""
@@ -417,6 +420,7 @@ class Seeded:
                     break
                 replayed += 1
             self.waiting.popleft()
+            self.left += 1
         else:
             self.asked = 0
         return replayed
