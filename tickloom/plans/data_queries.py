@@ -446,9 +446,15 @@ def _window() -> tuple[datetime.date, datetime.date, list[str]]:
     return datetime.date(2024, 1, 1), datetime.date(2024, 1, 30), ["BTC", "ETH", "SOL"]
 
 
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The days and coins of all events."""
+    coin = F.concat(F.lit("K"), F.col("user_id") % 7)
+    return m.events(spark, d).select(F.timestamp_micros("ts_us").cast("date").alias("day"), coin.alias("coin")).distinct()
+
+
 def archive_plan(spark: SparkSession, d: str) -> DataFrame:
-    start, end, coins = _window()
-    return files.archive_plan(spark, start, end, coins, contexts=True).select("key", F.col("day").cast("string").alias("day"), "hour", "coin")
+    """The archive's objects for what events there are."""
+    return files.archive_keys(_pairs(spark, d), contexts=True).select("key", F.col("day").cast("string").alias("day"), "hour", "coin")
 
 
 PLAN_SQL = """
@@ -457,6 +463,12 @@ from (select unnest(range(timestamp '2024-01-01', timestamp '2024-01-31', interv
 union all select 'asset_ctxs/' || strftime(day, '%Y%m%d') || '.csv.lz4', strftime(day, '%Y-%m-%d'), -1, '' from (select unnest(range(timestamp '2024-01-01', timestamp '2024-01-31', interval 1 day)) as day)"""
 
 
+PAIRS_SQL = """
+with pairs as (select distinct cast(ts as date) as day, 'K' || cast(user_id % 7 as varchar) as coin from events)
+select 'market_data/' || strftime(day, '%Y%m%d') || '/' || cast(hour as varchar) || '/l2Book/' || coin || '.lz4' as key, strftime(day, '%Y-%m-%d') as day, cast(hour as int) as hour, coin from pairs, range(24) h(hour)
+union all select distinct 'asset_ctxs/' || strftime(day, '%Y%m%d') || '.csv.lz4', strftime(day, '%Y-%m-%d'), -1, '' from pairs"""
+
+
 def archive_edge(spark: SparkSession, d: str) -> DataFrame:
     """Planned hours against what events are there: present, missing or beyond the archive's edge."""
     start, _, coins = _window()
@@ -582,9 +594,9 @@ select split_part(file, '_', 1) as venue, "check", count(*) as checks, count(*)
     "order_id_codec": ORDER_ID_SQL,
     "file_name_parse": NAME_SQL,
     "latency_histogram": LATENCY_SQL,
-    "archive_plan": PLAN_SQL,
+    "archive_plan": PAIRS_SQL,
     "archive_edge": EDGE_SQL,
-    "archive_coins": "select unnest(['BTC', 'ETH', 'SOL']) as coin",
+    "archive_coins": "select distinct 'K' || cast(user_id % 7 as varchar) as coin from events",
     "json_frames": FRAMES_SQL,
     "context_rows": CONTEXT_SQL,
     "heartbeat_windows": HEARTBEAT_SQL,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars
-from tickloom.operators import books, feeds, onchain, repair, trades, validation
+from tickloom.operators import books, chain, feeds, onchain, repair, trades, validation
 from tickloom.plans import oracle as o
+from tickloom.plans.book_queries import LINE_ORDER
 from tickloom.plans.data_queries import expected_kinds
 from tickloom.sources import files, generators
 from tickloom.sources import mapping as m
@@ -139,13 +140,54 @@ heights as (select *, min(arrival) filter (early is null and not bad) over (part
 select slot, coalesce(early, case when first < arrival then 'duplicate' when bad then 'partial' else 'sealed' end) as verdict, count(*) as n from heights group by all"""
 
 
+def chain_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as blocks of three chains and their lines as transactions: metas out of order, rivals, repeats, undecodable updates, a coverage that closes and opens."""
+    order = F.col("o_orderkey")
+    line = m.read(spark, d, "lineitem").withColumn("n", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)))
+    k = F.col("l_orderkey")
+    # A row's place in time: its block's, a few blocks later for some.
+    txs = line.select(
+        F.concat(F.lit("c"), k % 3).alias("chain"),
+        (k * 100 + F.col("n") + F.when((k + F.col("n")) % 31 == 0, 900).otherwise(0)).alias("seq"),
+        F.when((k % 47 == 0) & (F.col("n") == 1), "undecodable").otherwise("tx").alias("kind"),
+        k.alias("slot"),
+        F.when((k % 19 == 0) & (F.col("n") > 2), 1).otherwise(0).alias("bank_id"),
+        F.col("l_linenumber").cast("long").alias("tx_index"),
+    )
+    blocks = m.read(spark, d, "orders").withColumn("x", F.explode(F.expr("filter(array(0, 1, 2), x -> x = 0 or (x = 1 and o_orderkey % 19 = 0) or (x = 2 and o_orderkey % 13 = 0))")))
+    x = F.col("x")
+    metas = blocks.select(
+        F.concat(F.lit("c"), order % 3).alias("chain"),
+        (order * 100 + 80 + x + F.when(order % 11 == 0, 700).when(order % 101 == 0, 15_000).otherwise(0)).alias("seq"),
+        F.lit("meta").alias("kind"),
+        order.alias("slot"),
+        (x == 1).cast("long").alias("bank_id"),
+        (order - 3).alias("parent_slot"),
+        F.when(order % 43 != 0, F.expr("o_orderkey div 3 + 1")).alias("block_height"),
+        F.lit(1).alias("block_time_secs"),
+        F.lit("h").alias("blockhash"),
+    )
+    bounds = blocks.where("x = 0 and o_orderkey % 3000 < 3").select(
+        F.concat(F.lit("c"), order % 3).alias("chain"), (order * 100 + 99).alias("seq"), F.when(F.expr("o_orderkey div 3000") % 3 == 2, "close").otherwise("open").alias("kind"), F.lit(None).cast("long").alias("slot")
+    )
+    events = txs.unionByName(metas, allowMissingColumns=True).unionByName(bounds, allowMissingColumns=True)
+    return chain.assembled(events, coverage=True).drop("place")
+
+
 def random_books(spark: SparkSession, d: str) -> DataFrame:
-    return books.conformance(generators.books(spark, 200, seed=7))
+    """A random book for each order, conforming."""
+    made = generators.books(spark, m.read(spark, d, "orders").select(F.col("o_orderkey").alias("id")), seed=7)
+    return books.conformance(made)
 
 
 def random_trades(spark: SparkSession, d: str) -> DataFrame:
-    t = generators.trades(spark, 5000, seed=7)
-    return trades.accepted(t, ts="source_trade_ts_us").groupBy("side").agg(F.count("*").alias("n"))
+    """A random print for each event: all are accepted."""
+    t = generators.trades(spark, m.read(spark, d, "events").select(F.col("event_id").alias("id")), seed=7)
+    return trades.accepted(t, ts="source_trade_ts_us").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count_distinct("side").alias("sides"))
+
+
+RANDOM_BOOKS_SQL = "select distinct o_orderkey as book, false as crossed, false as one_sided, 0::bigint as not_positive from orders"
+RANDOM_TRADES_SQL = "select count(*) as n, count(distinct event_id) as ids, 2::bigint as sides from events"
 
 
 def chain_ticks(spark: SparkSession, d: str) -> DataFrame:
@@ -262,11 +304,13 @@ select c_custkey, case when c_custkey % 3 = 0 then 'pair' else 'address' end as
 QUERIES = {
     f.__name__: f
     for f in (
-        tracked_instruments, feed_staleness, expected_files, leaf_paths, pending_files, connection_gaps, book_snapshot, book_since_snapshot, recovered_prints, slot_verdicts, random_books,
+        tracked_instruments, feed_staleness, expected_files, leaf_paths, pending_files, connection_gaps, book_snapshot, book_since_snapshot, recovered_prints, slot_verdicts, chain_blocks, random_books,
         random_trades, instrument_tags, chain_ticks, snapshot_presence, feed_changes, feed_status, ledger_paths, wire_symbols, decompose_tables,
     )
 }
 ORACLE_SQL = {
+    "random_books": RANDOM_BOOKS_SQL,
+    "random_trades": RANDOM_TRADES_SQL,
     "tracked_instruments": o.sql(
         o.EVENTS, o.TRADES, last="select exchange, symbol, seq, side from trades_ev where (exchange, symbol) in (('binance', 'U0/USD'), ('kraken', 'U3/USD'))"
     ),

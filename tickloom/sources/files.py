@@ -211,14 +211,18 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_plan(spark: SparkSession, start: datetime.date, end: datetime.date, coins: Sequence[str], contexts: bool = False) -> DataFrame:
-    """(key, day, hour, coin, n): the objects of a window in the order of their fetch."""
+    """(key, day, hour, coin): the objects of a window in the order of their fetch."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("day"))
-    hours = days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
-    each = hours.select("day", "hour", F.posexplode(F.array(*(F.lit(c) for c in coins))).alias("k", "coin"))
+    return archive_keys(days.select("day", F.explode(F.array(*(F.lit(c) for c in coins))).alias("coin")), contexts)
+
+
+def archive_keys(wanted: DataFrame, contexts: bool = False) -> DataFrame:
+    """The same for wanted (day, coin) pairs: an object for each of their hours, and one of contexts for each day."""
+    each = wanted.select("day", "coin").distinct().select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"), "coin")
     stamp = F.date_format("day", "yyyyMMdd")
     keys = each.select(F.concat_ws("/", F.lit("market_data"), stamp, F.col("hour"), F.lit("l2Book"), F.concat("coin", F.lit(".lz4"))).alias("key"), "day", "hour", "coin")
     if contexts:
-        keys = keys.unionByName(days.select(F.concat(F.lit("asset_ctxs/"), stamp, F.lit(".csv.lz4")).alias("key"), "day", F.lit(-1).alias("hour"), F.lit("").alias("coin")))
+        keys = keys.unionByName(wanted.select("day").distinct().select(F.concat(F.lit("asset_ctxs/"), stamp, F.lit(".csv.lz4")).alias("key"), "day", F.lit(-1).alias("hour"), F.lit("").alias("coin")))
     return keys
 
 
