@@ -66,13 +66,73 @@ def matched(transactions: DataFrame, watch: DataFrame, key: Sequence[str] = ("si
     asked = ("required_role", "include_failed", "keep_logs")
     met = _keys(transactions.where("not is_vote")).join(watch.select("address", *asked), "address").where("success or include_failed")
     rest = [c for c in transactions.columns if c not in (*key, "address")]
-    best = met.groupBy(*key, "address", *asked).agg(F.max("rank").alias("rank"), *(F.first(c).alias(c) for c in rest))
+    # Of rows that share a key but differ elsewhere the least counts, whatever order they come in.
+    content = F.struct(*rest) if rest else F.lit(1)
+    best = met.groupBy(*key, "address", *asked).agg(F.max("rank").alias("rank"), F.min(content).alias("_least")).select("*", *(F.col(f"_least.{c}").alias(c) for c in rest))
     out = best.withColumn("match_role", _role()).where(role_rank(F.col("match_role")) >= role_rank(F.col("required_role")))
     if "log_messages" in transactions.columns:
         out = out.withColumn("log_messages", F.when(F.col("keep_logs"), F.col("log_messages")))
     return out.select(*transactions.columns, "address", "match_role")
 
 
+#: Bytes of a signature and of an account key.
+SIGNATURE_BYTES, KEY_BYTES = 64, 32
+# Kinds of updates that no subscription here asks for.
+UNREQUESTED = ("account", "slot", "transaction_status", "block", "entry", "block_footer", "entry_update_parent")
+
+
+def told_updates(updates: DataFrame) -> DataFrame:
+    """Stream updates with ``kind`` (transaction, block_meta, ping, pong or unrequested), ``what`` (of an unrequested one: which) and ``fault``.
+
+    An update is a row with one of the columns set, each a struct as the wire
+    message nests it (a protobuf reader gives these): ``transaction`` holds
+    slot, bank_id and transaction{signature, transaction{message{header,
+    account_keys}}, meta{loaded_writable_addresses, loaded_readonly_addresses,
+    log_messages, log_messages_none}}. ``fault`` names what a transaction lacks,
+    by its path, or which of its byte fields has a wrong length; null if it can
+    be read. Columns that the frame lacks count as not set.
+    """
+    there = set(updates.columns)
+
+    def given(name: str) -> Column:
+        return F.col(name).isNotNull() if name in there else F.lit(False)
+
+    unrequested = F.coalesce(*(F.when(given(n), n) for n in UNREQUESTED), F.lit("empty"))
+    known = ("transaction", "block_meta", "ping", "pong")
+    kind = F.coalesce(*(F.when(given(n), n) for n in known), F.lit("unrequested"))
+    told = updates.withColumn("kind", kind).withColumn("what", F.when(F.col("kind") == "unrequested", unrequested))
+    if "transaction" not in there:
+        return told.withColumn("fault", F.lit(None).cast("string"))
+    info = F.col("transaction.transaction")
+    body = info["transaction"]
+
+    def missing(value: Column, path: str) -> Column:
+        return F.when(value.isNull(), f"missing {path}")
+
+    def odd_key(keys: Column, name: str) -> Column:
+        at = F.get(F.filter(F.transform(keys, lambda x, k: F.when(F.coalesce(F.octet_length(x), F.lit(0)) != KEY_BYTES, k)), lambda k: k.isNotNull()), 0)
+        return F.when(at.isNotNull(), F.concat(F.lit(f"{name}["), at, F.lit("]")))
+
+    length = F.coalesce(F.octet_length(info["signature"]), F.lit(0))
+    fault = F.coalesce(
+        missing(info, "transaction"),
+        F.when(length != SIGNATURE_BYTES, F.concat(F.lit("signature of "), length, F.lit(" bytes"))),
+        missing(body, "transaction.transaction"),
+        missing(body["message"], "transaction.transaction.message"),
+        missing(body["message"]["header"], "transaction.transaction.message.header"),
+        missing(info["meta"], "transaction.meta"),
+        odd_key(body["message"]["account_keys"], "account_keys"),
+        odd_key(info["meta"]["loaded_writable_addresses"], "loaded_writable_addresses"),
+        odd_key(info["meta"]["loaded_readonly_addresses"], "loaded_readonly_addresses"),
+    )
+    return told.withColumn("fault", F.when(F.col("kind") == "transaction", fault))
+
+
+def logs(meta: Column) -> Column:
+    """A transaction's log lines; null where the node kept none, which isn't the same as no line."""
+    return F.when(~F.coalesce(meta["log_messages_none"], F.lit(False)), F.coalesce(meta["log_messages"], F.array().cast("array<string>")))
+
+
 def _number(data: Column, size: int) -> Column:
     """Little-endian bytes after the kind byte as a number; null if there are too few."""
     body = F.substring(data, 2, size)

@@ -174,6 +174,39 @@ def chain_blocks(spark: SparkSession, d: str) -> DataFrame:
     return chain.assembled(events, coverage=True).drop("place")
 
 
+def chain_updates(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as stream updates of all kinds, some transactions lacking a part: what each is and what it lacks, and how many kept no logs."""
+    k = F.col("o_orderkey")
+    byte = lambda n: F.unhex(F.repeat(F.lit("ab"), n))
+    keys = F.array(byte(F.lit(32)), byte(F.when(k % 31 == 0, 31).otherwise(32)))
+    message = F.when(k % 13 != 0, F.struct(F.when(k % 17 != 0, F.struct(F.lit(1).alias("num_required_signatures"))).alias("header"), keys.alias("account_keys")))
+    body = F.when(k % 11 != 0, F.struct(message.alias("message")))
+    meta = F.when(k % 19 != 0, F.struct(F.array(byte(F.lit(32))).alias("loaded_writable_addresses"), F.array(byte(F.when(k % 37 == 0, 1).otherwise(32))).alias("loaded_readonly_addresses"), F.array(F.lit("log")).alias("log_messages"), (k % 5 == 0).alias("log_messages_none")))
+    info = F.when(k % 7 != 0, F.struct(byte(F.when(k % 23 == 0, 63).otherwise(64)).alias("signature"), body.alias("transaction"), meta.alias("meta")))
+    kind = k % 10
+    rows = m.read(spark, d, "orders").select(
+        F.when(kind < 6, F.struct(k.alias("slot"), F.lit(0).alias("bank_id"), info.alias("transaction"))).alias("transaction"),
+        F.when(kind == 6, F.struct(k.alias("slot"))).alias("block_meta"),
+        F.when(kind == 7, True).alias("ping"),
+        F.when(kind == 8, F.struct(k.alias("id"))).alias("pong"),
+        F.when((kind == 9) & (k % 3 == 0), k).alias("account"),
+        F.when((kind == 9) & (k % 3 == 1), k).alias("entry"),
+    )
+    told = onchain.told_updates(rows).withColumn("silent", (F.col("kind") == "transaction") & F.col("fault").isNull() & onchain.logs(F.col("transaction.transaction.meta")).isNull())
+    return told.groupBy("kind", "what", "fault").agg(F.count("*").alias("n"), F.count(F.when(F.col("silent"), 1)).alias("silent"))
+
+
+UPDATES_SQL = """
+with told as (
+  select o_orderkey as k, case when k % 10 < 6 then 'transaction' when k % 10 = 6 then 'block_meta' when k % 10 = 7 then 'ping' when k % 10 = 8 then 'pong' else 'unrequested' end as kind,
+    case when k % 10 = 9 then ['account', 'entry', 'empty'][k % 3 + 1] end as what,
+    case when k % 10 >= 6 then null when k % 7 = 0 then 'missing transaction' when k % 23 = 0 then 'signature of 63 bytes' when k % 11 = 0 then 'missing transaction.transaction'
+      when k % 13 = 0 then 'missing transaction.transaction.message' when k % 17 = 0 then 'missing transaction.transaction.message.header' when k % 19 = 0 then 'missing transaction.meta'
+      when k % 31 = 0 then 'account_keys[1]' when k % 37 = 0 then 'loaded_readonly_addresses[0]' end as fault
+  from orders)
+select kind, what, fault, count(*) as n, count(*) filter (kind = 'transaction' and fault is null and k % 5 = 0) as silent from told group by kind, what, fault"""
+
+
 def random_books(spark: SparkSession, d: str) -> DataFrame:
     """A random book for each order, conforming."""
     made = generators.books(spark, m.read(spark, d, "orders").select(F.col("o_orderkey").alias("id")), seed=7)
@@ -304,11 +337,12 @@ select c_custkey, case when c_custkey % 3 = 0 then 'pair' else 'address' end as
 QUERIES = {
     f.__name__: f
     for f in (
-        tracked_instruments, feed_staleness, expected_files, leaf_paths, pending_files, connection_gaps, book_snapshot, book_since_snapshot, recovered_prints, slot_verdicts, chain_blocks, random_books,
+        tracked_instruments, feed_staleness, expected_files, leaf_paths, pending_files, connection_gaps, book_snapshot, book_since_snapshot, recovered_prints, slot_verdicts, chain_blocks, chain_updates, random_books,
         random_trades, instrument_tags, chain_ticks, snapshot_presence, feed_changes, feed_status, ledger_paths, wire_symbols, decompose_tables,
     )
 }
 ORACLE_SQL = {
+    "chain_updates": UPDATES_SQL,
     "random_books": RANDOM_BOOKS_SQL,
     "random_trades": RANDOM_TRADES_SQL,
     "tracked_instruments": o.sql(
