@@ -604,6 +604,13 @@ def test_pruned_state_counts_from_the_last_snapshot(spark):
     assert got == {(1, k): 5 - k for k in range(3)} | {(b, k): 5 - k for b in (2, None) for k in range(4)}
 
 
+def test_one_sided_books_are_an_error_where_asked(spark):
+    levels = rows(spark, [(1, "bid", 9.0, 1.0), (1, "ask", 11.0, 1.0), (7, "bid", 9.0, 1.0)], "book long, side string, price double, size double")
+    assert books.two_sided(levels.where("book = 1")).first().mid_price == 10.0
+    with pytest.raises(Exception, match="one-sided book: 7"):
+        books.two_sided(levels).collect()
+
+
 def test_forced_gap_and_close():
     book = books.Fold(predicate="exact_prev")
     assert book.apply([("bid", 10, 1)], 5, 4, True) and book.state == "synced"

@@ -65,6 +65,14 @@ def metrics(levels: DataFrame, key: Sequence[str] = BOOK) -> DataFrame:
     )
 
 
+def two_sided(levels: DataFrame, key: Sequence[str] = BOOK) -> DataFrame:
+    """``metrics`` for whoever can't do with half a book: one with an empty side is an error, told with its key."""
+    m = metrics(levels, key)
+    named = F.concat_ws(", ", *(F.col(c).cast("string") for c in key))
+    bad = F.when((F.col("n_bids") == 0) | (F.col("n_asks") == 0), F.raise_error(F.concat(F.lit("one-sided book: "), named)).cast("double"))
+    return m.withColumn("mid_price", F.coalesce(bad, F.col("mid_price")))
+
+
 def snapshot(levels: DataFrame, key: Sequence[str] = BOOK) -> DataFrame:
     """Metrics rounded half-even for display: prices and volumes to 8 places, basis points 4, imbalance 6."""
     m = metrics(levels, key)

@@ -548,6 +548,23 @@ where not exists (select 1 from ev where event_type = 'error' and ev.symbol = sp
 )
 
 
+def heartbeat_heights(spark: SparkSession, d: str) -> DataFrame:
+    """The same windows with the last block before each window's end, events of two kinds taken as blocks."""
+    quiet = heartbeat_windows(spark, d)
+    metas = m.events(spark, d).where("event_type in ('signup', 'purchase')").select("symbol", "ts_us", F.col("seq").alias("slot"), (F.col("seq") * 2).alias("block_height"))
+    return files.with_heights(quiet, metas, "ts_us").select("symbol", "t_min_us", "last_slot", "last_block_height")
+
+
+HEIGHTS_SQL = o.sql(
+    o.EVENTS,
+    f"span as (select symbol, unnest(range(min(ts_us // {6 * HOUR}), max(ts_us // {6 * HOUR}) + 1)) as w from ev group by symbol)",
+    f"quiet as (select * from span where not exists (select 1 from ev where event_type = 'error' and ev.symbol = span.symbol and ev.ts_us // {6 * HOUR} = w))",
+    last=f"""
+select q.symbol, any_value(q.w) * {6 * HOUR} as t_min_us, arg_max(seq, (ts_us, seq)) as last_slot, arg_max(seq, (ts_us, seq)) * 2 as last_block_height
+from quiet q left join ev on ev.symbol = q.symbol and ev.event_type in ('signup', 'purchase') and ev.ts_us < (q.w + 1) * {6 * HOUR} group by q.symbol, q.w""",
+)
+
+
 def base58_codec(spark: SparkSession, d: str) -> DataFrame:
     """Hashes of names as chain addresses and back."""
     rows = m.read(spark, d, "customer").select("c_custkey", F.unhex(F.sha2("c_name", 256)).alias("raw"))
@@ -569,7 +586,7 @@ QUERIES = {
     for f in (
         tx_match_roles, tx_invariants, tx_order_check, tx_cross_file_dups, slot_gaps, tx_requested_compute, validate_report, validate_files, validation_rollup, file_overlap, dataset_stats, symbol_codec,
         known_quote_split, epoch_normalize, effective_ts, order_id_codec, file_name_parse, latency_histogram, archive_plan, archive_edge, archive_coins, json_frames, context_rows,
-        heartbeat_windows, base58_codec, trailing_rate,
+        heartbeat_windows, heartbeat_heights, base58_codec, trailing_rate,
     )
 }
 ORACLE_SQL = {
@@ -594,6 +611,7 @@ select split_part(file, '_', 1) as venue, "check", count(*) as checks, count(*)
     "order_id_codec": ORDER_ID_SQL,
     "file_name_parse": NAME_SQL,
     "latency_histogram": LATENCY_SQL,
+    "heartbeat_heights": HEIGHTS_SQL,
     "archive_plan": PAIRS_SQL,
     "archive_edge": EDGE_SQL,
     "archive_coins": "select distinct 'K' || cast(user_id % 7 as varchar) as coin from events",

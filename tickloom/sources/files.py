@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.functions.scalars import book_side, day_of, effective, file_symbol, trade_side
+from tickloom.operators import blocked
 
 # ---- scans
 
@@ -184,6 +185,17 @@ def heartbeats(windows: DataFrame, rows: DataFrame, ts: str, datatype: str, by:
     return quiet.select(F.lit(True).alias("heartbeat"), *by, F.lit(0).cast("long").alias("rows"), "t_min_us", "t_max_us", F.lit(schemas.schema_id(datatype)).alias("schema_id"))
 
 
+def with_heights(beats: DataFrame, metas: DataFrame, ts: str, by: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Heartbeat lines with ``last_slot`` and ``last_block_height``: those of the last block (by, ts, slot, block_height) before each window's end; null where none was."""
+    marks = beats.withColumn("_at", F.col("t_max_us")).withColumn("_block", F.lit(False))
+    blocks = metas.where(F.col(ts).isNotNull()).select(*by, F.col(ts).alias("_at"), "slot", "block_height", F.lit(True).alias("_block"))
+    both = marks.unionByName(blocks, allowMissingColumns=True).withColumnRenamed("_block", "_is_block")
+    # Blocks of one time count by their slot; a window's end comes before what begins there.
+    last = F.when(F.col("_is_block"), F.struct("slot", "block_height"))
+    told = blocked.scanned(both, by, ["_at", "_is_block", "slot", "block_height"], {"_last": ("last", last)}, width=blocked.DAY_US)
+    return told.where("not _is_block").select(*beats.columns, F.col("_last.slot").alias("last_slot"), F.col("_last.block_height").alias("last_block_height"))
+
+
 LEDGER = "opened_epoch_us long, closed_epoch_us long, window_us long, cause string, exchange string, symbol string, possible_dropped_trades long, prev_slot long, prev_height long, next_slot long, next_height long, blocks_lost long"
 
 
