@@ -66,9 +66,8 @@ def matched(transactions: DataFrame, watch: DataFrame, key: Sequence[str] = ("si
     asked = ("required_role", "include_failed", "keep_logs")
     met = _keys(transactions.where("not is_vote")).join(watch.select("address", *asked), "address").where("success or include_failed")
     rest = [c for c in transactions.columns if c not in (*key, "address")]
-    # Of rows that share a key but differ elsewhere the least counts, whatever order they come in.
-    content = F.struct(*rest) if rest else F.lit(1)
-    best = met.groupBy(*key, "address", *asked).agg(F.max("rank").alias("rank"), F.min(content).alias("_least")).select("*", *(F.col(f"_least.{c}").alias(c) for c in rest))
+    # Rows that share a key but differ elsewhere are different transactions: none stands for another.
+    best = met.groupBy(*key, "address", *asked, *rest).agg(F.max("rank").alias("rank"))
     out = best.withColumn("match_role", _role()).where(role_rank(F.col("match_role")) >= role_rank(F.col("required_role")))
     if "log_messages" in transactions.columns:
         out = out.withColumn("log_messages", F.when(F.col("keep_logs"), F.col("log_messages")))

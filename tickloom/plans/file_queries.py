@@ -37,8 +37,8 @@ def leaf_manifest(spark: SparkSession, d: str) -> DataFrame:
     leaf, rows = commits.Leaf(spark, commits.scratch(spark)), _prints(spark, d).drop("seq")
     for venue in m.VENUES:
         leaf.commit(rows.where(F.col("exchange") == venue), "trades", venue)
-    good = leaf.verified().agg(F.count(F.when(F.col("intact"), 1)).alias("intact"), F.count("*").alias("files"))
-    return leaf.listed().agg(F.sum("rows").alias("n_rows"), F.min("t_min_us").alias("t_min_us"), F.max("t_max_us").alias("t_max_us")).join(good.where("intact = files").select(F.lit(True).alias("intact")))
+    each = leaf.listed().join(leaf.verified().select("filename", "intact"), "filename")
+    return each.agg(F.sum("rows").alias("n_rows"), F.min("t_min_us").alias("t_min_us"), F.max("t_max_us").alias("t_max_us"), F.bool_and("intact").alias("intact"))
 
 
 MANIFEST_SQL = o.sql(o.EVENTS, o.TRADES, last="select count(*) as n_rows, min(ts_us) as t_min_us, max(ts_us) as t_max_us, true as intact from trades_ev")
@@ -162,7 +162,8 @@ def print_cycles(spark: SparkSession, d: str) -> DataFrame:
     leaf, source = commits.Leaf(spark, commits.scratch(spark)), reconcile.Source("source_trade_ts_us", "id")
     leaf.commit(live, "trades")
     day_us, base = 86_400_000_000, 19723 * 86_400_000_000
-    gaps = live.select("exchange", "symbol").distinct().crossJoin(F.broadcast(spark.createDataFrame([(base + 5 * day_us, base + 7 * day_us - 1), (base + 6 * day_us, base + 6 * day_us + 5)], "opened_us long, closed_us long")))
+    each = F.array(*(F.struct(F.lit(base + a).alias("opened_us"), F.lit(base + b).alias("closed_us")) for a, b in ((5 * day_us, 7 * day_us - 1), (6 * day_us, 6 * day_us + 5))))
+    gaps = live.select("exchange", "symbol").distinct().select("exchange", "symbol", F.inline(each))
     dump = files.conform(rows, "trades").withColumn("origin", F.lit("rest"))
     for _ in range(2):
         reconcile.cycle(leaf, "trades", dump, source, gaps=gaps)
@@ -183,15 +184,14 @@ def validation_cumulative(spark: SparkSession, d: str) -> DataFrame:
     """Counts and extremes of prints in three runs, one of them repeated, as one state; each run's rows are counted while they are written."""
     state = cumulative.State(spark, commits.scratch(spark), ["exchange"], {"n": "sum", "bad": "sum", "first_us": "min", "last_us": "max", "volume": "sum"})
     path, rows = commits.scratch(spark), _prints(spark, d)
-    seen = []
+    seen = {}
     for run in (0, 1, 1, 2):
         own = rows.where(F.col("seq") % 3 == run)
         counts = own.groupBy("exchange").agg(F.count("*").alias("n"), F.count(F.when(F.col("price") < 5, 1)).alias("bad"), F.min("source_trade_ts_us").alias("first_us"), F.max("source_trade_ts_us").alias("last_us"), F.sum("amount").cast("double").alias("volume"))
         state.add(str(run), counts)
         metrics = cumulative.measured(own, {"rows": F.count("*")}, lambda f, run=run: f.write.mode("overwrite").parquet(f"{path}/run={run}"))
-        seen.append(cumulative.counters(spark, str(run), metrics))
-    measured = seen[0].unionByName(seen[1]).unionByName(seen[3]).agg(F.sum(F.col("value").cast("long")).alias("measured"))
-    return state.total().join(F.broadcast(measured))
+        seen[run] = metrics["rows"]
+    return state.total().withColumn("measured", F.lit(sum(seen.values())))
 
 
 CUMULATIVE_SQL = o.sql(

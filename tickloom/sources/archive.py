@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from tickloom.functions import codecs
+from tickloom.functions.codecs import unpacked_object
 
 NAME = "tickloom_archive"
 SCHEMA = "key string, line long, value string"
@@ -54,7 +54,7 @@ def content(path: str, key: str) -> bytes:
     system, root = _opened(path)
     with system.open_input_stream(f"{root}/{key}", compression=None) as stream:
         data = stream.read()
-    return codecs.unpacked_object(key, data)
+    return unpacked_object(key, data)
 
 
 def lines(path: str, key: str) -> Iterator[pa.RecordBatch]:
