@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import codecs
-from tickloom.operators import books, folds, repair
+from tickloom.operators import blocked, books, folds, repair
 from tickloom.plans import oracle as o
 from tickloom.plans.grid_queries import rounded
 from tickloom.sources import mapping as m
@@ -238,8 +238,8 @@ def _sequenced(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
     orders = m.read(spark, d, "orders").select((F.col("o_custkey") % 97).alias("book"), F.col("o_orderkey").alias("update_id"))
-    last = F.lag("update_id").over(Window.partitionBy("book").orderBy("update_id"))
-    return orders.withColumn("sequence", F.coalesce(last, F.lit(0)) + F.when(F.col("update_id") % 13 == 0, 1).otherwise(0))
+    told = blocked.scanned(orders, ["book"], ["update_id"], {"last": ("lag", F.col("update_id"))})
+    return told.withColumn("sequence", F.coalesce("last", F.lit(0)) + F.when(F.col("update_id") % 13 == 0, 1).otherwise(0)).drop("last")
 
 
 SEQUENCED = """
