@@ -98,7 +98,10 @@ def stored_tables(spark: SparkSession, d: str) -> DataFrame:
     for datatype, rows, value in (("liquidations", liqs, "amount"), ("funding_rates", funding, "interval_hours"), ("funding_settlements", settled, "local_ts_us"), ("open_interests", interest, "open_interest")):
         path = commits.scratch(spark)
         files.write(rows, path, datatype)
-        parts.append(files.scan(spark, path, datatype).agg(F.count("*").alias("n"), F.sum(value).cast("double").alias("total")).withColumn("datatype", F.lit(datatype)))
+        stored = files.scan(spark, path, datatype)
+        # Some thousand times in microseconds add up to more than a long.
+        number = F.col(value).cast("decimal(20,0)") if value == "local_ts_us" else F.col(value)
+        parts.append(stored.agg(F.count("*").alias("n"), F.sum(number).cast("double").alias("total")).withColumn("datatype", F.lit(datatype)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
