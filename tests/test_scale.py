@@ -35,3 +35,10 @@ def test_sums_of_times_pass_a_long(spark, tmp_path):
     }
     told = against_sql(spark, tmp_path, "stored_tables", events=events)
     assert told.set_index("datatype").total["funding_settlements"] > 2.0**63
+
+
+def test_days_beyond_the_year_9999_have_no_sign(spark, tmp_path):
+    keys = [0, 1, 2932, 2933, 14_999, 89_999]
+    customer = {"c_custkey": keys, "c_name": [f"c{k}" for k in keys]}
+    told = against_sql(spark, tmp_path, "instrument_tags", customer=customer)
+    assert not told.day.str.contains("+", regex=False).any() and (told.day.str.len() > 10).any()

@@ -200,7 +200,8 @@ def row_of(ts_us: Column, period_us: int) -> Column:
 
 
 def day_of(ts_us: Column) -> Column:
-    return F.date_format(F.timestamp_micros(ts_us), "yyyy-MM-dd")
+    """The UTC day; Spark writes years beyond 9999 with a plus sign, which goes."""
+    return F.ltrim(F.date_format(F.timestamp_micros(ts_us), "yyyy-MM-dd"), F.lit("+"))
 
 
 def order_id(side: Column, kind: Column, ts_us: Column) -> Column:
