@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from test_engine import normal
 from tickloom.plans import catalogue
@@ -42,3 +43,10 @@ def test_days_beyond_the_year_9999_have_no_sign(spark, tmp_path):
     customer = {"c_custkey": keys, "c_name": [f"c{k}" for k in keys]}
     told = against_sql(spark, tmp_path, "instrument_tags", customer=customer)
     assert not told.day.str.contains("+", regex=False).any() and (told.day.str.len() > 10).any()
+
+
+@pytest.mark.parametrize("name", ["frames_htx", "frames_binance", "frames_bitso", "bitso_orders", "wire_contexts", "wire_liquidations", "wire_tickers"])
+def test_a_frame_is_parsed_once(spark, name):
+    text = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    frames = 2 if name in ("frames_htx", "frames_binance") else 1
+    assert text.count("from_json") == frames

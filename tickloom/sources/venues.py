@@ -9,6 +9,7 @@ Rows that cannot be taken keep a reason and no made-up values.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -118,10 +119,15 @@ def frame(schema: str, numeric: bool = False):
     return F.from_json(line, schema)
 
 
+def framed(lines: DataFrame, schema: str, kept: Sequence[str] = (), numeric: bool = False) -> DataFrame:
+    """Lines with their frame as ``f``. It comes out of a generator, below which no filter on its fields is pushed: a plain column would be parsed again for each of them."""
+    return lines.select(*kept, F.explode(F.array(frame(schema, numeric))).alias("f"))
+
+
 def _items(lines: DataFrame, schema: str, when: str, items: str | None, newest_first: bool = False, numeric: bool = False) -> DataFrame:
     """Frames (column ``value``, any further ones are kept) as one row for each item: f, x, item_no."""
     kept = [c for c in lines.columns if c != "value"]
-    frames = lines.select(*kept, "value", frame(schema, numeric).alias("f")).where(F.expr(f"f is not null and ({when})"))
+    frames = framed(lines, schema, kept, numeric).where(F.expr(f"f is not null and ({when})"))
     if items is None:
         return frames.select(*kept, "f", F.col("f").alias("x"), F.lit(0).alias("item_no"))
     each = F.expr(f"reverse({items})" if newest_first else items)
@@ -172,7 +178,7 @@ def updates(lines: DataFrame, venue: str) -> DataFrame:
 def l3_updates(lines: DataFrame) -> DataFrame:
     """Single-order changes of bitso's diff-orders frames; the update id is the message's largest."""
     schema = "type string, book string, sequence long, payload array<struct<d:long,r:string,a:string,t:int,o:string,s:string>>"
-    rows = lines.select("value", frame(schema).alias("f")).where("f.type = 'diff-orders'")
+    rows = framed(lines, schema).where("f.type = 'diff-orders'")
     each = rows.select("f", F.expr("array_max(transform(f.payload, o -> o.d))").alias("update_id"), F.posexplode("f.payload").alias("item_no", "x"))
     return each.select(
         F.lit("bitso").alias("exchange"), wire_pair(F.col("f.book"), F.lit("bitso")).alias("symbol"), F.col("f.sequence").alias("sequence"), "update_id", "item_no",
@@ -184,7 +190,7 @@ def l3_updates(lines: DataFrame) -> DataFrame:
 def contexts(lines: DataFrame) -> DataFrame:
     """Hyperliquid asset contexts: funding and open interest of one message; what cannot be read is null."""
     schema = "channel string, data struct<coin:string,ctx:struct<funding:string,openInterest:string,markPx:string,premium:string>>"
-    rows = lines.select(frame(schema).alias("f")).where("f.channel in ('activeAssetCtx', 'activeSpotAssetCtx')")
+    rows = framed(lines, schema).where("f.channel in ('activeAssetCtx', 'activeSpotAssetCtx')")
     return rows.select(
         F.lit("hyperliquid").alias("exchange"), wire_pair(F.col("f.data.coin"), F.lit("hyperliquid")).alias("symbol"), decimal(F.col("f.data.ctx.funding")).alias("funding_rate"),
         decimal(F.col("f.data.ctx.premium")).alias("premium"), F.lit(1).alias("interval_hours"), decimal(F.col("f.data.ctx.openInterest")).alias("open_interest"), decimal(F.col("f.data.ctx.markPx")).alias("mark_px"),
@@ -200,7 +206,7 @@ def settlements(lines: DataFrame, coin_column: str = "coin") -> DataFrame:
 def liquidations(lines: DataFrame) -> DataFrame:
     """Bybit liquidations. An unknown side reads sell and a bad number 0, as the venue's older feed has it."""
     schema = "topic string, data array<struct<uT:long,s:string,uS:string,v:string,p:string>>"
-    rows = lines.select(frame(schema).alias("f")).where("f.topic like 'allLiquidation.%' or f.topic like 'liquidation.%'").select(F.explode("f.data").alias("x"))
+    rows = framed(lines, schema).where("f.topic like 'allLiquidation.%' or f.topic like 'liquidation.%'").select(F.explode("f.data").alias("x"))
     zero = F.lit(0).cast("decimal(38,18)")
     return rows.select(
         (F.col("x.uT") * 1000).alias("liquidation_ts_us"), wire_pair(F.col("x.s"), F.lit("bybit")).alias("symbol"), F.coalesce(trade_side(F.col("x.uS")), F.lit("sell")).alias("side"),
@@ -211,7 +217,7 @@ def liquidations(lines: DataFrame) -> DataFrame:
 def tickers(lines: DataFrame) -> DataFrame:
     """Bybit tickers: every field is optional; the funding interval defaults to 8 hours."""
     schema = "topic string, ts long, data struct<symbol:string,fundingRate:string,nextFundingTime:string,fundingIntervalHour:string,openInterest:string,openInterestValue:string,markPrice:string>"
-    rows = lines.select(frame(schema).alias("f")).where("f.topic like 'tickers.%'")
+    rows = framed(lines, schema).where("f.topic like 'tickers.%'")
     return rows.select(
         F.lit("bybit").alias("exchange"), wire_pair(F.col("f.data.symbol"), F.lit("bybit")).alias("symbol"), epoch_to_us(F.coalesce("f.ts", F.lit(0))).alias("ts_us"),
         decimal(F.col("f.data.fundingRate")).alias("funding_rate"), epoch_to_us(F.coalesce(F.expr("try_cast(f.data.nextFundingTime as long)"), F.lit(0))).alias("next_funding_ts_us"),
