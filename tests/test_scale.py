@@ -7,8 +7,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from test_engine import normal
+from tickloom.functions import codecs
 from tickloom.plans import catalogue
 
 
@@ -50,3 +52,22 @@ def test_a_frame_is_parsed_once(spark, name):
     text = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     frames = 2 if name in ("frames_htx", "frames_binance") else 1
     assert text.count("from_json") == frames
+
+
+def test_a_checksum_works_out_its_sides_once(spark):
+    """Inside a lambda over the ranks a side was worked out again for each of them."""
+    side = "transform(sequence(1, 3), x -> named_struct('price', cast(x * id as string), 'size', '1'))"
+    rows = spark.range(50).select(F.expr(side).alias("bids"), F.expr(side).alias("asks"))
+    text = rows.select(codecs.okx_checksum(F.col("bids"), F.col("asks")).alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 24" not in text and "0, 1, 2, 3, 4, 5, 6, 7, 8" not in text
+    levels = "array<struct<price:string,size:string>>"
+    books = [([("2", "1")], None), (None, [("3", "1")]), ([], []), ([(str(k), "1") for k in range(30)], [(str(k), "2") for k in range(27)]), ([(None, None), ("1", None)], [("4", "1")])]
+    got = [r.c for r in spark.createDataFrame(books, f"bids {levels}, asks {levels}").select(codecs.okx_checksum(F.col("bids"), F.col("asks")).alias("c")).collect()]
+    shown = [[[tuple(x for x in level if x is not None) for level in side or ()] for side in book] for book in books]
+    assert got == [codecs.okx_crc(*book) for book in shown]
+
+
+def test_short_books_are_cut_in_one_window(spark):
+    """No blocks, whose ends work out all messages a second time."""
+    text = catalogue.QUERIES["book_replay_checksum"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "_block" not in text

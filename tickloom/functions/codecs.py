@@ -27,10 +27,11 @@ def okx_checksum(bids: Column, asks: Column) -> Column:
 
     Sides are arrays of struct(price, size), best first, in wire text.
     """
-    text = lambda level: F.concat_ws(":", level["price"], level["size"])
-    ranks = F.sequence(F.lit(0), F.lit(24))
-    pairs = F.flatten(F.transform(ranks, lambda k: F.array(F.get(bids, k), F.get(asks, k))))
-    joined = F.array_join(F.transform(F.filter(pairs, lambda x: x.isNotNull()), text), ":")
+    # Sides stand outside of any lambda: inside, whatever makes them is worked out again for each rank.
+    none = F.expr("cast(array() as array<struct<price: string, size: string>>)")
+    ranks = F.arrays_zip(*(F.slice(F.coalesce(side, none), 1, 25) for side in (bids, asks)))
+    text = lambda level: F.when(level.isNotNull(), F.concat_ws(":", level["price"], level["size"]))
+    joined = F.array_join(F.flatten(F.transform(ranks, lambda x: F.array(text(x["0"]), text(x["1"])))), ":")
     crc = F.crc32(joined.cast("binary"))
     return F.when(crc > 2147483647, crc - 4294967296).otherwise(crc)
 
@@ -50,7 +51,7 @@ def kraken_crc(bids: list[tuple[str, str]], asks: list[tuple[str, str]]) -> int:
 
 def okx_crc(bids: list[tuple[str, str]], asks: list[tuple[str, str]]) -> int:
     """``okx_checksum`` for one book, best level first."""
-    text = ":".join(":".join(side[k]) for k in range(25) for side in (bids, asks) if k < len(side))
+    text = ":".join(":".join(side[k]) for k in range(min(25, max(len(bids), len(asks)))) for side in (bids, asks) if k < len(side))
     crc = zlib.crc32(text.encode())
     return crc - (1 << 32) if crc >> 31 else crc
 

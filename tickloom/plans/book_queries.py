@@ -141,9 +141,13 @@ def book_replay_checksum(spark: SparkSession, d: str) -> DataFrame:
     def side(levels, bid: bool):
         own = F.filter(levels, lambda x: x["bid"] if bid else ~x["bid"])
         sign = -1 if bid else 1
-        ranked = F.array_sort(F.transform(own, lambda x: F.struct((x["at"] * sign).alias("k"), x["at"], x["size"])))
+        ranked = F.sort_array(F.transform(own, lambda x: F.struct((x["at"] * sign).alias("k"), x["at"], x["size"])))
         return F.transform(ranked, text)
 
+    def alone(bid: bool):
+        own = F.col("l.bid") if bid else ~F.col("l.bid")
+        return F.filter(F.array(F.when(own, text(F.col("l")))), lambda x: x.isNotNull())
+
     mark = F.col("book") + F.col("update_id")
     right = codecs.okx_checksum(F.col("all_bids"), F.col("all_asks"))
     states = rows.withColumn("left", left).withColumns({"all_bids": side(F.col("left"), True), "all_asks": side(F.col("left"), False)})
@@ -152,11 +156,11 @@ def book_replay_checksum(spark: SparkSession, d: str) -> DataFrame:
         "update_id",
         F.lit(None).cast("long").alias("sequence"),
         "is_snapshot",
-        side(F.array("l"), True).alias("bids"),
-        side(F.array("l"), False).alias("asks"),
+        alone(True).alias("bids"),
+        alone(False).alias("asks"),
         F.when(mark % 29 != 0, right + F.when(mark % 23 == 0, 1).otherwise(0)).alias("checksum"),
     )
-    told = folds.replayed(messages, ["update_id"], recipe="okx")
+    told = folds.replayed(messages, ["update_id"], recipe="okx", blocks=False)
     return told.select("book", "segment", "applied", "rejected", "gaps", "state", F.size("levels").cast("long").alias("n_levels"))
 
 
