@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from test_engine import normal
 from tickloom.functions import codecs
+from tickloom.operators import chain
 from tickloom.plans import catalogue
 
 
@@ -71,3 +72,28 @@ def test_short_books_are_cut_in_one_window(spark):
     """No blocks, whose ends work out all messages a second time."""
     text = catalogue.QUERIES["book_replay_checksum"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 1 and "_block" not in text
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_cycles_of_a_chain_are_folded_apart(spark, monkeypatch, again):
+    """A task for each cycle of the coverage; a chain as a whole only where slots come again after a close."""
+    rows, seq = [], 0
+    for cycle in range(4):
+        start = 100 if again and cycle == 3 else 100 + 1000 * cycle
+        for kind, slot, height in [("open", start, None), *(("meta", start + k, start + 2 * k) for k in range(30)), ("close", None, None)]:
+            seq += 1
+            rows.append(("c", seq, kind, slot, 0, height))
+    dealt, real = [], type(spark.range(1)).repartition
+
+    def repartition(self, *by):
+        dealt.append(by)
+        return real(self, *by)
+
+    monkeypatch.setattr(type(spark.range(1)), "repartition", repartition)
+    frame = spark.createDataFrame(rows, "chain string, seq long, kind string, slot long, bank_id long, block_height long")
+    got = [(r.seq, r.place, r.slot, r.block_height, r.blocks_lost, r.verdict) for r in chain.assembled(frame, coverage=True).orderBy("seq", "place").collect()]
+    assert dealt == [("key", "cycle"), *([("key",)] if again else [])]
+    book, want = chain.SlotBook(coverage=True), []
+    for _, n, kind, slot, bank, height in rows:
+        want += [(n, place, x[0], *x[2:]) for place, x in enumerate(book.take(kind, slot, bank, None, height, 1, "-")[1])]
+    assert got == want and max(x[4] for x in want) > 100

@@ -6,7 +6,8 @@ updates, and of the transactions the first of each bank (what raises the
 highest slot is the first of its slot, hence among them; and a bank that
 refuses one takes none after it). Each bank's transactions are then counted in
 one aggregation up to the row at which the fold closed the bank, so the many
-transactions are never ordered in one task.
+transactions are never ordered in one task. A close of the coverage ends a
+cycle; a chain's cycles are folded in parallel.
 
 Rules. A meta seals its bank (slot and bank_id). A sealed bank leaves, lowest
 height first, when its height follows the last one that left, when its parent's
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -164,7 +165,9 @@ class SlotBook:
 
 
 CHECKED = {"block_time_secs": 1, "blockhash": "-"}
-TOLD = "order long, place long, slot long, bank_id long, block_height long, blocks_lost long, verdict string, closed_order long, parts array<long>"
+TOLD = "order long, place long, slot long, bank_id long, block_height long, blocks_lost long, verdict string, closed_order long, parts array<long>, cycle long, first boolean, least_slot long, least_height long"
+#: The verdict of a row that tells how a cycle ended.
+END = "end"
 
 
 def assembled(events: DataFrame, key: str = "chain", order: str = "seq", hold: int = 4, abandon: int = 32, coverage: bool = False) -> DataFrame:
@@ -194,24 +197,40 @@ def assembled(events: DataFrame, key: str = "chain", order: str = "seq", hold: i
         *(column(c, "string" if c == "blockhash" else "long", v) for c, v in CHECKED.items()),
     )
     # Between two coverage rows the first transaction of a bank tells whether it takes any.
-    rows = blocked.scanned(rows, ["key"], ["order"], upto={"part": ("sum", bounds.cast("long"))}, width=blocked.NUMBERS)
+    closes = (F.col("kind") == "close").cast("long")
+    rows = blocked.scanned(rows, ["key"], ["order"], {"cycle": ("sum", closes)}, {"part": ("sum", bounds.cast("long"))}, width=blocked.NUMBERS).withColumn("cycle", F.coalesce("cycle", F.lit(0)))
     plain = F.col("kind") == "tx"
     bank = ["key", "slot", "bank_id"]
-    firsts = rows.where(plain).groupBy(*bank, "part").agg(F.min("order").alias("order")).withColumn("kind", F.lit("tx"))
+    firsts = rows.where(plain).groupBy(*bank, "part", "cycle").agg(F.min("order").alias("order")).withColumn("kind", F.lit("tx"))
     marks = rows.where(~plain).drop("tx_index").unionByName(firsts, allowMissingColumns=True)
     out = T.StructType([T.StructField("key", events.schema[key].dataType), *T._parse_datatype_string(TOLD).fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         # What sealed banks took ended with these rows, and the parts in which open ones take transactions.
         now, book, ends, takes, stops = None, None, {}, {}, {}
+        # What rows were held against before a bank of the cycle left: their least slot and height.
+        least = [None, None]
+
+        def end() -> list[tuple]:
+            return [] if whole or book is None else [(now[0], 0, -1, book.released, 0, book.height, 0, END, None, None, now[1], False, *least)]
+
+        def record(told: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([t[k] for t in told], f.type) for k, f in enumerate(to_arrow_schema(out))], [f.name for f in out])
+
         for batch in batches:
             told = []
             for r in batch.to_pylist():
-                if book is None or r["key"] != now:
-                    now, book, ends, takes, stops = r["key"], SlotBook(hold, abandon, coverage), {}, {}, {}
+                place_of = (r["key"], None if whole else r["cycle"])
+                if book is None or place_of != now:
+                    told += end()
+                    now, book, ends, takes, stops = place_of, SlotBook(hold, abandon, coverage or bool(place_of[1])), {}, {}, {}
+                    least = [None, None]
                 own = (r["slot"], r["bank_id"])
-                was = own in book.open
+                was, fresh = own in book.open, book.released is None
                 mine, found = book.take(r["kind"], *own, r["parent_slot"], r["block_height"], r["block_time_secs"], r["blockhash"])
+                if fresh and r["kind"] not in ("open", "close") and book.covers(r["slot"]):
+                    seen = (r["slot"], r["block_height"] if r["kind"] == "meta" else None)
+                    least = [a if b is None else b if a is None else min(a, b) for a, b in zip(least, seen, strict=True)]
                 if mine and r["kind"] == "tx":
                     takes.setdefault(own, []).append(r["part"])
                 if r["kind"] == "meta" and was:
@@ -220,19 +239,41 @@ def assembled(events: DataFrame, key: str = "chain", order: str = "seq", hold: i
                     verdict_of_own = r["kind"] == "meta" and x[:2] == own and x[4] != "sealed"
                     if x[4] == "abandoned" and not verdict_of_own:
                         # A bank that falls was open until now.
-                        end = (stops.pop(x[:2], r["order"]), takes.pop(x[:2], []))
+                        ended_by = (stops.pop(x[:2], r["order"]), takes.pop(x[:2], []))
                     else:
                         # A meta whose bank wasn't open ends none: one of its name may still be held.
-                        end = ends.pop(x[:2], None) if was or not verdict_of_own else None
-                    told.append((now, r["order"], place, *x, *(end or (None, None))))
+                        ended_by = ends.pop(x[:2], None) if was or not verdict_of_own else None
+                    first = fresh and x[4] == "sealed"
+                    fresh = fresh and not first
+                    told.append((now[0], r["order"], place, *x, *(ended_by or (None, None)), now[1], first, None, None))
                 if any(x[4] == "sealed" for x in found):
                     # Open banks that what left has passed take nothing any more.
                     for passed in book.open:
                         if passed[0] <= book.released:
                             stops.setdefault(passed, r["order"])
-            yield pa.RecordBatch.from_arrays([pa.array([t[k] for t in told], f.type) for k, f in enumerate(to_arrow_schema(out))], [f.name for f in out])
+            yield record(told)
+        yield record(end())
+
+    def folded(some: DataFrame, by: list[str], whole: bool) -> DataFrame:
+        return some.repartition(*by).sortWithinPartitions(*by, "order").mapInArrow(lambda batches: run(batches, whole), out)
 
-    told = marks.repartition("key").sortWithinPartitions("key", "order").mapInArrow(run, out)
+    # A close leaves nothing but the slot and height that left last. So cycles are folded apart, and where these
+    # lie below all that a cycle held against them, they only tell what its first bank lost.
+    each = folded(marks, ["key", "cycle"], False).localCheckpoint()
+    last = F.last(F.when(F.col("slot").isNotNull(), F.struct("slot", "block_height")), ignorenulls=True)
+    before = last.over(Window.partitionBy("key").orderBy("cycle").rowsBetween(Window.unboundedPreceding, -1))
+    entries = each.where(F.col("verdict") == END).select("key", "cycle", "least_slot", "least_height", before.alias("e"))
+    held = (F.col("e.slot") >= F.col("least_slot")) | (F.col("e.block_height") + 1 >= F.col("least_height"))
+    entered = entries.select(F.col("key").alias("k"), F.col("cycle").alias("c"), F.col("e.block_height").alias("was"))
+    lost = F.when(F.col("first") & F.col("was").isNotNull(), F.greatest(F.col("block_height") - F.col("was") - 1, F.lit(0))).otherwise(F.col("blocks_lost"))
+    here = F.col("key").eqNullSafe(F.col("k")) & (F.col("cycle") == F.col("c"))
+    told = each.where(F.col("verdict") != END).join(F.broadcast(entered), here, "left").withColumn("blocks_lost", lost).drop("k", "c", "was")
+    # Chains in which they mattered are folded as a whole.
+    knotted = entries.where(held).select(F.col("key").alias("k")).distinct().localCheckpoint()
+    if not knotted.isEmpty():
+        same_key = F.col("key").eqNullSafe(F.col("k"))
+        told = told.join(F.broadcast(knotted), same_key, "left_anti").unionByName(folded(marks.join(F.broadcast(knotted), same_key, "left_semi"), ["key"], True))
+    told = told.select("key", *(f.name for f in out.fields[1:10]))
     ended = told.where("closed_order is not null").select(F.col("key").alias("k"), F.col("slot").alias("s"), F.col("bank_id").alias("b"), "closed_order", "parts")
     same = F.col("key").eqNullSafe(F.col("k")) & (F.col("slot") == F.col("s")) & (F.col("bank_id") == F.col("b"))
     taken = rows.where(plain).join(ended, same & F.array_contains("parts", F.col("part")) & (F.col("order") < F.col("closed_order")))
