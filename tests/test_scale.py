@@ -1,8 +1,10 @@
 """Faults that only show on larger tables or far keys, on small ones made to show them."""
 
 import datetime
+import random
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_engine import normal
-from tickloom.functions import codecs
+from tickloom.functions import codecs, scalars
 from tickloom.operators import chain
 from tickloom.plans import catalogue
 
@@ -48,6 +50,23 @@ def test_days_beyond_the_year_9999_have_no_sign(spark, tmp_path):
     assert not told.day.str.contains("+", regex=False).any() and (told.day.str.len() > 10).any()
 
 
+def test_days_beyond_the_last_timestamp(spark, tmp_path):
+    """Held against numpy's days: at these keys the SQL itself overflows."""
+    keys = [106_751, 106_752, 899_999, 2_147_484, 5_399_999, 10**12]
+    pq.write_table(pa.table({"c_custkey": keys}), f"{tmp_path}/customer.parquet")
+    got = {r.c_custkey: (r.kind, r.day, r.lost) for r in catalogue.QUERIES["instrument_tags"](spark, str(tmp_path)).collect()}
+    assert got == {k: ("address" if k % 3 else "pair", str(np.datetime64(k * 1000, "D")), k - 101) for k in keys}
+
+
+def test_days_of_all_times_as_duckdb_has_them(spark):
+    draw = random.Random(5)
+    times = [draw.randrange(-(2**63) + 10**15, 2**63 - 10**15) for _ in range(500)] + [draw.randrange(-(10**17), 10**16) for _ in range(1500)]
+    times += [0, -1, 86_399_999_999, 86_400_000_000, -62_167_219_200_000_000, -62_167_219_200_000_001, -62_135_596_800_000_000, 253_402_300_800_000_000]
+    got = {r.t: r.day for r in spark.createDataFrame([(t,) for t in times], "t long").select("t", scalars.day_of(F.col("t")).alias("day")).collect()}
+    frame = pd.DataFrame({"t": times})  # noqa: F841
+    assert got == dict(duckdb.sql("select t, strftime(make_timestamp(t), '%Y-%m-%d') from frame").fetchall())
+
+
 @pytest.mark.parametrize("name", ["frames_htx", "frames_binance", "frames_bitso", "bitso_orders", "wire_contexts", "wire_liquidations", "wire_tickers"])
 def test_a_frame_is_parsed_once(spark, name):
     text = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

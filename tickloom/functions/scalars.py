@@ -199,9 +199,22 @@ def row_of(ts_us: Column, period_us: int) -> Column:
     return div(ts_us, period_us) + 1
 
 
+def floor_div(a: Column, b: int) -> Column:
+    """As ``div``, but rounded down."""
+    return div(a, b) - (a % b < 0).cast("long")
+
+
+def day_named(days: Column) -> Column:
+    """The day of a number of days since 1970, beyond dates and timestamps too: the calendar repeats after 400 years, and a day is found within these."""
+    date = F.date_from_unix_date(F.pmod(days, F.lit(146_097)).cast("int"))
+    year = F.year(date) + floor_div(days, 146_097) * 400
+    text = year.cast("string")
+    return F.concat(F.when(year.between(0, 999), F.lpad(text, 4, "0")).otherwise(text), F.substring(date.cast("string"), 5, 6))
+
+
 def day_of(ts_us: Column) -> Column:
-    """The UTC day; Spark writes years beyond 9999 with a plus sign, which goes."""
-    return F.ltrim(F.date_format(F.timestamp_micros(ts_us), "yyyy-MM-dd"), F.lit("+"))
+    """The UTC day."""
+    return day_named(floor_div(ts_us, 86_400_000_000))
 
 
 def order_id(side: Column, kind: Column, ts_us: Column) -> Column:

@@ -327,8 +327,8 @@ union all select 'transactions', count(*), cast(sum(a * 10000 + s) as bigint) fr
 
 def instrument_tags(spark: SparkSession, d: str) -> DataFrame:
     name = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("C"), "c_custkey", F.lit("/USD"))).otherwise(F.concat(F.lit("Addr"), "c_custkey"))
-    n = (F.col("c_custkey") * 1000).cast("long")
-    return m.read(spark, d, "customer").select("c_custkey", scalars.instrument_kind(name).alias("kind"), scalars.day_of(n * 86_400_000_000).alias("day"), scalars.blocks_lost(F.lit(100), F.col("c_custkey").cast("long")).alias("lost"))
+    days = F.col("c_custkey").cast("long") * 1000
+    return m.read(spark, d, "customer").select("c_custkey", scalars.instrument_kind(name).alias("kind"), scalars.day_named(days).alias("day"), scalars.blocks_lost(F.lit(100), F.col("c_custkey").cast("long")).alias("lost"))
 
 
 TAGS_SQL = """
